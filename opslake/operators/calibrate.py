@@ -236,10 +236,17 @@ class Silver(NamedTuple):
 
 
 def validate_and_calibrate(orders: DataFrame, kds: DataFrame, dispatch: DataFrame,
-                           quarantined_at: str | None = None) -> Silver:
+                           quarantined_at: str | None = None, persist: bool = True) -> Silver:
+    """All V-rules. The calibrated kitchen and dispatch frames feed both the
+    DLQ and the silver tables, so they are persisted (memory, spilling to
+    disk) and computed once; a lost block is recomputed from lineage."""
     terminal, rejected = split_attempts(dispatch)
     jit = clamp_jitter(terminal)
     kit = calibrate_kitchen(kds, orders, terminal)
+    if persist:
+        from pyspark import StorageLevel
+        jit = jit.persist(StorageLevel.MEMORY_AND_DISK)
+        kit = kit.persist(StorageLevel.MEMORY_AND_DISK)
     dlq = quarantine_records(jit, kit, quarantined_at=quarantined_at)
     return Silver(
         orders=remove_quarantined(orders, dlq),

@@ -140,7 +140,7 @@ def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx:
     g = _late_stats(v, ["distance_band"], approx, with_mean=False)
     bands = prepared.sparkSession.createDataFrame(
         [(lab, i) for i, (lab, _, _) in enumerate(DISTANCE_BANDS)], "distance_band string, band_order int")
-    return (F.broadcast(bands).join(g, "distance_band", "left")
+    return (bands.join(g, "distance_band", "left")
             .withColumn("order_count", F.coalesce(F.col("order_count"), F.lit(0).cast("long")))
             .orderBy("band_order"))
 

@@ -533,6 +533,8 @@ def q_orphan_rows(c: Ctx):
 
 _AUDIT = [("orders.final_status", "nb_raw", "final_status"), ("orders.traffic_bucket", "nb_raw", "traffic_bucket"),
           ("restaurant_status.status", "v_status", "status"), ("support_tickets.category", "src_tickets", "category")]
+_VALUE_COUNTS = _AUDIT + [("interventions.intervention_type", "v_interv", "intervention_type"),
+                          ("outcomes.outcome_bucket", "nb_out", "outcome_bucket")]
 
 
 def _audit_frames(c: Ctx):
@@ -545,9 +547,12 @@ def _audit_frames(c: Ctx):
 
 @query("category_audit", "\nUNION ALL ".join(
     f"SELECT '{n}' AS audited_column, {col} AS raw_value, count(*) AS value_count FROM {v} GROUP BY {col}"
-    for n, v, col in _AUDIT))
+    for n, v, col in _VALUE_COUNTS))
 def q_category_audit(c: Ctx):
-    return K.category_audit(_audit_frames(c))
+    """C14 + D23: raw value counts, including intervention types and outcome buckets."""
+    return K.category_audit(_audit_frames(c) + [
+        ("interventions.intervention_type", c.t.interventions, "intervention_type"),
+        ("outcomes.outcome_bucket", c.outcome, "outcome_bucket")])
 
 
 @query("category_normalized", "\nUNION ALL ".join(

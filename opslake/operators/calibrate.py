@@ -234,6 +234,11 @@ class Silver(NamedTuple):
     jittered: DataFrame        # all terminal rows after V5 (incl. quarantined)
     kitchen: DataFrame         # all kitchen rows after V6-V8 (incl. quarantined)
 
+    def release(self) -> None:
+        """Drop the persisted calibration frames once their consumers ran."""
+        self.jittered.unpersist()
+        self.kitchen.unpersist()
+
 
 def validate_and_calibrate(orders: DataFrame, kds: DataFrame, dispatch: DataFrame,
                            quarantined_at: str | None = None, persist: bool = True) -> Silver:

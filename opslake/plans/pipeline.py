@@ -100,8 +100,11 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
     s_kds = put(C.remove_quarantined(s.kitchen.drop("_dlq"), dlq), "silver", "silver_kds_calibrated")
     s_disp = put(C.remove_quarantined(s.jittered.drop("_dlq"), dlq), "silver", "silver_dispatch_terminal")
     put(s.churn, "silver", "fact_dispatch_churn")
+    jittered = put(s.jittered.drop("_dlq"), "silver", "dispatch_terminal_all")
+    kitchen = put(s.kitchen.drop("_dlq"), "silver", "kds_calibrated_all")
+    s.release()
     stored = C.Silver(orders=s_orders, kds=s_kds, dispatch=s_disp, churn=s.churn, dlq=dlq,
-                      jittered=s.jittered, kitchen=s.kitchen)
+                      jittered=jittered, kitchen=kitchen)
     breaker = K.circuit_breaker(C.quarantine_rate(stored), threshold_pct, halt_on_breaker)
     if halt_on_breaker:
         K.raise_if_tripped(breaker)

@@ -223,6 +223,16 @@ def q_sla_flags(c: Ctx):
     return c.fact.select("order_id", "total_otd_min", "is_completed", "is_sla_breached")
 
 
+@query("model_summary", """SELECT a.*, b.cancelled_orders FROM
+ (SELECT count(*) AS completed_orders,
+    round(avg(CASE WHEN coalesce(is_sla_breached, false) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 2) AS sla_breach_pct,
+    round(median(total_otd_min), 2) AS p50_otd_min, round(quantile_cont(total_otd_min, 0.9), 2) AS p90_otd_min
+  FROM fact WHERE is_completed) a,
+ (SELECT count(*) FILTER (WHERE NOT is_completed) AS cancelled_orders FROM fact) b""")
+def q_model_summary(c: Ctx):
+    return L.model_summary(c.fact)
+
+
 @query("bottleneck_attribution", "SELECT order_id, primary_delay_bottleneck FROM fact")
 def q_bottleneck_attribution(c: Ctx):
     return c.fact.select("order_id", "primary_delay_bottleneck")

@@ -191,3 +191,21 @@ def test_timeline_and_flatten(spark):
     assert [(r.driver_id, r.type) for r in flat] == [(7, "PING"), (7, "PICKUP")]
     census = {r.event_type: r.arrival_event_recorded for r in J.event_census(J.flatten_documents(docs)).collect()}
     assert census == {"PING": False, "PICKUP": False}
+
+
+def test_metric_definitions_document(spark, tmpdir_fresh):
+    import json
+    import os
+    p = os.path.join(tmpdir_fresh, "defs.json")
+    with open(p, "w") as f:
+        json.dump({"definitions": [
+            {"definition": "ops", "rule": "delay > 0", "threshold_min": 0, "population": "valid_delivered"},
+            {"definition": "support", "rule": "delay > 4", "threshold_min": 4, "population": "valid_delivered"},
+            {"definition": "board", "rule": "delay > 0 / all", "threshold_min": 0, "population": "unique_orders"}]},
+            f)
+    defs = K.read_metric_definitions(spark, p)
+    assert [d[0] for d in defs] == ["ops", "support", "board"]
+    raw = _orders(spark)
+    out = {r.definition: (r.late_count, r.population) for r in
+           K.late_rate_definitions(J.parse_orders(raw), J.prepare_orders(raw), defs).collect()}
+    assert out == {"ops": (2, 3), "support": (2, 3), "board": (2, 5)}

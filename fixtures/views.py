@@ -38,8 +38,26 @@ class DriverTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    # declared schemas of the driver tables read here: no footer-inference job
+    # per read, and a schema drift fails the scan instead of changing types
+    SCHEMAS = {
+        "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+                 "p_retailprice double"),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                   "o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                     "l_linestatus string, l_shipdate timestamp_ntz"),
+        "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    }
+
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        r = self.spark.read
+        if name in self.SCHEMAS:
+            r = r.schema(self.SCHEMAS[name])
+        return r.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def landed(self, df: DataFrame, key: str) -> DataFrame:
         """Land a derived source once per query: hash-partitioned on the key

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,15 +78,24 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
         S.write_layer(df.withColumn("batch_date", F.lit(batch_date)), path(layer, name), ["batch_date"])
         return spark.read.parquet(path(layer, name)).filter(F.col("batch_date") == batch_date).drop("batch_date")
 
+    def put_all(jobs):
+        """Write independent tables of one layer concurrently (each is its own
+        Spark job; small jobs then share the executors instead of queueing)."""
+        with ThreadPoolExecutor(max_workers=min(len(jobs), 4)) as ex:
+            futs = [ex.submit(put, df, layer, name) for df, layer, name in jobs]
+            return [f.result() for f in futs]
+
     # ---- bronze ---------------------------------------------------------------
     stamp = dict(batch_id=f"BATCH-{batch_date}", ingested_at=ingested_at)
-    orders = put(S.bronze_stamp(src.orders, source_type=S.SOURCE_SQL, **stamp), "bronze", "orders")
-    merchants = put(S.bronze_stamp(src.merchants, source_type=S.SOURCE_SQL, **stamp), "bronze", "merchants")
-    lines = put(S.bronze_stamp(src.line_items, source_type=S.SOURCE_SQL, **stamp), "bronze", "order_line_items")
-    headers = put(src.headers, "bronze", "order_headers")
-    dispatch = put(S.bronze_stamp(src.dispatch, source_type=S.SOURCE_API, **stamp), "bronze", "dispatch_attempts")
-    kds = put(S.bronze_stamp(src.kds, source_type=S.SOURCE_CSV, **stamp), "bronze", "kds_logs")
-    tickets = put(S.bronze_stamp(src.tickets, source_type=S.SOURCE_JSON, **stamp), "bronze", "support_tickets")
+    orders, merchants, lines, headers, dispatch, kds, tickets = put_all([
+        (S.bronze_stamp(src.orders, source_type=S.SOURCE_SQL, **stamp), "bronze", "orders"),
+        (S.bronze_stamp(src.merchants, source_type=S.SOURCE_SQL, **stamp), "bronze", "merchants"),
+        (S.bronze_stamp(src.line_items, source_type=S.SOURCE_SQL, **stamp), "bronze", "order_line_items"),
+        (src.headers, "bronze", "order_headers"),
+        (S.bronze_stamp(src.dispatch, source_type=S.SOURCE_API, **stamp), "bronze", "dispatch_attempts"),
+        (S.bronze_stamp(src.kds, source_type=S.SOURCE_CSV, **stamp), "bronze", "kds_logs"),
+        (S.bronze_stamp(src.tickets, source_type=S.SOURCE_JSON, **stamp), "bronze", "support_tickets"),
+    ])
 
     pk = P.pk_integrity([("orders", orders, "order_id"), ("order_line_items", lines, "line_item_id"),
                          ("dispatch_attempts", dispatch, "dispatch_id"), ("kds_logs", kds, "kds_ticket_id")])
@@ -96,12 +106,14 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
     # ---- silver + quarantine ------------------------------------------------------
     s = C.validate_and_calibrate(orders, kds, dispatch, quarantined_at=ingested_at)
     dlq = put(s.dlq, "quarantine", "quarantine_audit")
-    s_orders = put(C.remove_quarantined(orders, dlq), "silver", "silver_orders")
-    s_kds = put(C.remove_quarantined(s.kitchen.drop("_dlq"), dlq), "silver", "silver_kds_calibrated")
-    s_disp = put(C.remove_quarantined(s.jittered.drop("_dlq"), dlq), "silver", "silver_dispatch_terminal")
-    put(s.churn, "silver", "fact_dispatch_churn")
-    jittered = put(s.jittered.drop("_dlq"), "silver", "dispatch_terminal_all")
-    kitchen = put(s.kitchen.drop("_dlq"), "silver", "kds_calibrated_all")
+    s_orders, s_kds, s_disp, _, jittered, kitchen = put_all([
+        (C.remove_quarantined(orders, dlq), "silver", "silver_orders"),
+        (C.remove_quarantined(s.kitchen.drop("_dlq"), dlq), "silver", "silver_kds_calibrated"),
+        (C.remove_quarantined(s.jittered.drop("_dlq"), dlq), "silver", "silver_dispatch_terminal"),
+        (s.churn, "silver", "fact_dispatch_churn"),
+        (s.jittered.drop("_dlq"), "silver", "dispatch_terminal_all"),
+        (s.kitchen.drop("_dlq"), "silver", "kds_calibrated_all"),
+    ])
     s.release()
     stored = C.Silver(orders=s_orders, kds=s_kds, dispatch=s_disp, churn=s.churn, dlq=dlq,
                       jittered=jittered, kitchen=kitchen)
@@ -111,9 +123,11 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
 
     # ---- model + gold ---------------------------------------------------------------
     fact = put(L.build_fact(s_orders, merchants, s_kds, s_disp, tickets), "silver", "fact_order_lifecycle")
-    kpi = put(M.kpi_summary(fact), "gold", "kpi_summary_daily")
-    put(M.kpi_by_cluster(fact), "gold", "kpi_cluster_performance")
-    scen = put(M.scenario_evaluation(fact), "gold", "kpi_intervention_simulation")
+    kpi, _, scen = put_all([
+        (M.kpi_summary(fact), "gold", "kpi_summary_daily"),
+        (M.kpi_by_cluster(fact), "gold", "kpi_cluster_performance"),
+        (M.scenario_evaluation(fact), "gold", "kpi_intervention_simulation"),
+    ])
 
     summary = run_summary(stored, fact, kpi, gate, threshold_pct)
     staged = M.scenario_lookup(scen, "Staged Offset").select(F.col("p90_otd_min").alias("staged_dispatch_p90_sim_min"))

@@ -72,7 +72,7 @@ def test_hot_key_rollups_and_dedupe(spark):
     """Order 0 holds a third of all intervention rows and a third of the
     duplicated order rows; results equal a plain Python computation."""
     n = 3000
-    rows = [(i, 0 if i % 3 == 0 else i % 97, ["VOUCHER", "PRIORITY_DISPATCH", "DRIVER_REASSIGNMENT"][i % 3 if i % 3 else (i // 3) % 3])
+    rows = [(i, 0 if i % 3 == 0 else 1 + i % 97, ["VOUCHER", "PRIORITY_DISPATCH", "DRIVER_REASSIGNMENT"][i % 3 if i % 3 else (i // 3) % 3])
             for i in range(n)]
     iv = spark.createDataFrame(rows, "intervention_id long, order_id long, intervention_type string").repartition(8)
     got = {r.order_id: (r.intervention_count, r.intervention_types) for r in J.interventions_rollup(iv).collect()}

@@ -150,6 +150,8 @@ def calibrate_kitchen(kds: DataFrame, orders: DataFrame, terminal: DataFrame) ->
          .join(placed, "order_id", "left"))
     printed, ready = F.col("ticket_printed_at"), F.col("food_ready_at")
     order_ts, picked = F.col("order_timestamp"), F.col("picked_up_at")
+    # the source row as JSON, built inside each DLQ branch only, so clean
+    # rows never pay for the serialisation
     payload = F.to_json(F.struct(*[F.col(c) for c in k.columns]))
 
     # V6 backward drift
@@ -161,7 +163,7 @@ def calibrate_kitchen(kds: DataFrame, orders: DataFrame, terminal: DataFrame) ->
     ready1 = F.when(back_fix, F.timestamp_add("MICROSECOND", back_us, ready)).otherwise(ready)
     k = k.withColumns({"_back_fix": back_fix, "_back_bad": back_bad,
                        "_back_s": back_us / F.lit(1e6), "_ready1": ready1,
-                       "calibrated_ticket_printed_at": printed_cal, "_payload": payload})
+                       "calibrated_ticket_printed_at": printed_cal})
 
     # V7 forward drift (on the ready time V6 produced)
     r1 = F.col("_ready1")
@@ -182,7 +184,7 @@ def calibrate_kitchen(kds: DataFrame, orders: DataFrame, terminal: DataFrame) ->
             F.col("order_id").cast("string").alias("entity_id"),
             F.lit(SRC_KDS).alias("source_system"), F.lit(code).alias("error_code"),
             F.format_string(desc, F.col(secs).cast("string")).alias("error_description"),
-            F.lit(SEVERITY).alias("severity"), F.col("_payload").alias("raw_payload")))
+            F.lit(SEVERITY).alias("severity"), payload.alias("raw_payload")))
 
     out = k.withColumns({
         "is_food_ready_imputed_flag": impute,
@@ -195,7 +197,7 @@ def calibrate_kitchen(kds: DataFrame, orders: DataFrame, terminal: DataFrame) ->
             err(F.col("_back_bad"), CODE_BACKWARD, DESC_BACKWARD, "_back_s"),
             err(F.col("_fwd_bad"), CODE_FORWARD, DESC_FORWARD, "_fwd_s"))),
     })
-    return out.drop("_back_fix", "_back_bad", "_back_s", "_ready1", "_payload", "_fwd_fix",
+    return out.drop("_back_fix", "_back_bad", "_back_s", "_ready1", "_fwd_fix",
                     "_fwd_bad", "_fwd_s", "_ready2", "_back_viol", "_fwd_viol")
 
 

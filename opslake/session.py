@@ -42,13 +42,17 @@ def get_session(master: str | None = None, app: str = "opslake",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only when it is unset on a local
+    master (tests) a scratch folder is created and registered. On a cluster
+    an unset folder is an error: a machine-local folder would be lost with
+    its executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
         d = tempfile.mkdtemp(prefix="opslake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -463,7 +463,12 @@ def q_page_completeness(c: Ctx):
     return P.page_completeness(c.t.dispatch_pages)
 
 
-@query("output_fingerprint")   # xxhash64 has no DuckDB twin: rows-only check
+@query("output_fingerprint", r"""SELECT count(*) AS row_count,
+  CAST(coalesce(sum(CAST(('0x' || substr(md5(concat_ws(chr(31),
+    coalesce(CAST(order_id AS VARCHAR), '\N'),
+    coalesce(CAST(CAST(round(total_otd_min * 1e6) AS BIGINT) AS VARCHAR), '\N'),
+    coalesce(primary_delay_bottleneck, '\N'))), 1, 15))::BIGINT AS DECIMAL(38,0))), 0) AS VARCHAR) AS content_hash
+FROM fact""")
 def q_output_fingerprint(c: Ctx):
     return P.output_fingerprint(c.fact.select("order_id", "total_otd_min", "primary_delay_bottleneck"))
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opslake.functions import combine_one_row
 
@@ -101,10 +102,47 @@ def page_completeness(pages: DataFrame) -> DataFrame:
         & ~F.col("last_page_has_more") & (F.col("missing_pages") == 0))
 
 
-def output_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Order-insensitive fingerprint = row count + sum of 64-bit row
-    hashes (as decimal, so it cannot overflow). Equal inputs in any order
-    and any partitioning give equal fingerprints."""
+# canonical row text for the portable fingerprint (fixed layout)
+NULL_TOKEN = "\\N"
+FIELD_SEPARATOR = "\x1f"
+DOUBLE_SCALE = 1e6            # doubles are hashed as round(x * 1e6) integers
+
+
+def canonical_text(df: DataFrame, cols: list[str]) -> Column:
+    """One text per row that any SQL engine can rebuild: integers and strings
+    as they are, doubles as round(x * 1e6), timestamps as
+    ``yyyy-MM-dd HH:mm:ss.SSSSSS``, booleans as 1/0, null as ``\\N``."""
+    parts = []
+    for c in cols:
+        t, x = df.schema[c].dataType, F.col(c)
+        if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
+            x = F.round(x.cast("double") * F.lit(DOUBLE_SCALE)).cast("long").cast("string")
+        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            x = F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(t, T.DateType):
+            x = F.date_format(x, "yyyy-MM-dd")
+        elif isinstance(t, T.BooleanType):
+            x = F.when(x, F.lit("1")).when(~x, F.lit("0"))
+        elif not isinstance(t, T.StringType):
+            x = x.cast("string")
+        parts.append(F.coalesce(x, F.lit(NULL_TOKEN)))
+    return F.concat_ws(FIELD_SEPARATOR, *parts)
+
+
+def output_fingerprint(df: DataFrame, cols: list[str] | None = None, portable: bool = True) -> DataFrame:
+    """Order-insensitive fingerprint = row count + exact sum of per-row
+    hashes. Equal rows in any order and any partitioning give equal
+    fingerprints; the sum is a partial aggregate, so no row moves.
+
+    ``portable`` (default): the hash is the first 60 bits of the md5 of the
+    canonical row text, so another engine can recompute the same value.
+    Otherwise xxhash64 of the typed columns (faster, Spark-only).
+    The sum is rendered as text because it exceeds 64 bits.
+    """
     cols = cols or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("content_hash"))
+    if portable:
+        h = F.conv(F.substring(F.md5(canonical_text(df, cols)), 1, 15), 16, 10).cast("decimal(38,0)")
+    else:
+        h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("row_count"),
+                  F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("content_hash"))

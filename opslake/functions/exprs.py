@@ -63,11 +63,17 @@ def rate_true(cond: Column) -> Column:
     return F.avg(F.coalesce(cond, F.lit(False)).cast("double"))
 
 
-def quantile(x, p: float, approx: bool = False, accuracy: int = 10000) -> Column:
+def quantile(x, p: float, approx: bool = False, accuracy: int = 10000, weight=None) -> Column:
     """Linear-interpolated quantile (= percentile_cont). ``approx`` switches to
-    the bounded-memory sketch for very large single groups."""
+    the bounded-memory sketch for very large single groups. ``weight`` (a
+    positive integer column) counts a row that many times, so rows can be
+    pre-aggregated before a shuffle (exact quantile only)."""
     if approx:
+        if weight is not None:
+            raise ValueError("weighted quantiles are exact only")
         return F.percentile_approx(_c(x).cast("double"), p, accuracy)
+    if weight is not None:
+        return F.percentile(_c(x).cast("double"), F.lit(p), _c(weight))
     return F.percentile(_c(x).cast("double"), F.lit(p))
 
 

@@ -348,13 +348,30 @@ def late_by_intervened(journey: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, approx: bool = False) -> DataFrame:
-    """Per intervention type over delivered outcomes (1:N join)."""
-    j = interventions.join(outcome, "order_id", "inner").filter(F.col("delivered_flag") == 1)
-    return (j.groupBy("intervention_type")
-            .agg(F.count("intervention_id").alias("interventions_count"),
-                 F.round(F.avg("late_flag") * 100, 2).alias("late_rate_pct"),
-                 F.round(quantile("delay_min", 0.5, approx), 4).alias("median_delay_min"))
-            .orderBy("late_rate_pct", "intervention_type"))
+    """Per intervention type over delivered outcomes; every
+    intervention row counts once (1:N).
+
+    Exact mode pre-aggregates interventions to (order, type) counts before
+    the join, so an order with a huge number of interventions ships a few
+    rows, not all of them; averages and the median are weighted by the
+    counts (``percentile`` with a frequency), which equals the row-level
+    result. The approximate sketch takes no weights and joins row-level
+    (AQE splits a skewed join key)."""
+    out = outcome.filter(F.col("delivered_flag") == 1).select("order_id", "late_flag", "delay_min")
+    if approx:
+        j = interventions.join(out, "order_id", "inner")
+        agg = [F.count("intervention_id").alias("interventions_count"),
+               F.round(F.avg("late_flag") * 100, 2).alias("late_rate_pct"),
+               F.round(quantile("delay_min", 0.5, approx=True), 4).alias("median_delay_min")]
+    else:
+        per = (interventions.groupBy("order_id", "intervention_type")
+               .agg(F.count(F.lit(1)).alias("_rows"), F.count("intervention_id").alias("_ids")))
+        j = per.join(out, "order_id", "inner")
+        rows, flag = F.col("_rows"), F.col("late_flag")
+        agg = [F.sum("_ids").alias("interventions_count"),
+               F.round(F.sum(flag * rows) / F.sum(F.when(flag.isNotNull(), rows)) * 100, 2).alias("late_rate_pct"),
+               F.round(quantile("delay_min", 0.5, weight=rows), 4).alias("median_delay_min")]
+    return j.groupBy("intervention_type").agg(*agg).orderBy("late_rate_pct", "intervention_type")
 
 
 def top_late_parents(journey: DataFrame, parents: DataFrame, n: int = 5,

@@ -87,3 +87,24 @@ def test_hot_key_rollups_and_dedupe(spark):
     assert first[0] == 0 and len(first) == 1 + sum(1 for i in range(n) if i % 3)
     members = K.duplicate_rows(dup, "k")
     assert members.count() == n // 3 and members.agg({"copies": "max"}).first()[0] == n // 3
+
+
+def test_intervention_type_preaggregation_equals_row_level(spark):
+    """Order 0 holds a third of all intervention rows; the (order, type)
+    pre-aggregate with weighted measures equals the row-level computation."""
+    import statistics
+    n = 3000
+    types = ["VOUCHER", "PRIORITY_DISPATCH", "DRIVER_REASSIGNMENT"]
+    iv = [(i, 0 if i % 3 == 0 else 1 + i % 50, types[(i // 3) % 3] if i % 3 == 0 else types[i % 3]) for i in range(n)]
+    outcome = [(o, 1.0, None if o % 7 == 3 else float(o % 2), float(o % 11) - 3.0) for o in range(0, 51)]
+    ivd = spark.createDataFrame(iv, "intervention_id long, order_id long, intervention_type string").repartition(8)
+    od = spark.createDataFrame(outcome, "order_id long, delivered_flag double, late_flag double, delay_min double")
+    got = {r.intervention_type: (r.interventions_count, r.late_rate_pct, r.median_delay_min)
+           for r in J.late_by_intervention_type(ivd, od).collect()}
+    by_o = {o: (lf, d) for o, _, lf, d in outcome}
+    exp = {}
+    for t in types:
+        joined = [by_o[o] for _, o, tt in iv if tt == t and o in by_o]
+        flags = [f for f, _ in joined if f is not None]
+        exp[t] = (len(joined), round(100 * sum(flags) / len(flags), 2), round(statistics.median(d for _, d in joined), 4))
+    assert got == exp

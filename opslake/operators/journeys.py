@@ -161,13 +161,22 @@ def category_share(tickets: DataFrame, col: str = "category") -> DataFrame:
 
 
 def ticket_vs_operations(tickets: DataFrame, prepared: DataFrame) -> DataFrame:
-    """Tickets joined to valid delivered orders vs the overall mean."""
+    """Tickets joined to valid delivered orders vs the overall mean.
+    Every ticket row counts once; tickets are first counted per order (a
+    partial aggregate), so the join moves one row per order and the means
+    are weighted by the ticket counts."""
     v = _valid(prepared).select("order_id", "is_late", "delay_min")
-    t = tickets.filter(F.col("order_id").isNotNull()).select("ticket_id", "order_id")
+    t = (tickets.filter(F.col("order_id").isNotNull()).groupBy("order_id")
+         .agg(F.count(F.lit(1)).alias("_n")))
+    n, late, delay = F.col("_n"), F.col("is_late").cast("double"), F.col("delay_min")
+
+    def weighted_mean(x):
+        return F.sum(x * n) / F.sum(F.when(x.isNotNull(), n))
+
     m = t.join(v, "order_id", "inner").agg(
-        F.count(F.lit(1)).alias("matched_tickets"),
-        F.round(F.avg(F.col("is_late").cast("double")) * 100, 2).alias("matched_late_pct"),
-        F.round(F.avg("delay_min"), 4).alias("matched_mean_delay_min"))
+        F.coalesce(F.sum(n), F.lit(0)).alias("matched_tickets"),
+        F.round(weighted_mean(late) * 100, 2).alias("matched_late_pct"),
+        F.round(weighted_mean(delay), 4).alias("matched_mean_delay_min"))
     o = v.agg(F.round(F.avg("delay_min"), 4).alias("overall_mean_delay_min"))
     return combine_one_row(m, o)
 

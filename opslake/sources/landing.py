@@ -114,10 +114,15 @@ def bronze_stamp(df: DataFrame, batch_id: str, ingested_at: str, source_type: st
 def file_checksums(spark: SparkSession, path: str, max_file_bytes: int = 2_000_000_000) -> DataFrame:
     """SHA-256 of every landed file, computed in the executors
     (``binaryFile`` reads one file per row). Files above the binary limit
-    are listed with a null hash; use ``content_checksum`` on their rows."""
+    are listed with a null hash; use ``content_checksum`` on their rows.
+    The length filter is applied by the binaryFile source before it reads
+    a file's bytes, and the large-file listing never asks for content."""
     b = spark.read.format("binaryFile").load(path)
-    return b.select("path", "length",
-                    F.when(F.col("length") <= max_file_bytes, F.sha2("content", 256)).alias("sha256"))
+    small = b.filter(F.col("length") <= max_file_bytes).select(
+        "path", "length", F.sha2("content", 256).alias("sha256"))
+    large = b.filter(F.col("length") > max_file_bytes).select(
+        "path", "length", F.lit(None).cast("string").alias("sha256"))
+    return small.unionByName(large)
 
 
 def row_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -82,6 +82,23 @@ def test_checksums_match_hashlib(spark, tmpdir_fresh):
     assert c1 == c2
 
 
+def test_file_checksums_skip_content_of_oversized_files(spark, tmpdir_fresh):
+    """Files over the limit are listed with a null hash and their bytes are
+    never read (a lowered binaryFile limit stands in for the 2 GB one)."""
+    d = os.path.join(tmpdir_fresh, "mixed")
+    os.makedirs(d)
+    open(os.path.join(d, "small.bin"), "wb").write(b"12345")
+    open(os.path.join(d, "large.bin"), "wb").write(b"x" * 500)
+    key = "spark.sql.sources.binaryFile.maxLength"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "100")
+    try:
+        got = {os.path.basename(r.path): r.sha256 for r in S.file_checksums(spark, d, max_file_bytes=100).collect()}
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    assert got == {"small.bin": hashlib.sha256(b"12345").hexdigest(), "large.bin": None}
+
+
 def test_stamps_and_dynamic_overwrite(spark, tmpdir_fresh):
     df = spark.createDataFrame([(1,), (2,)], "id long")
     st = S.bronze_stamp(df, "B1", "2024-01-01T00:00:00Z", S.SOURCE_CSV, "abc")

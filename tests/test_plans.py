@@ -25,3 +25,42 @@ def test_plan_guards(spark, name):
     # the orders scan never reads the unused o_totalprice / o_orderpriority columns
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         assert "o_totalprice" not in schema and "o_orderpriority" not in schema, (name, schema)
+
+
+AGGREGATES = ("HashAggregateExec", "ObjectHashAggregateExec", "SortAggregateExec")
+
+
+def _children(node):
+    kids = node.children()
+    return [kids.apply(i) for i in range(kids.size())]
+
+
+def _has_aggregate(node):
+    return node.getClass().getSimpleName() in AGGREGATES or any(_has_aggregate(c) for c in _children(node))
+
+
+def _global_windows(node):
+    out = [node] if (node.getClass().getSimpleName() == "WindowExec" and node.partitionSpec().isEmpty()) else []
+    for c in _children(node):
+        out += _global_windows(c)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(_plans()))
+def test_single_task_windows_run_over_grouped_rows(spark, name):
+    """A window without a partition key runs in one task, so it may only
+    see aggregated rows (one per category / slice), never raw rows."""
+    plan = _plans()[name](spark, SF)._jdf.queryExecution().sparkPlan()
+    for w in _global_windows(plan):
+        assert _has_aggregate(w), f"{name}: global window over raw rows"
+
+
+def test_global_window_guard_detects_raw_rows(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    raw = spark.range(100).withColumn("rn", F.row_number().over(Window.orderBy("id")))
+    grouped = (spark.range(100).groupBy((F.col("id") % 3).alias("k")).count()
+               .withColumn("rn", F.row_number().over(Window.orderBy("k"))))
+    (w_raw,) = _global_windows(raw._jdf.queryExecution().sparkPlan())
+    (w_grouped,) = _global_windows(grouped._jdf.queryExecution().sparkPlan())
+    assert not _has_aggregate(w_raw) and _has_aggregate(w_grouped)

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixtures.oracle import fmt, mins, norm, with_views
+from fixtures.oracle import VIEWS, fmt, mins, norm, with_views
 from fixtures.views import DriverTables
 from opslake.functions import fmt_ts
 from opslake.operators import calibrate as C
@@ -146,18 +146,16 @@ def _scenario_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-_SC_VIEW = """sc AS (SELECT total_otd_min AS otd0, rider_store_wait_min AS w0, refund_amount_cents AS r,
+# completed orders with the simulated wait and buffer, as an oracle view
+VIEWS["sc"] = """SELECT total_otd_min AS otd0, rider_store_wait_min AS w0, refund_amount_cents AS r,
   CASE WHEN rider_store_wait_min IS NULL THEN NULL
        ELSE least(greatest(rider_store_wait_min * 0.28::DOUBLE, 1.5::DOUBLE), 4.0::DOUBLE) END AS sw,
   CASE WHEN active_kitchen_queue_depth > 8 THEN 4.5::DOUBLE ELSE 0.0::DOUBLE END AS buf
-FROM fact WHERE is_completed)"""
-_SCEN_SQL = f"SELECT * FROM ({_scenario_sql()})"
+FROM fact WHERE is_completed"""
 
 
 def _scen_full(where: str = "") -> str:
-    body = with_views(f"SELECT * FROM fact LIMIT 0")  # ensures the fact chain text
-    prefix = body[:body.rindex("SELECT * FROM fact LIMIT 0")].rstrip()
-    return f"{prefix},\n{_SC_VIEW}\nSELECT * FROM ({_scenario_sql()}) {where}"
+    return with_views(f"SELECT * FROM ({_scenario_sql()}) {where}")
 
 
 @query("scenario_evaluation")

@@ -94,3 +94,25 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
            .otherwise((F.col("hi") - F.col("pos")) * lv + (F.col("pos") - F.col("lo")) * hv))
     return picked.groupBy(*by).agg(*[F.max(F.when(F.col("q") == i, val)).alias(name)
                                      for i, name in enumerate(names)])
+
+
+def exact_quantile_columns(df: DataFrame, measures: dict[str, str | Column],
+                           outputs: dict[str, tuple[str, float]], by: list[str] | None = None,
+                           num_partitions: int | None = None) -> DataFrame:
+    """Several exact quantiles of several measures in one distributed pass.
+
+    ``measures`` maps a label to a value column; ``outputs`` maps each output
+    column to (measure label, probability). The measures are stacked into
+    (label, value) rows so one ``exact_quantiles`` call serves them all; the
+    result has one row per group with the requested columns (null where a
+    measure has no value in the group)."""
+    by = list(by or [])
+    cols = {m: (F.col(c) if isinstance(c, str) else c) for m, c in measures.items()}
+    stacked = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(m).alias("_m"), c.cast("double").alias("_x")) for m, c in cols.items()])))
+    probs = sorted({p for _, p in outputs.values()})
+    q = exact_quantiles(stacked, "_x", {f"_q{i}": p for i, p in enumerate(probs)}, by=by + ["_m"],
+                        num_partitions=num_partitions)
+    return q.groupBy(*by).agg(*[
+        F.max(F.when(F.col("_m") == m, F.col(f"_q{probs.index(p)}"))).alias(name)
+        for name, (m, p) in outputs.items()])

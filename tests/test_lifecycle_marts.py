@@ -99,3 +99,11 @@ def test_support_rollup_drops_null_keys(spark):
     r = L.support_rollup(t).collect()
     assert len(r) == 1 and (r[0].ticket_count, r[0].refund_amount_cents, r[0].min_csat) == (2, 750, 2)
     assert L.support_rollup(t).filter(F.col("order_id").isNull()).count() == 0
+
+
+def test_distributed_quantiles_equal_percentile_in_marts(spark):
+    from fixtures.catalog import Ctx
+    fact = Ctx(spark, "/root/testdata/sf0.001").fact
+    for build in (M.kpi_summary, M.kpi_by_cluster):
+        a, b = build(fact), build(fact, distributed=True)
+        assert a.columns == b.columns and a.collect() == b.collect()

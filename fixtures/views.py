@@ -59,15 +59,6 @@ class DriverTables:
             r = r.schema(self.SCHEMAS[name])
         return r.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def landed(self, df: DataFrame, key: str) -> DataFrame:
-        """Land a derived source once per query: hash-partitioned on the key
-        its consumers join on and persisted (memory, spilling to disk), the
-        way a bronze table is written once and read by every consumer. A
-        lost block is recomputed from the parquet scan."""
-        from pyspark import StorageLevel
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
-
     # ---- scalar: N = max(k) + 1, as a scalar subquery (no join) ----------
     def n_orders(self):
         return self.raw("orders").agg((F.max("o_orderkey") + 1).alias("n")).scalar()
@@ -75,9 +66,10 @@ class DriverTables:
     # ---- pipeline data set ------------------------------------------------
     @cached_property
     def lifecycle_src(self) -> DataFrame:
-        return self.landed(self._lifecycle_src(), "order_id")
-
-    def _lifecycle_src(self) -> DataFrame:
+        """One row per order with every derived timestamp. A narrow,
+        deterministic projection of the orders scan: each consumer
+        recomputes it from the column-pruned scan, which is cheaper than
+        shuffling and caching the whole derived frame."""
         o = self.raw("orders").select(
             F.col("o_orderkey").alias("k"), "o_custkey", "o_orderstatus",
             F.col("o_orderdate").cast("timestamp").alias("day"))

@@ -94,9 +94,10 @@ def kpi_summary(fact: DataFrame, approx: bool = False, distributed: bool = False
         ("customer_complaint_rate_pct", pct(F.count_if(F.col("ticket_count") > 0), F.count(F.lit(1)))),
         ("total_refund_liability_usd", F.round(F.sum("refund_amount_cents") / F.lit(100.0), 2)),
     ]
-    quantiles = {n: (on_done(c), p) for n, (c, p) in KPI_QUANTILES.items()}
-    return _with_quantiles(fact.filter(done), fact, measures, quantiles if not distributed else KPI_QUANTILES,
-                           approx, distributed, [])
+    # one pass over all orders guards each quantile column; the distributed
+    # path reads the completed orders only
+    quantiles = KPI_QUANTILES if distributed else {n: (on_done(c), p) for n, (c, p) in KPI_QUANTILES.items()}
+    return _with_quantiles(fact.filter(done), fact, measures, quantiles, approx, distributed, [])
 
 
 def kpi_by_cluster(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:

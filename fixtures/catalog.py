@@ -54,7 +54,7 @@ class Ctx:
     @cached_property
     def fact(self) -> DataFrame:
         s, t = self.silver, self.t
-        return L.build_fact(s.orders, t.merchants, s.kds, s.dispatch, t.support_tickets)
+        return L.build_fact_from_calibration(s, t.merchants, t.support_tickets)
 
     @cached_property
     def kpi(self) -> DataFrame:

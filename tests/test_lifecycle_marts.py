@@ -107,3 +107,17 @@ def test_distributed_quantiles_equal_percentile_in_marts(spark):
     for build in (M.kpi_summary, M.kpi_by_cluster):
         a, b = build(fact), build(fact, distributed=True)
         assert a.columns == b.columns and a.collect() == b.collect()
+
+
+def test_fact_from_calibration_equals_fact_from_silver_tables(spark):
+    """Filtering only the orders gives the same fact as filtering orders,
+    kitchen and dispatch (their quarantined rows cannot join clean orders)."""
+    from fixtures.catalog import Ctx
+    from opslake.operators.proofs import output_fingerprint
+    c = Ctx(spark, "/root/testdata/sf0.01")
+    s, t = c.silver, c.t
+    a = L.build_fact_from_calibration(s, t.merchants, t.support_tickets)
+    b = L.build_fact(s.orders, t.merchants, s.kds, s.dispatch, t.support_tickets)
+    assert a.columns == b.columns
+    assert output_fingerprint(a).first() == output_fingerprint(b).first()
+    assert a.count() == s.orders.count()

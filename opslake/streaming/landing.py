@@ -6,7 +6,8 @@ rows with the micro-batch's audit columns and appends them to the bronze
 table, partitioned by batch id. Exactly-once comes from the checkpoint (the
 file source records which files each epoch read) plus an idempotent sink:
 a replayed epoch overwrites its own ``_batch_id`` partition with the same
-rows. A per-epoch row-count proof is written beside the data.
+source rows (only ``_ingested_at`` carries the replay's time). A per-epoch
+row-count proof is written beside the data.
 
 ``availableNow`` processes what is there and stops, so the same code runs
 as a scheduled batch or as a continuously running stream.

@@ -108,3 +108,22 @@ def test_intervention_type_preaggregation_equals_row_level(spark):
         flags = [f for f, _ in joined if f is not None]
         exp[t] = (len(joined), round(100 * sum(flags) / len(flags), 2), round(statistics.median(d for _, d in joined), 4))
     assert got == exp
+
+
+def test_ticket_preaggregation_equals_row_level(spark):
+    """Order 0 holds a third of all tickets (plus null and orphan keys);
+    per-order ticket counts with weighted means equal the row-level join."""
+    from pyspark.sql import functions as F
+    n = 3000
+    tickets = [(i, None if i % 101 == 0 else (0 if i % 3 == 0 else 1 + i % 40)) for i in range(n)]
+    orders = [(o, o % 4 != 1, None if o % 9 == 4 else float(o % 13) - 6.0) for o in range(0, 35)]
+    td = spark.createDataFrame(tickets, "ticket_id long, order_id long").repartition(8)
+    od = spark.createDataFrame(orders, "order_id long, is_late boolean, delay_min double").withColumn(
+        "is_valid_delivered", F.lit(True))
+    got = J.ticket_vs_operations(td, od).first()
+    by_o = {o: (late, d) for o, late, d in orders}
+    joined = [by_o[o] for _, o in tickets if o is not None and o in by_o]
+    delays = [d for _, d in joined if d is not None]
+    assert got.matched_tickets == len(joined)
+    assert got.matched_late_pct == round(100 * sum(1 for late, _ in joined if late) / len(joined), 2)
+    assert got.matched_mean_delay_min == round(sum(delays) / len(delays), 4)

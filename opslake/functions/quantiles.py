@@ -36,6 +36,13 @@ from pyspark.sql import functions as F
 from opslake.session import checkpoint_dir
 
 
+def _default_partitions(spark) -> int:
+    """The session's shuffle partition count; platforms that set it to a
+    non-numeric value (e.g. ``auto``) get the context's default parallelism."""
+    v = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(v) if str(v).isdigit() else spark.sparkContext.defaultParallelism
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
                     by: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """One row per group (``by``) with one double column per entry of
@@ -44,7 +51,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     group's other aggregates gives null, as ``percentile`` does)."""
     by = list(by or [])
     x = F.col(value) if isinstance(value, str) else value
-    n_part = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_part = num_partitions or _default_partitions(df.sparkSession)
 
     counts = (df.select(*by, x.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
               .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))

@@ -219,11 +219,14 @@ def quarantined_ids(dlq: DataFrame, key_type="string") -> DataFrame:
     return dlq.select(F.col("entity_id").cast(key_type).alias("_qid")).distinct()
 
 
-def remove_quarantined(df: DataFrame, dlq: DataFrame, key: str = "order_id") -> DataFrame:
+def remove_quarantined(df: DataFrame, dlq: DataFrame, key: str = "order_id",
+                       ids: DataFrame | None = None) -> DataFrame:
     """Drop every row whose key has a DLQ record. The DLQ grows with
     the data, so no broadcast hint: AQE broadcasts it only when the runtime
-    size is under the threshold, else it stays a shuffle join."""
-    ids = quarantined_ids(dlq, df.schema[key].dataType)
+    size is under the threshold, else it stays a shuffle join. ``ids``
+    (from ``quarantined_ids``) lets several tables share one id set."""
+    if ids is None:
+        ids = quarantined_ids(dlq, df.schema[key].dataType)
     return df.join(ids, F.col(key) == F.col("_qid"), "left_anti")
 
 
@@ -235,31 +238,44 @@ class Silver(NamedTuple):
     dlq: DataFrame
     jittered: DataFrame        # all terminal rows after V5 (incl. quarantined)
     kitchen: DataFrame         # all kitchen rows after V6-V8 (incl. quarantined)
+    ids: DataFrame | None = None   # distinct quarantined order ids, when persisted
 
     def release(self) -> None:
         """Drop the persisted calibration frames once their consumers ran."""
         self.jittered.unpersist()
         self.kitchen.unpersist()
+        if self.ids is not None:
+            self.ids.unpersist()
 
 
 def validate_and_calibrate(orders: DataFrame, kds: DataFrame, dispatch: DataFrame,
                            quarantined_at: str | None = None, persist: bool = True) -> Silver:
     """All V-rules. The calibrated kitchen and dispatch frames feed both the
     DLQ and the silver tables, so they are persisted (memory, spilling to
-    disk) and computed once; a lost block is recomputed from lineage."""
+    disk) and computed once; a lost block is recomputed from lineage. The
+    distinct quarantined ids -- a small fraction of the orders -- are
+    persisted too and shared by the three silver filters (Spark does not
+    reuse the repeated id exchange over persisted frames by itself)."""
+    from pyspark import StorageLevel
     terminal, rejected = split_attempts(dispatch)
     jit = clamp_jitter(terminal)
     kit = calibrate_kitchen(kds, orders, terminal)
     if persist:
-        from pyspark import StorageLevel
         jit = jit.persist(StorageLevel.MEMORY_AND_DISK)
         kit = kit.persist(StorageLevel.MEMORY_AND_DISK)
     dlq = quarantine_records(jit, kit, quarantined_at=quarantined_at)
+    key_type = orders.schema["order_id"].dataType
+    ids = quarantined_ids(dlq, key_type)
+    if persist:
+        ids = ids.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def clean(df: DataFrame) -> DataFrame:
+        same = df.schema["order_id"].dataType == key_type
+        return remove_quarantined(df, dlq, ids=ids if same else None)
+
     return Silver(
-        orders=remove_quarantined(orders, dlq),
-        kds=remove_quarantined(kit.drop("_dlq"), dlq),
-        dispatch=remove_quarantined(jit.drop("_dlq"), dlq),
-        churn=rejected, dlq=dlq, jittered=jit, kitchen=kit)
+        orders=clean(orders), kds=clean(kit.drop("_dlq")), dispatch=clean(jit.drop("_dlq")),
+        churn=rejected, dlq=dlq, jittered=jit, kitchen=kit, ids=ids if persist else None)
 
 
 # ---- V12 / V13 -------------------------------------------------------------------

@@ -45,7 +45,9 @@ def preview(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 # ---- S4 / S5 / S7 ------------------------------------------------------------------
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str,
                     corrupt_column: str | None = None) -> DataFrame:
-    """JSON array-of-objects documents -> rows, with a declared schema."""
+    """JSON array-of-objects documents -> rows, with a declared schema.
+    A multi-line document is not splittable, so each file is one task: land
+    large extracts as many files (or as JSON Lines, read without multiLine)."""
     r = spark.read.schema(schema).option("multiLine", True)
     if corrupt_column:
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
@@ -140,11 +142,19 @@ def content_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return h.agg(F.count(F.lit(1)).alias("row_count"), F.sum("h").alias("content_sum"))
 
 
-def land_raw_files(spark: SparkSession, src: str, raw_dir: str) -> DataFrame:
+def land_raw_files(spark: SparkSession, src: str, raw_dir: str,
+                   max_file_bytes: int = 2_000_000_000) -> DataFrame:
     """Preserve landed files unchanged (bytes, path, size, hash) in a
     raw zone before anything parses them; never overwrites an existing
-    raw zone. Returns the manifest of what was preserved."""
+    raw zone. Returns the manifest of what was preserved. A file above the
+    binary row limit cannot be carried as one row: the copy is refused up
+    front (the check lists paths and sizes only, no bytes) instead of
+    failing inside the write or silently leaving the file out."""
     b = spark.read.format("binaryFile").load(src)
+    too_big = b.filter(F.col("length") > max_file_bytes).select("path").limit(5).collect()
+    if too_big:
+        raise ValueError(f"files above {max_file_bytes} bytes cannot be kept as rows, e.g. "
+                         + ", ".join(r.path for r in too_big))
     raw = b.select("path", "modificationTime", "length", "content", F.sha2("content", 256).alias("sha256"))
     raw.write.mode("errorifexists").parquet(raw_dir)
     return spark.read.parquet(raw_dir).select("path", "length", "sha256")

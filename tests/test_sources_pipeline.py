@@ -97,6 +97,11 @@ def test_file_checksums_skip_content_of_oversized_files(spark, tmpdir_fresh):
     finally:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
     assert got == {"small.bin": hashlib.sha256(b"12345").hexdigest(), "large.bin": None}
+    # the raw-zone copy refuses such a file up front and writes nothing
+    raw = os.path.join(tmpdir_fresh, "raw_mixed")
+    with pytest.raises(ValueError, match="large.bin"):
+        S.land_raw_files(spark, d, raw, max_file_bytes=100)
+    assert not os.path.exists(raw)
 
 
 def test_stamps_and_dynamic_overwrite(spark, tmpdir_fresh):

@@ -51,6 +51,13 @@ class Ctx:
         t = self.t
         return C.validate_and_calibrate(t.orders, t.kds_logs, t.dispatch_attempts)
 
+    @cached_property
+    def silver_once(self) -> C.Silver:
+        """The calibration for queries that read each calibrated frame once:
+        nothing to share, so nothing is persisted."""
+        t = self.t
+        return C.validate_and_calibrate(t.orders, t.kds_logs, t.dispatch_attempts, persist=False)
+
     @cached_property
     def fact(self) -> DataFrame:
         s, t = self.silver, self.t
@@ -307,7 +314,7 @@ def q_timestamp_parse(c: Ctx):
 @query("jitter_clamp", f"""SELECT order_id, jitter_detected, network_jitter_clamped_flag,
   {fmt('arrived_at_store_at')} AS arrived_at_store_at, {fmt('picked_up_at')} AS picked_up_at FROM q_jit""")
 def q_jitter_clamp(c: Ctx):
-    return _ts(c.silver.jittered.select("order_id", "jitter_detected", "network_jitter_clamped_flag",
+    return _ts(c.silver_once.jittered.select("order_id", "jitter_detected", "network_jitter_clamped_flag",
                                         "arrived_at_store_at", "picked_up_at"), "arrived_at_store_at", "picked_up_at")
 
 
@@ -315,7 +322,7 @@ def q_jitter_clamp(c: Ctx):
   {fmt('order_timestamp')} AS order_timestamp, {fmt('calibrated_ticket_printed_at')} AS calibrated_ticket_printed_at,
   clock_drift_calibrated_flag FROM q_kit WHERE backward_drift_detected""")
 def q_clock_drift_backward(c: Ctx):
-    k = c.silver.kitchen.filter("backward_drift_detected")
+    k = c.silver_once.kitchen.filter("backward_drift_detected")
     cols = ["ticket_printed_at", "order_timestamp", "calibrated_ticket_printed_at"]
     return _ts(k.select("order_id", *cols, "clock_drift_calibrated_flag"), *cols)
 
@@ -324,7 +331,7 @@ def q_clock_drift_backward(c: Ctx):
   {fmt('calibrated_food_ready_at')} AS calibrated_food_ready_at, clock_drift_calibrated_flag
 FROM q_kit WHERE forward_drift_detected""")
 def q_clock_drift_forward(c: Ctx):
-    k = c.silver.kitchen.filter("forward_drift_detected")
+    k = c.silver_once.kitchen.filter("forward_drift_detected")
     cols = ["picked_up_at", "calibrated_food_ready_at"]
     return _ts(k.select("order_id", *cols, "clock_drift_calibrated_flag"), *cols)
 
@@ -332,19 +339,19 @@ def q_clock_drift_forward(c: Ctx):
 @query("ready_imputation", f"""SELECT order_id, {fmt('picked_up_at')} AS picked_up_at,
   {fmt('calibrated_food_ready_at')} AS calibrated_food_ready_at FROM q_kit WHERE is_food_ready_imputed_flag""")
 def q_ready_imputation(c: Ctx):
-    k = c.silver.kitchen.filter("is_food_ready_imputed_flag")
+    k = c.silver_once.kitchen.filter("is_food_ready_imputed_flag")
     cols = ["picked_up_at", "calibrated_food_ready_at"]
     return _ts(k.select("order_id", *cols), *cols)
 
 
 @query("quarantine_audit", "SELECT * FROM q_dlq")
 def q_quarantine_audit(c: Ctx):
-    return c.silver.dlq.select("entity_id", "source_system", "error_code", "error_description", "severity")
+    return c.silver_once.dlq.select("entity_id", "source_system", "error_code", "error_description", "severity")
 
 
 @query("silver_orders_clean", f"SELECT order_id, order_status, {fmt('order_timestamp')} AS order_timestamp FROM s_orders")
 def q_silver_orders_clean(c: Ctx):
-    return _ts(c.silver.orders.select("order_id", "order_status", "order_timestamp"), "order_timestamp")
+    return _ts(c.silver_once.orders.select("order_id", "order_status", "order_timestamp"), "order_timestamp")
 
 
 @query("calibration_audit", """SELECT

@@ -30,3 +30,21 @@ def test_grouped_and_global_match_percentile(spark, seed, parts):
     assert got == exp
     one = exact_quantiles(df, "v", PROBS, num_partitions=parts).first().asDict()
     assert one == df.agg(*[F.percentile("v", F.lit(p)).alias(k) for k, p in PROBS.items()]).first().asDict()
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_VALUES = st.one_of(st.none(), st.sampled_from([-2.5, 0.0, 1.0, 1.0, 3.25, 7.0]),
+                    st.floats(min_value=-1e6, max_value=1e6, allow_nan=False))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 2), _VALUES), min_size=1, max_size=60),
+       parts=st.integers(1, 6), p=st.floats(0.0, 1.0))
+def test_random_inputs_match_percentile(spark, rows, parts, p):
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: r.q for r in exact_quantiles(df, "v", {"q": p}, by=["g"], num_partitions=parts).collect()}
+    exp = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", F.lit(p)).alias("q")).collect()
+           if r.q is not None}
+    assert got == exp

@@ -30,9 +30,12 @@ checkpointed (eagerly, one job) so the slice assignment is fixed.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslake.functions.exprs import combine_one_row, quantile
 from opslake.session import checkpoint_dir
 
 
@@ -123,3 +126,45 @@ def exact_quantile_columns(df: DataFrame, measures: dict[str, str | Column],
     return q.groupBy(*by).agg(*[
         F.max(F.when(F.col("_m") == m, F.col(f"_q{probs.index(p)}"))).alias(name)
         for name, (m, p) in outputs.items()])
+
+
+@dataclass(frozen=True)
+class Q:
+    """A quantile measure for ``agg_with_quantiles``: value column (nulls
+    ignored, so a ``when``-guarded column restricts the population),
+    probability and rounding digits."""
+    value: object
+    p: float
+    digits: int = 2
+
+
+def agg_with_quantiles(df: DataFrame, measures: list[tuple[str, Column | Q]], by: list[str] | None = None,
+                       approx: bool = False, distributed: bool = False) -> DataFrame:
+    """Aggregate ``measures`` (name, Column aggregate or ``Q``) per ``by``
+    group, columns in the given order.
+
+    Quantiles are Spark's exact ``percentile`` by default (one value map
+    per group: fine for bounded value domains), the bounded sketch with
+    ``approx``, or with ``distributed`` the same exact values computed by
+    ``exact_quantile_columns`` (one pass for all quantile measures; no
+    group's values in one task), joined to the other aggregates by group.
+    """
+    if approx and distributed:
+        raise ValueError("approx and distributed exclude each other")
+    by = list(by or [])
+    grouped = df.groupBy(*by)
+    if not distributed:
+        return grouped.agg(*[F.round(quantile(m.value, m.p, approx), m.digits).alias(n) if isinstance(m, Q)
+                             else m.alias(n) for n, m in measures])
+    qs = [(n, m) for n, m in measures if isinstance(m, Q)]
+    values: dict[str, tuple[str, Column]] = {}     # one stacked measure per distinct value column
+    outputs: dict[str, tuple[str, float]] = {}
+    for n, m in qs:
+        c = F.col(m.value) if isinstance(m.value, str) else m.value
+        label = values.setdefault(str(c), (f"m{len(values)}", c))[0]
+        outputs[n] = (label, m.p)
+    cols = exact_quantile_columns(df, dict(values.values()), outputs, by=by)
+    cols = cols.select(*by, *[F.round(n, m.digits).alias(n) for n, m in qs])
+    plain = grouped.agg(*[m.alias(n) for n, m in measures if not isinstance(m, Q)])
+    joined = combine_one_row(plain, cols) if not by else plain.join(cols, by, "left")
+    return joined.select(*by, *[n for n, _ in measures])

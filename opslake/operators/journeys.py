@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslake.functions import combine_one_row, fmt_ts, minutes_between, norm_category, parse_ts, quantile, rate_true
+from opslake.functions.quantiles import Q, agg_with_quantiles
 from opslake.operators.contracts import dedupe_keep_first
 
 # ---- fixed values --------------------------------------------------------------
@@ -81,19 +82,20 @@ def _valid(prepared: DataFrame) -> DataFrame:
 
 
 # ---- D1 - D8 ------------------------------------------------------------------------
-def late_summary(prepared: DataFrame, approx: bool = False) -> DataFrame:
+def late_summary(prepared: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
     """Size of the late-delivery problem."""
     late_delay = F.when(F.col("is_late"), F.col("delay_min"))
-    return prepared.agg(
-        F.count_if("is_delivered").alias("delivered_orders"),
-        F.count_if(F.col("is_delivered") & F.col("actual_delivery_at").isNull()).alias("missing_delivery_time"),
-        F.count_if("is_valid_delivered").alias("valid_delivered"),
-        F.count_if("is_late").alias("late_orders"),
-        F.round(F.count_if("is_late") * 100.0 / F.nullif(F.count_if("is_valid_delivered"), F.lit(0)), 2)
-        .alias("late_rate_pct"),
-        F.round(quantile(late_delay, 0.5, approx), 2).alias("median_late_delay_min"),
-        F.round(F.avg(late_delay), 2).alias("mean_late_delay_min"),
-        F.round(quantile(late_delay, 0.9, approx), 2).alias("p90_late_delay_min"))
+    return agg_with_quantiles(prepared, [
+        ("delivered_orders", F.count_if("is_delivered")),
+        ("missing_delivery_time", F.count_if(F.col("is_delivered") & F.col("actual_delivery_at").isNull())),
+        ("valid_delivered", F.count_if("is_valid_delivered")),
+        ("late_orders", F.count_if("is_late")),
+        ("late_rate_pct",
+         F.round(F.count_if("is_late") * 100.0 / F.nullif(F.count_if("is_valid_delivered"), F.lit(0)), 2)),
+        ("median_late_delay_min", Q(late_delay, 0.5)),
+        ("mean_late_delay_min", F.round(F.avg(late_delay), 2)),
+        ("p90_late_delay_min", Q(late_delay, 0.9)),
+    ], approx=approx, distributed=distributed)
 
 
 def top_delays(prepared: DataFrame, n: int = 5) -> DataFrame:
@@ -104,31 +106,35 @@ def top_delays(prepared: DataFrame, n: int = 5) -> DataFrame:
             .orderBy(F.desc("delay_min"), F.asc("order_id")).limit(n))
 
 
-def _late_stats(df: DataFrame, keys, approx=False, with_mean=True, with_median=True) -> DataFrame:
-    aggs = [F.count("order_id").alias("order_count"),
-            F.round(F.avg(F.col("is_late").cast("double")) * 100, 2).alias("late_rate_pct")]
+def _late_stats(df: DataFrame, keys, approx=False, with_mean=True, with_median=True,
+                distributed=False) -> DataFrame:
+    measures = [("order_count", F.count("order_id")),
+                ("late_rate_pct", F.round(F.avg(F.col("is_late").cast("double")) * 100, 2))]
     if with_median:
-        aggs.append(F.round(quantile("delay_min", 0.5, approx), 4).alias("median_delay_min"))
+        measures.append(("median_delay_min", Q("delay_min", 0.5, 4)))
     if with_mean:
-        aggs.append(F.round(F.avg("delay_min"), 4).alias("mean_delay_min"))
-    return df.groupBy(*keys).agg(*aggs)
+        measures.append(("mean_delay_min", F.round(F.avg("delay_min"), 4)))
+    return agg_with_quantiles(df, measures, by=list(keys), approx=approx, distributed=distributed)
 
 
 def late_by_category_ordered(prepared: DataFrame, col: str = "traffic_bucket",
-                             order: list[str] = TRAFFIC_ORDER, approx: bool = False) -> DataFrame:
+                             order: list[str] = TRAFFIC_ORDER, approx: bool = False,
+                             distributed: bool = False) -> DataFrame:
     """D3: only the listed categories, in the listed order. The order frame
     is a literal of len(order) rows, joined after the aggregation."""
-    g = _late_stats(_valid(prepared).filter(F.col(col).isin(order)), [col], approx)
+    g = _late_stats(_valid(prepared).filter(F.col(col).isin(order)), [col], approx, distributed=distributed)
     ordinal = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col)).cast("int")
     return g.withColumn("category_order", ordinal).orderBy("category_order")
 
 
-def late_by_category(prepared: DataFrame, col: str = "weather_bucket", approx: bool = False) -> DataFrame:
+def late_by_category(prepared: DataFrame, col: str = "weather_bucket", approx: bool = False,
+                     distributed: bool = False) -> DataFrame:
     """Late rate per free category."""
-    return _late_stats(_valid(prepared), [col], approx).orderBy(col)
+    return _late_stats(_valid(prepared), [col], approx, distributed=distributed).orderBy(col)
 
 
-def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx: bool = False) -> DataFrame:
+def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx: bool = False,
+                 distributed: bool = False) -> DataFrame:
     """Right-closed numeric bands; empty bands are kept with count 0,
     values outside every band are excluded."""
     x = F.col(col)
@@ -137,7 +143,7 @@ def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx:
         cond = (x > lo) & (x <= hi)
         band = F.when(cond, F.lit(label)) if band is None else band.when(cond, F.lit(label))
     v = _valid(prepared).withColumn("distance_band", band).filter(F.col("distance_band").isNotNull())
-    g = _late_stats(v, ["distance_band"], approx, with_mean=False)
+    g = _late_stats(v, ["distance_band"], approx, with_mean=False, distributed=distributed)
     bands = prepared.sparkSession.createDataFrame(
         [(lab, i) for i, (lab, _, _) in enumerate(DISTANCE_BANDS)], "distance_band string, band_order int")
     return (bands.join(g, "distance_band", "left")
@@ -337,23 +343,24 @@ def _delivered(journey: DataFrame) -> DataFrame:
     return journey.filter(F.col("delivered_flag") == 1)
 
 
-def delay_by_support(journey: DataFrame, approx: bool = False) -> DataFrame:
+def delay_by_support(journey: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
     """Delay distribution with vs without support contact."""
-    return (_delivered(journey).groupBy("support_opened")
-            .agg(F.count("delay_min").alias("order_count"),
-                 F.round(quantile("delay_min", 0.5, approx), 4).alias("median_delay"),
-                 F.round(F.avg("delay_min"), 4).alias("mean_delay"),
-                 F.round(quantile("delay_min", 0.9, approx), 4).alias("p90_delay"))
-            .orderBy("support_opened"))
+    return agg_with_quantiles(_delivered(journey), [
+        ("order_count", F.count("delay_min")),
+        ("median_delay", Q("delay_min", 0.5, 4)),
+        ("mean_delay", F.round(F.avg("delay_min"), 4)),
+        ("p90_delay", Q("delay_min", 0.9, 4)),
+    ], by=["support_opened"], approx=approx, distributed=distributed).orderBy("support_opened")
 
 
-def late_by_intervened(journey: DataFrame, approx: bool = False) -> DataFrame:
+def late_by_intervened(journey: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
     """Late rate with vs without intervention (mean skips null flags)."""
-    return (_delivered(journey).groupBy((F.col("intervention_count") > 0).alias("received_intervention"))
-            .agg(F.count("order_id").alias("order_count"),
-                 F.round(F.avg("late_flag") * 100, 2).alias("late_rate_pct"),
-                 F.round(quantile("delay_min", 0.5, approx), 4).alias("median_delay_min"))
-            .orderBy("received_intervention"))
+    d = _delivered(journey).withColumn("received_intervention", F.col("intervention_count") > 0)
+    return agg_with_quantiles(d, [
+        ("order_count", F.count("order_id")),
+        ("late_rate_pct", F.round(F.avg("late_flag") * 100, 2)),
+        ("median_delay_min", Q("delay_min", 0.5, 4)),
+    ], by=["received_intervention"], approx=approx, distributed=distributed).orderBy("received_intervention")
 
 
 def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, approx: bool = False) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.functions import clip_low, combine_one_row, minutes_between, pct, quantile, rate_true
+from opslake.functions import clip_low, combine_one_row, minutes_between, pct, rate_true
+from opslake.functions.quantiles import Q, agg_with_quantiles
 from opslake.operators.calibrate import DISPATCH_TS, parse_timestamps
 
 # ---- fixed values ------------------------------------------------------------
@@ -133,13 +134,15 @@ def bottleneck_distribution(fact: DataFrame) -> DataFrame:
     return g.withColumn("is_mode", F.row_number().over(w) == 1)
 
 
-def model_summary(fact: DataFrame, approx: bool = False) -> DataFrame:
+def model_summary(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
     """Completed count, breach %, P50 / P90 OTD of completed orders."""
     done = fact.filter("is_completed")
-    a = done.agg(F.count(F.lit(1)).alias("completed_orders"),
-                 F.round(rate_true(F.col("is_sla_breached")) * 100, 2).alias("sla_breach_pct"),
-                 F.round(quantile("total_otd_min", 0.5, approx), 2).alias("p50_otd_min"),
-                 F.round(quantile("total_otd_min", 0.9, approx), 2).alias("p90_otd_min"))
+    a = agg_with_quantiles(done, [
+        ("completed_orders", F.count(F.lit(1))),
+        ("sla_breach_pct", F.round(rate_true(F.col("is_sla_breached")) * 100, 2)),
+        ("p50_otd_min", Q("total_otd_min", 0.5)),
+        ("p90_otd_min", Q("total_otd_min", 0.9)),
+    ], approx=approx, distributed=distributed)
     c = fact.agg(F.count_if(~F.col("is_completed")).alias("cancelled_orders"))
     return combine_one_row(a, c)
 

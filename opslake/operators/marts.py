@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.functions import clip, combine_one_row, pct, quantile
-from opslake.functions.quantiles import exact_quantile_columns, exact_quantiles
+from opslake.functions import clip, pct, quantile
+from opslake.functions.quantiles import Q, agg_with_quantiles, exact_quantiles
 
 # ---- fixed values ------------------------------------------------------------
 SLA_MINUTES = 35.0
@@ -39,80 +39,46 @@ EVIDENCE_TARGETS = [
 ]
 
 
-# KPI quantiles: output column -> (fact column, probability)
-KPI_QUANTILES = {
-    "p50_otd_min": ("total_otd_min", 0.5),
-    "p90_otd_min": ("total_otd_min", 0.9),
-    "p95_otd_min": ("total_otd_min", 0.95),
-    "p90_rider_store_wait_min": ("rider_store_wait_min", 0.9),
-    "p90_kitchen_prep_overrun_min": ("stage2_prep_overrun_min", 0.9),
-}
-CLUSTER_QUANTILES = {"p50_otd_min": ("total_otd_min", 0.5), "p90_otd_min": ("total_otd_min", 0.9)}
-
-
-def _with_quantiles(rows: DataFrame, grouped, measures: list, quantiles: dict, approx: bool,
-                    distributed: bool, by: list[str]) -> DataFrame:
-    """Aggregate ``measures`` (name, column) and ``quantiles`` (name ->
-    (column, p)) of ``rows`` per ``by`` group, in the order of ``measures``
-    with quantile names in place. ``grouped`` is the aggregation entry
-    point. Quantiles are Spark's exact ``percentile`` (one value map per
-    group), the sketch when ``approx``, or -- when ``distributed`` -- the
-    distributed exact computation, for value domains that grow with the
-    rows."""
-    names = [n for n, _ in measures]
-    if not distributed:
-        cols = [F.round(quantile(quantiles[n][0], quantiles[n][1], approx), 2).alias(n) if c is None
-                else c.alias(n) for n, c in measures]
-        return grouped.agg(*cols)
-    plain = grouped.agg(*[c.alias(n) for n, c in measures if c is not None])
-    qs = exact_quantile_columns(rows, {c: c for c, _ in quantiles.values()}, quantiles, by=by)
-    qs = qs.select(*by, *[F.round(n, 2).alias(n) for n in quantiles])
-    joined = combine_one_row(plain, qs) if not by else plain.join(qs, by, "left")
-    return joined.select(*by, *names)
-
-
 def kpi_summary(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
     """M1: one row of 15 measures. Completed-only measures use a guarded
-    column (null outside the population), exactly like CASE WHEN in SQL."""
+    column (null outside the population), exactly like CASE WHEN in SQL.
+    ``distributed`` computes the exact quantiles without one value map per
+    group (for unbounded value domains)."""
     done = F.col("is_completed")
 
     def on_done(c):
         return F.when(done, F.col(c))
 
-    measures = [
+    return agg_with_quantiles(fact, [
         ("total_orders_ingested", F.count(F.lit(1))),
         ("completed_orders", F.count_if(done)),
         ("cancelled_orders", F.count_if(~done)),
         ("mean_otd_min", F.round(F.avg(on_done("total_otd_min")), 2)),
-        ("p50_otd_min", None), ("p90_otd_min", None), ("p95_otd_min", None),
+        ("p50_otd_min", Q(on_done("total_otd_min"), 0.5)),
+        ("p90_otd_min", Q(on_done("total_otd_min"), 0.9)),
+        ("p95_otd_min", Q(on_done("total_otd_min"), 0.95)),
         ("mean_rider_store_wait_min", F.round(F.avg(on_done("rider_store_wait_min")), 2)),
-        ("p90_rider_store_wait_min", None),
+        ("p90_rider_store_wait_min", Q(on_done("rider_store_wait_min"), 0.9)),
         ("mean_kitchen_prep_overrun_min", F.round(F.avg(on_done("stage2_prep_overrun_min")), 2)),
-        ("p90_kitchen_prep_overrun_min", None),
+        ("p90_kitchen_prep_overrun_min", Q(on_done("stage2_prep_overrun_min"), 0.9)),
         ("mean_food_counter_dwell_min", F.round(F.avg(on_done("food_counter_dwell_min")), 2)),
         ("sla_breach_rate_pct", pct(F.count_if("is_sla_breached"), F.count_if(done))),
         ("customer_complaint_rate_pct", pct(F.count_if(F.col("ticket_count") > 0), F.count(F.lit(1)))),
         ("total_refund_liability_usd", F.round(F.sum("refund_amount_cents") / F.lit(100.0), 2)),
-    ]
-    # one pass over all orders guards each quantile column; the distributed
-    # path reads the completed orders only
-    quantiles = KPI_QUANTILES if distributed else {n: (on_done(c), p) for n, (c, p) in KPI_QUANTILES.items()}
-    return _with_quantiles(fact.filter(done), fact, measures, quantiles, approx, distributed, [])
+    ], approx=approx, distributed=distributed)
 
 
 def kpi_by_cluster(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
     """M2: completed orders per cluster, worst breach rate first."""
-    done = fact.filter(F.col("is_completed"))
-    measures = [
+    out = agg_with_quantiles(fact.filter(F.col("is_completed")), [
         ("order_count", F.count(F.lit(1))),
         ("sla_breach_rate_pct", pct(F.count_if("is_sla_breached"), F.count(F.lit(1)))),
-        ("p50_otd_min", None), ("p90_otd_min", None),
+        ("p50_otd_min", Q("total_otd_min", 0.5)),
+        ("p90_otd_min", Q("total_otd_min", 0.9)),
         ("avg_rider_wait_min", F.round(F.avg("rider_store_wait_min"), 2)),
         ("avg_prep_overrun_min", F.round(F.avg("stage2_prep_overrun_min"), 2)),
         ("refund_liability_usd", F.round(F.sum("refund_amount_cents") / F.lit(100.0), 2)),
-    ]
-    out = _with_quantiles(done, done.groupBy("cluster_id"), measures, CLUSTER_QUANTILES, approx, distributed,
-                          ["cluster_id"])
+    ], by=["cluster_id"], approx=approx, distributed=distributed)
     return out.orderBy(F.desc("sla_breach_rate_pct"), F.asc("cluster_id"))
 
 

@@ -48,3 +48,28 @@ def test_random_inputs_match_percentile(spark, rows, parts, p):
     exp = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", F.lit(p)).alias("q")).collect()
            if r.q is not None}
     assert got == exp
+
+
+def test_distributed_option_matches_default_in_every_operator(spark):
+    from fixtures.catalog import Ctx
+    from opslake.operators import contracts as K
+    from opslake.operators import journeys as J
+    from opslake.operators import lifecycle as L
+    from opslake.operators import marts as M
+    c = Ctx(spark, "/root/testdata/sf0.001")
+    cases = {
+        "kpi_summary": lambda d: M.kpi_summary(c.fact, distributed=d),
+        "kpi_by_cluster": lambda d: M.kpi_by_cluster(c.fact, distributed=d),
+        "model_summary": lambda d: L.model_summary(c.fact, distributed=d),
+        "late_summary": lambda d: J.late_summary(c.prep, distributed=d),
+        "late_by_category": lambda d: J.late_by_category(c.prep, distributed=d),
+        "late_by_category_ordered": lambda d: J.late_by_category_ordered(c.prep, distributed=d),
+        "late_by_band": lambda d: J.late_by_band(c.prep, distributed=d),
+        "delay_by_support": lambda d: J.delay_by_support(c.journey, distributed=d),
+        "late_by_intervened": lambda d: J.late_by_intervened(c.journey, distributed=d),
+        "freshness_lag": lambda d: K.freshness_lag(c.t.restaurant_status, c.prep, distributed=d),
+    }
+    for name, build in cases.items():
+        a, b = build(False), build(True)
+        assert a.columns == b.columns, name
+        assert a.collect() == b.collect(), name

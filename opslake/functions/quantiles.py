@@ -47,17 +47,22 @@ def _default_partitions(spark) -> int:
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
-                    by: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                    by: list[str] | None = None, num_partitions: int | None = None,
+                    weight: str | Column | None = None) -> DataFrame:
     """One row per group (``by``) with one double column per entry of
     ``probs`` (name -> probability in [0, 1]). Null values are ignored; a
     group without any non-null value has no row (a left join from the
-    group's other aggregates gives null, as ``percentile`` does)."""
+    group's other aggregates gives null, as ``percentile`` does).
+    ``weight`` (a positive integer column) counts a row that many times,
+    like ``percentile``'s frequency."""
     by = list(by or [])
     x = F.col(value) if isinstance(value, str) else value
+    w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
     n_part = num_partitions or _default_partitions(df.sparkSession)
 
-    counts = (df.select(*by, x.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-              .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = (df.select(*by, x.cast("double").alias("_v"), w.cast("long").alias("_w"))
+              .filter(F.col("_v").isNotNull())
+              .groupBy(*by, "_v").agg(F.sum("_w").alias("_c")))
     # slice ids follow range bounds Spark samples at run time; both uses
     # below must see one fixed assignment, so it is checkpointed (reliable
     # storage in the shared checkpoint folder, which also survives a lost

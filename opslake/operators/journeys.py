@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslake.functions import combine_one_row, fmt_ts, minutes_between, norm_category, parse_ts, quantile, rate_true
-from opslake.functions.quantiles import Q, agg_with_quantiles
+from opslake.functions.quantiles import Q, agg_with_quantiles, exact_quantiles
 from opslake.operators.contracts import dedupe_keep_first
 
 # ---- fixed values --------------------------------------------------------------
@@ -363,7 +363,8 @@ def late_by_intervened(journey: DataFrame, approx: bool = False, distributed: bo
     ], by=["received_intervention"], approx=approx, distributed=distributed).orderBy("received_intervention")
 
 
-def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, approx: bool = False) -> DataFrame:
+def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, approx: bool = False,
+                              distributed: bool = False) -> DataFrame:
     """Per intervention type over delivered outcomes; every
     intervention row counts once (1:N).
 
@@ -385,8 +386,14 @@ def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, appr
         j = per.join(out, "order_id", "inner")
         rows, flag = F.col("_rows"), F.col("late_flag")
         agg = [F.sum("_ids").alias("interventions_count"),
-               F.round(F.sum(flag * rows) / F.sum(F.when(flag.isNotNull(), rows)) * 100, 2).alias("late_rate_pct"),
-               F.round(quantile("delay_min", 0.5, weight=rows), 4).alias("median_delay_min")]
+               F.round(F.sum(flag * rows) / F.sum(F.when(flag.isNotNull(), rows)) * 100, 2).alias("late_rate_pct")]
+        if distributed:
+            med = exact_quantiles(j, "delay_min", {"_med": 0.5}, by=["intervention_type"], weight="_rows")
+            res = (j.groupBy("intervention_type").agg(*agg).join(med, "intervention_type", "left")
+                   .select("intervention_type", "interventions_count", "late_rate_pct",
+                           F.round("_med", 4).alias("median_delay_min")))
+            return res.orderBy("late_rate_pct", "intervention_type")
+        agg.append(F.round(quantile("delay_min", 0.5, weight=rows), 4).alias("median_delay_min"))
     return j.groupBy("intervention_type").agg(*agg).orderBy("late_rate_pct", "intervention_type")
 
 

@@ -68,8 +68,19 @@ def test_distributed_option_matches_default_in_every_operator(spark):
         "delay_by_support": lambda d: J.delay_by_support(c.journey, distributed=d),
         "late_by_intervened": lambda d: J.late_by_intervened(c.journey, distributed=d),
         "freshness_lag": lambda d: K.freshness_lag(c.t.restaurant_status, c.prep, distributed=d),
+        "late_by_intervention_type": lambda d: J.late_by_intervention_type(c.t.interventions, c.outcome,
+                                                                           distributed=d),
     }
     for name, build in cases.items():
         a, b = build(False), build(True)
         assert a.columns == b.columns, name
         assert a.collect() == b.collect(), name
+
+
+def test_weighted_match_percentile_with_frequency(spark):
+    rows = [(g, float(v % 11), 1 + v % 4) for g in range(3) for v in range(200 + 50 * g)]
+    df = spark.createDataFrame(rows, "g int, v double, w int")
+    got = {r.g: r.asDict() for r in exact_quantiles(df, "v", PROBS, by=["g"], num_partitions=5, weight="w").collect()}
+    exp = {r.g: r.asDict() for r in df.groupBy("g").agg(
+        *[F.percentile("v", F.lit(p), F.col("w")).alias(k) for k, p in PROBS.items()]).collect()}
+    assert got == exp

@@ -71,9 +71,12 @@ class RunResult:
 
 def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: str,
                  run_id: str | None = None, threshold_pct: float = K.BREAKER_THRESHOLD_PCT,
-                 halt_on_breaker: bool = False) -> RunResult:
+                 halt_on_breaker: bool = False, distributed_quantiles: bool = False) -> RunResult:
     """Land, validate, model and publish one batch.
 
+    ``distributed_quantiles`` computes the KPI and cluster quantiles without
+    one value map per group (same values; for unbounded value domains).
+
     Layer tables are partitioned by ``batch_date`` and written with dynamic
     partition overwrite, so re-running a batch replaces exactly that batch.
     """
@@ -144,8 +147,8 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
     # ---- model + gold ---------------------------------------------------------------
     fact = put(L.build_fact(s_orders, merchants, s_kds, s_disp, tickets), "silver", "fact_order_lifecycle")
     kpi, _, scen = put_all([
-        (M.kpi_summary(fact), "gold", "kpi_summary_daily"),
-        (M.kpi_by_cluster(fact), "gold", "kpi_cluster_performance"),
+        (lambda: M.kpi_summary(fact, distributed=distributed_quantiles), "gold", "kpi_summary_daily"),
+        (lambda: M.kpi_by_cluster(fact, distributed=distributed_quantiles), "gold", "kpi_cluster_performance"),
         (lambda: M.scenario_evaluation(fact), "gold", "kpi_intervention_simulation"),
     ])
 

@@ -149,7 +149,8 @@ def pipeline_run(spark):
         dispatch=t.dispatch_attempts, tickets=t.support_tickets)
     out = tempfile.mkdtemp(prefix="opslake-pipe-")
     r1 = run_pipeline(spark, src, out, "2024-01-01")
-    r2 = run_pipeline(spark, src, out, "2024-01-01")
+    # the rerun uses the distributed quantiles: same manifest expected
+    r2 = run_pipeline(spark, src, out, "2024-01-01", distributed_quantiles=True)
     return spark, t, out, r1, r2
 
 

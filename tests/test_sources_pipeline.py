@@ -220,3 +220,36 @@ def test_fingerprint_is_order_insensitive_and_typed(spark):
     assert output_fingerprint(c).first().content_hash != fa.content_hash
     # the fast Spark-only variant is order-insensitive as well
     assert output_fingerprint(a, portable=False).first() == output_fingerprint(b, portable=False).first()
+
+
+def test_checkpoint_dir_is_read_from_the_session_and_never_invented_on_a_cluster():
+    from opslake.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class Ctx:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        def __init__(self, master, conf):
+            self.conf, self.sparkContext = Conf(conf), Ctx(master)
+
+    shared = "hdfs://cluster/checkpoints"
+    s = Session("spark://master:7077", {"spark.checkpoint.dir": shared})
+    assert checkpoint_dir(s) == shared and s.sparkContext.dir == shared
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session("yarn", {}))
+    local = Session("local[2]", {})
+    assert checkpoint_dir(local) == local.conf["spark.checkpoint.dir"]

@@ -139,6 +139,8 @@ def clamp_jitter(terminal: DataFrame) -> DataFrame:
 def calibrate_kitchen(kds: DataFrame, orders: DataFrame, terminal: DataFrame) -> DataFrame:
     """V9 enrich (left joins on order_id), then V6 backward drift, V7 forward
     drift on the calibrated ready time, V8 imputation, in that order.
+    ``terminal`` is the terminal dispatch (raw or after V5; only its
+    order_id and picked_up_at are read).
 
     All three inputs are keyed by order_id, so the joins share one hash
     partitioning of order_id (one exchange per input, none between joins).
@@ -259,9 +261,12 @@ def validate_and_calibrate(orders: DataFrame, kds: DataFrame, dispatch: DataFram
     from pyspark import StorageLevel
     terminal, rejected = split_attempts(dispatch)
     jit = clamp_jitter(terminal)
-    kit = calibrate_kitchen(kds, orders, terminal)
     if persist:
         jit = jit.persist(StorageLevel.MEMORY_AND_DISK)
+    # the pickup times come from the jittered frame (V5 changes only the
+    # arrival), so the persisted frame serves the kitchen join too
+    kit = calibrate_kitchen(kds, orders, jit)
+    if persist:
         kit = kit.persist(StorageLevel.MEMORY_AND_DISK)
     dlq = quarantine_records(jit, kit, quarantined_at=quarantined_at)
     key_type = orders.schema["order_id"].dataType

@@ -64,3 +64,18 @@ def test_global_window_guard_detects_raw_rows(spark):
     (w_raw,) = _global_windows(raw._jdf.queryExecution().sparkPlan())
     (w_grouped,) = _global_windows(grouped._jdf.queryExecution().sparkPlan())
     assert not _has_aggregate(w_raw) and _has_aggregate(w_grouped)
+
+
+def test_library_source_rules():
+    """No broadcast hints (sizes are left to the planner's checked
+    threshold), no cross joins, no localCheckpoint anywhere in the library;
+    operators never pull rows to the driver."""
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "opslake"
+    for path in root.rglob("*.py"):
+        code = "\n".join(line.split("#")[0] for line in path.read_text().splitlines())
+        for banned in ("broadcast(", ".crossJoin(", "localCheckpoint("):
+            assert banned not in code, (path.name, banned)
+        if path.parent.name == "operators":
+            for pull in (".collect()", ".toPandas()", ".toLocalIterator("):
+                assert pull not in code, (path.name, pull)

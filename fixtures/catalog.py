@@ -735,9 +735,10 @@ def q_late_by_hour(c: Ctx):
     return J.late_by_hour(c.prep)
 
 
-@query("category_share", """SELECT category, ticket_count,
+@query("category_share", """SELECT * FROM (SELECT category, ticket_count,
   round(ticket_count * 100.0::DOUBLE / sum(ticket_count) OVER (), 2) AS percentage
-FROM (SELECT category, count(*) AS ticket_count FROM src_tickets GROUP BY category)""")
+FROM (SELECT category, count(*) AS ticket_count FROM src_tickets GROUP BY category))
+WHERE category IS NOT NULL""")
 def q_category_share(c: Ctx):
     return J.category_share(c.t.support_tickets)
 

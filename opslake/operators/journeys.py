@@ -159,11 +159,14 @@ def late_by_hour(prepared: DataFrame) -> DataFrame:
 
 def category_share(tickets: DataFrame, col: str = "category") -> DataFrame:
     """Count and % of all rows per category; the total is a window over
-    the grouped rows (one per category), never over raw rows."""
+    the grouped rows (one per category), never over raw rows. Rows without
+    a category count in the total but get no row of their own (value
+    counts leave the missing value out)."""
     g = tickets.groupBy(col).agg(F.count(F.lit(1)).alias("ticket_count"))
     tot = F.sum("ticket_count").over(Window.partitionBy())
-    return g.withColumn("percentage", F.round(F.col("ticket_count") * 100.0 / tot, 2)) \
-            .orderBy(F.desc("ticket_count"), F.asc(col))
+    return (g.withColumn("percentage", F.round(F.col("ticket_count") * 100.0 / tot, 2))
+            .filter(F.col(col).isNotNull())
+            .orderBy(F.desc("ticket_count"), F.asc(col)))
 
 
 def ticket_vs_operations(tickets: DataFrame, prepared: DataFrame) -> DataFrame:

@@ -209,3 +209,9 @@ def test_metric_definitions_document(spark, tmpdir_fresh):
     out = {r.definition: (r.late_count, r.population) for r in
            K.late_rate_definitions(J.parse_orders(raw), J.prepare_orders(raw), defs).collect()}
     assert out == {"ops": (2, 3), "support": (2, 3), "board": (2, 5)}
+
+
+def test_category_share_counts_missing_category_in_total_only(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "ticket_id long, category string")
+    got = [(r.category, r.ticket_count, r.percentage) for r in J.category_share(t).collect()]
+    assert got == [("a", 2, 50.0), ("b", 1, 25.0)]

@@ -761,7 +761,7 @@ def q_flatten_nested(c: Ctx):
 
 @query("event_census", """SELECT event_type, count(*) AS event_count,
   bool_or(event_type IN ('ARRIVED_AT_RESTAURANT', 'STORE_ARRIVED')) OVER () AS arrival_event_recorded
-FROM events GROUP BY event_type""")
+FROM events WHERE event_type IS NOT NULL GROUP BY event_type""")
 def q_event_census(c: Ctx):
     return J.event_census(J.flatten_documents(c.t.driver_documents, "driver_id", "events"), "type")
 

@@ -198,8 +198,10 @@ def flatten_documents(docs: DataFrame, parent_key: str = "driver_id", array_col:
 
 def event_census(events: DataFrame, type_col: str = "type") -> DataFrame:
     """Rows per event type and whether an arrival event is ever recorded
-    (window over the grouped rows only)."""
-    g = events.groupBy(F.col(type_col).alias("event_type")).agg(F.count(F.lit(1)).alias("event_count"))
+    (window over the grouped rows only). Events without a type are not
+    counted (value counts leave the missing value out)."""
+    g = (events.filter(F.col(type_col).isNotNull())
+         .groupBy(F.col(type_col).alias("event_type")).agg(F.count(F.lit(1)).alias("event_count")))
     has = F.bool_or(F.col("event_type").isin(ARRIVAL_EVENT_TYPES)).over(Window.partitionBy())
     return g.withColumn("arrival_event_recorded", has).orderBy(F.desc("event_count"), "event_type")
 

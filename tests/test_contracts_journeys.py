@@ -215,3 +215,9 @@ def test_category_share_counts_missing_category_in_total_only(spark):
     t = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "ticket_id long, category string")
     got = [(r.category, r.ticket_count, r.percentage) for r in J.category_share(t).collect()]
     assert got == [("a", 2, 50.0), ("b", 1, 25.0)]
+
+
+def test_event_census_leaves_missing_types_out(spark):
+    e = spark.createDataFrame([("PING",), ("PING",), ("STORE_ARRIVED",), (None,)], "type string")
+    got = {r.event_type: (r.event_count, r.arrival_event_recorded) for r in J.event_census(e).collect()}
+    assert got == {"PING": (2, True), "STORE_ARRIVED": (1, True)}

@@ -1,9 +1,11 @@
 """N-gram Jaccard join: which documents share at least a given part of their
 distinct word n-grams, exactly, and the groups these links form.
 
-1. ``df_sketch``: document frequencies of all n-grams of all rows, summed in a
-   table of fixed size. It orders n-grams rare first; any fixed order gives the
-   same links, a better one gives fewer candidates.
+1. ``word_counts``: how often each word occurs in all rows, summed in a table of
+   fixed size. N-grams are ordered rare first by the product of their words'
+   frequencies: an n-gram is at most as frequent as its rarest word, and words are
+   few enough for a table that n-grams would overfill. Any fixed order gives the
+   same links; a better one gives fewer candidates.
 2. Documents with equal sets form a class; one of each class goes on, so a
    group of copies, however large, costs one row.
 3. Prefix filter: two sets that are similar enough share an n-gram within the
@@ -31,90 +33,106 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm.graph import components, cut
-from opslake.llm.textkit import batch_shingles, slices, texts_of
+from opslake.llm.textkit import batch_shingles, batch_words, shingles_of, slices, texts_of
 
-#: cells of the document frequency table
-SKETCH_BITS = 20
+#: cells of the table of word frequencies
+SKETCH_BITS = 21
 #: documents and n-grams of one verification block
 BLOCK_DOCS = 2048
 BLOCK_GRAMS = 2_000_000
 #: bits of the filter that picks candidates' texts from the second scan
 BLOOM_BITS = 23
-#: n-grams this frequent have their lists dealt over several tasks
+#: n-grams of which every word is this frequent (above a cell's mean) have their lists dealt over several tasks
 HOT_LIST = 20_000
 
+_PART = 12
+
 
 def _need(size, per_mille: int):
     """Smallest overlap with any set for a set of this size: ceil(t * size)."""
     return (size * per_mille + 999) // 1000
 
 
-def _cell(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def df_sketch(docs: DataFrame, k: int) -> np.ndarray:
-    """Document frequencies of all rows' n-grams by cell (uint32, fixed size)."""
+def word_counts(docs: DataFrame) -> np.ndarray:
+    """Occurrences of all rows' words by cell (uint32, fixed size)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in slices(batches, 0):
-            sets = batch_shingles(texts_of(batch.column(0)), k)
-            if sets:
-                total += np.bincount(_cell(np.concatenate(sets)), minlength=len(total))
+            total += np.bincount(_cell(batch_words(texts_of(batch.column(0)))[0]), minlength=len(total))
         cells = np.flatnonzero(total)
-        part = cells >> 12
-        edges = np.searchsorted(part, np.arange((1 << (SKETCH_BITS - 12)) + 1))
-        rows = [(p, (cells[a:b] & 4095).astype("<u2").tobytes(), total[cells[a:b]].astype("<i8").tobytes())
+        edges = np.searchsorted(cells >> _PART, np.arange((1 << (SKETCH_BITS - _PART)) + 1))
+        rows = [(p, (cells[a:b] & ((1 << _PART) - 1)).astype("<u2").tobytes(), total[cells[a:b]].astype("<i8").tobytes())
                 for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
              pa.array([r[2] for r in rows], pa.binary())], ["part", "cells", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(4096, np.int64)
+        total = np.zeros(1 << _PART, np.int64)
         for c, n in zip(table.column("cells").to_pylist(), table.column("counts").to_pylist()):
             total[np.frombuffer(c, "<u2")] += np.frombuffer(n, "<i8")
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()),
-                         "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+                         "counts": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
 
     rows = (docs.select("text").mapInArrow(count, "part int, cells binary, counts binary")
             .groupBy("part").applyInArrow(add, "part int, counts binary").collect())
-    out = np.zeros((1 << (SKETCH_BITS - 12), 4096), np.int64)
-    for r in rows:  # at most 2**(SKETCH_BITS - 12) rows
-        out[r["part"]] = np.frombuffer(r["counts"], "<i8")
-    return np.minimum(out.reshape(-1), 0xFFFFFFFF).astype(np.uint32)
+    out = np.zeros((1 << (SKETCH_BITS - _PART), 1 << _PART), np.uint32)
+    for r in rows:  # at most 2**(SKETCH_BITS - _PART) rows
+        out[r["part"]] = np.frombuffer(r["counts"], "<u4")
+    return out.reshape(-1)
+
 
+def prefixes(docs: DataFrame, k: int, per_mille: int, counts: np.ndarray) -> DataFrame:
+    """doc_id, n (set size), s1, s2 (128 bits of the set), prefix (rarest n-grams),
+    hot (those of them whose words are all frequent)."""
+    logs = np.log(np.maximum(counts, 1).astype(np.float64))
+    limit = float(counts.mean()) + HOT_LIST
 
-def prefixes(docs: DataFrame, k: int, per_mille: int, sketch: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (128 bits of the set), prefix (rarest n-grams)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            sets = batch_shingles(texts_of(batch.column(1)), k)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            signs = np.zeros((len(sets), 2), "<i8")
-            heads = []
-            for i, s in enumerate(sets):
-                if not len(s):
+            hashes, first = batch_words(texts_of(batch.column(1)))
+            cells = _cell(hashes)
+            weight = logs[cells]
+            common = np.concatenate(([0], np.cumsum(counts[cells] > limit)))
+            sizes = np.zeros(batch.num_rows, np.int64)
+            signs = np.zeros((batch.num_rows, 2), "<i8")
+            cold, hot = [_NONE] * batch.num_rows, [_NONE] * batch.num_rows
+            for i in range(batch.num_rows):
+                a, b = int(first[i]), int(first[i + 1])
+                if a == b:
                     continue
+                s, rare = shingles_of(hashes[a:b], k, weight[a:b])
+                sizes[i] = len(s)
                 signs[i] = np.frombuffer(hashlib.blake2b(s.astype("<u8").tobytes(), digest_size=16).digest(), "<i8")
                 p = len(s) - _need(len(s), per_mille) + 1
-                f = sketch[_cell(s)]
-                if p < len(s):
-                    kth = np.partition(f, p - 1)[p - 1]
-                    near = np.flatnonzero(f <= kth)
-                    heads.append(s[near[np.argsort(f[near], kind="stable")[:p]]])  # ties by n-gram
-                else:
-                    heads.append(s)
-            sent = np.zeros(len(sets) + 1, np.int64)
-            sent[1:][sizes > 0] = [len(h) for h in heads]
-            flat = np.concatenate(heads) if heads else np.zeros(0, np.uint64)
+                head = s[np.lexsort((s, rare))[:p]] if p < len(s) else s  # ties by n-gram
+                cold[i] = head
+                span = min(k, b - a)
+                if (common[a + span:b + 1] - common[a:b + 1 - span]).max() == span:  # an n-gram of frequent words only
+                    whole = shingles_of(hashes[a:b], k, (counts[cells[a:b]] > limit).astype(np.float64))
+                    frequent = whole[0][whole[1] == span]
+                    is_hot = np.isin(head, frequent)
+                    cold[i], hot[i] = head[~is_hot], head[is_hot]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes), pa.array(signs[:, 0].copy()), pa.array(signs[:, 1].copy()),
-                 pa.ListArray.from_arrays(pa.array(np.cumsum(sent).astype(np.int32)), pa.array(flat.view(np.int64)))],
-                ["doc_id", "n", "s1", "s2", "prefix"])
+                 _lists(cold), _lists(hot)], ["doc_id", "n", "s1", "s2", "prefix", "hot"])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n long, s1 long, s2 long, prefix array<long>, hot array<long>")
+
+
+_NONE = np.zeros(0, np.uint64)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    flat = np.concatenate(rows) if rows else _NONE
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
 def _chains(lists: DataFrame, per_mille: int) -> DataFrame:
@@ -152,25 +170,15 @@ def _chains(lists: DataFrame, per_mille: int) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
-def candidate_edges(reps: DataFrame, per_mille: int, sketch: np.ndarray) -> DataFrame:
+def candidate_edges(reps: DataFrame, per_mille: int) -> DataFrame:
     """Edges (a, b) whose components contain every pair that shares a prefix
-    n-gram and passes the length filter. ``reps``: doc, n, prefix."""
-    rows = reps.select("doc", "n", F.explode("prefix").alias("gram"))
-    # a cell holds many rare n-grams; what it has above the mean is a frequent one's
-    limit = int(sketch.mean()) + HOT_LIST
-    if sketch.max() <= limit:
-        return _chains(rows.select("gram", F.lit(-1).alias("salt"), "n", "doc"), per_mille).select("a", "b").distinct()
-    # lists of frequent n-grams are dealt over `parts` salts; their heads, a few for each salt, are chained after
-    parts = 1 + (int(sketch.max()) - limit) // HOT_LIST + 1
-
-    @F.pandas_udf("boolean")
-    def is_hot(gram):
-        import pandas as pd
-        return pd.Series(sketch[_cell(gram.to_numpy().view(np.uint64))] > limit)
-
-    salted = rows.select("gram", F.when(is_hot("gram"), F.pmod(F.hash("doc"), F.lit(parts))).otherwise(-1).alias("salt"),
-                         "n", "doc")
-    first = cut(_chains(salted, per_mille).where("b is null or a <> b").distinct())
+    n-gram and passes the length filter. ``reps``: doc, n, prefix, hot."""
+    cold = reps.select("doc", "n", F.explode("prefix").alias("gram")).select("gram", F.lit(-1).alias("salt"), "n", "doc")
+    # frequent n-grams' lists are dealt over the session's number of partitions; their heads are chained after
+    parts = max(2, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = reps.select("doc", "n", F.explode("hot").alias("gram")).select(
+        "gram", F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int").alias("salt"), "n", "doc")
+    first = cut(_chains(cold.unionByName(hot), per_mille).distinct())
     # documents pass the length filter t only if their heads pass t squared
     heads = first.where("b is null").select("gram", F.lit(-1).alias("salt"), "n", F.col("a").alias("doc"))
     second = _chains(heads, per_mille * per_mille // 1000)
@@ -276,10 +284,10 @@ def _bloom(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int, sketch: np.ndarray) -> DataFrame:
+def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int) -> DataFrame:
     """Verified links (a, b) between class representatives, as few as connect
-    them. ``docs``: doc_id, text; ``heads``: doc, n, prefix of representatives."""
-    cluster = components(candidate_edges(heads, per_mille, sketch))
+    them. ``docs``: doc_id, text; ``heads``: doc, n, prefix, hot of representatives."""
+    cluster = components(candidate_edges(heads, per_mille))
     member = cut(cluster.join(heads.select(F.col("doc").alias("node"), "n").distinct(), "node")
                  .select(F.col("node").alias("doc"), "component", "n"))
     blocks = member.groupBy("component").agg(
@@ -333,13 +341,12 @@ def ngram_join(docs: DataFrame, k: int = 5, per_mille: int = 800) -> DataFrame:
     Other columns are ignored. An empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = df_sketch(docs, k)
-    rows = cut(prefixes(docs, k, per_mille, sketch))
+    rows = cut(prefixes(docs, k, per_mille, word_counts(docs)))
     classes = (rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
                .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")))
     rows = rows.join(classes, ["s1", "s2"], "left")
-    heads = cut(rows.where("doc_id = class_id").select(F.col("doc_id").alias("doc"), "n", "prefix"))
-    group = components(links(docs, heads, k, per_mille, sketch))
+    heads = cut(rows.where("doc_id = class_id").select(F.col("doc_id").alias("doc"), "n", "prefix", "hot"))
+    group = components(links(docs, heads, k, per_mille))
     # copies reach each other by their class, rows of one doc_id by that id
     own = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
     return (own.join(group.withColumnRenamed("node", "class_id"), "class_id", "left")

@@ -162,27 +162,36 @@ ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
 
-def shingles_of(hashes: np.ndarray, k: int) -> np.ndarray:
+def shingles_of(hashes: np.ndarray, k: int, weights: np.ndarray | None = None):
     """Sorted distinct k-word shingles of one text as 64-bit hashes; a text of
-    fewer words has one shingle, the whole sequence; one without words has none."""
+    fewer words has one shingle, the whole sequence; one without words has none.
+    With ``weights`` of the words, also the sum of each shingle's."""
     n = len(hashes)
     if n == 0:
-        return hashes
+        return hashes if weights is None else (hashes, weights)
     span = min(n, k)
     out = np.full(n - span + 1, span, np.uint64)
     for i in range(span):
         out = mix64(out * _ODD + hashes[i:n - span + 1 + i])
-    out.sort()
-    if len(out) > 1:
-        out = out[np.concatenate(([True], out[1:] != out[:-1]))]
-    return out
+    if weights is None:
+        out.sort()
+        return out[np.concatenate(([True], out[1:] != out[:-1]))]
+    total = weights[:n - span + 1].copy()
+    for i in range(1, span):
+        total += weights[i:n - span + 1 + i]
+    out, at = np.unique(out, return_index=True)
+    return out, total[at]
+
+
+def batch_words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the batch's words (A-Z lower-cased, apart at white space), and the range of each text."""
+    data = lower_ascii(texts.data)
+    words = words_of(Texts(data, texts.starts, texts.null), NOT_SPACE)
+    return hash_words(data, words), words.first
 
 
 def batch_shingles(texts: Texts, k: int) -> list[np.ndarray]:
-    data = lower_ascii(texts.data)
-    words = words_of(Texts(data, texts.starts, texts.null), NOT_SPACE)
-    hashes = hash_words(data, words)
-    first = words.first
+    hashes, first = batch_words(texts)
     return [shingles_of(hashes[first[i]:first[i + 1]], k) for i in range(len(texts))]
 
 

@@ -10,11 +10,14 @@ distinct word n-grams, exactly, and the groups these links form.
    group of copies, however large, costs one row.
 3. Prefix filter: two sets that are similar enough share an n-gram within the
    rarest ``n - ceil(t n) + 1`` of each. Documents are joined on these prefix
-   n-grams; in every n-gram's list, sorted by set size, neighbours that pass
-   the length filter are chained. So the lists of a large group cost rows in
-   proportion to the group and not to its pairs.
-4. The chains' components are candidate clusters: no link leaves one. Clusters
-   over a block's size are dealt as pairs of blocks.
+   n-grams. A short list gives its pairs that pass the length filter; of a long
+   one, blocks of documents meet, and only as many pairs are returned as connect
+   the same documents, so the lists of a large group cost rows in proportion to
+   the group and not to its pairs. Either way a pair must pass a bitmap filter:
+   each set has the parity of its n-grams by cell, and the bits in which two
+   sets differ bound their overlap from above.
+4. The components of these candidate pairs are clusters that no link leaves.
+   Clusters over a block's size are dealt as pairs of blocks.
 5. In each block the documents' n-grams are ordered rare first anew, joined on
    prefix n-grams under the length, positional and suffix filters, and each
    pair that is left, and not yet connected, is verified once by the exact
@@ -42,7 +45,9 @@ BLOCK_DOCS = 2048
 BLOCK_GRAMS = 2_000_000
 #: bits of the filter that picks candidates' texts from the second scan
 BLOOM_BITS = 23
-#: n-grams of which every word is this frequent (above a cell's mean) have their lists dealt over several tasks
+#: a list up to this long gives its pairs; longer ones are dealt in blocks, and so, without
+#: being gathered first, are those of n-grams of which every word is this frequent (above a cell's mean)
+SHORT_LIST = 64
 HOT_LIST = 20_000
 
 _PART = 12
@@ -88,8 +93,8 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, per_mille: int, counts: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (128 bits of the set), prefix (rarest n-grams),
-    hot (those of them whose words are all frequent)."""
+    """doc_id, n (set size), s1, s2 (128 bits of the set), bits (parities by
+    cell), prefix (rarest n-grams), hot (those of them whose words are all frequent)."""
     logs = np.log(np.maximum(counts, 1).astype(np.float64))
     limit = float(counts.mean()) + HOT_LIST
 
@@ -101,7 +106,7 @@ def prefixes(docs: DataFrame, k: int, per_mille: int, counts: np.ndarray) -> Dat
             common = np.concatenate(([0], np.cumsum(counts[cells] > limit)))
             sizes = np.zeros(batch.num_rows, np.int64)
             signs = np.zeros((batch.num_rows, 2), "<i8")
-            cold, hot = [_NONE] * batch.num_rows, [_NONE] * batch.num_rows
+            cold, hot, bits = [_NONE] * batch.num_rows, [_NONE] * batch.num_rows, [b""] * batch.num_rows
             for i in range(batch.num_rows):
                 a, b = int(first[i]), int(first[i + 1])
                 if a == b:
@@ -109,6 +114,7 @@ def prefixes(docs: DataFrame, k: int, per_mille: int, counts: np.ndarray) -> Dat
                 s, rare = shingles_of(hashes[a:b], k, weight[a:b])
                 sizes[i] = len(s)
                 signs[i] = np.frombuffer(hashlib.blake2b(s.astype("<u8").tobytes(), digest_size=16).digest(), "<i8")
+                bits[i] = parity_bits(s)
                 p = len(s) - _need(len(s), per_mille) + 1
                 head = s[np.lexsort((s, rare))[:p]] if p < len(s) else s  # ties by n-gram
                 cold[i] = head
@@ -120,10 +126,11 @@ def prefixes(docs: DataFrame, k: int, per_mille: int, counts: np.ndarray) -> Dat
                     cold[i], hot[i] = head[~is_hot], head[is_hot]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes), pa.array(signs[:, 0].copy()), pa.array(signs[:, 1].copy()),
-                 _lists(cold), _lists(hot)], ["doc_id", "n", "s1", "s2", "prefix", "hot"])
+                 pa.array(bits, pa.binary()), _lists(cold), _lists(hot)],
+                ["doc_id", "n", "s1", "s2", "bits", "prefix", "hot"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, s1 long, s2 long, prefix array<long>, hot array<long>")
+        run, "doc_id long, n long, s1 long, s2 long, bits binary, prefix array<long>, hot array<long>")
 
 
 _NONE = np.zeros(0, np.uint64)
@@ -135,55 +142,155 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _chains(lists: DataFrame, per_mille: int) -> DataFrame:
-    """Rows (gram, salt, n, doc) to chain edges (a, b) between neighbours in size
-    of each (gram, salt), and to rows (gram, n, head) for salted n-grams: the
-    first document and each that is too large for the last head's length filter."""
-    schema = "gram long, n long, a long, b long"
-    ordered = lists.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "n", "doc")
+def parity_bits(grams: np.ndarray) -> bytes:
+    """Parity of a set's n-grams by cell; half to one bit for each n-gram."""
+    size = 1 << max(6, min(16, (len(grams) - 1).bit_length() - 1))
+    return np.packbits(np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """Rows of parities over fewer cells."""
+    while bits.shape[-1] > size:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def _may_link(n: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, per_mille: int) -> np.ndarray:
+    """Length and bitmap filter of one set against others (bitmaps of one size)."""
+    size = min(len(bits), others.shape[-1])
+    apart = np.bitwise_count(_fold(others, size) ^ _fold(bits, size)).sum(axis=-1, dtype=np.int64)
+    low, high = np.minimum(n, sizes), np.maximum(n, sizes)
+    total = n + sizes
+    # overlap <= (total - apart) / 2 must reach per_mille / (1000 + per_mille) * total
+    return (low * 1000 >= high * per_mille) & ((total - apart) * (1000 + per_mille) >= 2 * per_mille * total)
+
+
+def _short_pairs(rows: DataFrame, per_mille: int) -> DataFrame:
+    """(gram, n, doc) to pairs (a, b) of short lists, and to the rows of longer
+    ones (gram, a; b null). A task streams its lists one after the other and holds
+    SHORT_LIST rows of one at most."""
+
+    def pairs(n: np.ndarray, doc: np.ndarray, first: np.ndarray, width: int):
+        """Of all lists of one length, which begin at ``first``."""
+        i, j = np.triu_indices(width, 1)
+        x, y = first[:, None] + i[None, :], first[:, None] + j[None, :]
+        ok = n[x] * 1000 >= n[y] * per_mille  # sorted by n
+        return doc[x[ok]], doc[y[ok]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        head = None  # of a salted list: gram, salt, size of its last head
+        held: tuple | None = None  # rows of the last, unfinished list
+        long_gram = None  # a list known to be long
+
+        def emit(gram, n, doc, last: bool):
+            nonlocal held, long_gram
+            begin = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+            width = np.diff(np.concatenate((begin, [len(gram)])))
+            is_long = width > SHORT_LIST
+            if long_gram is not None and gram[0] == long_gram:
+                is_long[0] = True
+            done = np.ones(len(begin), bool)
+            if not last:
+                done[-1] = is_long[-1]
+            out_a, out_b = [], []
+            for w in np.unique(width[~is_long & done]):
+                if w > 1:
+                    a, b = pairs(n, doc, begin[(width == w) & ~is_long & done], int(w))
+                    out_a.append(a)
+                    out_b.append(b)
+            if out_a:
+                both = np.unique(np.stack((np.concatenate(out_a), np.concatenate(out_b)), 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(both), pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])],
+                                                 ["gram", "a", "b"])
+            rest = np.repeat(is_long, width)
+            if rest.any():
+                yield pa.RecordBatch.from_arrays([pa.array(gram[rest]), pa.array(doc[rest]), pa.nulls(int(rest.sum()), pa.int64())],
+                                                 ["gram", "a", "b"])
+            long_gram = gram[-1] if is_long[-1] else None
+            held = None if done[-1] else tuple(x[begin[-1]:] for x in (gram, n, doc))
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            gram, salt, n, doc = (batch.column(i).to_numpy() for i in range(4))
-            if last is not None:
-                gram, salt, n, doc = (np.concatenate(([x], y)) for x, y in zip(last, (gram, salt, n, doc)))
-            same = (gram[1:] == gram[:-1]) & (salt[1:] == salt[:-1])
-            linked = np.flatnonzero(same & (n[:-1] * 1000 >= n[1:] * per_mille))
-            out = [(gram[linked], n[linked], doc[linked], doc[linked + 1])]
-            begin = 0 if last is None else 1
-            heads = []
-            for i in np.flatnonzero(salt[begin:] >= 0) + begin:
-                if head is None or head[:2] != (gram[i], salt[i]) or n[i] * per_mille > head[2] * 1000:
-                    head = (gram[i], salt[i], n[i])
-                    heads.append(i)
-            if heads:
-                out.append((gram[heads], n[heads], doc[heads], None))
-            for g, size, a, b in out:
-                b = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
-                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(size), pa.array(a), b], ["gram", "n", "a", "b"])
-            last = (gram[-1], salt[-1], n[-1], doc[-1])
-
-    return ordered.mapInArrow(run, schema)
+            if batch.num_rows:
+                cols = [batch.column(i).to_numpy() for i in range(3)]
+                if held is not None:
+                    cols = [np.concatenate(x) for x in zip(held, cols)]
+                yield from emit(*cols, last=False)
+        if held is not None:
+            yield from emit(*held, last=True)
+
+    return (rows.select("gram", "n", "doc").repartition("gram").sortWithinPartitions("gram", "n", "doc")
+            .mapInArrow(run, "gram long, a long, b long"))
+
+
+def _deal(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """Rows with ``doc`` to pairs of blocks (i <= j) of their key; side: 1 in the
+    second block of a pair. ``blocks``: key and number of blocks."""
+    rows = rows.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn(
+        "side", (F.col("own") > F.col("other")).cast("int")).drop("own", "other", "blocks")
 
 
 def candidate_edges(reps: DataFrame, per_mille: int) -> DataFrame:
     """Edges (a, b) whose components contain every pair that shares a prefix
-    n-gram and passes the length filter. ``reps``: doc, n, prefix, hot."""
-    cold = reps.select("doc", "n", F.explode("prefix").alias("gram")).select("gram", F.lit(-1).alias("salt"), "n", "doc")
-    # frequent n-grams' lists are dealt over the session's number of partitions; their heads are chained after
-    parts = max(2, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = reps.select("doc", "n", F.explode("hot").alias("gram")).select(
-        "gram", F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int").alias("salt"), "n", "doc")
-    first = cut(_chains(cold.unionByName(hot), per_mille).distinct())
-    # documents pass the length filter t only if their heads pass t squared
-    heads = first.where("b is null").select("gram", F.lit(-1).alias("salt"), "n", F.col("a").alias("doc"))
-    second = _chains(heads, per_mille * per_mille // 1000)
-    return (first.where("b is not null").select("a", "b").unionByName(second.where("b is not null").select("a", "b"))
-            .distinct())
+    n-gram and passes the length and the bitmap filter. ``reps``: doc, n, bits,
+    prefix, hot."""
+    found = cut(_short_pairs(reps.select("doc", "n", F.explode("prefix").alias("gram")), per_mille).distinct())
+    bits = reps.select("doc", "n", "bits")
+    near = (found.where("b is not null").select("a", "b").distinct()
+            .join(bits.toDF("a", "n1", "bits1"), "a").join(bits.toDF("b", "n2", "bits2"), "b"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n1, x, n2, y = (batch.column(i) for i in range(2, 6))
+            ok = [bool(_may_link(p.as_py(), np.frombuffer(u.as_py(), np.uint8), np.array([q.as_py()]),
+                                 np.frombuffer(v.as_py(), np.uint8)[None, :], per_mille)[0])
+                  for p, u, q, v in zip(n1, x, n2, y)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    pairs = near.select("a", "b", "n1", "bits1", "n2", "bits2").mapInArrow(check, "a long, b long")
+    long_rows = found.where("b is null").select("gram", F.col("a").alias("doc")).unionByName(
+        reps.select(F.explode("hot").alias("gram"), "doc"))
+    blocks = long_rows.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
+    dealt = _deal(long_rows.join(bits, "doc"), "gram", blocks)
+
+    def connect(table: pa.Table) -> pa.Table:
+        a, b = connect_block(table.column("doc").to_numpy(), table.column("n").to_numpy(),
+                             table.column("bits").to_pylist(), table.column("side").to_numpy(),
+                             per_mille, cross=table.column("i")[0].as_py() != table.column("j")[0].as_py())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    linked = dealt.groupBy("gram", "i", "j").applyInArrow(connect, "a long, b long")
+    return pairs.unionByName(linked).distinct()
+
+
+def connect_block(docs: np.ndarray, n: np.ndarray, bits: list[bytes], side: np.ndarray, per_mille: int, cross: bool):
+    """Pairs of one block of a list that pass the length and bitmap filter, as few as connect the same documents."""
+    order = np.lexsort((docs, n))
+    docs, n, side = docs[order], n[order], side[order]
+    rows = [np.frombuffer(bits[i], np.uint8) for i in order.tolist()]
+    least = min(len(r) for r in rows)
+    # sizes of bitmaps grow with n, and a set meets only sets nearly as large: each row is folded to that of its smallest partner
+    folded: dict[int, np.ndarray] = {}
+    for size in {len(r) for r in rows}:
+        folded[size] = np.stack([_fold(r, size) if len(r) >= size else np.zeros(size, np.uint8) for r in rows])
+    label = np.arange(len(docs))
+    a, b = [], []
+    for j in range(1, len(docs)):
+        first = int(np.searchsorted(n[:j] * 1000, n[j] * per_mille))
+        open_ = np.flatnonzero(label[first:j] != label[j]) + first
+        if cross:
+            open_ = open_[side[open_] != side[j]]
+        if not len(open_):
+            continue
+        size = max(least, len(rows[open_[0]]))  # the smallest partner's
+        ok = open_[_may_link(int(n[j]), rows[j], n[open_], folded[size][open_], per_mille)]
+        for i in ok.tolist():
+            if label[i] != label[j]:
+                a.append(int(docs[i]))
+                b.append(int(docs[j]))
+                label[label == label[i]] = label[j]
+    return a, b
 
 
 def block_links(sets: list[np.ndarray], side: np.ndarray, per_mille: int, cross: bool) -> list[tuple[int, int]]:
@@ -286,18 +393,13 @@ def _bloom(ids: DataFrame) -> np.ndarray:
 
 def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int) -> DataFrame:
     """Verified links (a, b) between class representatives, as few as connect
-    them. ``docs``: doc_id, text; ``heads``: doc, n, prefix, hot of representatives."""
+    them. ``docs``: doc_id, text; ``heads``: doc, n, bits, prefix, hot of representatives."""
     cluster = components(candidate_edges(heads, per_mille))
     member = cut(cluster.join(heads.select(F.col("doc").alias("node"), "n").distinct(), "node")
                  .select(F.col("node").alias("doc"), "component", "n"))
     blocks = member.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    member = (member.join(blocks, "component")
-              .withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")))
-    # a document goes to the pair of its block with every block, itself included
-    dealt = (member.select("doc", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("doc", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     (F.col("own") > F.col("other")).cast("int").alias("side")))
+    dealt = _deal(member, "component", blocks).drop("n")
     bits = _bloom(member.select("doc"))  # fixed size
 
     @F.pandas_udf("boolean")
@@ -345,7 +447,7 @@ def ngram_join(docs: DataFrame, k: int = 5, per_mille: int = 800) -> DataFrame:
     classes = (rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
                .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")))
     rows = rows.join(classes, ["s1", "s2"], "left")
-    heads = cut(rows.where("doc_id = class_id").select(F.col("doc_id").alias("doc"), "n", "prefix", "hot"))
+    heads = cut(rows.where("doc_id = class_id").select(F.col("doc_id").alias("doc"), "n", "bits", "prefix", "hot"))
     group = components(links(docs, heads, k, per_mille))
     # copies reach each other by their class, rows of one doc_id by that id
     own = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))

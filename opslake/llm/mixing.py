@@ -24,8 +24,8 @@ from opslake.llm.graph import cut
 REPETITIONS, BLOCK_TOKENS = 2.0, 2_000_000
 #: exponents tried in one pass of the bisection, and passes
 GRID, ROUNDS = 32, 6
-#: documents summed up by one task within a source
-NUMBERED = 200_000
+#: documents of a source that are put in order together, and salts of the join with the sources' budgets
+NUMBERED, SALTS = 4096, 64
 
 
 def token_count(text):
@@ -105,7 +105,10 @@ def mix(docs: DataFrame, repetitions: float | None = REPETITIONS, entropy: float
     plan = plan.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("docs") / NUMBERED)).cast("int"))
     # a whole number of passes up to rounding errors stays whole
     plan = plan.withColumn("times", F.greatest(F.lit(1), F.ceil(F.col("passes") - 1e-9)).cast("int"))
-    draws = (d.join(plan.select("s", F.col("tokens").alias("all"), "budget", "passes", "parts", "times"), "s")
+    # a source with a third of all documents is met by SALTS copies of its budget
+    plan = plan.select("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("tokens").alias("all"),
+                       "budget", "passes", "parts", "times")
+    draws = (d.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).join(plan, ["s", "salt"]).drop("salt")
              .withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
              .withColumn("order", F.xxhash64("key", "pass", F.lit(seed)))
              .withColumn("part", F.floor(F.shiftrightunsigned("order", 33) * F.col("parts") / F.lit(float(1 << 31))).cast("int")))

@@ -28,6 +28,8 @@ DIMS = 4096
 SAMPLE_PER_LANGUAGE = 1500
 #: steps, rows a step and regularisation of the stochastic subgradient training
 STEPS, ROWS, LAMBDA = 3000, 64, 1e-4
+#: bytes of text whose features are computed at once
+SLICE = 2 << 20
 #: steepness of the logistic curve that turns a margin into a score
 STEEP = 3.0
 
@@ -114,13 +116,6 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
     of languages within one. Each model is fitted by a task of its own on the
     bounded sample; only the weights, DIMS + 1 numbers a model, come to the driver."""
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            rows = [(batch.column(0)[i].as_py(), x.astype("<f4").tobytes()) for i, x in _each(batch, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
-                                              pa.array([r[1] for r in rows], pa.binary())], ["lang", "x"])
-
-    sample = labelled_sample(docs, per_language).mapInArrow(features, "lang string, x binary")
     langs = sorted(r["lang"] for r in docs.where(
         "text is not null and lang is not null and lang <> '' and doc_id is not null "
         "and crc32(cast(doc_id as string)) % 4 <> 2").select("lang").distinct().collect())
@@ -132,22 +127,36 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
         return {"families": families, "weights": {}}
     uses = {lang: [m for m in models if m[0] == "f" or lang in m.split(":")[1:]] for lang in langs}
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b.assign(model=[uses[x] for x in b["lang"]]).explode("model")
-            yield b.assign(y=[1 if (m == "f:" + family(x) if m[0] == "f" else m.split(":")[1] == x) else -1
-                              for m, x in zip(b["model"], b["lang"])])[["model", "y", "x"]]
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each model that a text is an example for."""
+        for batch in slices(batches, 1, SLICE):
+            rows = []
+            for i, x in _each(batch, 1):
+                lang = batch.column(0)[i].as_py()
+                x = x.astype("<f2").tobytes()
+                rows += [(m, 1 if (m == "f:" + family(lang) if m[0] == "f" else m.split(":")[1] == lang) else -1, x)
+                         for m in uses[lang]]
+                if len(rows) >= 512:
+                    yield _examples(rows)
+                    rows = []
+            yield _examples(rows)
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["x", "y"])  # the same order whichever task sent them
-        w = _svm(np.frombuffer(b"".join(rows["x"]), "<f4").reshape(-1, DIMS), rows["y"].to_numpy())
+        w = _svm(np.frombuffer(b"".join(rows["x"]), "<f2").reshape(-1, DIMS).astype(np.float32), rows["y"].to_numpy())
         return pd.DataFrame({"model": [key[0]], "w": [w.astype("<f8").tobytes()]})
 
-    fitted = (sample.mapInPandas(deal, "model string, y int, x binary")
+    fitted = (labelled_sample(docs, per_language).mapInArrow(features, "model string, y int, x binary")
               .groupBy("model").applyInPandas(fit, "model string, w binary").collect())
     return {"families": families, "weights": {r["model"]: np.frombuffer(r["w"], "<f8") for r in fitted}}
 
 
+def _examples(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
+    model, y, x = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(model, pa.string()), pa.array(y, pa.int32()), pa.array(x, pa.binary())],
+                                      ["model", "y", "x"])
+
+
 def _svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Hinge loss with L2 penalty, by averaged stochastic subgradient steps; each
     step takes as many rows of either side. Weights and, last, the bias."""
@@ -206,7 +215,7 @@ def classify(docs: DataFrame, models: dict, names: tuple[str, str] = ("lang_pred
         return best_lang, sure * logistic(min(votes[best_lang], default=50.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, SLICE):
             pred, score = ["und"] * batch.num_rows, [0.0] * batch.num_rows
             if langs:
                 for i, x in _each(batch, at):

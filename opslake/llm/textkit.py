@@ -195,7 +195,7 @@ def batch_shingles(texts: Texts, k: int) -> list[np.ndarray]:
     return [shingles_of(hashes[first[i]:first[i + 1]], k) for i in range(len(texts))]
 
 
-def slices(batches, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of ``column`` hold about ``most`` bytes
     in each (a longer text is a batch of its own)."""
     for batch in batches:

@@ -6,7 +6,7 @@ part of its branch's pages have becomes a wildcard, so that a branch keeps at
 most 1 / MIN_SHARE literal segments beside it. Sibling templates whose shares of
 bad pages do not differ significantly are merged, and a merged template is
 rejected when its share of bad pages, smoothed towards that of all labelled
-pages, reaches PURITY.
+pages, reaches PURITY; one without a labelled page is not.
 
 Everything is DataFrame expressions. Pages are summed up by host and shape of
 the path first, so the tree's levels work on few rows and a host with a third
@@ -110,7 +110,7 @@ def template_verdicts(shapes: DataFrame) -> DataFrame:
     merged = (nodes.groupBy("host", "parent", "branch").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
               .withColumn("purity", (F.col("b") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)))
     judged = (nodes.select("host", "parent", "branch", "template").join(merged, ["host", "parent", "branch"])
-              .select("host", "template", "branch", "purity", (F.col("purity") >= PURITY).alias("reject")))
+              .select("host", "template", "branch", "purity", ((F.col("n") > 0) & (F.col("purity") >= PURITY)).alias("reject")))
     return t.select("host", "shape", "template").join(judged, ["host", "template"])
 
 

@@ -919,8 +919,9 @@ def q_bronze_stamp(c: Ctx):
     return S.bronze_stamp(c.t.kds_logs.select("kds_ticket_id", "order_id"), BATCH_ID, INGESTED_AT, S.SOURCE_CSV)
 
 
-@query("row_checksum", """SELECT order_id, sha256(concat_ws('|', CAST(order_id AS VARCHAR), CAST(customer_id AS VARCHAR),
-  CAST(merchant_id AS VARCHAR), order_status)) AS row_sha256 FROM src_orders""")
+@query("row_checksum", """SELECT order_id, sha256(list_aggregate(list_transform(
+  [CAST(order_id AS VARCHAR), CAST(customer_id AS VARCHAR), CAST(merchant_id AS VARCHAR), order_status],
+  lambda v: CASE WHEN v IS NULL THEN '-' ELSE length(v) || ':' || v END), 'string_agg', '')) AS row_sha256 FROM src_orders""")
 def q_row_checksum(c: Ctx):
     cols = ["order_id", "customer_id", "merchant_id", "order_status"]
     return S.row_checksum(c.t.orders.select(*cols), cols).select("order_id", "row_sha256")

@@ -31,12 +31,6 @@ def seconds_between(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1e6)
 
 
-def add_seconds(ts, seconds) -> Column:
-    """ts + n seconds (n may be fractional or negative; null stays null)."""
-    n = seconds if isinstance(seconds, Column) else F.lit(seconds)
-    return F.timestamp_add("MICROSECOND", F.round(n * F.lit(1e6)).cast("long"), _c(ts))
-
-
 def clip_low(x, lo: float = 0.0) -> Column:
     x = _c(x)
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(x, F.lit(float(lo))))
@@ -84,13 +78,27 @@ def parse_ts(x) -> Column:
     suffixed ISO form, with or without fractions. Already-typed timestamps
     pass through.
     """
-    return F.expr(f"try_cast({x} AS timestamp)") if isinstance(x, str) else x.try_cast("timestamp")
+    return _c(x).try_cast("timestamp")
+
+
+def as_timestamps(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The text columns among ``cols`` parsed (bad text -> null), others as they are."""
+    text = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+    return df.withColumns({c: parse_ts(c) for c in cols if c in text})
 
 
 def fmt_ts(x) -> Column:
     return F.date_format(_c(x), "yyyy-MM-dd HH:mm:ss")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where missing keys are equal to each other; the
+    left side's keys are kept."""
+    r = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(r, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def combine_one_row(*frames: DataFrame) -> DataFrame:
     """Put several one-row aggregates side by side without a join.
 

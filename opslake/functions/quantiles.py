@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslake.functions.exprs import combine_one_row, quantile
+from opslake.functions.exprs import combine_one_row, join_null_safe, quantile
 from opslake.session import checkpoint_dir
 
 
@@ -82,7 +82,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     # rank interval [first, last] of each distinct value
     upto = Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranks = (ranged.withColumn("_end", F.sum("_c").over(upto))
-             .join(slices, ["_pid", *by])
+             .transform(lambda d: join_null_safe(d, slices, ["_pid", *by]))
              .select(*by, "_v", "_n",
                      (F.col("_off") + F.col("_end") - F.col("_c")).alias("_first"),
                      (F.col("_off") + F.col("_end") - 1).alias("_last")))
@@ -171,5 +171,5 @@ def agg_with_quantiles(df: DataFrame, measures: list[tuple[str, Column | Q]], by
     cols = exact_quantile_columns(df, dict(values.values()), outputs, by=by)
     cols = cols.select(*by, *[F.round(n, m.digits).alias(n) for n, m in qs])
     plain = grouped.agg(*[m.alias(n) for n, m in measures if not isinstance(m, Q)])
-    joined = combine_one_row(plain, cols) if not by else plain.join(cols, by, "left")
+    joined = combine_one_row(plain, cols) if not by else join_null_safe(plain, cols, by, "left")
     return joined.select(*by, *[n for n, _ in measures])

@@ -87,7 +87,9 @@ def source_profile(orders: DataFrame, kds: DataFrame, dispatch: DataFrame) -> Da
 
 
 def redispatch_churn_counts(dispatch: DataFrame) -> DataFrame:
-    per_order = dispatch.groupBy("order_id").agg(F.count("dispatch_id").alias("n"))
+    # attempts without an order id belong to no order
+    per_order = (dispatch.filter(F.col("order_id").isNotNull()).groupBy("order_id")
+                 .agg(F.count("dispatch_id").alias("n")))
     return per_order.agg(F.count_if(F.col("n") > 1).alias("orders_with_driver_churn"))
 
 

@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslake.functions import combine_one_row, fmt_ts, minutes_between, norm_category, parse_ts, quantile, rate_true
+from opslake.functions import (as_timestamps, combine_one_row, fmt_ts, minutes_between, norm_category, parse_ts, quantile,
+                               rate_true)
 from opslake.functions.quantiles import Q, agg_with_quantiles, exact_quantiles
 from opslake.operators.contracts import dedupe_keep_first
 
@@ -129,8 +130,9 @@ def late_by_category_ordered(prepared: DataFrame, col: str = "traffic_bucket",
 
 def late_by_category(prepared: DataFrame, col: str = "weather_bucket", approx: bool = False,
                      distributed: bool = False) -> DataFrame:
-    """Late rate per free category."""
-    return _late_stats(_valid(prepared), [col], approx, distributed=distributed).orderBy(col)
+    """Late rate per free category (rows without one are in none)."""
+    known = _valid(prepared).filter(F.col(col).isNotNull())
+    return _late_stats(known, [col], approx, distributed=distributed).orderBy(col)
 
 
 def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx: bool = False,
@@ -153,7 +155,7 @@ def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx:
 
 def late_by_hour(prepared: DataFrame) -> DataFrame:
     """Late rate by hour of order creation."""
-    v = _valid(prepared).withColumn("order_hour", F.hour("created_at"))
+    v = _valid(prepared).withColumn("order_hour", F.hour("created_at")).filter(F.col("order_hour").isNotNull())
     return _late_stats(v, ["order_hour"], with_mean=False, with_median=False).orderBy("order_hour")
 
 
@@ -212,11 +214,14 @@ def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame
     """Timeline of every order from four sources.
 
     Order columns are unpivoted with ``stack``; all four projections are
-    appended with ``unionByName``; rows are globally sorted by
-    (order_id, time) with a range partitioning, which also splits an order
-    with very many events across tasks. A caller filters one order_id; the
-    filter is pushed below the union into each source scan.
+    appended with ``unionByName``; each order's rows are together and sorted
+    by time (no order among orders, so no global sort). A caller filters one
+    order_id; the filter is pushed below the union into each source scan.
+    Text times are parsed; unreadable ones are null and come last.
     """
+    actions = as_timestamps(actions, ["action_at"])
+    tickets = as_timestamps(tickets, ["created_at"])
+    interventions = as_timestamps(interventions, ["intervention_at"])
     o = dedupe_keep_first(orders_raw, "order_id", ORDER_TS)
     s = o.select("order_id", F.stack(
         F.lit(4),
@@ -230,22 +235,23 @@ def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame
     ).alias("event_type", "event_time_raw", "actor", "details")).filter(F.col("event_time_raw").isNotNull())
     s = s.select("order_id", parse_ts("event_time_raw").alias("event_time"), "event_type", "actor",
                  F.lit("orders").alias("source_system"), "details")
-    a = actions.select("order_id", F.col("action_at").cast("timestamp").alias("event_time"),
+    a = actions.select("order_id", F.col("action_at").alias("event_time"),
                        F.concat(F.lit("APP_"), F.col("action_type")).alias("event_type"),
                        F.lit("customer").alias("actor"), F.lit("customer_app_actions").alias("source_system"),
                        F.concat(F.lit("Channel: "), F.col("channel")).alias("details"))
     t = tickets.filter(F.col("order_id").isNotNull()).select(
-        "order_id", F.col("created_at").cast("timestamp").alias("event_time"),
+        "order_id", F.col("created_at").alias("event_time"),
         F.concat(F.lit("SUPPORT_TICKET_"), F.upper("category")).alias("event_type"),
         F.lit("customer").alias("actor"), F.lit("support_tickets").alias("source_system"),
         F.concat(F.lit("Message: "), F.col("customer_message")).alias("details"))
     i = interventions.select(
-        "order_id", F.col("intervention_at").cast("timestamp").alias("event_time"),
+        "order_id", F.col("intervention_at").alias("event_time"),
         F.concat(F.lit("INTERVENTION_"), F.col("intervention_type")).alias("event_type"),
         F.col("initiated_by").alias("actor"), F.lit("order_interventions").alias("source_system"),
         F.concat(F.lit("Reason: "), F.col("reason")).alias("details"))
     u = reduce(DataFrame.unionByName, [s, a, t, i])
-    return u.orderBy("order_id", F.asc_nulls_last("event_time"), "event_type", "details")
+    return u.repartition("order_id").sortWithinPartitions(
+        "order_id", F.asc_nulls_last("event_time"), "event_type", "details")
 
 
 # ---- D11 - D14 -----------------------------------------------------------------------------
@@ -316,7 +322,8 @@ def journey_questions(journey: DataFrame, interventions: DataFrame) -> DataFrame
     a = a.withColumn("late_with_support_pct",
                      F.round(F.col("late_with_support") * 100.0 / F.nullif(F.col("late_orders"), F.lit(0)), 2))
     w = Window.orderBy(F.desc("n"), F.asc("intervention_type"))
-    mode = (interventions.groupBy("intervention_type").agg(F.count(F.lit(1)).alias("n"))
+    mode = (interventions.filter(F.col("intervention_type").isNotNull())
+            .groupBy("intervention_type").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
             .select(F.col("intervention_type").alias("most_common_intervention"),
                     F.col("n").alias("most_common_intervention_count")))
@@ -379,6 +386,7 @@ def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, appr
     counts (``percentile`` with a frequency), which equals the row-level
     result. The approximate sketch takes no weights and joins row-level
     (AQE splits a skewed join key)."""
+    interventions = interventions.filter(F.col("intervention_type").isNotNull())
     out = outcome.filter(F.col("delivered_flag") == 1).select("order_id", "late_flag", "delay_min")
     if approx:
         j = interventions.join(out, "order_id", "inner")
@@ -405,8 +413,8 @@ def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, appr
 def top_late_parents(journey: DataFrame, parents: DataFrame, n: int = 5,
                      key: str = "restaurant_id") -> DataFrame:
     """Top n parents by late orders; names are joined after the limit,
-    so the join input is n rows."""
-    late = _delivered(journey).filter(F.col("late_flag") == 1.0)
+    so the join input is n rows. Orders without a parent take no place."""
+    late = _delivered(journey).filter((F.col("late_flag") == 1.0) & F.col(key).isNotNull())
     top = (late.groupBy(key).agg(F.count("order_id").alias("late_orders_count"),
                                  F.round(F.avg("delay_min"), 4).alias("mean_delay_min"))
            .orderBy(F.desc("late_orders_count"), F.asc(key)).limit(n))

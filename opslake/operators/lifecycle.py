@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opslake.functions import clip_low, combine_one_row, minutes_between, pct, rate_true
 from opslake.functions.quantiles import Q, agg_with_quantiles
 from opslake.operators.calibrate import DISPATCH_TS, parse_timestamps
+from opslake.sources.landing import AUDIT_COLUMNS
 
 # ---- fixed values ------------------------------------------------------------
 SLA_MINUTES = 35.0            # breach when OTD > 35 (strict) and completed
@@ -33,15 +34,20 @@ def join_fact(orders: DataFrame, merchants: DataFrame, kds: DataFrame,
     """L1 + L2: orders x merchants (inner) x kitchen (inner) left dispatch left
     support rollup.
 
-    orders, kitchen, dispatch and the rollup are all keyed by order_id:
-    Spark hash-partitions each once on order_id and the three joins reuse
-    that partitioning. The merchant dimension is joined without a hint; the
-    planner broadcasts it only while its measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold``.
+    orders, kitchen, dispatch and the rollup are all keyed by order_id: the
+    three joins come first, so they share one hash partitioning of order_id
+    (and reuse the one an anti join against quarantined ids left). The
+    merchant dimension comes last and without a hint; the planner broadcasts
+    it only while its measured size is under
+    ``spark.sql.autoBroadcastJoinThreshold``, else one more exchange deals the
+    joined rows by merchant, and AQE splits a merchant with very many.
+
+    All order columns are kept but the audit stamp and names that another
+    source gives; the two order times are named order_placed_at and
+    promised_sla_at.
     """
-    o = parse_timestamps(orders, ["order_timestamp", "promised_sla_timestamp"]).select(
-        "order_id", "customer_id", "merchant_id", "order_status",
-        F.col("order_timestamp").alias("order_placed_at"))
+    o = parse_timestamps(orders, ["order_timestamp", "promised_sla_timestamp"]).withColumnsRenamed(
+        {"order_timestamp": "order_placed_at", "promised_sla_timestamp": "promised_sla_at"})
     m = merchants.select("merchant_id", "merchant_name", "cluster_id", "cuisine_type",
                          "kitchen_capacity")
     k = kds.select("order_id",
@@ -52,10 +58,12 @@ def join_fact(orders: DataFrame, merchants: DataFrame, kds: DataFrame,
     d = parse_timestamps(dispatch, DISPATCH_TS).select(
         "order_id", "driver_id", "attempt_number", *DISPATCH_TS, "network_jitter_clamped_flag")
     s = support_rollup(tickets)
-    f = (o.join(m, "merchant_id", "inner")
-         .join(k, "order_id", "inner")
+    taken = {c for df in (m, k, d, s) for c in df.columns} - {"order_id", "merchant_id"}
+    o = o.select(*[c for c in o.columns if c not in taken and c not in AUDIT_COLUMNS])
+    f = (o.join(k, "order_id", "inner")
          .join(d, "order_id", "left")
-         .join(s, "order_id", "left"))
+         .join(s, "order_id", "left")
+         .join(m, "merchant_id", "inner"))
     return f.withColumns({
         "ticket_count": F.coalesce(F.col("ticket_count"), F.lit(0)).cast("int"),
         "refund_amount_cents": F.coalesce(F.col("refund_amount_cents"), F.lit(0)).cast("long"),
@@ -85,7 +93,7 @@ def stage_durations(fact: DataFrame) -> DataFrame:
 def sla_flags(fact: DataFrame) -> DataFrame:
     """OTD minutes, completed, breached (null OTD never breaches)."""
     otd = minutes_between("order_placed_at", "delivered_at")
-    done = F.col("order_status") == COMPLETED
+    done = F.coalesce(F.col("order_status") == COMPLETED, F.lit(False))  # a missing status is not completed
     return fact.withColumns({"total_otd_min": otd, "is_completed": done}).withColumn(
         "is_sla_breached", F.coalesce(F.col("total_otd_min") > SLA_MINUTES, F.lit(False)) & done)
 

@@ -61,6 +61,8 @@ class Sources:
     kds: DataFrame
     dispatch: DataFrame
     tickets: DataFrame
+    #: SHA-256 of the landed file of a bronze table, by its name
+    checksums: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -77,11 +79,30 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
     ``distributed_quantiles`` computes the KPI and cluster quantiles without
     one value map per group (same values; for unbounded value domains).
 
-    Layer tables are partitioned by ``batch_date`` and written with dynamic
-    partition overwrite, so re-running a batch replaces exactly that batch.
+    Layer tables are partitioned by ``batch_date``; re-running a batch replaces
+    exactly that batch's folders, also where a table has no rows any more. A
+    run that raises leaves a manifest with status FAILED and the error.
     """
     started = time.time()
     run_id = run_id or f"RUN-{batch_date}"
+    side = ThreadPoolExecutor(max_workers=2)
+    held: list[C.Silver] = []  # with persisted frames
+    try:
+        return _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker, distributed_quantiles,
+                    started, side, held)
+    except Exception as e:
+        failed = {"run_id": run_id, "pipeline_version": PIPELINE_VERSION, "batch_date": batch_date, "status": "FAILED",
+                  "errors": [f"{type(e).__name__}: {e}"[:2000]], "duration_seconds": round(time.time() - started, 2)}
+        S.write_manifest(S.manifest_frame(spark, failed), os.path.join(out_dir, "run_manifest"))
+        raise
+    finally:
+        side.shutdown()
+        for s in held:
+            s.release()
+
+
+def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker, distributed_quantiles,
+         started, side, held) -> RunResult:
     ingested_at = f"{batch_date}T00:00:00Z"
     p = {layer: os.path.join(out_dir, layer) for layer in ("bronze", "silver", "quarantine", "gold")}
 
@@ -91,8 +112,7 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
     def put(df, layer, name):
         if callable(df):  # a builder that runs jobs of its own (e.g. a checkpoint)
             df = df()
-        S.write_layer(df.withColumn("batch_date", F.lit(batch_date)), path(layer, name), ["batch_date"])
-        return spark.read.parquet(path(layer, name)).filter(F.col("batch_date") == batch_date).drop("batch_date")
+        return S.replace_partition(df, path(layer, name), "batch_date", batch_date)
 
     def put_all(jobs):
         """Write independent tables of one layer concurrently (each is its own
@@ -102,16 +122,23 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
             return [f.result() for f in futs]
 
     # ---- bronze ---------------------------------------------------------------
-    stamp = dict(batch_id=f"BATCH-{batch_date}", ingested_at=ingested_at)
+    def stamped(name, df, source_type):
+        return (S.bronze_stamp(df, batch_id=f"BATCH-{batch_date}", ingested_at=ingested_at, source_type=source_type,
+                               raw_checksum=src.checksums.get(name)), "bronze", name)
+
     orders, merchants, lines, headers, dispatch, kds, tickets = put_all([
-        (S.bronze_stamp(src.orders, source_type=S.SOURCE_SQL, **stamp), "bronze", "orders"),
-        (S.bronze_stamp(src.merchants, source_type=S.SOURCE_SQL, **stamp), "bronze", "merchants"),
-        (S.bronze_stamp(src.line_items, source_type=S.SOURCE_SQL, **stamp), "bronze", "order_line_items"),
-        (src.headers, "bronze", "order_headers"),
-        (S.bronze_stamp(src.dispatch, source_type=S.SOURCE_API, **stamp), "bronze", "dispatch_attempts"),
-        (S.bronze_stamp(src.kds, source_type=S.SOURCE_CSV, **stamp), "bronze", "kds_logs"),
-        (S.bronze_stamp(src.tickets, source_type=S.SOURCE_JSON, **stamp), "bronze", "support_tickets"),
+        stamped("orders", src.orders, S.SOURCE_SQL),
+        stamped("merchants", src.merchants, S.SOURCE_SQL),
+        stamped("order_line_items", src.line_items, S.SOURCE_SQL),
+        stamped("order_headers", src.headers, S.SOURCE_SQL),
+        stamped("dispatch_attempts", src.dispatch, S.SOURCE_API),
+        stamped("kds_logs", src.kds, S.SOURCE_CSV),
+        stamped("support_tickets", src.tickets, S.SOURCE_JSON),
     ])
+    bronze = {"orders": (orders, S.SOURCE_SQL), "merchants": (merchants, S.SOURCE_SQL),
+              "order_line_items": (lines, S.SOURCE_SQL), "order_headers": (headers, S.SOURCE_SQL),
+              "dispatch_attempts": (dispatch, S.SOURCE_API), "kds_logs": (kds, S.SOURCE_CSV),
+              "support_tickets": (tickets, S.SOURCE_JSON)}
 
     pk = P.pk_integrity([("orders", orders, "order_id"), ("order_line_items", lines, "line_item_id"),
                          ("dispatch_attempts", dispatch, "dispatch_id"), ("kds_logs", kds, "kds_ticket_id")])
@@ -119,11 +146,13 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
     gate = P.completeness_gate(pk, recon)
     # the proof is recorded, not a precondition of silver: its one-row job
     # runs beside the silver and gold jobs instead of blocking them
-    side = ThreadPoolExecutor(max_workers=2)
     proof_job = side.submit(lambda: combine_one_row(gate, P.control_totals(headers)).first().asDict())
+    counts_job = side.submit(lambda: combine_one_row(*[
+        df.agg(F.count(F.lit(1)).alias(name)) for name, (df, _) in bronze.items()]).first().asDict())
 
     # ---- silver + quarantine ------------------------------------------------------
     s = C.validate_and_calibrate(orders, kds, dispatch, quarantined_at=ingested_at)
+    held.append(s)
     dlq = put(s.dlq, "quarantine", "quarantine_audit")
     s_orders, s_kds, s_disp, _, jittered, kitchen = put_all([
         (C.remove_quarantined(orders, dlq), "silver", "silver_orders"),
@@ -132,7 +161,10 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
         (s.churn, "silver", "fact_dispatch_churn"),
         (s.jittered.drop("_dlq"), "silver", "dispatch_terminal_all"),
         (s.kitchen.drop("_dlq"), "silver", "kds_calibrated_all"),
-    ])
+        (merchants, "silver", "silver_merchants"),
+        (tickets, "silver", "silver_support_tickets"),
+        (C.source_profile(orders, kds, dispatch), "silver", "source_profile"),
+    ])[:6]
     s.release()
     stored = C.Silver(orders=s_orders, kds=s_kds, dispatch=s_disp, churn=s.churn, dlq=dlq,
                       jittered=jittered, kitchen=kitchen)
@@ -154,14 +186,18 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: st
 
     staged = M.scenario_lookup(scen, "Staged Offset").select(F.col("p90_otd_min").alias("staged_dispatch_p90_sim_min"))
     gold_row = combine_one_row(fact_summary(fact, kpi), staged).first().asDict()
-    proof, silver_row = proof_job.result(), silver_job.result()
-    side.shutdown()
+    proof, silver_row, counts = proof_job.result(), silver_job.result(), counts_job.result()
+    put(M.evidence_table(kpi), "gold", "evidence_table")
     # the gate's verdict is already known from the proof: no rescan of bronze
     row = {"completeness_verified": bool(proof["completeness_verified"]), **silver_row, **gold_row}
     manifest = {
         "run_id": run_id, "pipeline_version": PIPELINE_VERSION, "batch_date": batch_date,
         "status": row["status"], "quarantine_trip_warning": bool(row["quarantine_trip_warning"]),
         "completeness": {k: proof[k] for k in proof},
+        "sources": {name: {"rows": counts[name], "retrieval": kind, "sha256": src.checksums.get(name)}
+                    for name, (_, kind) in bronze.items()},
+        "errors": [] if not row["quarantine_trip_warning"] else [
+            f"quarantine rate {row['quarantine_rate_pct']} % is over the limit of {threshold_pct} %"],
         "summary": row, "duration_seconds": round(time.time() - started, 2),
     }
     S.write_manifest(S.manifest_frame(spark, manifest), os.path.join(out_dir, "run_manifest"))

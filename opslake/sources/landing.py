@@ -12,6 +12,11 @@ SOURCE_SQL = "SQL_RDBMS"
 SOURCE_API = "REST_API_STREAM"
 SOURCE_CSV = "CSV_DAILY_EXPORT"
 SOURCE_JSON = "JSON_DOC_STORE"
+PAGE_SCHEMA = ("page long, page_size long, has_more boolean, total_records long, "
+               "data array<struct<order_id:string, driver_id:string, original_driver_id:string, "
+               "assigned_at:string, reassigned_at:string, estimated_pickup_at:string, "
+               "current_delivery_eta:string, dispatch_status:string, eta_model_version:string>>")
+BLOCK_BYTES = 1 << 20  # read and hashed at a time
 AUDIT_COLUMNS = ["_ingested_at", "_batch_id", "_source_type", "_raw_checksum"]
 
 
@@ -56,12 +61,6 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType | str,
     return r.json(path)
 
 
-PAGE_SCHEMA = ("page long, page_size long, has_more boolean, total_records long, "
-               "data array<struct<order_id:string, driver_id:string, original_driver_id:string, "
-               "assigned_at:string, reassigned_at:string, estimated_pickup_at:string, "
-               "current_delivery_eta:string, dispatch_status:string, eta_model_version:string>>")
-
-
 def read_pages(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA) -> DataFrame:
     """Landed API pages (one JSON envelope per file)."""
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
@@ -96,6 +95,18 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def replace_partition(df: DataFrame, path: str, column: str, value: str) -> DataFrame:
+    """One partition of a layer table replaced by ``df`` and read back with
+    its schema. The partition's own folder is overwritten, so content without
+    rows replaces what was there too, and a table without rows can be read."""
+    import re
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", value):
+        raise ValueError(f"not a partition value: {value!r}")
+    place = f"{path}/{column}={value}"
+    df.write.mode("overwrite").parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 # ---- S10 / S11 -----------------------------------------------------------------------
 def bronze_stamp(df: DataFrame, batch_id: str, ingested_at: str, source_type: str,
                  raw_checksum: str | None = None, with_file: bool = False) -> DataFrame:
@@ -113,24 +124,50 @@ def bronze_stamp(df: DataFrame, batch_id: str, ingested_at: str, source_type: st
     return out
 
 
-def file_checksums(spark: SparkSession, path: str, max_file_bytes: int = 2_000_000_000) -> DataFrame:
-    """SHA-256 of every landed file, computed in the executors
-    (``binaryFile`` reads one file per row). Files above the binary limit
-    are listed with a null hash; use ``content_checksum`` on their rows.
-    The length filter is applied by the binaryFile source before it reads
-    a file's bytes, and the large-file listing never asks for content."""
-    b = spark.read.format("binaryFile").load(path)
-    small = b.filter(F.col("length") <= max_file_bytes).select(
-        "path", "length", F.sha2("content", 256).alias("sha256"))
-    large = b.filter(F.col("length") > max_file_bytes).select(
-        "path", "length", F.lit(None).cast("string").alias("sha256"))
-    return small.unionByName(large)
+def _open(path: str):
+    """(filesystem, path) of a landed file, for reading in a task."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """Paths and sizes only; no byte of a file is read. Dealt out one by one,
+    so that files are hashed beside each other. The source lists no files
+    without bytes."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    return files.repartition(spark.sparkContext.defaultParallelism)
+
+
+def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256 of every landed file, of any size, computed in the
+    executors from blocks of BLOCK_BYTES."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+        for batch in batches:
+            sums = []
+            for name in batch.column(0).to_pylist():
+                store, at = _open(name)
+                h = hashlib.sha256()
+                with store.open_input_stream(at) as f:
+                    while block := f.read(BLOCK_BYTES):
+                        h.update(block)
+                sums.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string())], ["path", "length", "sha256"])
+
+    return _listing(spark, path).mapInArrow(run, "path string, length long, sha256 string")
 
 
 def row_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Per-row SHA-256 over a '|'-joined canonical text of the columns."""
+    """Per-row SHA-256 over the columns' texts, each with its length before it
+    (``4:text``; a missing value is ``-``), so that no two rows share a text."""
     cols = cols or df.columns
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    values = [F.col(c).cast("string") for c in cols]
+    text = F.concat(*[F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("-")) for v in values])
     return df.withColumn("row_sha256", F.sha2(text, 256))
 
 
@@ -142,22 +179,40 @@ def content_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return h.agg(F.count(F.lit(1)).alias("row_count"), F.sum("h").alias("content_sum"))
 
 
-def land_raw_files(spark: SparkSession, src: str, raw_dir: str,
-                   max_file_bytes: int = 2_000_000_000) -> DataFrame:
-    """Preserve landed files unchanged (bytes, path, size, hash) in a
-    raw zone before anything parses them; never overwrites an existing
-    raw zone. Returns the manifest of what was preserved. A file above the
-    binary row limit cannot be carried as one row: the copy is refused up
-    front (the check lists paths and sizes only, no bytes) instead of
-    failing inside the write or silently leaving the file out."""
-    b = spark.read.format("binaryFile").load(src)
-    too_big = b.filter(F.col("length") > max_file_bytes).select("path").limit(5).collect()
-    if too_big:
-        raise ValueError(f"files above {max_file_bytes} bytes cannot be kept as rows, e.g. "
-                         + ", ".join(r.path for r in too_big))
-    raw = b.select("path", "modificationTime", "length", "content", F.sha2("content", 256).alias("sha256"))
-    raw.write.mode("errorifexists").parquet(raw_dir)
-    return spark.read.parquet(raw_dir).select("path", "length", "sha256")
+def land_raw_files(spark: SparkSession, src: str, raw_dir: str) -> DataFrame:
+    """Preserve landed files unchanged, as files, before anything parses
+    them: copied block by block in the executors to ``raw_dir/files`` and
+    hashed on the way. ``raw_dir/manifest`` (path, length, sha256, raw_path) is
+    written last; where it exists the copy is refused, so a raw zone is never
+    overwritten. Parsers read ``raw_dir/files``."""
+    target = raw_dir.rstrip("/") + "/files"
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+        for batch in batches:
+            sums, places = [], []
+            for name in batch.column(0).to_pylist():
+                store, at = _open(name)
+                out, base = _open(target)
+                out.create_dir(base, recursive=True)
+                # a name of its own for each source path; a retried task writes the same bytes again
+                place = f"{hashlib.sha256(name.encode()).hexdigest()[:16]}-{name.rsplit('/', 1)[-1]}"
+                h = hashlib.sha256()
+                with store.open_input_stream(at) as f, out.open_output_stream(f"{base}/{place}") as g:
+                    while block := f.read(BLOCK_BYTES):
+                        h.update(block)
+                        g.write(block)
+                sums.append(h.hexdigest())
+                places.append(f"{target}/{place}")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string()), pa.array(places, pa.string())],
+                                             ["path", "length", "sha256", "raw_path"])
+
+    manifest = raw_dir.rstrip("/") + "/manifest"
+    rows = _listing(spark, src).mapInArrow(run, "path string, length long, sha256 string, raw_path string")
+    rows.write.mode("errorifexists").parquet(manifest)
+    return spark.read.parquet(manifest)
 
 
 def land(df: DataFrame, path: str, batch_id: str, ingested_at: str, source_type: str,

@@ -221,3 +221,68 @@ def test_event_census_leaves_missing_types_out(spark):
     e = spark.createDataFrame([("PING",), ("PING",), ("STORE_ARRIVED",), (None,)], "type string")
     got = {r.event_type: (r.event_count, r.arrival_event_recorded) for r in J.event_census(e).collect()}
     assert got == {"PING": (2, True), "STORE_ARRIVED": (1, True)}
+
+
+def test_missing_keys_and_statuses(spark):
+    """Duplicates list rows without a key; no other grouping makes a group of them."""
+    d = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "order_id long, x string")
+    assert sorted(r.x for r in K.duplicate_rows(d, "order_id").collect()) == ["a", "b"]
+    from opslake.operators import calibrate as C
+    from opslake.operators import lifecycle as L
+    att = spark.createDataFrame([(None, 1), (None, 2), (5, 3)], "order_id long, dispatch_id long")
+    assert C.redispatch_churn_counts(att).first()[0] == 0
+    f = spark.createDataFrame([(None, 40.0)], "order_status string, x double").selectExpr(
+        "order_status", "timestamp'2024-01-01 10:00:00' order_placed_at", "timestamp'2024-01-01 11:00:00' delivered_at",
+        "x stage1_merchant_lag_min", "x stage2_prep_overrun_min", "x rider_store_wait_min", "x stage5_last_mile_min")
+    r = L.attribute_bottleneck(L.sla_flags(f)).first()
+    assert r.is_completed is False and r.is_sla_breached is False and r.primary_delay_bottleneck == L.INCOMPLETE_LABEL
+    p = spark.createDataFrame([(1, None, True, 5.0, True), (2, "rain", True, 1.0, False)],
+                              "order_id long, weather_bucket string, is_valid_delivered boolean, delay_min double, is_late boolean")
+    assert [r.weather_bucket for r in J.late_by_category(p).collect()] == ["rain"]
+    i = spark.createDataFrame([(1, None, 1), (1, None, 2), (1, "CALL", 3)], "order_id long, intervention_type string, intervention_id long")
+    out = spark.createDataFrame([(1, 1.0, 1.0, 3.0)], "order_id long, delivered_flag double, late_flag double, delay_min double")
+    for distributed in (False, True):
+        assert [r.intervention_type for r in J.late_by_intervention_type(i, out, distributed=distributed).collect()] == ["CALL"]
+    j = spark.createDataFrame([(1, None, 1.0, 1.0, 1.0), (2, None, 1.0, 1.0, 1.0), (3, 8, 1.0, 1.0, 1.0)],
+                              "order_id long, restaurant_id long, delivered_flag double, late_flag double, delay_min double")
+    names = spark.createDataFrame([(8, "N")], "restaurant_id long, name string")
+    assert [r.restaurant_id for r in J.top_late_parents(j, names, n=1).collect()] == [8]
+
+
+def test_a_missing_group_has_its_quantiles_distributed_too(spark):
+    from opslake.functions.quantiles import Q, agg_with_quantiles
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, x double")
+    m = [("n", F.count(F.lit(1))), ("med", Q("x", 0.5))]
+    a, b = (sorted(map(tuple, agg_with_quantiles(df, m, by=["g"], distributed=d).collect()), key=str) for d in (False, True))
+    assert a == b == sorted([(None, 2, 2.0), ("a", 1, 5.0)], key=str)
+
+
+def test_verdicts_use_the_unrounded_rate_and_raw_keys(spark):
+    df = spark.range(100_000).withColumn("bad", F.col("id") < 4)
+    r = K.contract_report(df, [K.Rule("r", "few", F.lit(True), F.col("bad"), "CRITICAL")]).first()
+    assert r.violation_rate_pct == 0.0 and r.verdict == "FAIL"
+    raw = spark.createDataFrame([(1,), (1,), (1,), (2,)], "order_id long")
+    u = K.uniqueness_report(raw, "order_id", "unique", "one row an order", "CRITICAL").first()
+    assert (u.population, u.violations, u.verdict) == (4, 2, "FAIL")
+    assert K.uniqueness_report(raw.distinct(), "order_id", "unique", "", "CRITICAL").first().verdict == "PASS"
+
+
+def test_text_times_with_a_bad_value(spark):
+    s = spark.createDataFrame([(1, "2024-01-01 10:10:00"), (2, "soon")], "order_id long, last_updated_at string")
+    o = spark.createDataFrame([(1, "2024-01-01 10:00:00", None), (2, "2024-01-01 10:00:00", "x")],
+                              "order_id long, created_at string, pickup_at string")
+    r = K.freshness_lag(s, o).first()
+    assert r.linked_status_records == 2 and r.mean_lag_from_creation_min == 10.0
+
+
+def test_many_late_definitions_take_several_passes(spark):
+    p = spark.createDataFrame([(1, True, 5.0)], "order_id long, is_valid_delivered boolean, delay_min double")
+    raw = spark.createDataFrame([("delivered", None, None)], "final_status string, actual_delivery_at timestamp, promised_eta timestamp")
+    defs = [(f"D{i}", "", float(i % 10), "valid_delivered") for i in range(300)]
+    got = {r.definition: r.late_count for r in K.late_rate_definitions(raw, p, defs).collect()}
+    assert got == {f"D{i}": int(i % 10 < 5) for i in range(300)}
+
+
+def test_first_kept_row_is_not_the_one_without_a_time(spark):
+    d = spark.createDataFrame([(1, None, "bad"), (1, "2024", "good")], "order_id long, t string, x string")
+    assert K.dedupe_keep_first(d, "order_id", ["t"]).first().x == "good"

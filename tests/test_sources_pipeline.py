@@ -76,32 +76,28 @@ def test_checksums_match_hashlib(spark, tmpdir_fresh):
     assert r.sha256 == hashlib.sha256(payload).hexdigest() and r.length == len(payload)
     df = spark.createDataFrame([(1, "a"), (2, None)], "id long, v string")
     rows = {x.id: x.row_sha256 for x in S.row_checksum(df).collect()}
-    assert rows[1] == hashlib.sha256(b"1|a").hexdigest() and rows[2] == hashlib.sha256(b"2|").hexdigest()
+    assert rows[1] == hashlib.sha256(b"1:11:a").hexdigest() and rows[2] == hashlib.sha256(b"1:2-").hexdigest()
     c1 = S.content_checksum(df).first()
     c2 = S.content_checksum(df.orderBy(F.desc("id"))).first()
     assert c1 == c2
 
 
-def test_file_checksums_skip_content_of_oversized_files(spark, tmpdir_fresh):
-    """Files over the limit are listed with a null hash and their bytes are
-    never read (a lowered binaryFile limit stands in for the 2 GB one)."""
-    d = os.path.join(tmpdir_fresh, "mixed")
-    os.makedirs(d)
-    open(os.path.join(d, "small.bin"), "wb").write(b"12345")
-    open(os.path.join(d, "large.bin"), "wb").write(b"x" * 500)
-    key = "spark.sql.sources.binaryFile.maxLength"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "100")
-    try:
-        got = {os.path.basename(r.path): r.sha256 for r in S.file_checksums(spark, d, max_file_bytes=100).collect()}
-    finally:
-        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
-    assert got == {"small.bin": hashlib.sha256(b"12345").hexdigest(), "large.bin": None}
-    # the raw-zone copy refuses such a file up front and writes nothing
-    raw = os.path.join(tmpdir_fresh, "raw_mixed")
-    with pytest.raises(ValueError, match="large.bin"):
-        S.land_raw_files(spark, d, raw, max_file_bytes=100)
-    assert not os.path.exists(raw)
+def test_files_of_several_blocks_are_hashed_and_kept_whole(spark, tmpdir_fresh, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK_BYTES", 64)
+    d, raw = os.path.join(tmpdir_fresh, "in"), os.path.join(tmpdir_fresh, "raw")
+    texts = {"a b.txt": "x" * 1000, "c.json": json.dumps({"k": "\u00e9" * 300})}
+    for name, text in texts.items():
+        _write(os.path.join(d, name), text)
+    want = {name: hashlib.sha256(text.encode()).hexdigest() for name, text in texts.items()}
+    got = {os.path.basename(r.path).replace("%20", " "): r for r in S.file_checksums(spark, d).collect()}
+    assert {n: r.sha256 for n, r in got.items()} == want and got["a b.txt"].length == 1000
+    kept = S.land_raw_files(spark, d, raw).collect()
+    assert sorted(r.sha256 for r in kept) == sorted(want.values())
+    for r in kept:
+        with open(r.raw_path, "rb") as f:
+            assert hashlib.sha256(f.read()).hexdigest() == r.sha256
+    with pytest.raises(Exception):
+        S.land_raw_files(spark, d, raw)
 
 
 def test_stamps_and_dynamic_overwrite(spark, tmpdir_fresh):
@@ -253,3 +249,70 @@ def test_checkpoint_dir_is_read_from_the_session_and_never_invented_on_a_cluster
         checkpoint_dir(Session("yarn", {}))
     local = Session("local[2]", {})
     assert checkpoint_dir(local) == local.conf["spark.checkpoint.dir"]
+
+
+def test_row_checksum_tells_null_empty_and_separators_apart(spark):
+    df = spark.createDataFrame([("a|", "b"), ("a", "|b"), (None, "b"), ("", "b"), ("-", "b")], "x string, y string")
+    assert S.row_checksum(df).select("row_sha256").distinct().count() == 5
+
+
+def _small_sources(spark, bad_ready: bool, rejected: bool):
+    from opslake.plans.pipeline import Sources
+    o = spark.createDataFrame(
+        [(i, 1, 7, "COMPLETED", "2024-01-01 10:00:00", "2024-01-01 10:35:00", 500 + i) for i in (1, 2)],
+        "order_id long, customer_id long, merchant_id long, order_status string, order_timestamp string, "
+        "promised_sla_timestamp string, total_cents long")
+    m = spark.createDataFrame([(7, "M", "C", "thai", 4)], "merchant_id long, merchant_name string, cluster_id string, "
+                              "cuisine_type string, kitchen_capacity int")
+    k = spark.createDataFrame(
+        [(10 + i, i, "2024-01-01 10:01:00", "2024-01-01 10:40:00" if bad_ready and i == 2 else "2024-01-01 10:10:00", 3, 600)
+         for i in (1, 2)], "kds_ticket_id long, order_id long, ticket_printed_at string, food_ready_at string, "
+        "active_kitchen_queue_depth int, estimated_prep_sec int")
+    att = [(20 + i, i, 5, 1, "COMPLETED", "2024-01-01 10:02:00", "2024-01-01 10:03:00", "2024-01-01 10:12:00",
+            "2024-01-01 10:13:00", "2024-01-01 10:30:00") for i in (1, 2)]
+    if rejected:
+        att.append((29, 1, 6, 0, "REJECTED", "2024-01-01 10:01:00", None, None, None, None))
+    d = spark.createDataFrame(att, "dispatch_id long, order_id long, driver_id long, attempt_number int, dispatch_status string, "
+                              "offered_at string, responded_at string, arrived_at_store_at string, picked_up_at string, "
+                              "delivered_at string")
+    lines = spark.createDataFrame([(1, 1, 1, 500), (2, 2, 1, 500)], "line_item_id long, order_id long, quantity int, "
+                                  "unit_price_cents long")
+    heads = spark.createDataFrame([(i, 500, 0, 0, 500) for i in (1, 2)], "order_id long, subtotal_cents long, "
+                                  "delivery_fee_cents long, tip_cents long, total_amount_cents long")
+    t = spark.createDataFrame([(1, 1, 100, 3)], "ticket_id long, order_id long, compensation_amount_cents long, csat_score int")
+    return Sources(orders=o, merchants=m, line_items=lines, headers=heads, kds=k, dispatch=d, tickets=t,
+                   checksums={"kds_logs": "abc"})
+
+
+def test_corrected_rerun_empties_the_quarantine(spark, tmpdir_fresh):
+    from opslake.plans.pipeline import run_pipeline
+
+    def stored(layer, name):
+        return spark.read.parquet(os.path.join(tmpdir_fresh, layer, name))
+
+    run_pipeline(spark, _small_sources(spark, True, True), tmpdir_fresh, "2024-01-01")
+    assert stored("quarantine", "quarantine_audit").count() == 1 and stored("silver", "silver_orders").count() == 1
+    assert stored("silver", "fact_dispatch_churn").count() == 1
+    spark.catalog.clearCache()
+    r = run_pipeline(spark, _small_sources(spark, False, False), tmpdir_fresh, "2024-01-01")  # nothing to quarantine or reject
+    spark.catalog.refreshByPath(tmpdir_fresh)
+    assert stored("quarantine", "quarantine_audit").count() == 0 and stored("silver", "silver_orders").count() == 2
+    assert stored("silver", "fact_dispatch_churn").count() == 0
+    fact = stored("silver", "fact_order_lifecycle")
+    assert {"promised_sla_at", "total_cents", "order_placed_at"} <= set(fact.columns) and fact.count() == 2
+    assert r.manifest["sources"]["kds_logs"] == {"rows": 2, "retrieval": S.SOURCE_CSV, "sha256": "abc"}
+    assert r.manifest["errors"] == []
+    assert {x._raw_checksum for x in stored("bronze", "kds_logs").collect()} == {"abc"}
+    for layer, name in (("silver", "silver_merchants"), ("silver", "silver_support_tickets"), ("silver", "source_profile"),
+                        ("gold", "evidence_table"), ("bronze", "order_headers")):
+        assert stored(layer, name).count() > 0, name
+
+
+def test_a_run_that_raises_leaves_a_failed_manifest(spark, tmpdir_fresh):
+    from opslake.plans.pipeline import run_pipeline
+    src = _small_sources(spark, False, False)
+    src.kds = src.kds.drop("food_ready_at")
+    with pytest.raises(Exception):
+        run_pipeline(spark, src, tmpdir_fresh, "2024-01-01")
+    m = json.loads(spark.read.json(os.path.join(tmpdir_fresh, "run_manifest")).first()["manifest"])
+    assert m["status"] == "FAILED" and m["errors"]

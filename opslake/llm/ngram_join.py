@@ -42,7 +42,7 @@ from opslake.llm.textkit import batch_shingles, batch_words, shingles_of, slices
 SKETCH_BITS = 21
 #: documents and n-grams of one verification block
 BLOCK_DOCS = 2048
-BLOCK_GRAMS = 2_000_000
+BLOCK_GRAMS = 500_000
 #: bits of the filter that picks candidates' texts from the second scan
 BLOOM_BITS = 23
 #: a list up to this long gives its pairs; longer ones are dealt in blocks, and so, without

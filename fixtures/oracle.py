@@ -35,12 +35,11 @@ def norm(x: str) -> str:
 
 
 def _first_max_sql(vals: list[str], labels: list[str]) -> str:
-    best, label = vals[0], f"'{labels[0]}'"
-    for v, lab in zip(vals[1:], labels[1:]):
-        take = f"coalesce(({v}) > ({best}), false)"
-        best, label = (f"(CASE WHEN {take} THEN ({v}) ELSE ({best}) END)",
-                       f"(CASE WHEN {take} THEN '{lab}' ELSE {label} END)")
-    return label
+    """The label of the largest value, the first listed among equal ones; a
+    missing first value is never exceeded."""
+    v = f"[{', '.join(vals)}]"
+    return (f"(CASE WHEN ({vals[0]}) IS NULL THEN '{labels[0]}' "
+            f"ELSE {labels!r}[list_position({v}, list_max({v}))] END)")
 
 
 _S1 = "stage1_merchant_lag_min"
@@ -67,7 +66,8 @@ VIEWS["v_lc"] = """SELECT k AS order_id, o_custkey AS customer_id, o_custkey AS
   CASE WHEN cancelled AND k % 5 < 3 THEN NULL ELSE placed + to_seconds(1200 + (k * 11) % 1500 + (k * 19) % 900) END AS delivered,
   CAST(k % 17 AS INTEGER) AS queue_depth, CAST(360 + 180 * (k % 3) AS INTEGER) AS estimated_prep_sec
 FROM lc0"""
-VIEWS["src_orders"] = """SELECT order_id, customer_id, merchant_id, order_status, placed AS order_timestamp,
+VIEWS["src_orders"] = """SELECT order_id, customer_id, merchant_id,
+  CASE WHEN order_id % 211 <> 5 THEN order_status END AS order_status, placed AS order_timestamp,
   placed + to_seconds(2100) AS promised_sla_timestamp FROM v_lc"""
 VIEWS["src_merchants"] = """SELECT c_custkey AS merchant_id, c_name AS merchant_name, c_mktsegment AS cluster_id,
   'cuisine_' || CAST(c_nationkey % 6 AS VARCHAR) AS cuisine_type, CAST(4 + c_custkey % 9 AS INTEGER) AS kitchen_capacity,
@@ -76,7 +76,8 @@ VIEWS["src_kds"] = """SELECT order_id AS kds_ticket_id, order_id, merchant_id, p
   ready AS food_ready_at, queue_depth AS active_kitchen_queue_depth, estimated_prep_sec FROM v_lc"""
 VIEWS["att0"] = """SELECT *, unnest(generate_series(1, n)) AS a FROM
   (SELECT *, 1 + CAST(order_id % 7 = 0 AS INTEGER) + CAST(order_id % 21 = 0 AS INTEGER) AS n FROM v_lc)"""
-VIEWS["src_dispatch"] = """SELECT order_id * 3 + a - 1 AS dispatch_id, order_id, (order_id * 7 + a) % 500 AS driver_id,
+VIEWS["src_dispatch"] = """SELECT order_id * 3 + a - 1 AS dispatch_id,
+  CASE WHEN a = n OR order_id % 11 <> 0 THEN order_id END AS order_id, (order_id * 7 + a) % 500 AS driver_id,
   CAST(a AS INTEGER) AS attempt_number,
   CASE WHEN a < n THEN 'REJECTED' WHEN aborted THEN 'CANCELLED_BY_SYSTEM' ELSE 'COMPLETED' END AS dispatch_status,
   placed + to_seconds(a * 60) AS offered_at, placed + to_seconds(a * 60 + 20) AS responded_at,
@@ -87,7 +88,7 @@ VIEWS["src_tickets"] = """SELECT event_id AS ticket_id,
        ELSE (event_id * 5) % (SELECT n FROM nk) END AS order_id,
   user_id AS customer_id, ts AS created_at,
   CASE WHEN event_id % 60 = 0 THEN 'Late Delivery' WHEN event_id % 61 = 0 THEN 'late_delivery '
-       WHEN event_id % 67 = 0 THEN 'ETA issue'
+       WHEN event_id % 67 = 0 THEN 'ETA issue' WHEN event_id % 71 = 0 THEN NULL
        ELSE ['late_delivery', 'eta_changed', 'restaurant_delay'][event_id % 3 + 1] END AS category,
   props AS customer_message, CAST(round(value * 100) AS BIGINT) AS compensation_amount_cents,
   CAST(1 + event_id % 5 AS INTEGER) AS csat_score
@@ -164,7 +165,7 @@ VIEWS["f1"] = f"""SELECT *,
   {clip0(mins('arrived_at_store_at', 'picked_up_at'))} AS stage4_store_handoff_min,
   {clip0(mins('picked_up_at', 'delivered_at'))} AS stage5_last_mile_min,
   {mins('order_placed_at', 'delivered_at')} AS total_otd_min,
-  order_status = 'COMPLETED' AS is_completed
+  order_status IS NOT DISTINCT FROM 'COMPLETED' AS is_completed
 FROM f0"""
 VIEWS["f2"] = f"""SELECT *, {clip0('actual_prep_min - nominal_prep_min')} AS stage2_prep_overrun_min,
   (coalesce(total_otd_min > 35.0, false) AND is_completed) AS is_sla_breached FROM f1"""
@@ -182,13 +183,14 @@ FROM orders o LEFT JOIN (SELECT order_id, CAST(sum(quantity * unit_price_cents)
   GROUP BY order_id) s ON s.order_id = o.o_orderkey"""
 
 # ---- notebook data set -------------------------------------------------------------------------
-VIEWS["nb0"] = """SELECT l.order_id, l.customer_id, l.customer_id % 60 AS restaurant_id, l.order_id % 120 AS driver_id,
+VIEWS["nb0"] = """SELECT l.order_id, l.customer_id, CASE WHEN l.order_id % 9 <> 4 THEN l.customer_id % 60 END AS restaurant_id,
+  l.order_id % 120 AS driver_id,
   l.order_id % 3 AS lay, l.placed,
   CASE WHEN l.order_id % 400 = 7 THEN l.placed - to_seconds(600) ELSE l.placed + to_seconds(2400) END AS prom,
   CASE WHEN l.order_id % 300 = 11 THEN l.delivered + to_seconds(60) ELSE l.picked END AS pick,
   l.delivered, l.order_status, c.c_mktsegment
 FROM v_lc l LEFT JOIN customer c ON c.c_custkey = l.customer_id"""
-VIEWS["nb1"] = f"""SELECT order_id, customer_id, restaurant_id, driver_id, {txt('placed')} AS created_at,
+VIEWS["nb1"] = f"""SELECT order_id, customer_id, restaurant_id, driver_id, CASE WHEN order_id % 131 <> 6 THEN {txt('placed')} END AS created_at,
   {txt('prom')} AS promised_eta, {txt('pick')} AS pickup_at,
   CASE WHEN order_id % 41 = 0 THEN NULL WHEN order_id % 53 = 0 THEN 'pending' ELSE {txt('delivered')} END
     AS actual_delivery_at,
@@ -196,7 +198,7 @@ VIEWS["nb1"] = f"""SELECT order_id, customer_id, restaurant_id, driver_id, {txt(
        WHEN order_id % 89 = 0 THEN 'delivered ' ELSE 'delivered' END AS final_status,
   CASE WHEN order_id % 500 = 3 THEN 'HIGH' ELSE ['low', 'medium', 'high', 'severe'][order_id % 4 + 1] END
     AS traffic_bucket,
-  c_mktsegment AS weather_bucket, CAST((order_id * 29) % 300 AS DOUBLE) / 10.0 AS distance_km_estimate
+  CASE WHEN order_id % 83 <> 2 THEN c_mktsegment END AS weather_bucket, CAST((order_id * 29) % 300 AS DOUBLE) / 10.0 AS distance_km_estimate
 FROM nb0"""
 VIEWS["nb_raw"] = "SELECT * FROM nb1 UNION ALL SELECT * FROM nb1 WHERE order_id % 500 = 0"
 VIEWS["nb_parsed"] = """SELECT order_id, customer_id, restaurant_id, driver_id,
@@ -229,12 +231,14 @@ VIEWS["v_actions"] = """SELECT event_id AS action_id, ((event_id // 4) * 7) % (S
   CASE WHEN user_id % 2 = 0 THEN 'app' ELSE 'web' END AS channel
 FROM events WHERE event_type IN ('view', 'click', 'signup')"""
 VIEWS["v_interv"] = """SELECT event_id AS intervention_id, ((event_id // 5) * 11) % (SELECT n FROM nk) AS order_id,
-  ts AS intervention_at, ['PRIORITY_DISPATCH', 'DRIVER_REASSIGNMENT', 'VOUCHER'][event_id % 3 + 1] AS intervention_type,
+  ts AS intervention_at, CASE WHEN event_id % 37 <> 0
+    THEN ['PRIORITY_DISPATCH', 'DRIVER_REASSIGNMENT', 'VOUCHER'][event_id % 3 + 1] END AS intervention_type,
   'ops' AS initiated_by, 'risk_' || CAST(event_id % 4 AS VARCHAR) AS reason
 FROM events WHERE event_type = 'purchase'"""
 VIEWS["v_status"] = """SELECT order_id, customer_id % 60 AS restaurant_id,
   ['preparing', 'ready', 'ready ', 'READY', 'handed_off', 'handoff', 'unknown'][order_id % 7 + 1] AS status,
-  placed + to_seconds((order_id * 13) % 3000) AS last_updated_at FROM v_lc WHERE order_id % 3 = 0"""
+  TRY_CAST(CASE WHEN order_id % 57 = 0 THEN 'soon'
+    ELSE strftime(placed + to_seconds((order_id * 13) % 3000), '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS last_updated_at FROM v_lc WHERE order_id % 3 = 0"""
 VIEWS["v_rest"] = """SELECT s_suppkey AS restaurant_id, s_name AS restaurant_name,
   'cuisine_' || CAST(s_nationkey % 6 AS VARCHAR) AS cuisine FROM supplier"""
 VIEWS["v_drivers"] = "SELECT p_partkey AS driver_id, p_brand AS vehicle FROM part"

@@ -100,7 +100,8 @@ class DriverTables:
     def orders(self) -> DataFrame:
         s = self.lifecycle_src
         return s.select(
-            "order_id", "customer_id", "merchant_id", "order_status",
+            "order_id", "customer_id", "merchant_id",
+            F.when(F.col("order_id") % 211 != 5, F.col("order_status")).alias("order_status"),
             F.col("placed").alias("order_timestamp"),
             _plus("placed", F.lit(2100)).alias("promised_sla_timestamp"))
 
@@ -135,7 +136,8 @@ class DriverTables:
         return (s.withColumn("n", n)
                 .withColumn("attempt_number", F.explode(F.sequence(F.lit(1), F.col("n"))))
                 .select(
-                    (K() * 3 + a - 1).alias("dispatch_id"), "order_id",
+                    (K() * 3 + a - 1).alias("dispatch_id"),
+                    F.when(last | (K() % 11 != 0), K()).alias("order_id"),
                     ((K() * 7 + a) % 500).alias("driver_id"),
                     a.alias("attempt_number"),
                     F.when(~last, "REJECTED").when(F.col("aborted"), "CANCELLED_BY_SYSTEM")
@@ -158,7 +160,7 @@ class DriverTables:
             F.col("user_id").alias("customer_id"),
             F.col("ts").cast("timestamp").alias("created_at"),
             F.when(e % 60 == 0, "Late Delivery").when(e % 61 == 0, "late_delivery ")
-            .when(e % 67 == 0, "ETA issue")
+            .when(e % 67 == 0, "ETA issue").when(e % 71 == 0, F.lit(None).cast("string"))
             .otherwise(_pick(e % 3, ["late_delivery", "eta_changed", "restaurant_delay"])).alias("category"),
             F.col("props").alias("customer_message"),
             F.round(F.col("value") * 100).cast("long").alias("compensation_amount_cents"),
@@ -204,9 +206,9 @@ class DriverTables:
         null_s = F.lit(None).cast("string")
         base = s.join(cust, "customer_id", "left").select(
             F.col("order_id"), F.col("customer_id"),
-            (F.col("customer_id") % 60).alias("restaurant_id"),
+            F.when(K() % 9 != 4, F.col("customer_id") % 60).alias("restaurant_id"),
             (K() % 120).alias("driver_id"),
-            as_text(F.col("placed")).alias("created_at"),
+            F.when(K() % 131 != 6, as_text(F.col("placed"))).alias("created_at"),
             as_text(F.when(K() % 400 == 7, _plus("placed", F.lit(-600)))
                     .otherwise(_plus("placed", F.lit(2400)))).alias("promised_eta"),
             as_text(F.when(K() % 300 == 11, _plus("delivered", F.lit(60)))
@@ -217,7 +219,7 @@ class DriverTables:
             .when(K() % 89 == 0, "delivered ").otherwise("delivered").alias("final_status"),
             F.when(K() % 500 == 3, "HIGH").otherwise(
                 _pick(K() % 4, ["low", "medium", "high", "severe"])).alias("traffic_bucket"),
-            F.col("c_mktsegment").alias("weather_bucket"),
+            F.when(K() % 83 != 2, F.col("c_mktsegment")).alias("weather_bucket"),
             (((K() * 29) % 300) / 10.0).alias("distance_km_estimate"))
         # rows with k % 500 = 0 appear twice: one pass, the copy made by explode
         copies = F.when(F.col("order_id") % 500 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
@@ -247,7 +249,8 @@ class DriverTables:
             "order_id", (F.col("customer_id") % 60).alias("restaurant_id"),
             _pick(K() % 7, ["preparing", "ready", "ready ", "READY", "handed_off", "handoff", "unknown"])
             .alias("status"),
-            _plus("placed", (K() * 13) % 3000).alias("last_updated_at"))
+            F.when(K() % 57 == 0, "soon").otherwise(
+                F.date_format(_plus("placed", (K() * 13) % 3000), "yyyy-MM-dd HH:mm:ss")).alias("last_updated_at"))
 
     @cached_property
     def app_actions(self) -> DataFrame:
@@ -272,7 +275,8 @@ class DriverTables:
             e.alias("intervention_id"),
             ((F.expr("event_id div 5") * 11) % n).alias("order_id"),
             F.col("ts").cast("timestamp").alias("intervention_at"),
-            _pick(e % 3, ["PRIORITY_DISPATCH", "DRIVER_REASSIGNMENT", "VOUCHER"]).alias("intervention_type"),
+            F.when(e % 37 != 0, _pick(e % 3, ["PRIORITY_DISPATCH", "DRIVER_REASSIGNMENT", "VOUCHER"]))
+            .alias("intervention_type"),
             F.lit("ops").alias("initiated_by"),
             F.concat(F.lit("risk_"), (e % 4).cast("string")).alias("reason"))
 

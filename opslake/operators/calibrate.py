@@ -281,20 +281,25 @@ def validate_and_calibrate(orders: DataFrame, kds: DataFrame, dispatch: DataFram
 
 
 # ---- V12 / V13 -------------------------------------------------------------------
-def calibration_audit(s: Silver) -> DataFrame:
-    """Detections count every row (quarantined included); calibrations
-    count rows that reached silver only."""
+def detections(s: Silver) -> DataFrame:
+    """One row: faults found in all rows, quarantined ones included."""
     det_k = s.kitchen.agg(
         (F.count_if("backward_drift_detected") + F.count_if("forward_drift_detected"))
         .alias("pos_clock_drift_instances"),
         F.count_if("missing_ready_detected").alias("missing_bump_bar_instances"))
     det_j = s.jittered.agg(F.count_if("jitter_detected").alias("network_jitter_instances"))
+    return combine_one_row(det_k, det_j)
+
+
+def calibration_audit(s: Silver, detected: DataFrame | None = None) -> DataFrame:
+    """Detections count every row (quarantined included); calibrations
+    count rows that reached silver only. ``detected``: stored ``detections``."""
     q = s.dlq.agg(F.count(F.lit(1)).alias("quarantined_records_count"))
     cal_k = s.kds.agg(F.count_if("clock_drift_calibrated_flag").alias("clock_drift_calibrated_count"),
                       F.count_if("is_food_ready_imputed_flag").alias("food_ready_imputed_count"))
     cal_j = s.dispatch.agg(F.count_if("network_jitter_clamped_flag").alias("network_jitter_clamped_count"))
     clean = s.orders.agg(F.count(F.lit(1)).alias("clean_records_passed_to_silver"))
-    return combine_one_row(det_k, det_j, q, cal_k, cal_j, clean)
+    return combine_one_row(detections(s) if detected is None else detected, q, cal_k, cal_j, clean)
 
 
 def quarantine_rate(s: Silver) -> DataFrame:

@@ -30,6 +30,12 @@ DISTANCE_BANDS = [("<5km", 0.0, 5.0), ("5-10km", 5.0, 10.0), ("10-15km", 10.0, 1
 ARRIVAL_EVENT_TYPES = ["ARRIVED_AT_RESTAURANT", "STORE_ARRIVED"]
 ACTION_ETA, ACTION_CANCEL, ACTION_SUPPORT = "ETA_VIEWED", "CANCEL_CLICKED", "SUPPORT_OPENED"
 NO_INTERVENTION = "NONE"
+# (metric, kind, target)
+METRICS = [("Late Delivery Rate", "Outcome", "< 15.0%"),
+           ("Severe Delay Rate (>10m)", "Defect Outcome", "< 5.0%"),
+           ("Frustration Escalation Rate", "Customer Interaction", "< 10.0%"),
+           ("Operational Intervention Coverage", "Intervention", "> 30.0%"),
+           ("Intervention Salvage Success Rate", "Intervention Efficacy", "> 60.0%")]
 CANONICAL_MODEL = [
     # (entity, role, pk, fks, grain)
     ("dim_customers", "Dimension", "customer_id", "", "1 row per customer"),
@@ -331,7 +337,7 @@ def journey_questions(journey: DataFrame, interventions: DataFrame) -> DataFrame
 
 
 def journey_metrics(journey: DataFrame) -> DataFrame:
-    """Five business metrics, unpivoted to one row each."""
+    """Five business metrics with kind and target, unpivoted to one row each."""
     delivered = F.col("delivered_flag") == 1
     intervened = F.col("intervention_count") > 0
 
@@ -344,10 +350,9 @@ def journey_metrics(journey: DataFrame) -> DataFrame:
         rate_over(F.lit(True), (F.col("support_opened") == 1) | (F.col("cancel_attempted") == 1)).alias("m3"),
         rate_over(F.lit(True), intervened).alias("m4"),
         rate_over(intervened & delivered, F.col("late_flag") == 0.0).alias("m5"))
-    names = ["Late Delivery Rate", "Severe Delay Rate (>10m)", "Frustration Escalation Rate",
-             "Operational Intervention Coverage", "Intervention Salvage Success Rate"]
-    rows = F.array(*[F.struct(F.lit(i + 1).alias("metric_no"), F.lit(n).alias("metric_name"),
-                              F.col(f"m{i + 1}").alias("value_pct")) for i, n in enumerate(names)])
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("metric_no"), F.lit(name).alias("metric_name"),
+                              F.lit(kind).alias("metric_type"), F.col(f"m{i + 1}").alias("value_pct"),
+                              F.lit(target).alias("target")) for i, (name, kind, target) in enumerate(METRICS)])
     return a.select(F.inline(rows))
 
 

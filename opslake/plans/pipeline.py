@@ -154,27 +154,26 @@ def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker
     s = C.validate_and_calibrate(orders, kds, dispatch, quarantined_at=ingested_at)
     held.append(s)
     dlq = put(s.dlq, "quarantine", "quarantine_audit")
-    s_orders, s_kds, s_disp, _, jittered, kitchen = put_all([
+    s_orders, s_kds, s_disp, _, detected = put_all([
         (C.remove_quarantined(orders, dlq), "silver", "silver_orders"),
         (C.remove_quarantined(s.kitchen.drop("_dlq"), dlq), "silver", "silver_kds_calibrated"),
         (C.remove_quarantined(s.jittered.drop("_dlq"), dlq), "silver", "silver_dispatch_terminal"),
         (s.churn, "silver", "fact_dispatch_churn"),
-        (s.jittered.drop("_dlq"), "silver", "dispatch_terminal_all"),
-        (s.kitchen.drop("_dlq"), "silver", "kds_calibrated_all"),
+        (C.detections(s), "silver", "calibration_detections"),
         (merchants, "silver", "silver_merchants"),
         (tickets, "silver", "silver_support_tickets"),
         (C.source_profile(orders, kds, dispatch), "silver", "source_profile"),
-    ])[:6]
+    ])[:5]
     s.release()
     stored = C.Silver(orders=s_orders, kds=s_kds, dispatch=s_disp, churn=s.churn, dlq=dlq,
-                      jittered=jittered, kitchen=kitchen)
+                      jittered=s.jittered, kitchen=s.kitchen)
     breaker = K.circuit_breaker(C.quarantine_rate(stored), threshold_pct, halt_on_breaker)
     if halt_on_breaker:
         K.raise_if_tripped(breaker)
     # the silver part of the manifest needs only the stored silver tables:
     # its one-row job runs beside the fact and gold writes
     silver_job = side.submit(lambda: combine_one_row(
-        breaker_summary(stored, threshold_pct), C.calibration_audit(stored)).first().asDict())
+        breaker_summary(stored, threshold_pct), C.calibration_audit(stored, detected.drop("batch_date"))).first().asDict())
 
     # ---- model + gold ---------------------------------------------------------------
     fact = put(L.build_fact(s_orders, merchants, s_kds, s_disp, tickets), "silver", "fact_order_lifecycle")

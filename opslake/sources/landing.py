@@ -111,13 +111,17 @@ def replace_partition(df: DataFrame, path: str, column: str, value: str) -> Data
 def bronze_stamp(df: DataFrame, batch_id: str, ingested_at: str, source_type: str,
                  raw_checksum: str | None = None, with_file: bool = False) -> DataFrame:
     """Audit stamp columns. Clock values are parameters, so re-running
-    a batch gives identical rows. ``with_file`` adds the source file path
-    from the scan's hidden ``_metadata`` column."""
+    a batch gives identical rows. Rows that carry the checksum of their file
+    keep it. ``with_file`` adds the source file path from the scan's hidden
+    ``_metadata`` column."""
+    checksum = F.lit(raw_checksum).cast("string")
+    if "_raw_checksum" in df.columns:
+        checksum = F.coalesce(F.col("_raw_checksum"), checksum)
     out = df.withColumns({
         "_ingested_at": F.lit(ingested_at),
         "_batch_id": F.lit(batch_id),
         "_source_type": F.lit(source_type),
-        "_raw_checksum": F.lit(raw_checksum).cast("string"),
+        "_raw_checksum": checksum,
     })
     if with_file:
         out = out.withColumn("_source_file", F.col("_metadata.file_path"))

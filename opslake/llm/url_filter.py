@@ -1,12 +1,14 @@
 """URL filter: rules first, then a path-template tree learned from labelled pages.
 
 For each host the paths form a tree. Digits and long hexadecimal runs of a
-segment become placeholders; then, level by level, a segment that too small a
-part of its branch's pages have becomes a wildcard, so that a branch keeps at
-most 1 / MIN_SHARE literal segments beside it. Sibling templates whose shares of
-bad pages do not differ significantly are merged, and a merged template is
-rejected when its share of bad pages, smoothed towards that of all labelled
-pages, reaches PURITY; one without a labelled page is not.
+segment become placeholders; then, level by level to the paths' real depth, a
+segment becomes a wildcard when too small a part of its branch's pages have it
+and its labels say nothing of their own: they are fewer than ENOUGH and their
+share of bad pages does not differ significantly from that of the branch's other
+segments with few labels. A branch keeps any number of literal segments. Sibling
+templates whose shares of bad pages do not differ significantly are merged, and
+a merged template is rejected when its share of bad pages, smoothed towards that
+of all labelled pages, reaches PURITY; one without a labelled page is not.
 
 Everything is DataFrame expressions. Pages are summed up by host and shape of
 the path first, so the tree's levels work on few rows and a host with a third
@@ -16,6 +18,7 @@ of all pages costs no more than another.
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,14 +26,18 @@ from pyspark.sql.window import Window
 
 from opslake.llm.graph import cut
 
-#: a segment stays literal if it has this part of its branch's pages, and so many
+#: a segment stays literal if it has so many pages, and this part of its branch's or labels of its own
 MIN_SHARE, MIN_PAGES = 0.02, 3
-#: levels of the tree; deeper segments are one wildcard
+#: only how a template is written: wildcards from this segment to the end are one, with their number
 LEVELS = 8
 #: siblings are merged when their shares differ by fewer standard errors
 SIMILAR = 1.64
 #: pseudo-pages of the overall share, and the share from which a template is rejected
 SMOOTHING, PURITY = 10.0, 0.5
+#: labelled pages with which any segment stays literal: they outweigh the pseudo-pages
+ENOUGH = 10
+#: levels' finished shapes that are written as one frame
+PARTS = 16
 
 # fixed values: the rules of the registered query
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
@@ -62,31 +69,65 @@ def _ruled(host: Column, path: Column, rules: list[tuple[str, str]], give) -> Co
 
 
 def _shape(path: Column) -> Column:
-    """The path's segments, digits and long hexadecimal runs as placeholders;
-    segments from LEVELS on as one."""
+    """The path's segments, digits and long hexadecimal runs as placeholders."""
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    one = F.transform(F.slice(parts, 1, LEVELS), lambda x: F.regexp_replace(
+    return F.transform(parts, lambda x: F.regexp_replace(
         F.regexp_replace(x, r"[0-9a-fA-F]{8}(?:-?[0-9a-fA-F]{4}){3}-?[0-9a-fA-F]{12}|[0-9a-fA-F]{16,}", "{x}"), r"[0-9]+", "{n}"))
-    return F.when(F.size(parts) > LEVELS, F.concat(F.slice(one, 1, LEVELS - 1), F.array(F.lit("**")))).otherwise(one)
 
 
 def _generalised(shapes: DataFrame) -> DataFrame:
-    """host, shape, pages, ... with template: wildcards for rare segments, level by level."""
-    depth = shapes.agg(F.max(F.size("shape")).alias("d")).first()["d"] or 0
-    out = shapes.withColumn("template", F.lit(""))
-    for level in range(min(depth, LEVELS)):
-        here = F.get("shape", F.lit(level))
-        step = out.groupBy("host", "template", here.alias("seg")).agg(F.sum("pages").alias("own"))
-        branch = step.where("seg is not null").groupBy("host", "template").agg(F.sum("own").alias("all"))
-        stays = (step.join(branch, ["host", "template"])
-                 .where((F.col("own") >= MIN_PAGES) & (F.col("own") >= MIN_SHARE * F.col("all")))
-                 .select("host", "template", "seg", F.lit(True).alias("literal")))
-        out = (out.withColumn("seg", here).join(stays, ["host", "template", "seg"], "left")
-               .withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-                   F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("seg")).otherwise("*"))))
-               .drop("seg", "literal"))
+    """host, shape, pages, ... with template, in which a wildcard is an empty
+    segment: level by level, until no branch has MIN_PAGES pages left to part."""
+    out = shapes.withColumn("template", F.lit("")).withColumn("open", F.size("shape") > 0)
+    done, level = [], 0
+    while True:
+        done.append(out.where("not open").drop("open"))
+        if len(done) == PARTS:
+            done = [cut(_union(done))]
+        out = out.where("open").drop("open")
+        if out.isEmpty():
+            return _union(done)
+        out = out.withColumn("seg", F.get("shape", F.lit(level)))
+        step = out.groupBy("host", "template", "seg").agg(
+            F.sum("pages").alias("own"), F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+        few = F.col("n") < ENOUGH
+        branch = step.groupBy("host", "template").agg(
+            F.sum("own").alias("all"), F.sum(F.when(few, F.col("n")).otherwise(0)).alias("all_n"),
+            F.sum(F.when(few, F.col("b")).otherwise(0)).alias("all_b"))
+        kept = step.join(branch, ["host", "template"]).select(
+            "host", "template", "seg", "all", ((F.col("own") >= MIN_PAGES) & (
+                (F.col("own") >= MIN_SHARE * F.col("all")) | ~few | _differs())).alias("literal"))
+        level += 1
+        longer = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("seg")).otherwise(""))
+        # of a branch with fewer pages no segment below can stay literal either
+        small = F.concat("template", F.repeat(F.lit("/"), F.size("shape") - (level - 1)))
+        out = (out.join(kept, ["host", "template", "seg"])
+               .withColumn("open", (F.col("all") >= MIN_PAGES) & (F.size("shape") > level))
+               .withColumn("template", F.when(F.col("all") < MIN_PAGES, small).otherwise(longer))
+               .drop("seg", "all", "literal"))
         out = cut(out)
-    return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _differs() -> Column:
+    """Whether a segment's share of bad pages (b of n labelled) differs from that of
+    the branch's others (all_b of all_n with it)."""
+    n, b = F.col("n"), F.col("b")
+    rest = F.col("all_n") - n
+    overall = F.col("all_b") / F.col("all_n")
+    error = F.sqrt(overall * (1 - overall) * (1 / n + 1 / rest))
+    return F.when((n >= MIN_PAGES) & (rest > 0), F.abs(b / n - (F.col("all_b") - b) / rest) > SIMILAR * error).otherwise(False)
+
+
+def _written(template: Column) -> Column:
+    """Wildcards as ``*``; k of them from segment LEVELS to the end as ``*{k}``."""
+    tail = F.length(F.regexp_extract(template, rf"^(?:/[^/]*){{{LEVELS - 1}}}(/{{2,}})$", 1))
+    front = F.substring(template, F.lit(1), F.length(template) - tail)
+    stars = F.regexp_replace(front, "/(?=/|$)", "/*")
+    return F.when(tail > 0, F.concat(stars, F.lit("/*{"), tail.cast("string"), F.lit("}"))).otherwise(stars)
 
 
 def template_verdicts(shapes: DataFrame) -> DataFrame:
@@ -111,7 +152,8 @@ def template_verdicts(shapes: DataFrame) -> DataFrame:
               .withColumn("purity", (F.col("b") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)))
     judged = (nodes.select("host", "parent", "branch", "template").join(merged, ["host", "parent", "branch"])
               .select("host", "template", "branch", "purity", ((F.col("n") > 0) & (F.col("purity") >= PURITY)).alias("reject")))
-    return t.select("host", "shape", "template").join(judged, ["host", "template"])
+    return (t.select("host", "shape", "template").join(judged, ["host", "template"])
+            .withColumn("template", _written(F.col("template"))))
 
 
 def url_filter(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str]] | None = None) -> DataFrame:

@@ -370,6 +370,51 @@ def test_url_filter(spark):
     assert url_filter.url_filter(empty, spark.createDataFrame([], "page_id long, bad int")).collect() == []
 
 
+def test_url_filter_keeps_small_sections_apart(spark):
+    """60 sections of one size, one of them bad; a small bad and a small clean one
+    beside thousands of pages; names with a label each; templates that part at the 9th and 10th segment."""
+    rows, marks = [], []
+
+    def add(path, bad=None):
+        rows.append((len(rows), f"http://{path}"))
+        if bad is not None:
+            marks.append((len(rows) - 1, bad))
+
+    for s in range(60):
+        name = chr(97 + s % 26) * (2 + s // 26)
+        for i in range(40):
+            add(f"even.org/{name}/{i}", int(name == "ccc") if i < 20 else None)
+    for i in range(3000):
+        add(f"hot.org/big/{i}", 0 if i < 100 else None)
+        add(f"hot.org/spam/{i}", 1 if i < 100 else None)
+    for i in range(40):
+        add(f"hot.org/smallbad/{i}", 1 if i < 20 else None)
+        add(f"hot.org/smallclean/{i}", 0 if i < 20 else None)
+    deep = "deep.org/a/b/c/d/e/f/g/h"
+    for i in range(40):
+        add(f"{deep}/bad/{i}", 1 if i < 20 else None)
+        add(f"{deep}/good/{i}", 0 if i < 20 else None)
+        add(f"{deep}/x/bad/{i}", 1 if i < 20 else None)
+        add(f"{deep}/x/good/{i}", 0 if i < 20 else None)
+        # segments that occur once, and differ in their number only
+        add(f"wide.org/a/b/c/d/e/f/g/{'q' * (i + 1)}/{'r' * (i + 1)}", 1 if i < 20 else None)
+        add(f"wide.org/a/b/c/d/e/f/g/{'s' * (i + 1)}/{'t' * (i + 1)}/{'u' * (i + 1)}", 0 if i < 20 else None)
+    for i in range(200):  # two labels in three names of four pages, all bad: one template
+        for k in range(4):
+            add(f"names.org/user/{chr(97 + i % 26) * (1 + i // 26)}/{k}", 1 if k < i % 3 else None)
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.path if r.host != "hot.org" else f"hot{r.path}": r for r in url_filter.url_filter(
+        pages, spark.createDataFrame(marks, "page_id long, bad int"), rules=[]).collect()}
+    for path, r in got.items():
+        if r.host == "names.org":
+            assert (r.template, r.verdict) == ("/user/*/{n}", "block")
+            continue
+        bad = (r.host == "wide.org" and r.path.count("/") == 9) or any(
+            f"/{w}/" in path for w in ("ccc", "spam", "smallbad", "bad"))
+        assert r.verdict == ("block" if bad else "allow"), r
+    assert {r.template for r in got.values() if r.host == "wide.org"} == {"/a/b/c/d/e/f/g/*{2}", "/a/b/c/d/e/f/g/*{3}"}
+
+
 # --- 7 -------------------------------------------------------------------------
 
 def test_exact_dedup(spark, docs, none):

@@ -17,10 +17,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from opslake.llm.textkit import lower_ascii, slices, texts_of
+from opslake.llm.textkit import Texts, lower_ascii, slices, texts_of
 
 #: hashed features
 DIMS = 4096
@@ -80,15 +80,20 @@ def _features(two: np.ndarray, three: np.ndarray) -> np.ndarray:
     return np.sqrt(x / total) if total else x.astype(float)
 
 
-def _each(batch: pa.RecordBatch, column: int):
-    """(row, has letters, features) of the rows whose text has letters."""
-    texts = texts_of(batch.column(column))
+def _lettered(texts: Texts) -> Iterator[tuple[int, int, int]]:
+    """(row, begin, end) of the texts that have letters."""
     letter = _ASCII_LETTER[texts.data]
-    two, three = _grams(texts.data) if len(texts.data) else (None, None)
     for i in range(len(texts)):
         a, b = int(texts.starts[i]), int(texts.starts[i + 1])
-        if a == b or not (letter[a:b].any() or _odd_letter(texts.data[a:b])):
-            continue
+        if a < b and (letter[a:b].any() or _odd_letter(texts.data[a:b])):
+            yield i, a, b
+
+
+def _each(batch: pa.RecordBatch, column: int):
+    """(row, features) of the rows whose text has letters."""
+    texts = texts_of(batch.column(column))
+    two, three = _grams(texts.data) if len(texts.data) else (None, None)
+    for i, a, b in _lettered(texts):
         yield i, _features(two[a:max(a, b - 1)], three[a:max(a, b - 2)])
 
 
@@ -181,18 +186,20 @@ def _svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return mean / (STEPS - STEPS // 2)
 
 
-def classify(docs: DataFrame, models: dict, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """All columns of ``docs`` and, by these names, lang_pred and score. A score is the product of
-    both levels' logistic margins: of the family over the next, and of the
-    language over the rival it beats least. ``und`` (score 0) where the text is
-    null or has no letter, or nothing could be learned."""
+def classify(docs: DataFrame, models: dict, names: tuple[str, str, str] = ("lang_pred", "score", "lettered")) -> DataFrame:
+    """All columns of ``docs`` and, by these names, lang_pred, score and whether the
+    text has a letter. A score is the product of both levels' logistic margins: of
+    the family over the next, and of the language over the rival it beats least.
+    ``und`` (score 0) where the text is null or has no letter, or nothing could be
+    learned."""
     families = models["families"]
     groups = sorted(families)
     langs = [lang for f in groups for lang in families[f]]
     wanted = list(models["weights"])
     matrix = np.stack([models["weights"][m] for m in wanted], 1) if wanted else np.zeros((DIMS + 1, 0))
     column = {m: i for i, m in enumerate(wanted)}
-    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType()),
+                         StructField(names[2], BooleanType())])
     at = docs.columns.index("text")
 
     def logistic(v: float) -> float:
@@ -216,12 +223,15 @@ def classify(docs: DataFrame, models: dict, names: tuple[str, str] = ("lang_pred
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at, SLICE):
-            pred, score = ["und"] * batch.num_rows, [0.0] * batch.num_rows
+            pred, score, lettered = ["und"] * batch.num_rows, [0.0] * batch.num_rows, [False] * batch.num_rows
             if langs:
                 for i, x in _each(batch, at):
-                    pred[i], score[i] = decide(x)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                                             [*batch.schema.names, *names])
+                    (pred[i], score[i]), lettered[i] = decide(x), True
+            else:
+                for i, _, _ in _lettered(texts_of(batch.column(at))):
+                    lettered[i] = True
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()),
+                                              pa.array(lettered, pa.bool_())], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -244,9 +254,10 @@ def language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Dat
 
 
 def accepted(docs: DataFrame, lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language (lang_pred is not ``und``)."""
+    """The rows of ``docs``, all columns, but those whose text is null or has no letter,
+    also where no language could be learned."""
     cols = docs.columns
     free = next(n for n in ("_lang", *(f"_lang{i}" for i in range(len(cols) + 1))) if n not in {c.lower() for c in cols})
     models = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(lang).alias("lang")), per_language)
-    return classify(docs, models, (free, f"{free}_score")).where(F.col(free) != "und").select(
+    return classify(docs, models, (free, f"{free}_score", f"{free}_lettered")).where(f"{free}_lettered").select(
         *[F.col(f"`{c}`") for c in cols])

@@ -570,6 +570,14 @@ def test_accepted_keeps_rows_with_a_language(spark, docs):
         i for i, t in table(docs) if any(c.isalpha() for c in t or ""))
 
 
+@pytest.mark.parametrize("lang", [None, "", "und"])
+def test_accepted_keeps_lettered_rows_where_no_language_is_known(docs, lang):
+    kept = language_id.accepted(docs.withColumn("lang", F.lit(lang).cast("string")))
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(
+        i for i, t in table(docs) if any(c.isalpha() for c in t or ""))
+
+
 def test_prediction_does_not_see_the_label(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
     held = F.expr("crc32(cast(doc_id as string)) % 4 = 2")

@@ -55,6 +55,14 @@ def test_stages_on_planted_documents(spark, tmpdir_fresh):
         docs.select("doc_id", "piece", "start", "length", "ids_crc32")).count() == 0
 
 
+def test_language_stage_keeps_documents_of_an_unlabelled_table(spark, tmpdir_fresh):
+    texts = ["some words", "einige Worte", "漢字", None, "", "1234 !!"]
+    rows = [(i, t, None, "s", None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    assert sorted(r.doc_id for r in stage(spark, docs, tmpdir_fresh).collect()) == [0, 1, 2]
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()

@@ -194,16 +194,17 @@ class Scanner:
 
     def chains(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
         """Matches of each template in order, with gaps of at most GAP words in the
-        text: (label, start, end, part of the template covered)."""
+        text: (label, start, end, part of the template covered). Words by which a
+        match overlaps the one before it are trimmed from its front."""
         out = []
         for n in sorted({m[0] for m in matches}):
             size = len(self.words[n])
             best: list[tuple[int, int, int, int]] = []  # open chains: template end, text start, text end, covered
             for _, t, start, end in sorted((m for m in matches if m[0] == n), key=lambda m: (m[2], m[1])):
-                fits = [c for c in best if c[0] <= t and 0 <= start - c[2] <= GAP]
-                c = max(fits, key=lambda c: c[3], default=None)
+                fits = [c for c in best if c[2] < end and c[0] <= t + max(0, c[2] - start) and start - c[2] <= GAP]
+                c = max(fits, key=lambda c: c[3] - max(0, c[2] - start), default=None)
                 best = [x for x in best if start - x[2] <= GAP or x[3] >= COVERED * size]
-                best.append((t + end - start, c[1] if c else start, end, (c[3] if c else 0) + end - start))
+                best.append((t + end - start, c[1] if c else start, end, c[3] + end - max(start, c[2]) if c else end - start))
             spans = {}
             for _, start, end, covered in best:
                 if covered >= COVERED * size:

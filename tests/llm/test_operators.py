@@ -197,6 +197,19 @@ def test_license_scan(spark, docs, none):
     assert license_scan.license_scan(none).collect() == []
 
 
+def test_overlapping_matches_are_chained():
+    """Without "to deal in the software" the second match begins inside the first, by "the software"."""
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.PHRASES)
+    words = license_scan.TEMPLATES[1][1].split()
+    cut = words[:22] + words[27:]
+    (_, _, spans), = license_scan._scan_texts(scanner, textkit.texts_of(pa.array([" ".join(["xx", *cut, "yy"])])))
+    assert spans == [("mit", 1, 1 + len(cut), len(cut) / len(words))]
+    # in the wrong order, and with one half alone, there is no chain
+    for odd in (words[27:] + words[:22], words[:22], words[27:]):
+        (_, _, spans), = license_scan._scan_texts(scanner, textkit.texts_of(pa.array([" ".join(odd)])))
+        assert spans == []
+
+
 def test_matching_statistics_equal_brute_force():
     rng = random.Random(2)
     seqs = [[rng.randrange(3) for _ in range(rng.randint(1, 12))] for _ in range(8)]

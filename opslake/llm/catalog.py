@@ -8,9 +8,11 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opslake.llm.bpe_prefix import decode_documents, encode_documents
 from opslake.llm.exact_dedup import exact_dedup
 from opslake.llm.kd_sharding import kd_shards
 from opslake.llm.language_id import language_id
+from opslake.llm.lexical_scan import lexical_search
 from opslake.llm.license_scan import license_scan
 from opslake.llm.mixing import mixed_documents
 from opslake.llm.ngram_join import ngram_join
@@ -18,6 +20,7 @@ from opslake.llm.packing import best_fit_packing
 from opslake.llm.secret_scan import joined, secret_scan
 from opslake.llm.topk_search import top_k
 from opslake.llm.url_filter import url_filter
+from opslake.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,9 +74,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), k=16, scale=64)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = decode_documents(encode_documents(_table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_license_scan, op3_secret_scan, op4_kd_sharding, op5_temperature_mixing, op6_url_filter,
-    op7_exact_dedup, op8_topk_search, op9_best_fit_packing, op10_language_id)}
+    op7_exact_dedup, op8_topk_search, op9_best_fit_packing, op10_language_id,
+    op11_embedding_whitening, op12_lexical_search, op13_byte_bpe)}
 
 ORACLE = {
     "op1_ngram_jaccard_join": rf"""
@@ -107,4 +125,20 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGIN
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
 SELECT query_id, place::INTEGER AS rank, vec_id, score FROM r WHERE place <= 20""",
+    "op12_lexical_search": rf"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+size AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM t WHERE len(w) > 0),
+tf AS (SELECT doc_id, len(w) AS n, x AS term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS x FROM t) GROUP BY doc_id, w, x),
+weight AS (SELECT term, floor(1000 * ln((2 * size.docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, size GROUP BY term, size.docs),
+item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+         FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM item JOIN tf USING (term) JOIN weight USING (term), size GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM r WHERE place <= 50""",
 }

@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from opslake.llm.graph import cut
 
-#: bytes of a block of rows; what is added to each component of a vector
-BLOCK, SHIFT = 4 << 20, 1_000_000
+#: bytes of a block of rows and of a partition of blocks; partial sums added up in one task or the driver
+BLOCK, PART, FAN_IN = 4 << 20, 32 << 20, 64
+#: what is added to each component of a vector
+SHIFT = 1_000_000
 #: entries beyond this are taken as this
 LARGEST = 1 << 40
 #: relative size under which a direction counts as empty
@@ -72,17 +74,19 @@ class Fit:
 def centred(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     """x - S / n, with the difference formed in integers."""
     s = np.array(sums, dtype=object)
-    if len(x) and n * int(np.abs(x).max(initial=0)) < 1 << 62 and max(map(abs, sums), default=0) < 1 << 62:
+    if n * int(np.abs(x).max(initial=0)) < 1 << 62 and max(map(abs, sums), default=0) < 1 << 62:
         return (n * x - s.astype(np.int64)) / n
     return ((n * x.astype(object) - s) / n).astype(float) if x.size else x.astype(float)
 
 
 class Rows:
-    """The centred rows in Spark: products with them."""
+    """The distinct vectors in Spark, in blocks, and sums over all of them."""
 
-    def __init__(self, distinct: DataFrame, dims: int, n: int, sums: list[int]):
-        self.dims, self.n, self.sums, self.products = dims, n, sums, 0
+    def __init__(self, distinct: DataFrame, dims: int, most: int):
+        """``most``: a bound for the number of vectors."""
+        self.dims, self.n, self.sums, self.products = dims, 0, [0] * dims, 0
         rows = max(1, BLOCK // (8 * dims))
+        self.parts = max(1, -(-8 * dims * most // PART))
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -90,46 +94,67 @@ class Rows:
                     m = _matrix(batch.column(0).slice(at, rows), dims)
                     yield pa.RecordBatch.from_arrays([pa.array([m.astype("<i8").tobytes()], pa.binary())], ["block"])
 
-        self.blocks = cut(distinct.select("x").mapInArrow(build, "block binary"))
+        self.blocks = cut(distinct.select("x").coalesce(self.parts).mapInArrow(build, "block binary"))
 
-    def _sum(self, of, size: int) -> np.ndarray:
-        """The sum over all blocks of the ``size`` numbers that ``of`` gives for each."""
-        dims, n, sums = self.dims, self.n, self.sums
+        def exact(x):  # high and low parts apart, so that no sum leaves 64 bits
+            return np.concatenate(([len(x)], (x >> 20).sum(axis=0), (x & 0xFFFFF).sum(axis=0)))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size)
+        got = self._sum(exact, 2 * dims + 1, "<i8").tolist()
+        self.n = got[0]
+        self.sums = [(h << 20) + low for h, low in zip(got[1:dims + 1], got[dims + 1:])]
+
+    def _sum(self, of, size: int, kind: str = "<f8") -> np.ndarray:
+        """The sum over all blocks of the ``size`` numbers that ``of`` gives for each,
+        added up in a tree: first by partition, then FAN_IN partitions a task."""
+        dims = self.dims
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size, kind)
             for batch in batches:
                 for block in batch.column(0):
-                    x = np.frombuffer(block.as_buffer(), "<i8").reshape(-1, dims)
-                    total += of(centred(x, n, sums))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["i", "v"])
+                    total += of(np.frombuffer(block.as_buffer(), "<i8").reshape(-1, dims))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["v"])
 
-        got = self.blocks.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
-        out = np.zeros(size)
-        out[got.column("i").to_numpy()] = got.column("v").to_numpy()
-        return out
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size, kind)
+            for batch in batches:
+                for v in batch.column(0):
+                    total += np.frombuffer(v.as_buffer(), kind)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["v"])
+
+        out, parts = self.blocks.mapInArrow(partial, "v binary"), self.parts
+        while parts > FAN_IN:
+            parts = -(-parts // FAN_IN)
+            out = out.repartition(parts).mapInArrow(add, "v binary")
+        total = np.zeros(size, kind)
+        for r in out.collect():  # at most FAN_IN rows
+            total += np.frombuffer(r["v"], kind)
+        return total
 
     def product(self, h: np.ndarray) -> tuple[np.ndarray, float]:
-        """Xᵀu and |u|² for u = Xh."""
+        """Xᵀu and |u|² for u = Xh, X the centred rows."""
         self.products += 1
+        n, sums = self.n, self.sums
 
         def of(x):
-            u = x @ h
-            return np.append(x.T @ u, u @ u)
+            c = centred(x, n, sums)
+            u = c @ h
+            return np.append(c.T @ u, u @ u)
 
         both = self._sum(of, self.dims + 1)
         return both[:-1], float(both[-1])
 
     def squares(self) -> np.ndarray:
         """Sums of the squared entries by dimension."""
-        return self._sum(lambda x: np.einsum("ij,ij->j", x, x), self.dims)
+        n, sums = self.n, self.sums
+        return self._sum(lambda x: (centred(x, n, sums) ** 2).sum(axis=0), self.dims)
 
     def gram(self, w: np.ndarray) -> np.ndarray:
         """(Xw)ᵀ(Xw) for a few columns w."""
-        k = w.shape[1]
+        n, sums, k = self.n, self.sums, w.shape[1]
 
         def of(x):
-            p = x @ w
+            p = centred(x, n, sums) @ w
             return (p.T @ p).ravel()
 
         return self._sum(of, k * k).reshape(k, k)
@@ -234,22 +259,14 @@ def _bidiagonal(alphas: list[float], betas: list[float]) -> np.ndarray:
     return np.diag(alphas) + np.diag(betas[:len(alphas) - 1], 1)
 
 
-def fit(distinct: DataFrame, k: int = 16) -> Fit | None:
-    """The components of ``distinct`` (x: arrays of longs, each once); None for an empty table.
+def fit(distinct: DataFrame, dims: int, most: int, k: int = 16) -> Fit:
+    """The components of ``distinct`` (x: arrays of ``dims`` longs, each once; ``most``: a bound for their number).
 
     Components whose eigenvalue is not above rounding (EMPTY squared, of the largest)
     do not exist: there are fewer than ``k`` where the vectors span fewer directions.
     """
-    size = distinct.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("d")).first()
-    n, dims = size["n"], size["d"] or 0
-    if not n or not dims:
-        return Fit(n, [], np.zeros((0, 0)), np.zeros(0), 0.0, 0.0, 0) if n else None
-    got = (distinct.select(F.posexplode("x").alias("i", "v")).groupBy("i")
-           .agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("s"), F.count("*").alias("c")).collect())  # a row a dimension
-    sums = [n * SHIFT] * dims
-    for r in got:
-        sums[r["i"]] = int(r["s"]) + (n - r["c"]) * SHIFT
-    rows = Rows(distinct, dims, n, sums)
+    rows = Rows(distinct, dims, most)
+    n, sums = rows.n, rows.sums
     squares = rows.squares()
     trace = float(squares.sum() / n)
     if trace <= 0:
@@ -276,10 +293,11 @@ def whiten(vectors: DataFrame, k: int = 16, scale: int = 64) -> DataFrame:
     vector or an empty table give no row. Other columns are ignored.
     """
     data = shifted(vectors, scale)
-    dims = data.agg(F.max(F.size("x")).alias("d")).first()["d"] or 0
+    size = data.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("d")).first()
+    dims = size["d"] or 0
     data = data.select("vec_id", F.expr(f"concat(x, array_repeat({SHIFT}L, {dims} - size(x)))").alias("x"))
     schema = ("vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
-    found = fit(data.select("x").distinct(), k)
+    found = fit(data.select("x").distinct(), dims, size["n"], k) if dims else None
     if found is None or not len(found.eigenvalues):
         return data.sparkSession.createDataFrame([], schema)
     known = data.sparkSession.sparkContext.broadcast(found)  # at most k + 2 numbers a dimension

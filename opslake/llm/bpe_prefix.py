@@ -14,6 +14,7 @@ edit up to where they agree with the old ones again are computed anew.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 
 from opslake.llm.textkit import slices
 
-#: entries of a worker's memory of pieces and of pairs; it is emptied when full
-REMEMBERED = 1 << 18
-#: bytes of a piece that is remembered
+#: entries of a worker's memory of pieces, and of pairs
+REMEMBERED = 1 << 19
+#: characters of a piece that is remembered
 SHORT = 64
 _workers: dict[tuple[str, str], Vocabulary] = {}
 
@@ -40,6 +41,24 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+class Recent(dict):
+    """Values by key, computed when they are first asked for. Those of the last one to
+    two times ``size`` keys stay."""
+
+    def __init__(self, compute, size: int):
+        self.compute, self.size, self.before = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Vocabulary:
     """Tokens by rank, and how the merges make each of them."""
 
@@ -64,7 +83,14 @@ class Vocabulary:
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._fits: dict[int, bool] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._pieces = Recent(self.piece, REMEMBERED)
+        import ahocorasick
+        self._ends = ahocorasick.Automaton()
+        for token, rank in self.made.items():
+            self._ends.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._ends.make_automaton()
+        if sum(len(t) == 1 for t in self.made) < 256:
+            raise ValueError("the vocabulary has no token for some bytes")
 
     def merged(self, data: bytes) -> list[list[int]]:
         """The states of merging by least rank, leftmost first, from single bytes on."""
@@ -103,7 +129,7 @@ class Vocabulary:
         known = self._fits.get(key)
         if known is None:
             known = self._apart(a, b)
-            if len(self._fits) >= 4 * REMEMBERED:
+            if len(self._fits) >= REMEMBERED:
                 self._fits.clear()
             self._fits[key] = known
         return known
@@ -130,17 +156,37 @@ class Vocabulary:
 
     # --- pieces -----------------------------------------------------------------------
 
+    def prefixes(self, data: bytes) -> list[int]:
+        """The last token of each prefix. The tokens that end at a byte are found by an
+        automaton of all tokens, bytes written as one letter each."""
+        out, done, known, apart = [0] * len(data), -1, self._fits.get, self.fits
+        for end, (token, size) in self._ends.iter(data.decode("latin-1")):
+            if end == done:
+                continue
+            before = end - size
+            if before >= 0:
+                fits = known(out[before] << 32 | token)
+                if not (apart(out[before], token) if fits is None else fits):
+                    continue
+            out[end], done = token, end
+        return out
+
     def extend(self, data: bytes, last: list[int], stop: int | None = None) -> list[int]:
-        """``last`` (the last token of each prefix known so far) carried on to ``stop``, in place."""
-        made, fits, longest = self.made.get, self.fits, self.longest
+        """``last`` (the last token of each prefix known so far) carried on to ``stop``, in
+        place, by looking up the bytes before each end."""
+        made, known, apart, longest = self.made.get, self._fits.get, self.fits, self.longest
         for end in range(len(last) + 1, (len(data) if stop is None else stop) + 1):
-            for start in range(max(0, end - longest), end):
+            for start in range(end - longest if end > longest else 0, end):
                 token = made(data[start:end])
-                if token is not None and (not start or fits(last[start - 1], token)):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary has no token for a byte of the text")
+                if token is None:
+                    continue
+                if start:
+                    before = last[start - 1]
+                    fits = known(before << 32 | token)
+                    if not (apart(before, token) if fits is None else fits):
+                        continue
+                last.append(token)
+                break
         return last
 
     def ids(self, last: list[int], data: bytes) -> list[int]:
@@ -159,18 +205,14 @@ class Vocabulary:
 
     def piece(self, piece: str) -> bytes:
         """The ids of one piece as little-endian unsigned 32-bit numbers."""
-        found = self._pieces.get(piece)
-        if found is None:
-            data = piece.encode("utf-8")
-            found = np.asarray(self.ids(self.extend(data, []), data), "<u4").tobytes()
-            if len(data) <= SHORT:
-                if len(self._pieces) >= REMEMBERED:
-                    self._pieces.clear()
-                self._pieces[piece] = found
-        return found
+        data = piece.encode("utf-8")
+        whole = self.ranks.get(data)
+        ids = [whole] if whole is not None else self.ids(self.prefixes(data), data)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.piece, self.split(text)))
+        known, long = self._pieces.__getitem__, self.piece
+        return b"".join([known(p) if len(p) <= SHORT else long(p) for p in self.split(text)])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -197,15 +239,15 @@ class Encoded:
         for piece in self.pieces:
             size = len(piece.encode("utf-8"))
             if prefixes is None:
-                self.last.append(self._numbers(piece, []))
+                self.last.append(self._numbers(piece))
             else:
                 self.last.append(prefixes[at:at + size].tolist())
             at += size
 
-    def _numbers(self, piece: str, known: list[int]) -> list[int]:
+    def _numbers(self, piece: str) -> list[int]:
         data = piece.encode("utf-8")
-        self.computed += len(data) - len(known)
-        return self.words.extend(data, known)
+        self.computed += len(data)
+        return self.words.prefixes(data)
 
     def prefixes(self) -> np.ndarray:
         """The stored numbers of all pieces, one for each byte of the text."""
@@ -244,7 +286,7 @@ class Encoded:
                 same = _shared(a, b)
                 numbers.append(self._repaired(a, self.last[i], b, same))
             else:
-                numbers.append(self._numbers(piece, []))
+                numbers.append(self._numbers(piece))
             new.append(piece)
             at += len(piece)
         self.pieces[keep:to] = new

@@ -66,7 +66,7 @@ def test_language_stage_keeps_documents_of_an_unlabelled_table(spark, tmpdir_fre
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
     want = con.sql(catalog.ORACLE[name])
     columns = want.columns
@@ -77,7 +77,7 @@ def test_queries_equal_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE)))
 def test_other_queries_cover_their_table(spark, name):
     got = catalog.QUERIES[name](spark, SF_SMALL)
-    key, source = ("page_id", "pages") if "page_id" in got.columns else ("doc_id", "documents")
+    key, source = next((k, t) for k, t in (("page_id", "pages"), ("vec_id", "embeddings"), ("doc_id", "documents")) if k in got.columns)
     ids = {r[0] for r in got.select(key).collect()}
     assert ids == {r[0] for r in spark.read.parquet(f"{SF_SMALL}/{source}.parquet").select(key).collect()}
 

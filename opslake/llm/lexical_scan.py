@@ -8,8 +8,9 @@ is made. A first scan adds up the document frequencies, a second one scores; the
 automaton's outputs lead to the items that hold a term. Every task keeps the best
 documents of each item, which lose nothing, and these are ranked.
 
-The automaton and its lists are broadcast. Items are dealt into lots whose terms
-are bounded in number and bytes; each lot is a search of its own over all documents.
+The terms and their lists go to every task, which builds the automaton. Items are
+dealt into lots whose terms are bounded in number and bytes; each lot is a search of
+its own over all documents.
 """
 
 from __future__ import annotations
@@ -149,6 +150,44 @@ def best_of(item: np.ndarray, doc: np.ndarray, known: np.ndarray, score: np.ndar
     return order[rank < k]
 
 
+def _frequencies(lot: Lot):
+    """For the first scan: how many texts hold each term, with the number of texts
+    that have terms and of all their terms as terms -2 and -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = automaton(lot.terms)
+        df = np.zeros(len(lot.terms), np.int64)
+        count = length = 0
+        for batch in slices(batches, 1):
+            n, _, term, _ = count_terms(found, batch.column(1))
+            df += np.bincount(term, minlength=len(df))
+            count, length = count + int((n > 0).sum()), length + int(n.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-2, len(df))), pa.array(np.append([count, length], df))], ["term", "n"])
+
+    return run
+
+
+def _best(lot: Lot, weights: np.ndarray, total: tuple[int, int], k: int):
+    """For the second scan: a task's ``k`` best documents of each item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = automaton(lot.terms)
+        z = np.zeros(0, np.int64)
+        best = [z, z, z.astype(bool), z]
+        for batch in slices(batches, 1):
+            item, text, s = scores_of(lot, weights, total, *count_terms(found, batch.column(1)))
+            there = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column(0).fill_null(0).to_numpy()
+            best = [np.concatenate(p) for p in zip(best, (item, ids[text], there[text], s))]
+            keep = best_of(*best, k)
+            best = [p[keep] for p in best]
+        item, doc, there, s = best
+        yield pa.RecordBatch.from_arrays([pa.array(lot.ids[item]), pa.array(doc, mask=~there), pa.array(s)],
+                                         ["item_id", "doc_id", "score"])
+
+    return run
+
+
 def lexical_search(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     """item_id, rank (from 1), doc_id, score: each item's ``k`` highest-scoring
     documents with a score above 0, equal scores by ascending doc_id.
@@ -161,51 +200,17 @@ def lexical_search(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     empty table on either side gives an empty one. ``ahocorasick`` must be present.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spark = docs.sparkSession
     out = None
     for lot in _lots(items):
-        shared = spark.sparkContext.broadcast(lot)
-
-        def frequencies(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            found = automaton(shared.value.terms)
-            df = np.zeros(len(shared.value.terms), np.int64)
-            count = length = 0
-            for batch in slices(batches, 1):
-                n, _, term, _ = count_terms(found, batch.column(1))
-                df += np.bincount(term, minlength=len(df))
-                count, length = count + int((n > 0).sum()), length + int(n.sum())
-            # the terms, then the two totals
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-2, len(df))), pa.array(np.append([count, length], df))],
-                                             ["term", "n"])
-
-        got = texts.mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        got = texts.mapInArrow(_frequencies(lot), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
         sums = np.zeros(len(lot.terms) + 2, np.int64)
         sums[got.column("term").to_numpy() + 2] = got.column("n").to_numpy()
         total, df = (int(sums[0]), int(sums[1])), sums[2:]
         weights = np.floor(1000 * np.log((2 * total[0] + 2) / (2 * df + 1))).astype(np.int64)
-        known = spark.sparkContext.broadcast((weights, total))
-
-        def score(batches: Iterator[pa.RecordBatch], shared=shared, known=known) -> Iterator[pa.RecordBatch]:
-            own, (weights, total) = shared.value, known.value
-            found = automaton(own.terms)
-            z = np.zeros(0, np.int64)
-            best = [z, z, z.astype(bool), z]
-            for batch in slices(batches, 1):
-                item, text, s = scores_of(own, weights, total, *count_terms(found, batch.column(1)))
-                ids = batch.column(0)
-                there = ids.is_valid().to_numpy(zero_copy_only=False)
-                ids = ids.fill_null(0).to_numpy()
-                best = [np.concatenate(p) for p in zip(best, (item, ids[text], there[text], s))]
-                keep = best_of(*best, k)
-                best = [p[keep] for p in best]
-            item, doc, there, s = best
-            yield pa.RecordBatch.from_arrays([pa.array(own.ids[item]), pa.array(doc, mask=~there), pa.array(s)],
-                                             ["item_id", "doc_id", "score"])
-
-        found = texts.mapInArrow(score, "item_id long, doc_id long, score long")
+        found = texts.mapInArrow(_best(lot, weights, total, k), "item_id long, doc_id long, score long")
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = spark.createDataFrame([], "item_id long, doc_id long, score long")
+        out = docs.sparkSession.createDataFrame([], "item_id long, doc_id long, score long")
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))
     out = out.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("item_id", "part").orderBy(*order)))

@@ -300,10 +300,9 @@ def whiten(vectors: DataFrame, k: int = 16, scale: int = 64) -> DataFrame:
     found = fit(data.select("x").distinct(), dims, size["n"], k) if dims else None
     if found is None or not len(found.eigenvalues):
         return data.sparkSession.createDataFrame([], schema)
-    known = data.sparkSession.sparkContext.broadcast(found)  # at most k + 2 numbers a dimension
+    own = found  # at most k + 2 numbers a dimension
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = known.value
         m = len(own.eigenvalues)
         scaled = (own.components / np.sqrt(own.eigenvalues)[:, None]).T
         sums = np.array(own.sums, dtype=object)

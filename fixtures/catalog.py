@@ -9,6 +9,7 @@ depend on engine timestamp types.
 
 from __future__ import annotations
 
+import os
 import uuid
 from functools import cached_property
 
@@ -88,11 +89,11 @@ class Ctx:
     @cached_property
     def journey(self) -> DataFrame:
         t = self.t
-        return J.order_journey(t.orders_nb, self.outcome, t.app_actions, t.support_tickets, t.interventions)
+        return J.order_journey(self.prep, t.app_actions, t.support_tickets, t.interventions)
 
     @cached_property
     def contract(self) -> DataFrame:
-        return K.contract_report(self.prep, CONTRACT_RULES())
+        return K.contract_report(self.prep, CONTRACT_RULES(self))
 
 
 def _ts(df: DataFrame, *cols: str) -> DataFrame:
@@ -347,9 +348,11 @@ def q_ready_imputation(c: Ctx):
     return _ts(k.select("order_id", *cols), *cols)
 
 
-@query("quarantine_audit", "SELECT * FROM q_dlq")
+@query("quarantine_audit", f"SELECT *, '{INGESTED_AT}' AS quarantined_at FROM q_dlq")
 def q_quarantine_audit(c: Ctx):
-    return c.silver_once.dlq.select("entity_id", "source_system", "error_code", "error_description", "severity")
+    """The whole record: the source row as JSON and the time of the run too."""
+    t = c.t
+    return C.validate_and_calibrate(t.orders, t.kds_logs, t.dispatch_attempts, quarantined_at=INGESTED_AT, persist=False).dlq
 
 
 @query("silver_orders_clean", f"SELECT order_id, order_status, {fmt('order_timestamp')} AS order_timestamp FROM s_orders")
@@ -391,20 +394,25 @@ def q_circuit_breaker(c: Ctx):
 # =============================================================================
 # Completeness proofs
 # =============================================================================
-_ROWCOUNT_SOURCES = [("orders", "nb_raw", "orders"), ("merchants", "src_merchants", "customer"),
-                     ("order_line_items", "v_lines", "lineitem"), ("kds_logs", "src_kds", "orders"),
-                     ("support_tickets", "src_tickets", "events WHERE event_type = 'error'")]
+_ROWCOUNT_SOURCES = [("orders", "nb_raw", "count(*)", "orders"), ("merchants", "src_merchants", "count(*)", "customer"),
+                     ("order_line_items", "v_lines", "count(*)", "lineitem"), ("kds_logs", "src_kds", "count(*)", "orders"),
+                     ("dispatch_attempts", "src_dispatch", "CAST(sum(1 + CAST(o_orderkey % 7 = 0 AS INTEGER) "
+                      "+ CAST(o_orderkey % 21 = 0 AS INTEGER)) AS BIGINT)", "orders"),
+                     ("support_tickets", "src_tickets", "count(*)", "events WHERE event_type = 'error'")]
 
 
 @query("rowcount_proof", "\nUNION ALL ".join(
     f"""SELECT '{n}' AS source, landed_rows, source_rows, landed_rows = source_rows AS rows_match
-FROM (SELECT count(*) AS landed_rows FROM {v}), (SELECT count(*) AS source_rows FROM {s})""" for n, v, s in _ROWCOUNT_SOURCES))
+FROM (SELECT count(*) AS landed_rows FROM {v}), (SELECT {x} AS source_rows FROM {s})""" for n, v, x, s in _ROWCOUNT_SOURCES))
 def q_rowcount_proof(c: Ctx):
-    """The raw order export repeats some rows, so its count differs."""
-    t = c.t
+    """The raw order export repeats some rows, so its count differs. The
+    source count of the attempts is what the orders announce."""
+    t, k = c.t, F.col("o_orderkey")
     landed = {"orders": t.orders_nb, "merchants": t.merchants, "order_line_items": t.lines, "kds_logs": t.kds_logs,
-              "support_tickets": t.support_tickets}
+              "dispatch_attempts": t.dispatch_attempts, "support_tickets": t.support_tickets}
+    attempts = 1 + (k % 7 == 0).cast("int") + (k % 21 == 0).cast("int")
     return P.rowcount_proof(landed, {
+        "dispatch_attempts": t.raw("orders").agg(F.sum(attempts).alias("source_rows")),
         "orders": t.raw("orders"), "merchants": t.raw("customer"), "order_line_items": t.raw("lineitem"),
         "kds_logs": t.raw("orders"), "support_tickets": t.raw("events").filter(F.col("event_type") == "error")})
 
@@ -506,17 +514,20 @@ def q_duplicate_rows(c: Ctx):
         "order_id", "customer_id", "created_at", "promised_eta", "final_status", "copies")
 
 
-_LINE_TIE = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
-
-
 @query("dedupe_keep_first", """SELECT DISTINCT ON (line_item_id) line_item_id, order_id, quantity, unit_price_cents,
-  l_partkey, l_suppkey FROM v_lines
-ORDER BY line_item_id, l_partkey, l_suppkey, l_shipdate, l_extendedprice, order_id, quantity, unit_price_cents""")
+  l_partkey, l_suppkey FROM (SELECT *, row_number() OVER () AS landed FROM v_lines) ORDER BY line_item_id, landed""")
 def q_dedupe_keep_first(c: Ctx):
-    d = K.dedupe_keep_first(c.t.lines, "line_item_id", _LINE_TIE)
+    """The line item that landed first, of those with one id."""
+    d = K.keep_first_landed(c.t.landed_lines, "line_item_id")
     return d.select("line_item_id", "order_id", "quantity", "unit_price_cents", "l_partkey", "l_suppkey")
 
 
+@query("orders_first_landed", """SELECT order_id, driver_id, created_at, final_status FROM nb_dedup""")
+def q_orders_first_landed(c: Ctx):
+    """Raw orders by landing order: of rows with equal, or with unreadable, times the first landed stays."""
+    return K.keep_first_landed(c.t.orders_nb, "order_id").select("order_id", "driver_id", "created_at", "final_status")
+
+
 _NB_COLS = ["order_id", "customer_id", "restaurant_id", "driver_id", "created_at", "promised_eta", "pickup_at",
             "actual_delivery_at", "final_status", "traffic_bucket", "weather_bucket", "distance_km_estimate"]
 
@@ -599,7 +610,7 @@ def q_category_normalized(c: Ctx):
     return K.category_normalized(_audit_frames(c))
 
 
-@query("late_rate_definitions", """SELECT definition, rule, late_count, population,
+_LATE_SQL = """SELECT definition, rule, late_count, population,
   round(100.0::DOUBLE * late_count / nullif(population, 0), 2) AS late_rate_pct FROM (
   SELECT 'A' AS definition, 'delay > 0 min / valid delivered' AS rule,
     (SELECT count(*) FROM nb_prep WHERE is_valid_delivered AND delay_min > 0) AS late_count,
@@ -613,11 +624,31 @@ def q_category_normalized(c: Ctx):
     (SELECT count(*) FROM nb_parsed WHERE final_status = 'delivered' AND actual_delivery_at IS NOT NULL
        AND promised_eta IS NOT NULL AND actual_delivery_at > promised_eta),
     (SELECT count(*) FROM nb_parsed WHERE final_status = 'delivered' AND actual_delivery_at IS NOT NULL
-       AND promised_eta IS NOT NULL))""")
+       AND promised_eta IS NOT NULL))"""
+
+
+@query("late_rate_definitions", _LATE_SQL)
 def q_late_rate_definitions(c: Ctx):
     return K.late_rate_definitions(c.parsed_raw, c.prep)
 
 
+@query("stakeholder_definitions", """SELECT definition, rule, late_count, population,
+  round(100.0::DOUBLE * late_count / nullif(population, 0), 2) AS late_rate_pct FROM (
+  SELECT 'Analytics' AS definition, 'Counted on raw rows, repeated ones included.' AS rule,
+    count(*) FILTER (WHERE actual_delivery_at > promised_eta) AS late_count, count(*) AS population
+  FROM nb_parsed WHERE final_status = 'delivered' AND actual_delivery_at IS NOT NULL AND promised_eta IS NOT NULL
+  UNION ALL SELECT 'Courier Care', 'Late means more than 10 minutes after the promised time.',
+    count(*) FILTER (WHERE delay_min > 10.0), count(*) FROM nb_valid
+  UNION ALL SELECT 'Operations', 'Each delivery after its promised time is late.',
+    count(*) FILTER (WHERE delay_min > 0.0), count(*) FROM nb_valid
+  UNION ALL SELECT 'Treasury', 'The share is taken of all unique orders, cancelled ones too.',
+    count(*) FILTER (WHERE is_valid_delivered AND delay_min > 0.0), count(*) FROM nb_prep)""")
+def q_stakeholder_definitions(c: Ctx):
+    """S8 + C16: the late rate by each statement of a client's document."""
+    place = f"file://{os.path.dirname(os.path.abspath(__file__))}/metric_definitions.json"
+    return K.late_rate_definitions(c.parsed_raw, c.prep, K.read_metric_definitions(c.spark, place))
+
+
 @query("freshness_lag", f"""SELECT count(*) AS linked_status_records,
   round(avg({mins('created_at', 'last_updated_at')}), 4) AS mean_lag_from_creation_min,
   round(median({mins('created_at', 'last_updated_at')}), 4) AS median_lag_from_creation_min,
@@ -631,9 +662,12 @@ def q_freshness_lag(c: Ctx):
     return K.freshness_lag(c.t.restaurant_status, c.prep)
 
 
-def CONTRACT_RULES():
+def CONTRACT_RULES(c: Ctx):
     col = F.col
     return [
+        K.UniqueRule("order_id_unique", "One row is one business order", c.t.orders_nb, "order_id", "HIGH"),
+        K.AgreedRule("late_is_agreed", "Late has an agreed definition", K.late_rate_definitions(c.parsed_raw, c.prep),
+                     ("late_count", "population"), "HIGH"),
         K.Rule("delivered_has_completion_time", "Delivered orders have a completion time",
                col("is_delivered"), col("actual_delivery_at").isNull(), "HIGH", 5.0),
         K.Rule("promised_eta_not_before_created", "Promised ETA is at or after creation",
@@ -664,7 +698,12 @@ _RULES_SQL = [
 _CONTRACT_SQL = "\nUNION ALL ".join(
     f"""SELECT '{n}' AS check_name, '{a}' AS assumption, '{sev}' AS severity, {w}::DOUBLE AS warn_limit_pct,
   count(*) FILTER (WHERE {p}) AS population, count(*) FILTER (WHERE ({p}) AND coalesce({v}, false)) AS violations
-FROM nb_prep""" for n, a, p, v, sev, w in _RULES_SQL)
+FROM nb_prep""" for n, a, p, v, sev, w in _RULES_SQL) + f"""
+UNION ALL SELECT 'order_id_unique', 'One row is one business order', 'HIGH', 0.0::DOUBLE, count(*), count(*) - count(DISTINCT order_id)
+FROM nb_raw
+UNION ALL SELECT 'late_is_agreed', 'Late has an agreed definition', 'HIGH', 0.0::DOUBLE, CAST(sum(n) AS BIGINT),
+  CAST(sum(n) - max(n) AS BIGINT)
+FROM (SELECT late_count, population, count(*) AS n FROM ({_LATE_SQL}) GROUP BY late_count, population)"""
 _CONTRACT_FULL = f"""SELECT *, CASE WHEN population = 0 THEN 'UNKNOWN' WHEN violations = 0 THEN 'PASS'
   WHEN violation_rate_pct <= warn_limit_pct THEN 'WARN' ELSE 'FAIL' END AS verdict
 FROM (SELECT *, round(100.0::DOUBLE * violations / nullif(population, 0), 2) AS violation_rate_pct
@@ -785,8 +824,10 @@ def q_event_census(c: Ctx):
     return J.event_census(J.flatten_documents(c.t.driver_documents, "driver_id", "events"), "type")
 
 
-_TL_SQL = f"""SELECT order_id, {fmt('TRY_CAST(t AS TIMESTAMP)')} AS event_time, event_type, actor, 'orders' AS source_system,
-  details FROM (
+_TL_SQL = f"""SELECT order_id, {fmt('happened')} AS event_time, event_type, actor, source_system, details,
+  row_number() OVER (PARTITION BY order_id ORDER BY happened NULLS LAST, event_type NULLS FIRST, details NULLS FIRST,
+    actor NULLS FIRST, source_system) AS event_no FROM (
+SELECT order_id, TRY_CAST(t AS TIMESTAMP) AS happened, event_type, actor, 'orders' AS source_system, details FROM (
   SELECT order_id, created_at AS t, 'ORDER_CREATED' AS event_type, 'customer' AS actor,
     'Placed order with restaurant ' || CAST(restaurant_id AS VARCHAR) AS details FROM nb_dedup
   UNION ALL SELECT order_id, promised_eta, 'PROMISED_ETA', 'system', 'Contractual delivery SLA promise' FROM nb_dedup
@@ -794,12 +835,12 @@ _TL_SQL = f"""SELECT order_id, {fmt('TRY_CAST(t AS TIMESTAMP)')} AS event_time,
     'Driver ' || CAST(driver_id AS VARCHAR) || ' picked up order from store' FROM nb_dedup
   UNION ALL SELECT order_id, actual_delivery_at, 'ORDER_DELIVERED', 'driver',
     'Order delivered. Final status: ' || final_status FROM nb_dedup) WHERE t IS NOT NULL
-UNION ALL SELECT order_id, {fmt('action_at')}, 'APP_' || action_type, 'customer', 'customer_app_actions',
+UNION ALL SELECT order_id, action_at, 'APP_' || action_type, 'customer', 'customer_app_actions',
   'Channel: ' || channel FROM v_actions
-UNION ALL SELECT order_id, {fmt('created_at')}, 'SUPPORT_TICKET_' || upper(category), 'customer', 'support_tickets',
+UNION ALL SELECT order_id, created_at, 'SUPPORT_TICKET_' || upper(category), 'customer', 'support_tickets',
   'Message: ' || customer_message FROM src_tickets WHERE order_id IS NOT NULL
-UNION ALL SELECT order_id, {fmt('intervention_at')}, 'INTERVENTION_' || intervention_type, initiated_by,
-  'order_interventions', 'Reason: ' || reason FROM v_interv"""
+UNION ALL SELECT order_id, intervention_at, 'INTERVENTION_' || intervention_type, initiated_by,
+  'order_interventions', 'Reason: ' || reason FROM v_interv)"""
 
 
 @query("order_timeline", _TL_SQL)

@@ -48,6 +48,16 @@ _BOTTLENECK = _first_max_sql(
      "coalesce(greatest(stage5_last_mile_min - 10.0::DOUBLE, 0.0::DOUBLE), 0.0::DOUBLE)"],
     ["MERCHANT_LAG", "KITCHEN_PREP_OVERRUN", "RIDER_WAIT_AT_STORE", "LAST_MILE_CONGESTION"])
 
+def json_row(columns: str) -> str:
+    """A row as JSON text, missing fields left out; columns are numbers unless ``name:text`` or ``name:time``."""
+    fields = []
+    for name, _, kind in (c.partition(":") for c in columns.split()):
+        value = {"text": f"""'"' || {name} || '"'""", "time": f"""'"' || strftime({name}, '%Y-%m-%dT%H:%M:%S.%gZ') || '"'"""}.get(
+            kind, f"CAST({name} AS VARCHAR)")
+        fields.append(f"""'"{name}":' || {value}""")
+    return "'{' || concat_ws(',', " + ", ".join(fields) + ") || '}'"
+
+
 VIEWS: dict[str, str] = {}
 
 VIEWS["nk"] = "SELECT max(o_orderkey) + 1 AS n FROM orders"
@@ -127,14 +137,18 @@ VIEWS["q_kit"] = """SELECT kds_ticket_id, order_id, merchant_id, ticket_printed_
   (back_fix OR fwd_fix) AS clock_drift_calibrated_flag, back_viol AS backward_drift_detected,
   fwd_viol AS forward_drift_detected, (ready2 IS NULL AND picked_up_at IS NOT NULL) AS missing_ready_detected,
   back_bad, fwd_bad, back_us / 1e6 AS back_s, fwd_us / 1e6 AS fwd_s FROM q_kit4"""
-VIEWS["q_dlq"] = """SELECT CAST(order_id AS VARCHAR) AS entity_id, 'DISPATCH_API' AS source_system,
+_DISPATCH_JSON = json_row("dispatch_id order_id driver_id attempt_number dispatch_status:text offered_at:time responded_at:time "
+                          "arrived_at_store_at:time picked_up_at:time delivered_at:time")
+_KITCHEN_JSON = json_row("order_id kds_ticket_id merchant_id ticket_printed_at:time food_ready_at:time active_kitchen_queue_depth "
+                         "estimated_prep_sec picked_up_at:time order_timestamp:time")
+VIEWS["q_dlq"] = f"""SELECT CAST(order_id AS VARCHAR) AS entity_id, 'DISPATCH_API' AS source_system,
   'CRITICAL_TEMPORAL_INVERSION_PICKUP_ARRIVED' AS error_code,
   'Rider arrived at store ' || CAST(jitter_s AS VARCHAR) || 's AFTER pickup (exceeds 35s jitter limit)' AS error_description,
-  'CRITICAL_DROP' AS severity FROM q_jit WHERE jitter_bad
+  'CRITICAL_DROP' AS severity, {_DISPATCH_JSON} AS raw_payload FROM q_jit WHERE jitter_bad
 UNION ALL SELECT CAST(order_id AS VARCHAR), 'KDS_CSV', 'SEVERE_BACKWARD_CLOCK_DRIFT_EXCEEDS_5MIN',
-  'KDS ticket printed ' || CAST(back_s AS VARCHAR) || 's BEFORE order was placed', 'CRITICAL_DROP' FROM q_kit WHERE back_bad
+  'KDS ticket printed ' || CAST(back_s AS VARCHAR) || 's BEFORE order was placed', 'CRITICAL_DROP', {_KITCHEN_JSON} FROM q_kit WHERE back_bad
 UNION ALL SELECT CAST(order_id AS VARCHAR), 'KDS_CSV', 'SEVERE_FORWARD_CLOCK_DRIFT_EXCEEDS_5MIN',
-  'KDS ready timestamp is ' || CAST(fwd_s AS VARCHAR) || 's after courier pickup', 'CRITICAL_DROP' FROM q_kit WHERE fwd_bad"""
+  'KDS ready timestamp is ' || CAST(fwd_s AS VARCHAR) || 's after courier pickup', 'CRITICAL_DROP', {_KITCHEN_JSON} FROM q_kit WHERE fwd_bad"""
 VIEWS["q_qid"] = "SELECT DISTINCT CAST(entity_id AS BIGINT) AS order_id FROM q_dlq"
 VIEWS["s_orders"] = "SELECT * FROM src_orders ANTI JOIN q_qid USING (order_id)"
 VIEWS["s_kds"] = "SELECT * FROM q_kit ANTI JOIN q_qid USING (order_id)"
@@ -184,13 +198,13 @@ FROM orders o LEFT JOIN (SELECT order_id, CAST(sum(quantity * unit_price_cents)
 
 # ---- notebook data set -------------------------------------------------------------------------
 VIEWS["nb0"] = """SELECT l.order_id, l.customer_id, CASE WHEN l.order_id % 9 <> 4 THEN l.customer_id % 60 END AS restaurant_id,
-  l.order_id % 120 AS driver_id,
-  l.order_id % 3 AS lay, l.placed,
+  l.order_id % 3 AS lay, l.placed, copy, (l.order_id + copy) % 120 AS driver_id,
   CASE WHEN l.order_id % 400 = 7 THEN l.placed - to_seconds(600) ELSE l.placed + to_seconds(2400) END AS prom,
   CASE WHEN l.order_id % 300 = 11 THEN l.delivered + to_seconds(60) ELSE l.picked END AS pick,
-  l.delivered, l.order_status, c.c_mktsegment
-FROM v_lc l LEFT JOIN customer c ON c.c_custkey = l.customer_id"""
-VIEWS["nb1"] = f"""SELECT order_id, customer_id, restaurant_id, driver_id, CASE WHEN order_id % 131 <> 6 THEN {txt('placed')} END AS created_at,
+  l.delivered, l.order_status
+FROM (SELECT *, unnest(CASE WHEN order_id % 500 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM v_lc) l"""
+VIEWS["nb_raw"] = f"""SELECT copy, order_id, customer_id, restaurant_id, driver_id,
+  CASE WHEN order_id % 1000 = 0 AND copy = 0 THEN 'unknown' WHEN order_id % 131 <> 6 THEN {txt('placed')} END AS created_at,
   {txt('prom')} AS promised_eta, {txt('pick')} AS pickup_at,
   CASE WHEN order_id % 41 = 0 THEN NULL WHEN order_id % 53 = 0 THEN 'pending' ELSE {txt('delivered')} END
     AS actual_delivery_at,
@@ -198,14 +212,13 @@ VIEWS["nb1"] = f"""SELECT order_id, customer_id, restaurant_id, driver_id, CASE
        WHEN order_id % 89 = 0 THEN 'delivered ' ELSE 'delivered' END AS final_status,
   CASE WHEN order_id % 500 = 3 THEN 'HIGH' ELSE ['low', 'medium', 'high', 'severe'][order_id % 4 + 1] END
     AS traffic_bucket,
-  CASE WHEN order_id % 83 <> 2 THEN c_mktsegment END AS weather_bucket, CAST((order_id * 29) % 300 AS DOUBLE) / 10.0 AS distance_km_estimate
+  CASE WHEN order_id % 83 <> 2 THEN ['clear', 'cloudy', 'rain', 'storm', 'snow'][customer_id % 5 + 1] END AS weather_bucket, CAST((order_id * 29) % 300 AS DOUBLE) / 10.0 AS distance_km_estimate
 FROM nb0"""
-VIEWS["nb_raw"] = "SELECT * FROM nb1 UNION ALL SELECT * FROM nb1 WHERE order_id % 500 = 0"
 VIEWS["nb_parsed"] = """SELECT order_id, customer_id, restaurant_id, driver_id,
   TRY_CAST(created_at AS TIMESTAMP) AS created_at, TRY_CAST(promised_eta AS TIMESTAMP) AS promised_eta,
   TRY_CAST(pickup_at AS TIMESTAMP) AS pickup_at, TRY_CAST(actual_delivery_at AS TIMESTAMP) AS actual_delivery_at,
   final_status, traffic_bucket, weather_bucket, distance_km_estimate FROM nb_raw"""
-VIEWS["nb_dedup"] = "SELECT DISTINCT ON (order_id) * FROM nb_raw ORDER BY order_id"
+VIEWS["nb_dedup"] = "SELECT DISTINCT ON (order_id) * FROM nb_raw ORDER BY order_id, copy"
 VIEWS["nb_p0"] = f"""SELECT order_id, customer_id, restaurant_id, driver_id,
   TRY_CAST(created_at AS TIMESTAMP) AS created_at, TRY_CAST(promised_eta AS TIMESTAMP) AS promised_eta,
   TRY_CAST(pickup_at AS TIMESTAMP) AS pickup_at, TRY_CAST(actual_delivery_at AS TIMESTAMP) AS actual_delivery_at,

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.functions import fmt_ts
+from opslake.sources.landing import with_landing_sequence
+
 
 def K():
     return F.col("k")
@@ -59,6 +61,10 @@ class DriverTables:
             r = r.schema(self.SCHEMAS[name])
         return r.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def landed(self, name: str) -> DataFrame:
+        """The raw table with its rows' landing sequence, ``_landed``."""
+        return with_landing_sequence(self.raw(name))
+
     # ---- scalar: N = max(k) + 1, as a scalar subquery (no join) ----------
     def n_orders(self):
         return self.raw("orders").agg((F.max("o_orderkey") + 1).alias("n")).scalar()
@@ -70,9 +76,12 @@ class DriverTables:
         deterministic projection of the orders scan: each consumer
         recomputes it from the column-pruned scan, which is cheaper than
         shuffling and caching the whole derived frame."""
-        o = self.raw("orders").select(
+        return self._lifecycle(self.raw("orders"))
+
+    def _lifecycle(self, rows: DataFrame, *also: str) -> DataFrame:
+        o = rows.select(
             F.col("o_orderkey").alias("k"), "o_custkey", "o_orderstatus",
-            F.col("o_orderdate").cast("timestamp").alias("day"))
+            F.col("o_orderdate").cast("timestamp").alias("day"), *also)
         cancelled = (F.col("o_orderstatus") == "P") & (K() % 3 == 0)
         aborted = cancelled & (K() % 5 < 3)
         placed = _plus("day", K() % 86400)
@@ -94,6 +103,7 @@ class DriverTables:
                 _plus(placed, 1200 + (K() * 11) % 1500 + (K() * 19) % 900)).alias("delivered"),
             (K() % 17).cast("int").alias("queue_depth"),
             (360 + 180 * (K() % 3)).cast("int").alias("estimated_prep_sec"),
+            *also,
         )
 
     @cached_property
@@ -168,13 +178,19 @@ class DriverTables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        li = self.raw("lineitem")
+        return self._lines(self.raw("lineitem"))
+
+    @cached_property
+    def landed_lines(self) -> DataFrame:
+        return self._lines(self.landed("lineitem"), "_landed")
+
+    def _lines(self, li: DataFrame, *also: str) -> DataFrame:
         return li.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_item_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_quantity").cast("long").alias("quantity"),
             F.round(F.col("l_extendedprice") * 100).cast("long").alias("unit_price_cents"),
-            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", *also)
 
     @cached_property
     def headers(self) -> DataFrame:
@@ -193,9 +209,14 @@ class DriverTables:
     @cached_property
     def orders_nb(self) -> DataFrame:
         """Raw notebook orders: string timestamps in mixed layouts, status and
-        traffic spellings that need normalising, duplicated rows."""
-        s = self.lifecycle_src.withColumn("k", F.col("order_id"))
-        cust = self.raw("customer").select(F.col("c_custkey").alias("customer_id"), "c_mktsegment")
+        traffic spellings that need normalising, rows landed twice. ``_landed``
+        is their landing sequence."""
+        s = self._lifecycle(self.landed("orders"), "_landed").withColumn("k", F.col("order_id"))
+        # rows with k % 500 = 0 land twice (one pass, the copy made by explode): the copy right after the
+        # row, with another driver; the row itself has a time nobody can read where k % 1000 = 0
+        copies = F.when(K() % 500 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        s = s.withColumn("_copy", F.explode(copies))
+        copy = F.col("_copy")
         layout = K() % 3
 
         def as_text(ts):
@@ -204,11 +225,11 @@ class DriverTables:
                     .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
         null_s = F.lit(None).cast("string")
-        base = s.join(cust, "customer_id", "left").select(
+        return s.select(
             F.col("order_id"), F.col("customer_id"),
             F.when(K() % 9 != 4, F.col("customer_id") % 60).alias("restaurant_id"),
-            (K() % 120).alias("driver_id"),
-            F.when(K() % 131 != 6, as_text(F.col("placed"))).alias("created_at"),
+            ((K() + copy) % 120).alias("driver_id"),
+            F.when((K() % 1000 == 0) & (copy == 0), "unknown").when(K() % 131 != 6, as_text(F.col("placed"))).alias("created_at"),
             as_text(F.when(K() % 400 == 7, _plus("placed", F.lit(-600)))
                     .otherwise(_plus("placed", F.lit(2400)))).alias("promised_eta"),
             as_text(F.when(K() % 300 == 11, _plus("delivered", F.lit(60)))
@@ -219,11 +240,10 @@ class DriverTables:
             .when(K() % 89 == 0, "delivered ").otherwise("delivered").alias("final_status"),
             F.when(K() % 500 == 3, "HIGH").otherwise(
                 _pick(K() % 4, ["low", "medium", "high", "severe"])).alias("traffic_bucket"),
-            F.when(K() % 83 != 2, F.col("c_mktsegment")).alias("weather_bucket"),
-            (((K() * 29) % 300) / 10.0).alias("distance_km_estimate"))
-        # rows with k % 500 = 0 appear twice: one pass, the copy made by explode
-        copies = F.when(F.col("order_id") % 500 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        return base.withColumn("_copy", F.explode(copies)).drop("_copy")
+            F.when(K() % 83 != 2, _pick(F.col("customer_id") % 5, ["clear", "cloudy", "rain", "storm", "snow"]))
+            .alias("weather_bucket"),
+            (((K() * 29) % 300) / 10.0).alias("distance_km_estimate"),
+            (F.col("_landed") * 2 + copy).alias("_landed"))
 
     @cached_property
     def restaurants(self) -> DataFrame:

@@ -1,31 +1,27 @@
 """Exact quantiles that never gather one group's values into one task.
 
 Spark's exact ``percentile`` keeps, per group, a map from each distinct value
-to its count and merges those maps in a single task. That is fine while the
-value domain is small (durations from second-resolution timestamps), but a
-derived measure can have about as many distinct values as rows, and then one
-hot group has to fit in one task.
+to its count and merges those maps in a single task. A measure can have about
+as many distinct values as rows, and then one hot group has to fit in one task.
 
 ``exact_quantiles`` computes the same numbers (Spark's ``percentile``
 formula: position = (n - 1) * p, linear interpolation between the values at
-the floor and ceiling ranks) with ordinary distributed steps:
-
-1. count rows per (group, value) -- a partial aggregate, keyed by the value
-   too, so a hot group is spread over many tasks;
-2. range-partition those counts by (group, value): each task holds one
-   contiguous slice of a group's sorted values, and a large group spans
-   several tasks;
-3. per (task, group) totals -- a table of at most (tasks + groups) rows --
-   give every slice its offset inside the group (a window over that small
-   table) and the group size;
-4. a running count inside each slice turns every distinct value into the
-   interval of 0-based ranks it occupies;
-5. the values whose interval holds the floor / ceiling rank of each
-   requested position are picked and interpolated.
-
-Nothing is collected to the driver, and the largest unit of work is one
-range partition of distinct values. The range-partitioned counts are
-checkpointed (eagerly, one job) so the slice assignment is fixed.
+the floor and ceiling ranks) by selecting ranks in histograms of all groups
+at once, refined twice:
+
+1. rows are counted per (group, value) -- a partial aggregate, keyed by the
+   value too, so a hot group is spread over many tasks;
+2. a first histogram per group has a bin for each thousandth of the value
+   (``coarse_bin``: the logarithm's steps, at most 3 million bins for all
+   doubles); running sums over the bins give for each wanted rank its bin and
+   its rank inside;
+3. each such bin is cut into FINE equal parts between its smallest and largest
+   value, and again the part with the wanted rank is found;
+4. such a part spans less than one in 10**9 of the value: not more than about
+   5 million doubles exist in it. Running sums over its distinct values give the value.
+
+Every window sees rows of one bounded histogram. The plan is one query: no
+job runs while it is built, nothing is collected, sampled or checkpointed.
 """
 
 from __future__ import annotations
@@ -36,19 +32,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslake.functions.exprs import combine_one_row, join_null_safe, quantile
-from opslake.session import checkpoint_dir
 
+#: bins of the first histogram per factor e of the value, and parts of a bin
+STEPS, FINE = 1024, 1 << 21
 
-def _default_partitions(spark) -> int:
-    """The session's shuffle partition count; platforms that set it to a
-    non-numeric value (e.g. ``auto``) get the context's default parallelism."""
-    v = spark.conf.get("spark.sql.shuffle.partitions")
-    return int(v) if str(v).isdigit() else spark.sparkContext.defaultParallelism
+
+def coarse_bin(v: Column) -> Column:
+    """A number that never falls as the double ``v`` rises. ``log`` is
+    Spark's (strict arithmetic): the same on every machine, and monotonic."""
+    # 746 lifts the smallest double above 0; 710 is above the largest finite one
+    size = F.floor((F.least(F.log(F.abs(v)), F.lit(710.0)) + 746.0) * float(STEPS)).cast("long") + 1
+    return (F.when(F.isnan(v), F.lit(1 << 40)).when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size))
+
+
+def fine_bin(v: Column, low: Column, high: Column) -> Column:
+    """The part of [low, high] that holds ``v``, 0 to FINE; never falls as ``v`` rises."""
+    return F.when(high > low, F.floor((v - low) / F.nullif(high - low, F.lit(0.0)) * float(FINE)).cast("long")).otherwise(
+        F.lit(0).cast("long"))
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
-                    by: list[str] | None = None, num_partitions: int | None = None,
-                    weight: str | Column | None = None) -> DataFrame:
+                    by: list[str] | None = None, weight: str | Column | None = None) -> DataFrame:
     """One row per group (``by``) with one double column per entry of
     ``probs`` (name -> probability in [0, 1]). Null values are ignored; a
     group without any non-null value has no row (a left join from the
@@ -58,62 +62,54 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     by = list(by or [])
     x = F.col(value) if isinstance(value, str) else value
     w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    n_part = num_partitions or _default_partitions(df.sparkSession)
-
     counts = (df.select(*by, x.cast("double").alias("_v"), w.cast("long").alias("_w"))
               .filter(F.col("_v").isNotNull())
-              .groupBy(*by, "_v").agg(F.sum("_w").alias("_c")))
-    # slice ids follow range bounds Spark samples at run time; both uses
-    # below must see one fixed assignment, so it is checkpointed (reliable
-    # storage in the shared checkpoint folder, which also survives a lost
-    # executor) instead of being recomputed per branch
-    checkpoint_dir(df.sparkSession)
-    ranged = (counts.repartitionByRange(n_part, *by, "_v").withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-
-    # offset of every (slice, group) inside its group, and the group size
-    slices = ranged.groupBy("_pid", *by).agg(F.sum("_c").alias("_pc"))
-    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.select(
-        "_pid", *by,
-        F.coalesce(F.sum("_pc").over(earlier), F.lit(0)).alias("_off"),
-        F.sum("_pc").over(Window.partitionBy(*by)).alias("_n"))
-
-    # rank interval [first, last] of each distinct value
-    upto = Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = (ranged.withColumn("_end", F.sum("_c").over(upto))
-             .transform(lambda d: join_null_safe(d, slices, ["_pid", *by]))
-             .select(*by, "_v", "_n",
-                     (F.col("_off") + F.col("_end") - F.col("_c")).alias("_first"),
-                     (F.col("_off") + F.col("_end") - 1).alias("_last")))
-
-    names = list(probs)
-    targets = []
-    for i, name in enumerate(names):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(probs[name]))
-        targets.append(F.struct(F.lit(i).alias("q"), pos.alias("pos"),
-                                F.floor(pos).alias("lo"), F.ceil(pos).alias("hi")))
-    t = ranks.select(*by, "_v", "_first", "_last", F.explode(F.array(*targets)).alias("t"))
-
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("_first")) & (rank <= F.col("_last"))
-
-    lo, hi, pos = F.col("t.lo"), F.col("t.hi"), F.col("t.pos")
-    picked = (t.filter(holds(lo) | holds(hi))
-              .groupBy(*by, F.col("t.q").alias("q"))
-              .agg(F.max(F.when(holds(lo), F.col("_v"))).alias("lv"),
-                   F.max(F.when(holds(hi), F.col("_v"))).alias("hv"),
-                   F.max(pos).alias("pos"), F.max(lo).alias("lo"), F.max(hi).alias("hi")))
-    lv, hv = F.col("lv"), F.col("hv")
-    val = (F.when((F.col("hi") == F.col("lo")) | (hv == lv), lv)
-           .otherwise((F.col("hi") - F.col("pos")) * lv + (F.col("pos") - F.col("lo")) * hv))
-    return picked.groupBy(*by).agg(*[F.max(F.when(F.col("q") == i, val)).alias(name)
-                                     for i, name in enumerate(names)])
+              .groupBy(*by, "_v").agg(F.sum("_w").alias("_c"))
+              .withColumn("_bin", coarse_bin(F.col("_v"))))
+
+    # the bin and the rank inside it of each wanted rank
+    bins = counts.groupBy(*by, "_bin").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    group = Window.partitionBy(*by)
+    bins = bins.withColumns({"_n": F.sum("_c").over(group),
+                             "_end": F.sum("_c").over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))})
+    pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs.values()]
+    ranks = F.array(*[F.struct(F.lit(2 * i + up).alias("t"), (F.ceil(at) if up else F.floor(at)).cast("long").alias("r"))
+                      for i, at in enumerate(pos) for up in (0, 1)])
+    wanted = (bins.withColumn("_first", F.col("_end") - F.col("_c"))
+              .withColumn("_t", F.explode(F.filter(ranks, lambda t: (t["r"] >= F.col("_first")) & (t["r"] < F.col("_end")))))
+              .select(*by, "_bin", "_low", "_high", "_n", F.col("_t.t").alias("_t"), (F.col("_t.r") - F.col("_first")).alias("_r")))
+
+    part = fine_bin(F.col("_v"), F.col("_low"), F.col("_high"))
+    keys = [*by, "_t"]
+
+    def holding(rows: DataFrame, order: str) -> DataFrame:
+        """Of each wanted rank's rows, the one that holds it; ``_r``: the rank inside."""
+        upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_end", F.sum("_c").over(upto)).withColumn("_first", F.col("_end") - F.col("_c"))
+        return rows.filter((F.col("_r") >= F.col("_first")) & (F.col("_r") < F.col("_end")))
+
+    inside = join_null_safe(counts, wanted, [*by, "_bin"]).withColumn("_part", part)
+    parts = inside.groupBy(*keys, "_part").agg(
+        F.sum("_c").alias("_c"), *[F.any_value(c).alias(c) for c in ("_r", "_bin", "_low", "_high", "_n")])
+    refined = holding(parts, "_part").select(
+        *keys, "_bin", "_low", "_high", "_n", F.col("_part").alias("_wanted"), (F.col("_r") - F.col("_first")).alias("_r"))
+    left = join_null_safe(counts, refined, [*by, "_bin"]).filter(part == F.col("_wanted"))
+    found = holding(left, "_v")
+
+    def at(t: int) -> Column:
+        return F.max(F.when(F.col("_t") == t, F.col("_v")))
+
+    out = found.groupBy(*by).agg(F.max("_n").alias("_n"), *[at(t).alias(f"_q{t}") for t in range(2 * len(probs))])
+    values = []
+    for i, (name, place) in enumerate(zip(probs, pos)):
+        low, high, floor, ceil = F.col(f"_q{2 * i}"), F.col(f"_q{2 * i + 1}"), F.floor(place), F.ceil(place)
+        values.append(F.when((ceil == floor) | (high == low), low)
+                      .otherwise((ceil - place) * low + (place - floor) * high).alias(name))
+    return out.select(*by, *values)
 
 
 def exact_quantile_columns(df: DataFrame, measures: dict[str, str | Column],
-                           outputs: dict[str, tuple[str, float]], by: list[str] | None = None,
-                           num_partitions: int | None = None) -> DataFrame:
+                           outputs: dict[str, tuple[str, float]], by: list[str] | None = None) -> DataFrame:
     """Several exact quantiles of several measures in one distributed pass.
 
     ``measures`` maps a label to a value column; ``outputs`` maps each output
@@ -126,10 +122,9 @@ def exact_quantile_columns(df: DataFrame, measures: dict[str, str | Column],
     stacked = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(m).alias("_m"), c.cast("double").alias("_x")) for m, c in cols.items()])))
     probs = sorted({p for _, p in outputs.values()})
-    q = exact_quantiles(stacked, "_x", {f"_q{i}": p for i, p in enumerate(probs)}, by=by + ["_m"],
-                        num_partitions=num_partitions)
+    q = exact_quantiles(stacked, "_x", {f"_p{i}": p for i, p in enumerate(probs)}, by=by + ["_m"])
     return q.groupBy(*by).agg(*[
-        F.max(F.when(F.col("_m") == m, F.col(f"_q{probs.index(p)}"))).alias(name)
+        F.max(F.when(F.col("_m") == m, F.col(f"_p{probs.index(p)}"))).alias(name)
         for name, (m, p) in outputs.items()])
 
 
@@ -144,21 +139,21 @@ class Q:
 
 
 def agg_with_quantiles(df: DataFrame, measures: list[tuple[str, Column | Q]], by: list[str] | None = None,
-                       approx: bool = False, distributed: bool = False) -> DataFrame:
+                       approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """Aggregate ``measures`` (name, Column aggregate or ``Q``) per ``by``
     group, columns in the given order.
 
-    Quantiles are Spark's exact ``percentile`` by default (one value map
-    per group: fine for bounded value domains), the bounded sketch with
-    ``approx``, or with ``distributed`` the same exact values computed by
-    ``exact_quantile_columns`` (one pass for all quantile measures; no
-    group's values in one task), joined to the other aggregates by group.
+    Quantiles are exact and computed by ``exact_quantile_columns`` (one pass
+    for all quantile measures; no group's values in one task), joined to the
+    other aggregates by group. ``distributed=False`` uses Spark's
+    ``percentile`` instead (the same values from one value map per group,
+    for domains known to be small), ``approx`` the bounded sketch.
     """
     if approx and distributed:
         raise ValueError("approx and distributed exclude each other")
     by = list(by or [])
     grouped = df.groupBy(*by)
-    if not distributed:
+    if approx or distributed is False or not any(isinstance(m, Q) for _, m in measures):
         return grouped.agg(*[F.round(quantile(m.value, m.p, approx), m.digits).alias(n) if isinstance(m, Q)
                              else m.alias(n) for n, m in measures])
     qs = [(n, m) for n, m in measures if isinstance(m, Q)]

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from opslake.functions import (as_timestamps, combine_one_row, fmt_ts, minutes_between, norm_category, parse_ts, quantile,
                                rate_true)
+from opslake.functions.exprs import join_null_safe
 from opslake.functions.quantiles import Q, agg_with_quantiles, exact_quantiles
-from opslake.operators.contracts import dedupe_keep_first
+from opslake.operators.contracts import dedupe_keep_first, keep_first_landed
 
 # ---- fixed values --------------------------------------------------------------
+LANDED = "_landed"  # column of the landing sequence
 ORDER_TS = ["created_at", "promised_eta", "pickup_at", "actual_delivery_at"]
 DELIVERED = "delivered"
 CANCELLED = "cancelled"
@@ -55,11 +57,18 @@ def parse_orders(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: parse_ts(c) for c in ORDER_TS})
 
 
+def first_orders(raw: DataFrame) -> DataFrame:
+    """One row per order_id: the one that landed first where the rows carry
+    their landing sequence, else the first by its times."""
+    if LANDED in raw.columns:
+        return keep_first_landed(raw, "order_id", LANDED)
+    return dedupe_keep_first(raw, "order_id", ORDER_TS)
+
+
 def prepare_orders(raw: DataFrame) -> DataFrame:
     """Dedupe (keep first per order_id), parse timestamps, normalise status,
     and derive delay minutes and the late flag for valid delivered orders."""
-    d = dedupe_keep_first(raw, "order_id", ORDER_TS)
-    d = parse_orders(d).withColumn("final_status_norm", norm_category("final_status"))
+    d = parse_orders(first_orders(raw)).withColumn("final_status_norm", norm_category("final_status"))
     delivered = F.col("final_status_norm") == DELIVERED
     valid = delivered & F.col("actual_delivery_at").isNotNull() & F.col("promised_eta").isNotNull()
     return d.withColumns({
@@ -69,13 +78,13 @@ def prepare_orders(raw: DataFrame) -> DataFrame:
     }).withColumn("is_late", F.when(F.col("is_valid_delivered"), F.col("delay_min") > 0))
 
 
-def outcomes(prepared: DataFrame) -> DataFrame:
+def outcomes(prepared: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Order outcomes: delivered flag, late flag (null without a delivery
-    time), delay and outcome bucket."""
+    time), delay and outcome bucket; ``keep``: further columns of the order."""
     delay = minutes_between("promised_eta", "actual_delivery_at")
     delivered = F.col("is_delivered")
     return prepared.select(
-        "order_id",
+        "order_id", *keep,
         F.when(delivered, 1.0).otherwise(0.0).alias("delivered_flag"),
         F.when(delivered & delay.isNotNull(), F.when(delay > 0, 1.0).otherwise(0.0)).alias("late_flag"),
         F.when(delivered, delay).alias("delay_min"),
@@ -89,7 +98,7 @@ def _valid(prepared: DataFrame) -> DataFrame:
 
 
 # ---- D1 - D8 ------------------------------------------------------------------------
-def late_summary(prepared: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
+def late_summary(prepared: DataFrame, approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """Size of the late-delivery problem."""
     late_delay = F.when(F.col("is_late"), F.col("delay_min"))
     return agg_with_quantiles(prepared, [
@@ -114,7 +123,7 @@ def top_delays(prepared: DataFrame, n: int = 5) -> DataFrame:
 
 
 def _late_stats(df: DataFrame, keys, approx=False, with_mean=True, with_median=True,
-                distributed=False) -> DataFrame:
+                distributed=None) -> DataFrame:
     measures = [("order_count", F.count("order_id")),
                 ("late_rate_pct", F.round(F.avg(F.col("is_late").cast("double")) * 100, 2))]
     if with_median:
@@ -126,7 +135,7 @@ def _late_stats(df: DataFrame, keys, approx=False, with_mean=True, with_median=T
 
 def late_by_category_ordered(prepared: DataFrame, col: str = "traffic_bucket",
                              order: list[str] = TRAFFIC_ORDER, approx: bool = False,
-                             distributed: bool = False) -> DataFrame:
+                             distributed: bool | None = None) -> DataFrame:
     """D3: only the listed categories, in the listed order. The order frame
     is a literal of len(order) rows, joined after the aggregation."""
     g = _late_stats(_valid(prepared).filter(F.col(col).isin(order)), [col], approx, distributed=distributed)
@@ -135,14 +144,14 @@ def late_by_category_ordered(prepared: DataFrame, col: str = "traffic_bucket",
 
 
 def late_by_category(prepared: DataFrame, col: str = "weather_bucket", approx: bool = False,
-                     distributed: bool = False) -> DataFrame:
+                     distributed: bool | None = None) -> DataFrame:
     """Late rate per free category (rows without one are in none)."""
     known = _valid(prepared).filter(F.col(col).isNotNull())
     return _late_stats(known, [col], approx, distributed=distributed).orderBy(col)
 
 
 def late_by_band(prepared: DataFrame, col: str = "distance_km_estimate", approx: bool = False,
-                 distributed: bool = False) -> DataFrame:
+                 distributed: bool | None = None) -> DataFrame:
     """Right-closed numeric bands; empty bands are kept with count 0,
     values outside every band are excluded."""
     x = F.col(col)
@@ -166,14 +175,14 @@ def late_by_hour(prepared: DataFrame) -> DataFrame:
 
 
 def category_share(tickets: DataFrame, col: str = "category") -> DataFrame:
-    """Count and % of all rows per category; the total is a window over
-    the grouped rows (one per category), never over raw rows. Rows without
+    """Count and % of all rows per category. The total is a scalar subquery over the
+    same counts: no task sees all categories (they are free text). Rows without
     a category count in the total but get no row of their own (value
     counts leave the missing value out)."""
     g = tickets.groupBy(col).agg(F.count(F.lit(1)).alias("ticket_count"))
-    tot = F.sum("ticket_count").over(Window.partitionBy())
-    return (g.withColumn("percentage", F.round(F.col("ticket_count") * 100.0 / tot, 2))
-            .filter(F.col(col).isNotNull())
+    total = tickets.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return (g.filter(F.col(col).isNotNull())
+            .withColumn("percentage", F.round(F.col("ticket_count") * 100.0 / total, 2))
             .orderBy(F.desc("ticket_count"), F.asc(col)))
 
 
@@ -206,30 +215,35 @@ def flatten_documents(docs: DataFrame, parent_key: str = "driver_id", array_col:
 
 def event_census(events: DataFrame, type_col: str = "type") -> DataFrame:
     """Rows per event type and whether an arrival event is ever recorded
-    (window over the grouped rows only). Events without a type are not
-    counted (value counts leave the missing value out)."""
+    (a scalar subquery). Events without a type are not counted (value counts
+    leave the missing value out)."""
     g = (events.filter(F.col(type_col).isNotNull())
          .groupBy(F.col(type_col).alias("event_type")).agg(F.count(F.lit(1)).alias("event_count")))
-    has = F.bool_or(F.col("event_type").isin(ARRIVAL_EVENT_TYPES)).over(Window.partitionBy())
+    has = events.agg(F.coalesce(F.bool_or(F.col(type_col).isin(ARRIVAL_EVENT_TYPES)), F.lit(False)).alias("x")).scalar()
     return g.withColumn("arrival_event_recorded", has).orderBy(F.desc("event_count"), "event_type")
 
 
 # ---- D10 ---------------------------------------------------------------------------------
 def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame,
-                   interventions: DataFrame) -> DataFrame:
+                   interventions: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """Timeline of every order from four sources.
 
     Order columns are unpivoted with ``stack``; all four projections are
-    appended with ``unionByName``; each order's rows are together and sorted
-    by time (no order among orders, so no global sort). A caller filters one
-    order_id; the filter is pushed below the union into each source scan.
-    Text times are parsed; unreadable ones are null and come last.
+    appended with ``unionByName``. ``event_no`` numbers an order's events by
+    time, type and details; rows lie in that order within their task (no order
+    among orders, so no global sort). A caller filters one order_id; the filter
+    is pushed below the union into each source scan. Text times are parsed;
+    unreadable ones are null and come last.
+
+    An order's events are dealt by slices of time (``slice_seconds``), so an
+    order that holds a large part of all events is the work of many tasks. The
+    counts of slices (a partial aggregate) give each slice its first
+    number; a slice is numbered by itself.
     """
     actions = as_timestamps(actions, ["action_at"])
     tickets = as_timestamps(tickets, ["created_at"])
     interventions = as_timestamps(interventions, ["intervention_at"])
-    o = dedupe_keep_first(orders_raw, "order_id", ORDER_TS)
-    s = o.select("order_id", F.stack(
+    s = first_orders(orders_raw).select("order_id", F.stack(
         F.lit(4),
         F.lit("ORDER_CREATED"), F.col("created_at"), F.lit("customer"),
         F.concat(F.lit("Placed order with restaurant "), F.col("restaurant_id").cast("string")),
@@ -256,8 +270,16 @@ def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame
         F.col("initiated_by").alias("actor"), F.lit("order_interventions").alias("source_system"),
         F.concat(F.lit("Reason: "), F.col("reason")).alias("details"))
     u = reduce(DataFrame.unionByName, [s, a, t, i])
-    return u.repartition("order_id").sortWithinPartitions(
-        "order_id", F.asc_nulls_last("event_time"), "event_type", "details")
+    # a slice after all others for events without a time
+    at = F.coalesce(F.floor(F.unix_micros("event_time") / F.lit(slice_seconds * 1_000_000)), F.lit(1 << 62)).cast("long")
+    u = u.withColumn("_slice", at)
+    before = Window.partitionBy("order_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (u.groupBy("order_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+              .select("order_id", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    order = [F.asc_nulls_last("event_time"), "event_type", "details", "actor", "source_system"]
+    inside = F.row_number().over(Window.partitionBy("order_id", "_slice").orderBy(*order))
+    numbered = join_null_safe(u, starts, ["order_id", "_slice"]).withColumn("event_no", F.col("_start") + inside)
+    return numbered.drop("_slice", "_start").sortWithinPartitions("order_id", "event_no")
 
 
 # ---- D11 - D14 -----------------------------------------------------------------------------
@@ -286,12 +308,10 @@ def interventions_rollup(interventions: DataFrame) -> DataFrame:
                  F.array_join(F.array_sort(F.collect_set("intervention_type")), ", ").alias("intervention_types")))
 
 
-def order_journey(orders_raw: DataFrame, outcome: DataFrame, actions: DataFrame, tickets: DataFrame,
-                  interventions: DataFrame) -> DataFrame:
-    """Deduped orders + outcome + the three order-grain rollups."""
-    base = dedupe_keep_first(orders_raw, "order_id", ORDER_TS).select(
-        "order_id", "customer_id", "restaurant_id", "driver_id", "final_status")
-    j = (base.join(outcome, "order_id", "left")
+def order_journey(prepared: DataFrame, actions: DataFrame, tickets: DataFrame, interventions: DataFrame) -> DataFrame:
+    """Prepared orders (one row each) with their outcome + the three
+    order-grain rollups."""
+    j = (outcomes(prepared, ("customer_id", "restaurant_id", "driver_id", "final_status"))
          .join(actions_rollup(actions), "order_id", "left")
          .join(tickets_rollup(tickets), "order_id", "left")
          .join(interventions_rollup(interventions), "order_id", "left"))
@@ -360,7 +380,7 @@ def _delivered(journey: DataFrame) -> DataFrame:
     return journey.filter(F.col("delivered_flag") == 1)
 
 
-def delay_by_support(journey: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
+def delay_by_support(journey: DataFrame, approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """Delay distribution with vs without support contact."""
     return agg_with_quantiles(_delivered(journey), [
         ("order_count", F.count("delay_min")),
@@ -370,7 +390,7 @@ def delay_by_support(journey: DataFrame, approx: bool = False, distributed: bool
     ], by=["support_opened"], approx=approx, distributed=distributed).orderBy("support_opened")
 
 
-def late_by_intervened(journey: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
+def late_by_intervened(journey: DataFrame, approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """Late rate with vs without intervention (mean skips null flags)."""
     d = _delivered(journey).withColumn("received_intervention", F.col("intervention_count") > 0)
     return agg_with_quantiles(d, [
@@ -381,7 +401,7 @@ def late_by_intervened(journey: DataFrame, approx: bool = False, distributed: bo
 
 
 def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, approx: bool = False,
-                              distributed: bool = False) -> DataFrame:
+                              distributed: bool | None = None) -> DataFrame:
     """Per intervention type over delivered outcomes; every
     intervention row counts once (1:N).
 
@@ -405,7 +425,7 @@ def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, appr
         rows, flag = F.col("_rows"), F.col("late_flag")
         agg = [F.sum("_ids").alias("interventions_count"),
                F.round(F.sum(flag * rows) / F.sum(F.when(flag.isNotNull(), rows)) * 100, 2).alias("late_rate_pct")]
-        if distributed:
+        if distributed is not False:
             med = exact_quantiles(j, "delay_min", {"_med": 0.5}, by=["intervention_type"], weight="_rows")
             res = (j.groupBy("intervention_type").agg(*agg).join(med, "intervention_type", "left")
                    .select("intervention_type", "interventions_count", "late_rate_pct",

@@ -142,7 +142,7 @@ def bottleneck_distribution(fact: DataFrame) -> DataFrame:
     return g.withColumn("is_mode", F.row_number().over(w) == 1)
 
 
-def model_summary(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
+def model_summary(fact: DataFrame, approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """Completed count, breach %, P50 / P90 OTD of completed orders."""
     done = fact.filter("is_completed")
     a = agg_with_quantiles(done, [

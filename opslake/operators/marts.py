@@ -39,11 +39,9 @@ EVIDENCE_TARGETS = [
 ]
 
 
-def kpi_summary(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
+def kpi_summary(fact: DataFrame, approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """M1: one row of 15 measures. Completed-only measures use a guarded
-    column (null outside the population), exactly like CASE WHEN in SQL.
-    ``distributed`` computes the exact quantiles without one value map per
-    group (for unbounded value domains)."""
+    column (null outside the population), exactly like CASE WHEN in SQL."""
     done = F.col("is_completed")
 
     def on_done(c):
@@ -68,7 +66,7 @@ def kpi_summary(fact: DataFrame, approx: bool = False, distributed: bool = False
     ], approx=approx, distributed=distributed)
 
 
-def kpi_by_cluster(fact: DataFrame, approx: bool = False, distributed: bool = False) -> DataFrame:
+def kpi_by_cluster(fact: DataFrame, approx: bool = False, distributed: bool | None = None) -> DataFrame:
     """M2: completed orders per cluster, worst breach rate first."""
     out = agg_with_quantiles(fact.filter(F.col("is_completed")), [
         ("order_count", F.count(F.lit(1))),
@@ -83,54 +81,51 @@ def kpi_by_cluster(fact: DataFrame, approx: bool = False, distributed: bool = Fa
 
 
 def scenario_evaluation(fact: DataFrame, approx: bool = False) -> DataFrame:
-    """M3: all four what-if scenarios in one pass over completed orders.
+    """M3: all four what-if scenarios over completed orders, from weighted cells.
 
-    Each order row is expanded into its four scenario variants with a
-    4-element array (``inline``) -- no join, no per-scenario rescan -- and a
-    single ``groupBy(scenario)`` computes every measure. The baseline refund
-    total is computed in the same aggregation (refund factor x baseline sum,
-    the sum is equal for every scenario).
+    A scenario sees an order's OTD, its rider wait and whether its queue is over
+    the buffer depth, so orders are first counted by these three (a partial
+    aggregate). Only the cells are expanded into their four variants; counts,
+    means and quantiles are weighted by the cells' orders. The refund total is
+    the same sum for every scenario.
     """
-    done = fact.filter(F.col("is_completed")).select(
-        "total_otd_min", "rider_store_wait_min", "active_kitchen_queue_depth", "refund_amount_cents")
-    wait = F.col("rider_store_wait_min")
+    done = fact.filter(F.col("is_completed"))
+    cells = done.groupBy(
+        F.col("total_otd_min").cast("double").alias("_otd"), F.col("rider_store_wait_min").cast("double").alias("_wait"),
+        F.coalesce(F.col("active_kitchen_queue_depth") > BUFFER_QUEUE_DEPTH, F.lit(False)).alias("_deep"),
+    ).agg(F.count(F.lit(1)).alias("_orders"), F.sum("refund_amount_cents").alias("_cents"))
+    wait = F.col("_wait")
     staged_wait = clip(wait * STAGED_WAIT_FACTOR, STAGED_WAIT_MIN, STAGED_WAIT_MAX)
-    staged_otd = F.col("total_otd_min") - (wait - staged_wait)
-    buffer = F.when(F.col("active_kitchen_queue_depth") > BUFFER_QUEUE_DEPTH,
-                    F.lit(BUFFER_REDUCTION_MIN)).otherwise(F.lit(0.0))
+    staged_otd = F.col("_otd") - (wait - staged_wait)
+    buffer = F.when(F.col("_deep"), F.lit(BUFFER_REDUCTION_MIN)).otherwise(F.lit(0.0))
     variants = []
-    for name, order, staged, buffered, refund_f, gain, feas in SCENARIOS:
-        otd = staged_otd if staged else F.col("total_otd_min")
+    for _, order, staged, buffered, *_ in SCENARIOS:
+        otd = staged_otd if staged else F.col("_otd")
         if buffered:
             otd = otd - buffer
-        variants.append(F.struct(
-            F.lit(name).alias("scenario"), F.lit(order).alias("scenario_order"),
-            otd.alias("otd"), (staged_wait if staged else wait).alias("wait"),
-            F.lit(refund_f).alias("refund_factor"), F.lit(gain).alias("gain"),
-            F.lit(feas).alias("feasibility")))
-    x = done.select("refund_amount_cents", F.inline(F.array(*variants)))
+        variants.append(F.struct(F.lit(order).alias("scenario_order"), otd.alias("otd"),
+                                 (staged_wait if staged else wait).alias("wait")))
+    x = cells.select("_orders", "_cents", F.inline(F.array(*variants)))
+    n = F.col("_orders")
     measures = [
-        F.round(F.avg(F.coalesce(F.col("otd") > SLA_MINUTES, F.lit(False)).cast("double")) * 100, 2)
-        .alias("sla_breach_pct"),
-        F.round(F.avg("wait"), 2).alias("mean_rider_wait_min"),
-        (F.sum("refund_amount_cents") / F.lit(100.0)).alias("_base_refund")]
-    keys = ["scenario", "scenario_order", "refund_factor", "gain", "feasibility"]
-    if approx:
-        g = x.groupBy(*keys).agg(F.round(quantile("otd", 0.5, True), 2).alias("p50_otd_min"),
-                                 F.round(quantile("otd", 0.9, True), 2).alias("p90_otd_min"), *measures)
+        F.round(F.sum(F.when(F.col("otd") > SLA_MINUTES, n).otherwise(0)) * 100.0 / F.sum(n), 2).alias("sla_breach_pct"),
+        F.round(F.sum(F.col("wait") * n) / F.sum(F.when(F.col("wait").isNotNull(), n)), 2).alias("mean_rider_wait_min"),
+        (F.sum("_cents") / F.lit(100.0)).alias("_base_refund")]
+    g = x.groupBy("scenario_order").agg(*measures)
+    if approx:  # the sketch takes no weights
+        each = x.select("scenario_order", "otd", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+        q = each.groupBy("scenario_order").agg(quantile("otd", 0.5, True).alias("_p50"), quantile("otd", 0.9, True).alias("_p90"))
     else:
-        # a simulated OTD depends on the (OTD, wait) pair, so its distinct
-        # values grow with the rows: exact quantiles are computed distributed
-        # instead of in one value map per scenario
-        q = exact_quantiles(x, "otd", {"_p50": 0.5, "_p90": 0.9}, by=["scenario_order"])
-        g = x.groupBy(*keys).agg(*measures).join(q, "scenario_order", "left").select(
-            *keys, F.round("_p50", 2).alias("p50_otd_min"), F.round("_p90", 2).alias("p90_otd_min"),
-            "sla_breach_pct", "mean_rider_wait_min", "_base_refund")
-    return g.select(
-        "scenario", "scenario_order", "p50_otd_min", "p90_otd_min", "sla_breach_pct", "mean_rider_wait_min",
-        F.col("gain").alias("effective_fleet_capacity_gain_pct"),
-        F.round(F.col("_base_refund") * F.col("refund_factor"), 2).alias("projected_refund_liability_usd"),
-        F.col("feasibility").alias("operational_feasibility"),
+        q = exact_quantiles(x, "otd", {"_p50": 0.5, "_p90": 0.9}, by=["scenario_order"], weight="_orders")
+    texts = F.element_at(F.array(*[F.struct(F.lit(name).alias("scenario"), F.lit(factor).alias("factor"),
+                                            F.lit(gain).alias("gain"), F.lit(feasible).alias("feasibility"))
+                                   for name, _, _, _, factor, gain, feasible in SCENARIOS]), F.col("scenario_order") + 1)
+    return g.join(q, "scenario_order", "left").withColumn("_t", texts).select(
+        F.col("_t.scenario").alias("scenario"), "scenario_order", F.round("_p50", 2).alias("p50_otd_min"),
+        F.round("_p90", 2).alias("p90_otd_min"), "sla_breach_pct", "mean_rider_wait_min",
+        F.col("_t.gain").alias("effective_fleet_capacity_gain_pct"),
+        F.round(F.col("_base_refund") * F.col("_t.factor"), 2).alias("projected_refund_liability_usd"),
+        F.col("_t.feasibility").alias("operational_feasibility"),
     ).orderBy("scenario_order")
 
 

@@ -12,12 +12,15 @@ from opslake.functions import combine_one_row
 
 
 def rowcount_proof(landed: dict[str, DataFrame], source: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Rows per landed table (and per source when given) in one frame."""
+    """Rows per landed table (and per source when given) in one frame. A
+    source is its rows, or one row with the count it announces (``source_rows``)."""
     parts = []
     for name, df in landed.items():
         a = df.agg(F.count(F.lit(1)).alias("landed_rows")).withColumn("source", F.lit(name))
         if source and name in source:
-            s = source[name].agg(F.count(F.lit(1)).alias("source_rows"))
+            s = source[name]
+            if s.columns != ["source_rows"]:
+                s = s.agg(F.count(F.lit(1)).alias("source_rows"))
             a = combine_one_row(a.select("source", "landed_rows"), s)
         else:
             a = a.withColumn("source_rows", F.col("landed_rows"))

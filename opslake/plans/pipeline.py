@@ -73,11 +73,11 @@ class RunResult:
 
 def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, batch_date: str,
                  run_id: str | None = None, threshold_pct: float = K.BREAKER_THRESHOLD_PCT,
-                 halt_on_breaker: bool = False, distributed_quantiles: bool = False) -> RunResult:
+                 halt_on_breaker: bool = False, distributed_quantiles: bool | None = None) -> RunResult:
     """Land, validate, model and publish one batch.
 
-    ``distributed_quantiles`` computes the KPI and cluster quantiles without
-    one value map per group (same values; for unbounded value domains).
+    ``distributed_quantiles=False`` computes the KPI and cluster quantiles with
+    one value map per group (same values; for domains known to be small).
 
     Layer tables are partitioned by ``batch_date``; re-running a batch replaces
     exactly that batch's folders, also where a table has no rows any more. A
@@ -122,9 +122,13 @@ def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker
             return [f.result() for f in futs]
 
     # ---- bronze ---------------------------------------------------------------
+    seen = {}  # the sources' row counts, observed while bronze is written
+
     def stamped(name, df, source_type):
-        return (S.bronze_stamp(df, batch_id=f"BATCH-{batch_date}", ingested_at=ingested_at, source_type=source_type,
-                               raw_checksum=src.checksums.get(name)), "bronze", name)
+        rows, seen[name] = S.counted(S.bronze_stamp(
+            df, batch_id=f"BATCH-{batch_date}", ingested_at=ingested_at, source_type=source_type,
+            raw_checksum=src.checksums.get(name)), f"bronze {name}")
+        return rows, "bronze", name
 
     orders, merchants, lines, headers, dispatch, kds, tickets = put_all([
         stamped("orders", src.orders, S.SOURCE_SQL),
@@ -135,10 +139,8 @@ def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker
         stamped("kds_logs", src.kds, S.SOURCE_CSV),
         stamped("support_tickets", src.tickets, S.SOURCE_JSON),
     ])
-    bronze = {"orders": (orders, S.SOURCE_SQL), "merchants": (merchants, S.SOURCE_SQL),
-              "order_line_items": (lines, S.SOURCE_SQL), "order_headers": (headers, S.SOURCE_SQL),
-              "dispatch_attempts": (dispatch, S.SOURCE_API), "kds_logs": (kds, S.SOURCE_CSV),
-              "support_tickets": (tickets, S.SOURCE_JSON)}
+    kinds = {"orders": S.SOURCE_SQL, "merchants": S.SOURCE_SQL, "order_line_items": S.SOURCE_SQL, "order_headers": S.SOURCE_SQL,
+             "dispatch_attempts": S.SOURCE_API, "kds_logs": S.SOURCE_CSV, "support_tickets": S.SOURCE_JSON}
 
     pk = P.pk_integrity([("orders", orders, "order_id"), ("order_line_items", lines, "line_item_id"),
                          ("dispatch_attempts", dispatch, "dispatch_id"), ("kds_logs", kds, "kds_ticket_id")])
@@ -147,8 +149,6 @@ def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker
     # the proof is recorded, not a precondition of silver: its one-row job
     # runs beside the silver and gold jobs instead of blocking them
     proof_job = side.submit(lambda: combine_one_row(gate, P.control_totals(headers)).first().asDict())
-    counts_job = side.submit(lambda: combine_one_row(*[
-        df.agg(F.count(F.lit(1)).alias(name)) for name, (df, _) in bronze.items()]).first().asDict())
 
     # ---- silver + quarantine ------------------------------------------------------
     s = C.validate_and_calibrate(orders, kds, dispatch, quarantined_at=ingested_at)
@@ -185,7 +185,7 @@ def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker
 
     staged = M.scenario_lookup(scen, "Staged Offset").select(F.col("p90_otd_min").alias("staged_dispatch_p90_sim_min"))
     gold_row = combine_one_row(fact_summary(fact, kpi), staged).first().asDict()
-    proof, silver_row, counts = proof_job.result(), silver_job.result(), counts_job.result()
+    proof, silver_row = proof_job.result(), silver_job.result()
     put(M.evidence_table(kpi), "gold", "evidence_table")
     # the gate's verdict is already known from the proof: no rescan of bronze
     row = {"completeness_verified": bool(proof["completeness_verified"]), **silver_row, **gold_row}
@@ -193,8 +193,8 @@ def _run(spark, src, out_dir, batch_date, run_id, threshold_pct, halt_on_breaker
         "run_id": run_id, "pipeline_version": PIPELINE_VERSION, "batch_date": batch_date,
         "status": row["status"], "quarantine_trip_warning": bool(row["quarantine_trip_warning"]),
         "completeness": {k: proof[k] for k in proof},
-        "sources": {name: {"rows": counts[name], "retrieval": kind, "sha256": src.checksums.get(name)}
-                    for name, (_, kind) in bronze.items()},
+        "sources": {name: {"rows": seen[name].get["rows"], "retrieval": kind, "sha256": src.checksums.get(name)}
+                    for name, kind in kinds.items()},
         "errors": [] if not row["quarantine_trip_warning"] else [
             f"quarantine rate {row['quarantine_rate_pct']} % is over the limit of {threshold_pct} %"],
         "summary": row, "duration_seconds": round(time.time() - started, 2),

@@ -3,7 +3,7 @@ checksums, page / document flattening, raw-zone copies and layer writes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -95,16 +95,78 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def _store(spark: SparkSession, path: str):
+    """(Hadoop filesystem, function to its paths) for a layer folder."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def _move(store, source, target) -> None:
+    if not store.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def replace_partition(df: DataFrame, path: str, column: str, value: str) -> DataFrame:
     """One partition of a layer table replaced by ``df`` and read back with
-    its schema. The partition's own folder is overwritten, so content without
-    rows replaces what was there too, and a table without rows can be read."""
+    its schema. Content without rows replaces what was there too.
+
+    The rows are written beside the table, under ``_staging`` (readers skip such
+    names), so a run that dies while it writes leaves the old partition as it
+    is. Then two renames publish them: the old folder goes to ``_replaced``, the
+    new one takes its place. A run that dies between the two leaves the old rows
+    in ``_replaced``: ``read_partition`` follows them there, and the next
+    replacement puts them back first. They stay until that replacement, for readers
+    that began before it.
+    """
     import re
     if not re.fullmatch(r"[A-Za-z0-9._-]+", value):
         raise ValueError(f"not a partition value: {value!r}")
+    spark, name = df.sparkSession, f"{column}={value}"
+    store, at = _store(spark, path)
+    place, staging, replaced = (at(f"{path}/{x}") for x in (name, f"_staging/{name}", f"_replaced/{name}"))
+    if not store.exists(place) and store.exists(replaced):
+        _move(store, replaced, place)
+    store.delete(staging, True)
+    df.write.mode("overwrite").parquet(f"{path}/_staging/{name}")
+    store.delete(replaced, True)
+    if store.exists(place):
+        store.mkdirs(replaced.getParent())
+        _move(store, place, replaced)
+    _move(store, staging, place)
+    return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+
+def read_partition(spark: SparkSession, path: str, column: str, value: str, schema: StructType | str | None = None) -> DataFrame:
+    """The published rows of a partition, also where a run died while it published new ones."""
+    store, at = _store(spark, path)
     place = f"{path}/{column}={value}"
-    df.write.mode("overwrite").parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    if not store.exists(at(place)):
+        place = f"{path}/_replaced/{column}={value}"
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    return r.parquet(place)
+
+
+# ---- C9 at the source ---------------------------------------------------------------
+def with_landing_sequence(df: DataFrame, column: str = "_landed") -> DataFrame:
+    """The rows of a file scan with their place in landing order, a long: files by
+    path, rows as they stand in the file. ``df`` is a scan (it may be filtered or
+    projected).
+
+    Files are numbered in a table of one row for each file, or for each split where
+    the format does not number its rows; the number and the row's position make
+    the sequence.
+    """
+    try:
+        df.select("_metadata.row_index")
+        part, position, bits = ["_file"], F.col("_metadata.row_index"), 40
+    except Exception:  # noqa: BLE001 - text formats do not number rows: the position inside the split
+        part, position, bits = ["_file", "_block"], F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)), 33
+    where = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
+    rows = df.select("*", *[where[p].alias(p) for p in part], position.alias("_position"))
+    order = F.row_number().over(Window.orderBy(*part))
+    files = df.select(*[where[p].alias(p) for p in part]).distinct().withColumn("_number", order)
+    sequence = F.shiftleft(F.col("_number").cast("long"), bits) + F.col("_position")
+    return rows.join(files, part).withColumn(column, sequence).drop("_number", "_position", *part)
 
 
 # ---- S10 / S11 -----------------------------------------------------------------------
@@ -137,11 +199,37 @@ def _open(path: str):
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:
-    """Paths and sizes only; no byte of a file is read. Dealt out one by one,
-    so that files are hashed beside each other. The source lists no files
-    without bytes."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    return files.repartition(spark.sparkContext.defaultParallelism)
+    """path, length of the landed files, those without bytes included; no byte of a
+    file is read. The driver lists what ``path`` (a folder, file or pattern) holds
+    directly; each folder in it is listed to its depth by a task. Names
+    beginning with ``_`` or ``.`` are left out. Files are dealt out one by one, so that
+    they are hashed beside each other."""
+    store, at = _store(spark, path)
+    top = []
+    for found in store.globStatus(at(path)) or []:
+        for status in store.listStatus(found.getPath()) if found.isDirectory() else [found]:
+            if status.getPath().getName()[0] not in "_.":
+                top.append((status.getPath().toString(), -1 if status.isDirectory() else status.getLen()))
+    if not top:
+        raise FileNotFoundError(f"nothing has landed in {path}")
+
+    def deepen(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+        for batch in batches:
+            for name, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = [(name, length)]
+                if length < 0:
+                    files, base = _open(name)
+                    inside = files.get_file_info(fs.FileSelector(base, recursive=True))
+                    below = [(i.path[len(base):].lstrip("/"), i.size) for i in inside if i.type == fs.FileType.File]
+                    found = [(f"{name}/{p}", size) for p, size in below if all(x[0] not in "_." for x in p.split("/"))]
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()),
+                                                  pa.array([n for _, n in found], pa.int64())], ["path", "length"])
+
+    many = spark.sparkContext.defaultParallelism
+    listed = spark.createDataFrame(top, "path string, length long").repartition(min(many, len(top)))
+    return listed.mapInArrow(deepen, "path string, length long").repartition(many)
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
@@ -186,13 +274,15 @@ def content_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def land_raw_files(spark: SparkSession, src: str, raw_dir: str) -> DataFrame:
     """Preserve landed files unchanged, as files, before anything parses
     them: copied block by block in the executors to ``raw_dir/files`` and
-    hashed on the way. ``raw_dir/manifest`` (path, length, sha256, raw_path) is
+    hashed on the way. A copy is written under a name of its task and renamed when it
+    is whole, so a task that runs twice at once harms nothing. ``raw_dir/manifest`` (path, length, sha256, raw_path) is
     written last; where it exists the copy is refused, so a raw zone is never
     overwritten. Parsers read ``raw_dir/files``."""
     target = raw_dir.rstrip("/") + "/files"
 
     def run(batches):
         import hashlib
+        import uuid
 
         import pyarrow as pa
         for batch in batches:
@@ -203,11 +293,13 @@ def land_raw_files(spark: SparkSession, src: str, raw_dir: str) -> DataFrame:
                 out.create_dir(base, recursive=True)
                 # a name of its own for each source path; a retried task writes the same bytes again
                 place = f"{hashlib.sha256(name.encode()).hexdigest()[:16]}-{name.rsplit('/', 1)[-1]}"
+                mine = f"{base}/.{uuid.uuid4().hex}"
                 h = hashlib.sha256()
-                with store.open_input_stream(at) as f, out.open_output_stream(f"{base}/{place}") as g:
+                with store.open_input_stream(at) as f, out.open_output_stream(mine) as g:
                     while block := f.read(BLOCK_BYTES):
                         h.update(block)
                         g.write(block)
+                out.move(mine, f"{base}/{place}")
                 sums.append(h.hexdigest())
                 places.append(f"{target}/{place}")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string()), pa.array(places, pa.string())],
@@ -219,16 +311,14 @@ def land_raw_files(spark: SparkSession, src: str, raw_dir: str) -> DataFrame:
     return spark.read.parquet(manifest)
 
 
-def land(df: DataFrame, path: str, batch_id: str, ingested_at: str, source_type: str,
-         raw_checksum: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
-    """Stamp and write one source to bronze; return the landed table read
-    back from storage (lineage cut at the layer boundary)."""
-    stamped = bronze_stamp(df, batch_id, ingested_at, source_type, raw_checksum)
-    write_layer(stamped, path, partition_by)
-    return df.sparkSession.read.parquet(path)
+# ---- S12 ---------------------------------------------------------------------------
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The frame with an observation that has its row count (``rows``) once one
+    action on it is done: rows are counted while they are written."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-# ---- S12 ---------------------------------------------------------------------------
 def manifest_frame(spark: SparkSession, values: dict) -> DataFrame:
     """A one-row manifest from driver-side scalars (never data rows)."""
     import json

@@ -159,13 +159,12 @@ def test_rollups_and_journey(spark):
     i = {r.order_id: (r.intervention_count, r.intervention_types) for r in
          J.interventions_rollup(interventions).collect()}
     assert i == {5: (3, "PRIORITY_DISPATCH, VOUCHER")}
-    jn = {r.order_id: r for r in J.order_journey(raw, J.outcomes(prep), actions, tickets, interventions).collect()}
+    jn = {r.order_id: r for r in J.order_journey(prep, actions, tickets, interventions).collect()}
     assert len(jn) == 5
     assert jn[5].support_opened == 1 and jn[5].intervention_count == 3 and jn[5].late_flag == 1.0
     assert jn[2].intervention_types == "NONE" and jn[2].support_opened == 0
     assert jn[3].support_opened == 1 and jn[3].late_flag is None
-    worst = [r.order_id for r in J.worst_journeys(J.order_journey(raw, J.outcomes(prep), actions, tickets,
-                                                                  interventions)).collect()]
+    worst = [r.order_id for r in J.worst_journeys(J.order_journey(prep, actions, tickets, interventions)).collect()]
     assert worst == [5]
 
 
@@ -262,9 +261,25 @@ def test_verdicts_use_the_unrounded_rate_and_raw_keys(spark):
     r = K.contract_report(df, [K.Rule("r", "few", F.lit(True), F.col("bad"), "CRITICAL")]).first()
     assert r.violation_rate_pct == 0.0 and r.verdict == "FAIL"
     raw = spark.createDataFrame([(1,), (1,), (1,), (2,)], "order_id long")
-    u = K.uniqueness_report(raw, "order_id", "unique", "one row an order", "CRITICAL").first()
+
+    def unique(rows):
+        return K.contract_report(df, [K.UniqueRule("unique", "one row an order", rows, "order_id", "CRITICAL")]).first()
+    u = unique(raw)
     assert (u.population, u.violations, u.verdict) == (4, 2, "FAIL")
-    assert K.uniqueness_report(raw.distinct(), "order_id", "unique", "", "CRITICAL").first().verdict == "PASS"
+    assert unique(raw.distinct()).verdict == "PASS" and unique(raw.limit(0)).verdict == "UNKNOWN"
+
+
+def test_rules_of_all_kinds_in_one_report(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (None, None)], "order_id long, late boolean")
+    measured = spark.createDataFrame([("A", 3, 10), ("B", 3, 10), ("C", 2, 10), ("D", None, None), ("E", None, None)],
+                                     "definition string, late long, population long")
+    rules = [K.UniqueRule("u", "", df.unionByName(df.limit(2)), "order_id", "HIGH", 50.0),
+             K.Rule("r", "", F.lit(True), F.col("late"), "LOW"),
+             K.AgreedRule("a", "", measured, ("late", "population"), "HIGH"),
+             K.AgreedRule("b", "", measured.where("definition in ('A', 'B')"), ("late", "population"), "HIGH"),
+             K.AgreedRule("none", "", measured.limit(0), ("late",), "HIGH")]
+    got = {r.check_name: (r.population, r.violations, r.verdict) for r in K.contract_report(df, rules).collect()}
+    assert got == {"u": (5, 2, "WARN"), "r": (3, 1, "FAIL"), "a": (5, 3, "FAIL"), "b": (2, 0, "PASS"), "none": (0, 0, "UNKNOWN")}
 
 
 def test_text_times_with_a_bad_value(spark):
@@ -286,3 +301,110 @@ def test_many_late_definitions_take_several_passes(spark):
 def test_first_kept_row_is_not_the_one_without_a_time(spark):
     d = spark.createDataFrame([(1, None, "bad"), (1, "2024", "good")], "order_id long, t string, x string")
     assert K.dedupe_keep_first(d, "order_id", ["t"]).first().x == "good"
+
+
+def _landed_files(spark, folder, kind):
+    """Rows of three keys in three files; v says which landed first."""
+    import os
+    files = [[(1, "2024-01-02", "first"), (2, "soon", "first")], [(1, "2024-01-01", "no"), (3, None, "first"), (2, "2024-01-01", "no")],
+             [(3, "2024-01-01", "no"), (1, "2024-01-02", "no"), (None, "x", "first"), (None, "a", "no")]]
+    for i, rows in enumerate(files):
+        df = spark.createDataFrame(rows, "order_id long, created_at string, v string").coalesce(1)
+        part = os.path.join(folder, f"part{i}")
+        (df.write.parquet(part) if kind == "parquet" else df.write.option("header", True).csv(part))
+    paths = [os.path.join(folder, f"part{i}") for i in (2, 0, 1)]  # named in another order than they landed
+    r = spark.read.schema("order_id long, created_at string, v string")
+    return r.parquet(*paths) if kind == "parquet" else r.option("header", True).csv(paths)
+
+
+def test_the_first_landed_row_stays_whatever_its_times(spark, tmpdir_fresh):
+    import os
+
+    from opslake.sources.landing import with_landing_sequence
+    for kind in ("parquet", "csv"):
+        rows = with_landing_sequence(_landed_files(spark, os.path.join(tmpdir_fresh, kind), kind))
+        got = K.keep_first_landed(rows, "order_id")
+        assert got.columns == ["order_id", "created_at", "v"]
+        assert sorted((r.order_id or 0, r.v) for r in got.collect()) == [(0, "first"), (1, "first"), (2, "first"), (3, "first")]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+        prep = J.first_orders(rows.withColumnRenamed("v", "final_status"))
+        assert {r.final_status for r in prep.collect()} == {"first"}
+
+
+def test_landing_sequence_numbers_rows_of_split_files(spark, tmpdir_fresh):
+    import os
+
+    from opslake.sources.landing import with_landing_sequence
+    place = os.path.join(tmpdir_fresh, "rows.csv")
+    with open(place, "w") as f:
+        f.write("i\n" + "".join(f"{i}\n" for i in range(30_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = spark.read.schema("i long").option("header", True).csv(place)
+        assert df.rdd.getNumPartitions() > 5
+        rows = [r.i for r in with_landing_sequence(df).orderBy("_landed").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == list(range(30_000))
+
+
+def test_coverage_counts_every_relation_in_one_pass(spark):
+    o = spark.createDataFrame([(1, 10), (2, 10), (2, 11), (3, None), (4, 99)], "order_id long, restaurant_id long")
+    r = spark.createDataFrame([(10,), (10,), (11,), (None,)], "restaurant_id long")
+    t = spark.createDataFrame([("1",), ("1",), ("7",), (None,)], "order_id string")
+    none = r.limit(0)
+    out = K.referential_coverage([("o-r", o, "restaurant_id", r, "restaurant_id"), ("t-o", t, "order_id", o, "order_id"),
+                                  ("none-r", none, "restaurant_id", r, "restaurant_id"), ("r-none", r, "restaurant_id", none, "restaurant_id")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(_i") == 2  # by key, then by relation
+    got = {x.relation: (x.child_keys, x.matched_keys, x.coverage_pct) for x in out.collect()}
+    assert got == {"o-r": (4, 3, 75.0), "t-o": (3, 2, 66.67), "none-r": (0, 0, None), "r-none": (3, 0, 0.0)}
+
+
+def test_a_hot_order_is_numbered_by_many_tasks(spark):
+    """A third of all events in one order: in order, and no task with over twice the median of rows."""
+    n = 30_000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 4001 + 10).alias("order_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("id") * 7919) % 2_000_000).alias("action_at"),
+        F.lit("VIEW").alias("action_type"), (F.col("id") % 7).cast("string").alias("channel"))
+    empty_t = spark.createDataFrame([], "ticket_id long, order_id long, category string, customer_message string, created_at timestamp")
+    empty_i = spark.createDataFrame([], "intervention_id long, order_id long, intervention_type string, initiated_by string, "
+                                        "reason string, intervention_at timestamp")
+    orders = spark.createDataFrame([], ORDERS_NB)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tl = J.order_timeline(orders, ev, empty_t, empty_i).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    from collections import Counter
+    sizes = sorted(Counter(r.task for r in tl).values())
+    assert len(tl) == n and len(sizes) == 16 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    by_order = {}
+    for r in tl:
+        by_order.setdefault(r.order_id, []).append(r)
+    assert len(by_order[5]) == n // 3
+    for rows in by_order.values():
+        rows.sort(key=lambda r: r.event_no)
+        assert [r.event_no for r in rows] == list(range(1, len(rows) + 1))
+        assert all((a.event_time, a.details) <= (b.event_time, b.details) for a, b in zip(rows, rows[1:]))
+
+
+def test_a_clients_document_of_statements(spark, tmpdir_fresh):
+    import json
+    import os
+    p = os.path.join(tmpdir_fresh, "client.json")
+    with open(p, "w") as f:
+        json.dump({"metric_under_review": "m", "note": "n", "stakeholders": {
+            "Z": "Only over 4.5 min counts.", "A": "All orders, even cancelled ones.", "M": "From the raw table", "N": None}}, f)
+    assert K.read_metric_definitions(spark, p) == [
+        ("A", "All orders, even cancelled ones.", 0.0, "unique_orders"), ("M", "From the raw table", 0.0, "raw_delivered"),
+        ("N", None, 0.0, "valid_delivered"), ("Z", "Only over 4.5 min counts.", 4.5, "valid_delivered")]
+    with open(p, "w") as f:
+        json.dump({"definitions": [{"definition": "x", "rule": "r", "threshold_min": None}]}, f)
+    assert K.read_metric_definitions(spark, p) == [("x", "r", 0.0, "valid_delivered")]

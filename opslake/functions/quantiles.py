@@ -12,8 +12,7 @@ at once, refined twice:
 1. rows are counted per (group, value) -- a partial aggregate, keyed by the
    value too, so a hot group is spread over many tasks;
 2. a first histogram per group has a bin for each thousandth of the value
-   (``coarse_bin``: the logarithm's steps, at most 3 million bins for all
-   doubles); running sums over the bins give for each wanted rank its bin and
+   (the logarithm's steps, at most 3 million bins for all doubles); running sums over the bins give for each wanted rank its bin and
    its rank inside;
 3. each such bin is cut into FINE equal parts between its smallest and largest
    value, and again the part with the wanted rank is found;
@@ -28,27 +27,105 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.functions.exprs import combine_one_row, join_null_safe, quantile
+from opslake.functions.exprs import quantile
 
 #: bins of the first histogram per factor e of the value, and parts of a bin
 STEPS, FINE = 1024, 1 << 21
 
 
-def coarse_bin(v: Column) -> Column:
-    """A number that never falls as the double ``v`` rises. ``log`` is
-    Spark's (strict arithmetic): the same on every machine, and monotonic."""
-    # 746 lifts the smallest double above 0; 710 is above the largest finite one
-    size = F.floor((F.least(F.log(F.abs(v)), F.lit(710.0)) + 746.0) * float(STEPS)).cast("long") + 1
-    return (F.when(F.isnan(v), F.lit(1 << 40)).when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size))
+# a number that never falls as the double v rises. ``ln`` is strict arithmetic: the same on every machine, and
+# monotonic; 746 lifts the smallest double above 0, 710 is above the largest finite one
+_COARSE = """CASE WHEN isnan(_v) THEN {nan}L WHEN _v = 0 THEN 0L
+  ELSE CAST(sign(_v) AS BIGINT) * (CAST(floor((least(ln(abs(_v)), 710D) + 746D) * {steps}D) AS BIGINT) + 1L) END"""
+# the part of [_low, _high] that holds v, 0 to FINE; never falls as v rises
+_FINE = "CASE WHEN _high > _low THEN CAST(floor((_v - _low) / nullif(_high - _low, 0D) * {fine}D) AS BIGINT) ELSE 0L END"
 
 
-def fine_bin(v: Column, low: Column, high: Column) -> Column:
-    """The part of [low, high] that holds ``v``, 0 to FINE; never falls as ``v`` rises."""
-    return F.when(high > low, F.floor((v - low) / F.nullif(high - low, F.lit(0.0)) * float(FINE)).cast("long")).otherwise(
-        F.lit(0).cast("long"))
+@dataclass(frozen=True)
+class Q:
+    """A quantile measure for ``agg_with_quantiles``: value column (nulls
+    ignored, so a ``when``-guarded column restricts the population),
+    probability and rounding digits."""
+    value: object
+    p: float
+    digits: int = 2
+
+
+def _col(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
+def _quantiles(df: DataFrame, by: list[str], measures: dict[str, str | Column], outputs: dict[str, tuple[str, float, int | None]],
+               weight: str | Column | None = None, beside: dict[str, Column] | None = None) -> DataFrame:
+    """``by`` and ``outputs`` (name: measure, probability, digits) for each
+    group; with ``beside`` (ordinary aggregates by name) for each group of
+    ``df``, and those columns too. The whole is one statement, so that
+    the plan of ``df`` is analysed few times."""
+    # the groups' own names stay out of the statement
+    groups = [f"_g{i}" for i in range(max(1, len(by)))]
+    keys = [k.alias(g) for k, g in zip([F.col(c) for c in by] or [F.lit(0)], groups)]
+    times = F.lit(1) if weight is None else _col(weight)
+    values = [_col(c).cast("double") for c in measures.values()]
+    # measures are stacked into (number, value) rows
+    stacked = F.inline(F.array(*[F.struct(F.lit(i).alias("_m"), v.alias("_v")) for i, v in enumerate(values)]))
+    frames = {"rows": df.select(*keys, times.cast("long").alias("_w"), stacked)}
+    probs = sorted({p for _, p, _ in outputs.values()})
+
+    g = ", ".join([*groups, "_m"])
+    own = ", ".join(f"c.{c}" for c in [*groups, "_m"])
+    same = " AND ".join(f"c.{c} <=> w.{c}" for c in [*groups, "_m", "_bin"])  # <=> keeps the plans of counts alike, for reuse
+    coarse, fine = _COARSE.format(nan=1 << 40, steps=STEPS), _FINE.format(fine=FINE)
+    place = [f"CAST(_n - 1 AS DOUBLE) * {float(p)!r}D" for p in probs]
+    ranks = ", ".join(f"named_struct('t', {2 * i + up}, 'r', CAST({f}({p}) AS BIGINT))"
+                      for i, p in enumerate(place) for up, f in enumerate(("floor", "ceil")))
+    picks = ", ".join(f"max(CASE WHEN _t = {t} THEN _v END) AS _q{t}" for t in range(2 * len(probs)))
+    between = ", ".join(
+        f"CASE WHEN ceil({p}) = floor({p}) OR _q{2 * i + 1} = _q{2 * i} THEN _q{2 * i} "
+        f"ELSE (ceil({p}) - {p}) * _q{2 * i} + ({p} - floor({p})) * _q{2 * i + 1} END AS _p{i}" for i, p in enumerate(place))
+    labels = list(measures)
+    columns = {name: f"max(CASE WHEN _m = {labels.index(m)} THEN _p{probs.index(p)} END)" for name, (m, p, _) in outputs.items()}
+    columns = {name: c if outputs[name][2] is None else f"round({c}, {outputs[name][2]})" for name, c in columns.items()}
+    result = ", ".join(f"{c} AS _o{i}" for i, c in enumerate(columns.values()))
+    k = ", ".join(groups)
+    picked = [f"q._o{i} AS `{name}`" for i, name in enumerate(outputs)]
+    source = "quantiles q"
+    if beside is not None:
+        plain = df.groupBy(*keys) if by else df
+        frames["plain"] = plain.agg(*[c.alias(f"_a{i}") for i, c in enumerate(beside.values())])
+        one = "*" if by else "0 AS _g0, *"
+        source = f"(SELECT {one} FROM {{plain}}) a LEFT JOIN quantiles q ON " + " AND ".join(f"a.{c} <=> q.{c}" for c in groups)
+        picked += [f"a._a{i} AS `{name}`" for i, name in enumerate(beside)]
+    names = [f"{'q' if beside is None else 'a'}.{c} AS `{name}`" for c, name in zip(groups, by)]
+    return df.sparkSession.sql(f"""
+WITH counts AS (  -- rows of each distinct value
+  SELECT {g}, _v, _c, {coarse} AS _bin FROM (
+    SELECT {g}, _v, sum(_w) AS _c FROM {{rows}} WHERE _v IS NOT NULL GROUP BY {g}, _v)),
+bins AS (
+  SELECT *, sum(_c) OVER (PARTITION BY {g}) AS _n,
+    sum(_c) OVER (PARTITION BY {g} ORDER BY _bin ROWS UNBOUNDED PRECEDING) AS _end
+  FROM (SELECT {g}, _bin, sum(_c) AS _c, min(_v) AS _low, max(_v) AS _high FROM counts GROUP BY {g}, _bin)),
+wanted AS (  -- the bin of each wanted rank, and its rank inside
+  SELECT {g}, _bin, _low, _high, _n, _w.t AS _t, _w.r - (_end - _c) AS _r
+  FROM bins LATERAL VIEW explode(filter(array({ranks}), x -> x.r >= _end - _c AND x.r < _end)) AS _w),
+parts AS (
+  SELECT *, sum(_c) OVER (PARTITION BY {g}, _t ORDER BY _part ROWS UNBOUNDED PRECEDING) AS _end
+  FROM (SELECT {own}, _t, {fine} AS _part, sum(_c) AS _c, any_value(_r) AS _r, any_value(w._bin) AS _bin,
+          any_value(_low) AS _low, any_value(_high) AS _high, any_value(_n) AS _n
+        FROM counts c JOIN wanted w ON {same} GROUP BY {own}, _t, {fine})),
+refined AS (
+  SELECT {g}, _t, _bin, _low, _high, _n, _part, _r - (_end - _c) AS _r FROM parts WHERE _r >= _end - _c AND _r < _end),
+found AS (
+  SELECT *, sum(_c) OVER (PARTITION BY {g}, _t ORDER BY _v ROWS UNBOUNDED PRECEDING) AS _end
+  FROM (SELECT {own}, _t, _v, _c, _r, _n FROM counts c JOIN refined w ON {same} WHERE {fine} = _part)),
+quantiles AS (
+  SELECT {k}, {result} FROM (
+    SELECT {g}, {between} FROM (
+      SELECT {g}, max(_n) AS _n, {picks} FROM found WHERE _r >= _end - _c AND _r < _end GROUP BY {g}))
+  GROUP BY {k})
+SELECT {", ".join([*names, *picked])} FROM {source}""", **frames)
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
@@ -59,112 +136,33 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: dict[str, float],
     group's other aggregates gives null, as ``percentile`` does).
     ``weight`` (a positive integer column) counts a row that many times,
     like ``percentile``'s frequency."""
-    by = list(by or [])
-    x = F.col(value) if isinstance(value, str) else value
-    w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    counts = (df.select(*by, x.cast("double").alias("_v"), w.cast("long").alias("_w"))
-              .filter(F.col("_v").isNotNull())
-              .groupBy(*by, "_v").agg(F.sum("_w").alias("_c"))
-              .withColumn("_bin", coarse_bin(F.col("_v"))))
-
-    # the bin and the rank inside it of each wanted rank
-    bins = counts.groupBy(*by, "_bin").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    group = Window.partitionBy(*by)
-    bins = bins.withColumns({"_n": F.sum("_c").over(group),
-                             "_end": F.sum("_c").over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))})
-    pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs.values()]
-    ranks = F.array(*[F.struct(F.lit(2 * i + up).alias("t"), (F.ceil(at) if up else F.floor(at)).cast("long").alias("r"))
-                      for i, at in enumerate(pos) for up in (0, 1)])
-    wanted = (bins.withColumn("_first", F.col("_end") - F.col("_c"))
-              .withColumn("_t", F.explode(F.filter(ranks, lambda t: (t["r"] >= F.col("_first")) & (t["r"] < F.col("_end")))))
-              .select(*by, "_bin", "_low", "_high", "_n", F.col("_t.t").alias("_t"), (F.col("_t.r") - F.col("_first")).alias("_r")))
-
-    part = fine_bin(F.col("_v"), F.col("_low"), F.col("_high"))
-    keys = [*by, "_t"]
-
-    def holding(rows: DataFrame, order: str) -> DataFrame:
-        """Of each wanted rank's rows, the one that holds it; ``_r``: the rank inside."""
-        upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("_end", F.sum("_c").over(upto)).withColumn("_first", F.col("_end") - F.col("_c"))
-        return rows.filter((F.col("_r") >= F.col("_first")) & (F.col("_r") < F.col("_end")))
-
-    inside = join_null_safe(counts, wanted, [*by, "_bin"]).withColumn("_part", part)
-    parts = inside.groupBy(*keys, "_part").agg(
-        F.sum("_c").alias("_c"), *[F.any_value(c).alias(c) for c in ("_r", "_bin", "_low", "_high", "_n")])
-    refined = holding(parts, "_part").select(
-        *keys, "_bin", "_low", "_high", "_n", F.col("_part").alias("_wanted"), (F.col("_r") - F.col("_first")).alias("_r"))
-    left = join_null_safe(counts, refined, [*by, "_bin"]).filter(part == F.col("_wanted"))
-    found = holding(left, "_v")
-
-    def at(t: int) -> Column:
-        return F.max(F.when(F.col("_t") == t, F.col("_v")))
-
-    out = found.groupBy(*by).agg(F.max("_n").alias("_n"), *[at(t).alias(f"_q{t}") for t in range(2 * len(probs))])
-    values = []
-    for i, (name, place) in enumerate(zip(probs, pos)):
-        low, high, floor, ceil = F.col(f"_q{2 * i}"), F.col(f"_q{2 * i + 1}"), F.floor(place), F.ceil(place)
-        values.append(F.when((ceil == floor) | (high == low), low)
-                      .otherwise((ceil - place) * low + (place - floor) * high).alias(name))
-    return out.select(*by, *values)
-
-
-def exact_quantile_columns(df: DataFrame, measures: dict[str, str | Column],
-                           outputs: dict[str, tuple[str, float]], by: list[str] | None = None) -> DataFrame:
-    """Several exact quantiles of several measures in one distributed pass.
-
-    ``measures`` maps a label to a value column; ``outputs`` maps each output
-    column to (measure label, probability). The measures are stacked into
-    (label, value) rows so one ``exact_quantiles`` call serves them all; the
-    result has one row per group with the requested columns (null where a
-    measure has no value in the group)."""
-    by = list(by or [])
-    cols = {m: (F.col(c) if isinstance(c, str) else c) for m, c in measures.items()}
-    stacked = df.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("_m"), c.cast("double").alias("_x")) for m, c in cols.items()])))
-    probs = sorted({p for _, p in outputs.values()})
-    q = exact_quantiles(stacked, "_x", {f"_p{i}": p for i, p in enumerate(probs)}, by=by + ["_m"])
-    return q.groupBy(*by).agg(*[
-        F.max(F.when(F.col("_m") == m, F.col(f"_p{probs.index(p)}"))).alias(name)
-        for name, (m, p) in outputs.items()])
-
-
-@dataclass(frozen=True)
-class Q:
-    """A quantile measure for ``agg_with_quantiles``: value column (nulls
-    ignored, so a ``when``-guarded column restricts the population),
-    probability and rounding digits."""
-    value: object
-    p: float
-    digits: int = 2
+    return _quantiles(df, list(by or []), {"x": value}, {n: ("x", p, None) for n, p in probs.items()}, weight)
 
 
 def agg_with_quantiles(df: DataFrame, measures: list[tuple[str, Column | Q]], by: list[str] | None = None,
-                       approx: bool = False, distributed: bool | None = None) -> DataFrame:
+                       approx: bool = False, distributed: bool | None = None, weight: str | Column | None = None) -> DataFrame:
     """Aggregate ``measures`` (name, Column aggregate or ``Q``) per ``by``
     group, columns in the given order.
 
-    Quantiles are exact and computed by ``exact_quantile_columns`` (one pass
-    for all quantile measures; no group's values in one task), joined to the
-    other aggregates by group. ``distributed=False`` uses Spark's
+    Quantiles are exact and computed as above, all in one statement with the
+    other aggregates; no group's values meet in one task.
+    ``distributed=False`` uses Spark's
     ``percentile`` instead (the same values from one value map per group,
     for domains known to be small), ``approx`` the bounded sketch.
+    ``weight`` is the quantiles' only.
     """
     if approx and distributed:
         raise ValueError("approx and distributed exclude each other")
     by = list(by or [])
-    grouped = df.groupBy(*by)
     if approx or distributed is False or not any(isinstance(m, Q) for _, m in measures):
-        return grouped.agg(*[F.round(quantile(m.value, m.p, approx), m.digits).alias(n) if isinstance(m, Q)
-                             else m.alias(n) for n, m in measures])
-    qs = [(n, m) for n, m in measures if isinstance(m, Q)]
+        return df.groupBy(*by).agg(*[F.round(quantile(m.value, m.p, approx, weight=weight), m.digits).alias(n)
+                                     if isinstance(m, Q) else m.alias(n) for n, m in measures])
     values: dict[str, tuple[str, Column]] = {}     # one stacked measure per distinct value column
-    outputs: dict[str, tuple[str, float]] = {}
-    for n, m in qs:
-        c = F.col(m.value) if isinstance(m.value, str) else m.value
-        label = values.setdefault(str(c), (f"m{len(values)}", c))[0]
-        outputs[n] = (label, m.p)
-    cols = exact_quantile_columns(df, dict(values.values()), outputs, by=by)
-    cols = cols.select(*by, *[F.round(n, m.digits).alias(n) for n, m in qs])
-    plain = grouped.agg(*[m.alias(n) for n, m in measures if not isinstance(m, Q)])
-    joined = combine_one_row(plain, cols) if not by else join_null_safe(plain, cols, by, "left")
-    return joined.select(*by, *[n for n, _ in measures])
+    outputs: dict[str, tuple[str, float, int]] = {}
+    for n, m in measures:
+        if isinstance(m, Q):
+            c = _col(m.value)
+            label = values.setdefault(str(c), (f"m{len(values)}", c))[0]
+            outputs[n] = (label, m.p, m.digits)
+    out = _quantiles(df, by, dict(values.values()), outputs, weight, {n: m for n, m in measures if not isinstance(m, Q)})
+    return out.select(*by, *[n for n, _ in measures])

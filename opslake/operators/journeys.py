@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from opslake.functions import (as_timestamps, combine_one_row, fmt_ts, minutes_between, norm_category, parse_ts, quantile,
                                rate_true)
-from opslake.functions.exprs import join_null_safe
-from opslake.functions.quantiles import Q, agg_with_quantiles, exact_quantiles
+from opslake.functions.quantiles import Q, agg_with_quantiles
 from opslake.operators.contracts import dedupe_keep_first, keep_first_landed
 
 # ---- fixed values --------------------------------------------------------------
@@ -235,7 +234,7 @@ def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame
     is pushed below the union into each source scan. Text times are parsed;
     unreadable ones are null and come last.
 
-    An order's events are dealt by slices of time (``slice_seconds``), so an
+    Events without an order have no number. An order's events are dealt by slices of time (``slice_seconds``), so an
     order that holds a large part of all events is the work of many tasks. The
     counts of slices (a partial aggregate) give each slice its first
     number; a slice is numbered by itself.
@@ -274,11 +273,12 @@ def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame
     at = F.coalesce(F.floor(F.unix_micros("event_time") / F.lit(slice_seconds * 1_000_000)), F.lit(1 << 62)).cast("long")
     u = u.withColumn("_slice", at)
     before = Window.partitionBy("order_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (u.groupBy("order_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    starts = (u.filter(F.col("order_id").isNotNull()).groupBy("order_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
               .select("order_id", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
     order = [F.asc_nulls_last("event_time"), "event_type", "details", "actor", "source_system"]
     inside = F.row_number().over(Window.partitionBy("order_id", "_slice").orderBy(*order))
-    numbered = join_null_safe(u, starts, ["order_id", "_slice"]).withColumn("event_no", F.col("_start") + inside)
+    # the join and the numbering share one exchange of the events
+    numbered = u.join(starts, ["order_id", "_slice"], "left").withColumn("event_no", F.col("_start") + inside)
     return numbered.drop("_slice", "_start").sortWithinPartitions("order_id", "event_no")
 
 
@@ -423,15 +423,11 @@ def late_by_intervention_type(interventions: DataFrame, outcome: DataFrame, appr
                .agg(F.count(F.lit(1)).alias("_rows"), F.count("intervention_id").alias("_ids")))
         j = per.join(out, "order_id", "inner")
         rows, flag = F.col("_rows"), F.col("late_flag")
-        agg = [F.sum("_ids").alias("interventions_count"),
-               F.round(F.sum(flag * rows) / F.sum(F.when(flag.isNotNull(), rows)) * 100, 2).alias("late_rate_pct")]
-        if distributed is not False:
-            med = exact_quantiles(j, "delay_min", {"_med": 0.5}, by=["intervention_type"], weight="_rows")
-            res = (j.groupBy("intervention_type").agg(*agg).join(med, "intervention_type", "left")
-                   .select("intervention_type", "interventions_count", "late_rate_pct",
-                           F.round("_med", 4).alias("median_delay_min")))
-            return res.orderBy("late_rate_pct", "intervention_type")
-        agg.append(F.round(quantile("delay_min", 0.5, weight=rows), 4).alias("median_delay_min"))
+        return agg_with_quantiles(j, [
+            ("interventions_count", F.sum("_ids")),
+            ("late_rate_pct", F.round(F.sum(flag * rows) / F.sum(F.when(flag.isNotNull(), rows)) * 100, 2)),
+            ("median_delay_min", Q("delay_min", 0.5, 4)),
+        ], by=["intervention_type"], distributed=distributed, weight="_rows").orderBy("late_rate_pct", "intervention_type")
     return j.groupBy("intervention_type").agg(*agg).orderBy("late_rate_pct", "intervention_type")
 
 

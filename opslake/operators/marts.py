@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.functions import clip, pct, quantile
-from opslake.functions.quantiles import Q, agg_with_quantiles, exact_quantiles
+from opslake.functions import clip, pct
+from opslake.functions.quantiles import Q, agg_with_quantiles
 
 # ---- fixed values ------------------------------------------------------------
 SLA_MINUTES = 35.0
@@ -108,21 +108,20 @@ def scenario_evaluation(fact: DataFrame, approx: bool = False) -> DataFrame:
     x = cells.select("_orders", "_cents", F.inline(F.array(*variants)))
     n = F.col("_orders")
     measures = [
-        F.round(F.sum(F.when(F.col("otd") > SLA_MINUTES, n).otherwise(0)) * 100.0 / F.sum(n), 2).alias("sla_breach_pct"),
-        F.round(F.sum(F.col("wait") * n) / F.sum(F.when(F.col("wait").isNotNull(), n)), 2).alias("mean_rider_wait_min"),
-        (F.sum("_cents") / F.lit(100.0)).alias("_base_refund")]
-    g = x.groupBy("scenario_order").agg(*measures)
+        ("sla_breach_pct", F.round(F.sum(F.when(F.col("otd") > SLA_MINUTES, n).otherwise(0)) * 100.0 / F.sum(n), 2)),
+        ("mean_rider_wait_min", F.round(F.sum(F.col("wait") * n) / F.sum(F.when(F.col("wait").isNotNull(), n)), 2)),
+        ("_base_refund", F.sum("_cents") / F.lit(100.0)), ("p50_otd_min", Q("otd", 0.5)), ("p90_otd_min", Q("otd", 0.9))]
     if approx:  # the sketch takes no weights
-        each = x.select("scenario_order", "otd", F.explode(F.sequence(F.lit(1).cast("long"), n)))
-        q = each.groupBy("scenario_order").agg(quantile("otd", 0.5, True).alias("_p50"), quantile("otd", 0.9, True).alias("_p90"))
+        each = x.withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+        q = agg_with_quantiles(each, measures[3:], by=["scenario_order"], approx=True)
+        g = agg_with_quantiles(x, measures[:3], by=["scenario_order"]).join(q, "scenario_order")
     else:
-        q = exact_quantiles(x, "otd", {"_p50": 0.5, "_p90": 0.9}, by=["scenario_order"], weight="_orders")
+        g = agg_with_quantiles(x, measures, by=["scenario_order"], weight="_orders")
     texts = F.element_at(F.array(*[F.struct(F.lit(name).alias("scenario"), F.lit(factor).alias("factor"),
                                             F.lit(gain).alias("gain"), F.lit(feasible).alias("feasibility"))
                                    for name, _, _, _, factor, gain, feasible in SCENARIOS]), F.col("scenario_order") + 1)
-    return g.join(q, "scenario_order", "left").withColumn("_t", texts).select(
-        F.col("_t.scenario").alias("scenario"), "scenario_order", F.round("_p50", 2).alias("p50_otd_min"),
-        F.round("_p90", 2).alias("p90_otd_min"), "sla_breach_pct", "mean_rider_wait_min",
+    return g.withColumn("_t", texts).select(
+        F.col("_t.scenario").alias("scenario"), "scenario_order", "p50_otd_min", "p90_otd_min", "sla_breach_pct", "mean_rider_wait_min",
         F.col("_t.gain").alias("effective_fleet_capacity_gain_pct"),
         F.round(F.col("_base_refund") * F.col("_t.factor"), 2).alias("projected_refund_liability_usd"),
         F.col("_t.feasibility").alias("operational_feasibility"),

@@ -10,15 +10,19 @@ distinct word n-grams, exactly, and the groups these links form.
    group of copies, however large, costs one row.
 3. Prefix filter: two sets that are similar enough share an n-gram within the
    rarest ``n - ceil(t n) + 1`` of each. Documents are joined on these prefix
-   n-grams. A short list gives its pairs that pass the length filter; of a long
-   one, blocks of documents meet, and only as many pairs are returned as connect
-   the same documents, so the lists of a large group cost rows in proportion to
-   the group and not to its pairs. Either way a pair must pass a bitmap filter:
-   each set has the parity of its n-grams by cell, and the bits in which two
-   sets differ bound their overlap from above.
-4. The components of these candidate pairs are clusters that no link leaves.
-   Clusters over a block's size are dealt as pairs of blocks.
-5. In each block the documents' n-grams are ordered rare first anew, joined on
+   n-grams. A short list gives its pairs that pass the length filter. A long one
+   is dealt in blocks, each document in one, and a block returns only as many
+   pairs as connect the same documents. Either way a pair must pass a bitmap
+   filter: each set has the parity of its n-grams by cell, and the bits in which
+   two sets differ bound their overlap from above.
+4. ``deal_across``: where a list of several blocks is not connected by then, the
+   documents of different components meet: those outside the largest component
+   with its blocks, and with each other by bands of length. A group of near copies
+   lies in several lists with blocks of their own and is connected before this
+   step, so its rows grow in proportion to the group and not to its pairs.
+   The components of all pairs are clusters that no link leaves.
+5. Clusters are verified in the same two rounds: blocks (of two dealings, where
+   there are several), then what is still apart. In a block the documents' n-grams are ordered rare first anew, joined on
    prefix n-grams under the length, positional and suffix filters, and each
    pair that is left, and not yet connected, is verified once by the exact
    intersection. Only links that connect something new are returned.
@@ -32,10 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.graph import components, cut
+from opslake.llm.graph import Scratch, components
 from opslake.llm.textkit import batch_shingles, batch_words, shingles_of, slices, texts_of
 
 #: cells of the table of word frequencies
@@ -156,9 +160,9 @@ def _fold(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def _may_link(n: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, per_mille: int) -> np.ndarray:
-    """Length and bitmap filter of one set against others (bitmaps of one size)."""
-    size = min(len(bits), others.shape[-1])
+def _may_link(n, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, per_mille: int) -> np.ndarray:
+    """Length and bitmap filter of one set against others (bitmaps of one size), or of sets against one other each."""
+    size = min(bits.shape[-1], others.shape[-1])
     apart = np.bitwise_count(_fold(others, size) ^ _fold(bits, size)).sum(axis=-1, dtype=np.int64)
     low, high = np.minimum(n, sizes), np.maximum(n, sizes)
     total = n + sizes
@@ -166,6 +170,18 @@ def _may_link(n: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, p
     return (low * 1000 >= high * per_mille) & ((total - apart) * (1000 + per_mille) >= 2 * per_mille * total)
 
 
+def _may_link_pairs(n: np.ndarray, bits: list[bytes], others: np.ndarray, other_bits: list[bytes], per_mille: int) -> np.ndarray:
+    """``_may_link`` for pairs, those of one pair of bitmap sizes at a time."""
+    ok = np.zeros(len(n), bool)
+    sizes = np.array([(len(x), len(y)) for x, y in zip(bits, other_bits)], np.int64).reshape(-1, 2)
+    for x, y in np.unique(sizes, axis=0):
+        at = np.flatnonzero((sizes == (x, y)).all(axis=1))
+        a = np.frombuffer(b"".join(bits[i] for i in at.tolist()), np.uint8).reshape(len(at), x)
+        b = np.frombuffer(b"".join(other_bits[i] for i in at.tolist()), np.uint8).reshape(len(at), y)
+        ok[at] = _may_link(n[at], _fold(a, min(x, y)), others[at], b, per_mille)
+    return ok
+
+
 def _short_pairs(rows: DataFrame, per_mille: int) -> DataFrame:
     """(gram, n, doc) to pairs (a, b) of short lists, and to the rows of longer
     ones (gram, a; b null). A task streams its lists one after the other and holds
@@ -222,50 +238,119 @@ def _short_pairs(rows: DataFrame, per_mille: int) -> DataFrame:
             .mapInArrow(run, "gram long, a long, b long"))
 
 
-def _deal(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
-    """Rows with ``doc`` to pairs of blocks (i <= j) of their key; side: 1 in the
-    second block of a pair. ``blocks``: key and number of blocks."""
-    rows = rows.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn(
-        "side", (F.col("own") > F.col("other")).cast("int")).drop("own", "other", "blocks")
+def _spread(number, *columns) -> Column:
+    """One of ``number`` blocks by the hash of the columns."""
+    return F.pmod(F.xxhash64(*columns), number).cast("int")
+
 
+def deal_across(rows: DataFrame, key: str, per_mille: int) -> DataFrame:
+    """Deals documents of one key that are not connected yet. ``rows``: key, doc, n,
+    label (component so far), load (share of a block). To key, kind, band, i, j, side, doc, n, label:
+    in one group of (key, kind, band, i, j) meet documents of both sides.
 
-def candidate_edges(reps: DataFrame, per_mille: int) -> DataFrame:
+    Every pair of different labels and similar length has a group. Documents outside
+    the largest component go to its blocks (kind 0; those of a length to link with
+    any of it), and meet each other within bands of length (kind 1: pairs of blocks,
+    one side where i = j) and in neighbouring bands (kind 2). A band spans the ratio
+    of lengths a link allows, so a link leads at most to the next band. Keys with one
+    label are left out.
+    """
+    by_label = rows.groupBy(key, "label").agg(F.count("*").alias("c"), F.sum("load").alias("load"), F.min("n").alias("low"),
+                                              F.max("n").alias("high"))
+    main = (by_label.groupBy(key).agg(F.max(F.struct("c", "label", "load", "low", "high")).alias("m"), F.count("*").alias("labels"))
+            .where("labels > 1").select(key, F.col("m.label").alias("m_label"), F.greatest(F.ceil("m.load"), F.lit(1)).alias("m_blocks"),
+                                        F.col("m.low").alias("low"), F.col("m.high").alias("high")))
+    ratio = float(np.log(1000 / per_mille)) * (1 + 1e-9) if per_mille < 1000 else 1e-9
+    rows = rows.join(main, key).withColumn("band", F.floor(F.log("n") / ratio))
+    near = (F.col("n") * 1000 >= F.col("low") * per_mille) & (F.col("high") * 1000 >= F.col("n") * per_mille)
+    rest = rows.where("label <> m_label")
+
+    def group(df: DataFrame, kind: int, band, i, j, side) -> DataFrame:
+        return df.select(key, F.lit(kind).alias("kind"), band.cast("long").alias("band"), i.cast("int").alias("i"),
+                         j.cast("int").alias("j"), side.cast("int").alias("side"), "doc", "n", "label")
+
+    def every(number) -> Column:
+        return F.explode(F.sequence(F.lit(0), number - 1))
+
+    zero = F.lit(0)
+    beside = rest.where(near).groupBy(key).agg(F.ceil(F.sum("load")).alias("o_blocks"))
+    first = rows.where("label = m_label").join(beside, key)
+    second = rest.where(near).join(beside, key)
+    out = group(first.withColumn("o", every(F.col("o_blocks"))), 0, zero, _spread(F.col("m_blocks"), "doc", key), F.col("o"), zero)
+    out = out.unionByName(group(second.withColumn("o", every(F.col("m_blocks"))), 0, zero, F.col("o"),
+                                _spread(F.col("o_blocks"), "doc", key), F.lit(1)))
+    bands = rest.groupBy(key, "band").agg(F.ceil(F.sum("load")).alias("blocks"))
+    rest = rest.join(bands, [key, "band"]).withColumn("own", _spread(F.col("blocks"), "doc", key))
+    out = out.unionByName(group(rest.withColumn("o", every(F.col("blocks"))), 1, F.col("band"), F.least("own", "o"),
+                                F.greatest("own", "o"), F.col("own") > F.col("o")))
+    above = bands.select(key, (F.col("band") - 1).alias("band"), F.col("blocks").alias("others"))
+    below = bands.select(key, (F.col("band") + 1).alias("band"), F.col("blocks").alias("others"))
+    out = out.unionByName(group(rest.join(above, [key, "band"]).withColumn("o", every(F.col("others"))), 2, F.col("band"),
+                                F.col("own"), F.col("o"), zero))
+    return out.unionByName(group(rest.join(below, [key, "band"]).withColumn("o", every(F.col("others"))), 2, F.col("band") - 1,
+                                 F.col("o"), F.col("own"), F.lit(1)))
+
+
+_GROUP = ["kind", "band", "i", "j"]
+
+
+def _cross(table: pa.Table) -> bool:
+    """Whether only documents of different sides meet in a group."""
+    return table.column("kind")[0].as_py() != 1 or table.column("i")[0].as_py() != table.column("j")[0].as_py()
+
+
+def _alone(df: DataFrame, i: Column) -> DataFrame:
+    """Rows for the first round: block ``i``, in which all meet."""
+    return df.withColumn("kind", F.lit(1)).withColumn("band", F.lit(0).cast("long")).withColumn("i", i).withColumn(
+        "j", F.col("i")).withColumn("side", F.lit(0)).withColumn("label", F.col("doc"))
+
+
+def candidate_edges(reps: DataFrame, per_mille: int, scratch: Scratch) -> DataFrame:
     """Edges (a, b) whose components contain every pair that shares a prefix
     n-gram and passes the length and the bitmap filter. ``reps``: doc, n, bits,
     prefix, hot."""
-    found = cut(_short_pairs(reps.select("doc", "n", F.explode("prefix").alias("gram")), per_mille).distinct())
+    found = scratch.keep(_short_pairs(reps.select("doc", "n", F.explode("prefix").alias("gram")), per_mille).distinct())
     bits = reps.select("doc", "n", "bits")
     near = (found.where("b is not null").select("a", "b").distinct()
             .join(bits.toDF("a", "n1", "bits1"), "a").join(bits.toDF("b", "n2", "bits2"), "b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n1, x, n2, y = (batch.column(i) for i in range(2, 6))
-            ok = [bool(_may_link(p.as_py(), np.frombuffer(u.as_py(), np.uint8), np.array([q.as_py()]),
-                                 np.frombuffer(v.as_py(), np.uint8)[None, :], per_mille)[0])
-                  for p, u, q, v in zip(n1, x, n2, y)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            ok = _may_link_pairs(batch.column(2).to_numpy(), batch.column(3).to_pylist(), batch.column(4).to_numpy(),
+                                 batch.column(5).to_pylist(), per_mille)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
 
     pairs = near.select("a", "b", "n1", "bits1", "n2", "bits2").mapInArrow(check, "a long, b long")
     long_rows = found.where("b is null").select("gram", F.col("a").alias("doc")).unionByName(
         reps.select(F.explode("hot").alias("gram"), "doc"))
-    blocks = long_rows.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
-    dealt = _deal(long_rows.join(bits, "doc"), "gram", blocks)
 
     def connect(table: pa.Table) -> pa.Table:
         a, b = connect_block(table.column("doc").to_numpy(), table.column("n").to_numpy(),
                              table.column("bits").to_pylist(), table.column("side").to_numpy(),
-                             per_mille, cross=table.column("i")[0].as_py() != table.column("j")[0].as_py())
+                             per_mille, cross=_cross(table), label=table.column("label").to_numpy())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    linked = dealt.groupBy("gram", "i", "j").applyInArrow(connect, "a long, b long")
-    return pairs.unionByName(linked).distinct()
-
-
-def connect_block(docs: np.ndarray, n: np.ndarray, bits: list[bytes], side: np.ndarray, per_mille: int, cross: bool):
-    """Pairs of one block of a list that pass the length and bitmap filter, as few as connect the same documents."""
+    lists = long_rows.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
+    dealt = _alone(long_rows.join(lists, "gram"), _spread(F.col("blocks"), "doc", "gram")).drop("blocks")
+    linked = dealt.join(bits, "doc").groupBy("gram", *_GROUP).applyInArrow(connect, "a long, b long")
+    edges = scratch.keep(pairs.unionByName(linked).distinct())
+    wide = scratch.keep(lists.where("blocks > 1").select("gram"))
+    if not wide.isEmpty():
+        label = components(edges, scratch=scratch)
+        apart = (long_rows.join(wide, "gram", "left_semi").join(label.toDF("doc", "component"), "doc", "left")
+                 .join(reps.select("doc", "n"), "doc")
+                 .select("gram", "doc", "n", F.coalesce("component", "doc").alias("label"), F.lit(1 / BLOCK_DOCS).alias("load")))
+        dealt = deal_across(scratch.keep(apart), "gram", per_mille).join(bits.select("doc", "bits"), "doc")
+        more = dealt.groupBy("gram", *_GROUP).applyInArrow(connect, "a long, b long")
+        edges = edges.unionByName(scratch.keep(more.distinct()))
+    scratch.drop(found)
+    return edges
+
+
+def connect_block(docs: np.ndarray, n: np.ndarray, bits: list[bytes], side: np.ndarray, per_mille: int, cross: bool,
+                  label: np.ndarray | None = None):
+    """Pairs of one block of a list that pass the length and bitmap filter, as few as connect the same
+    documents. Those of one ``label`` are connected already."""
     order = np.lexsort((docs, n))
     docs, n, side = docs[order], n[order], side[order]
     rows = [np.frombuffer(bits[i], np.uint8) for i in order.tolist()]
@@ -274,7 +359,7 @@ def connect_block(docs: np.ndarray, n: np.ndarray, bits: list[bytes], side: np.n
     folded: dict[int, np.ndarray] = {}
     for size in {len(r) for r in rows}:
         folded[size] = np.stack([_fold(r, size) if len(r) >= size else np.zeros(size, np.uint8) for r in rows])
-    label = np.arange(len(docs))
+    label = np.arange(len(docs)) if label is None else np.unique(label[order], return_inverse=True)[1]
     a, b = [], []
     for j in range(1, len(docs)):
         first = int(np.searchsorted(n[:j] * 1000, n[j] * per_mille))
@@ -293,10 +378,12 @@ def connect_block(docs: np.ndarray, n: np.ndarray, bits: list[bytes], side: np.n
     return a, b
 
 
-def block_links(sets: list[np.ndarray], side: np.ndarray, per_mille: int, cross: bool) -> list[tuple[int, int]]:
+def block_links(sets: list[np.ndarray], side: np.ndarray, per_mille: int, cross: bool,
+                label: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links of one block, as few as connect the same documents: (i, j) indexes.
 
-    cross: only pairs of which one document has side 0 and the other 1.
+    cross: only pairs of which one document has side 0 and the other 1. Documents
+    of one ``label`` are connected already.
     """
     m = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -314,7 +401,7 @@ def block_links(sets: list[np.ndarray], side: np.ndarray, per_mille: int, cross:
     # lists of the prefix n-grams: rank, document, position
     o = np.argsort(ranks[inside], kind="stable")
     list_rank, list_doc, list_at = ranks[inside][o], owner[inside][o], at[inside][o]
-    label = np.arange(m)
+    label = np.arange(m) if label is None else np.unique(label, return_inverse=True)[1]
     marks = np.zeros(len(grams), bool)
     links: list[tuple[int, int]] = []
     order = np.lexsort((np.arange(m), sizes))
@@ -391,39 +478,50 @@ def _bloom(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int) -> DataFrame:
+def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int, scratch: Scratch) -> DataFrame:
     """Verified links (a, b) between class representatives, as few as connect
     them. ``docs``: doc_id, text; ``heads``: doc, n, bits, prefix, hot of representatives."""
-    cluster = components(candidate_edges(heads, per_mille))
-    member = cut(cluster.join(heads.select(F.col("doc").alias("node"), "n").distinct(), "node")
-                 .select(F.col("node").alias("doc"), "component", "n"))
-    blocks = member.groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    dealt = _deal(member, "component", blocks).drop("n")
-    bits = _bloom(member.select("doc"))  # fixed size
-
-    @F.pandas_udf("boolean")
-    def may_be(h):
-        import pandas as pd
-        v = h.to_numpy()
-        return pd.Series((bits[v >> 6] >> (v & 63)) & 1 == 1)
-
-    ids = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BLOOM_BITS)))
-    some = ids.where(F.col("doc_id").isNotNull() & may_be("h")).select(F.col("doc_id").alias("doc"), "text")
-    texts = dealt.join(some, "doc")
+    cluster = components(candidate_edges(heads, per_mille, scratch), scratch=scratch)
+    member = scratch.keep(cluster.join(heads.select(F.col("doc").alias("node"), "n").distinct(), "node")
+                          .select(F.col("node").alias("doc"), "component", "n", F.greatest(
+                              F.lit(1 / BLOCK_DOCS), F.col("n") / BLOCK_GRAMS).alias("load")))
 
     def verify(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids = table.column("doc").to_numpy()
-        side = table.column("side").to_numpy()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         sets = batch_shingles(texts_of(table.column("text")), k)
-        found = block_links(sets, side, per_mille, cross=i != j)
+        found = block_links(sets, table.column("side").to_numpy(), per_mille, _cross(table), table.column("label").to_numpy())
         a = np.array([x for x, _ in found], np.int64)
         b = np.array([y for _, y in found], np.int64)
         return pa.table({"a": pa.array(ids[a]), "b": pa.array(ids[b])})
 
-    return texts.groupBy("component", "i", "j").applyInArrow(verify, "a long, b long")
+    def verified(dealt: DataFrame, among: DataFrame) -> DataFrame:
+        bits = _bloom(among.select("doc"))  # fixed size
+
+        @F.pandas_udf("boolean")
+        def may_be(h):
+            import pandas as pd
+            v = h.to_numpy()
+            return pd.Series((bits[v >> 6] >> (v & 63)) & 1 == 1)
+
+        ids = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BLOOM_BITS)))
+        some = ids.where(F.col("doc_id").isNotNull() & may_be("h")).select(F.col("doc_id").alias("doc"), "text")
+        return scratch.keep(dealt.join(some, "doc").groupBy("component", "salt", *_GROUP).applyInArrow(verify, "a long, b long"))
+
+    blocks = member.groupBy("component").agg(F.ceil(F.sum("load")).cast("int").alias("blocks"))
+    # a cluster of several blocks is dealt twice, so that its blocks overlap
+    twice = F.explode(F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    first = member.join(blocks, "component").withColumn("salt", twice)
+    first = _alone(first, _spread(F.col("blocks"), "doc", "salt")).drop("blocks", "n", "load")
+    found = verified(first, member)
+    wide = scratch.keep(blocks.where("blocks > 1").select("component"))
+    if wide.isEmpty():
+        return found
+    label = components(found, scratch=scratch).toDF("doc", "label")
+    apart = (member.join(wide, "component", "left_semi").join(label, "doc", "left")
+             .select("component", "doc", "n", "load", F.coalesce("label", "doc").alias("label")))
+    dealt = scratch.keep(deal_across(scratch.keep(apart), "component", per_mille).withColumn("salt", F.lit(0)).drop("n"))
+    return found if dealt.isEmpty() else found.unionByName(verified(dealt, dealt.select("doc").distinct()))
 
 
 def ngram_join(docs: DataFrame, k: int = 5, per_mille: int = 800) -> DataFrame:
@@ -443,14 +541,22 @@ def ngram_join(docs: DataFrame, k: int = 5, per_mille: int = 800) -> DataFrame:
     Other columns are ignored. An empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = cut(prefixes(docs, k, per_mille, word_counts(docs)))
-    classes = (rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
-               .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")))
-    rows = rows.join(classes, ["s1", "s2"], "left")
-    heads = cut(rows.where("doc_id = class_id").select(F.col("doc_id").alias("doc"), "n", "bits", "prefix", "hot"))
-    group = components(links(docs, heads, k, per_mille))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.keep(prefixes(docs, k, per_mille, word_counts(docs)))
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())  # fixed: the rows are written
+    classes = scratch.keep(numbered.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
+                           .agg(F.min(F.struct("doc_id", "row")).alias("first"))
+                           .select("s1", "s2", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("row")))
+    # one head a class, also where its first row is repeated
+    heads = scratch.keep(numbered.join(classes.select("row"), "row").select(F.col("doc_id").alias("doc"), "n", "bits", "prefix", "hot"))
     # copies reach each other by their class, rows of one doc_id by that id
-    own = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    own = scratch.keep(rows.select("doc_id", "n", "s1", "s2").join(classes.drop("row"), ["s1", "s2"], "left")
+                       .select("doc_id", "n", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
+    scratch.drop(rows, classes)
+    found = Scratch(docs.sparkSession)  # what the result reads
+    group = components(links(docs, heads, k, per_mille, scratch), scratch=found)
+    own = found.keep(own)
+    scratch.close()
     return (own.join(group.withColumnRenamed("node", "class_id"), "class_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id")).alias("component_id"),

@@ -144,6 +144,72 @@ def test_ngram_join(docs, none, monkeypatch, k, per_mille, small):
         assert ngram_join.ngram_join(none, k, per_mille).collect() == []
 
 
+def _dealt_rows(spark, monkeypatch, docs):
+    """Rows that all rounds deal to blocks, and the components."""
+    sizes = []
+
+    def spy(fn):
+        def run(*args):
+            out = fn(*args)
+            sizes.append(out.count())
+            return out
+        return run
+
+    with monkeypatch.context() as m:
+        m.setattr(ngram_join, "_alone", spy(ngram_join._alone))
+        m.setattr(ngram_join, "deal_across", spy(ngram_join.deal_across))
+        got = {r.doc_id: r.component_id for r in ngram_join.ngram_join(docs, 3, 800).collect()}
+    return sum(sizes), got
+
+
+def test_a_group_of_near_copies_costs_rows_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 32)
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 8)
+    rng = random.Random(4)
+    base = rng.choices(VOCABULARY, k=80)
+    rows = []
+    for i in range(600):
+        words = list(base)
+        words[rng.randrange(80)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    # documents outside the group, some with its words
+    rows += [(1000 + i, " ".join(base[:9] + rng.choices(VOCABULARY, k=60))) for i in range(40)]
+    schema = "doc_id long, text string"
+    small, few = _dealt_rows(spark, monkeypatch, spark.createDataFrame([r for r in rows if r[0] < 300 or r[0] >= 1000], schema))
+    large, all_ = _dealt_rows(spark, monkeypatch, spark.createDataFrame(rows, schema))
+    assert large < 2.6 * small
+    assert {all_[i] for i in range(600)} == {0} and {few[i] for i in range(300)} == {0}
+    assert all(all_[1000 + i] == 1000 + i for i in range(40))
+
+
+def test_rows_that_repeat_are_one_head(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_LIST", 5)
+    docs = spark.createDataFrame([(7, "one two three four five")] * 700 + [(9, "one two three four five six")], "doc_id long, text string")
+    dealt, got = _dealt_rows(spark, monkeypatch, docs)
+    assert dealt < 100 and got == {7: 7, 9: 9}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dealing_across_brings_every_open_pair_together(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    rows = [("k", i, rng.choice([rng.randint(1, 60), rng.randint(20, 30)]), rng.choice([1, 1, 1, 2, 100 + i]), 0.2) for i in range(120)]
+    rows += [("one", 500 + i, 9, 4, 0.2) for i in range(20)]
+    df = spark.createDataFrame(rows, "key string, doc long, n long, label long, load double")
+    met, groups = set(), defaultdict(list)
+    for r in ngram_join.deal_across(df, "key", 800).collect():
+        assert r.key == "k"
+        groups[r.kind, r.band, r.i, r.j].append(r)
+    for (kind, _, i, j), members in groups.items():
+        for a in members:
+            for b in members:
+                if a.doc < b.doc and (a.side != b.side or (kind == 1 and i == j)):
+                    met.add((a.doc, b.doc))
+    for a in rows[:120]:
+        for b in rows[:120]:
+            if a[1] < b[1] and a[3] != b[3] and min(a[2], b[2]) * 1000 >= max(a[2], b[2]) * 800:
+                assert (a[1], b[1]) in met
+
+
 def test_block_filters_lose_no_link():
     rng = np.random.default_rng(4)
     for per_mille in (500, 800, 900):

@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from opslake.llm.graph import cut
 from opslake.llm.textkit import Texts, lower_ascii, slices, texts_of
 
 #: hashed features
 DIMS = 4096
-#: the bounded sample that is learned from: documents for each language
-SAMPLE_PER_LANGUAGE = 1500
+#: the bounded sample that is learned from: documents for each language, documents of all
+#: (with more languages each gives fewer), and languages, the most frequent ones
+SAMPLE_PER_LANGUAGE, SAMPLE, LANGUAGES = 1500, 12_000, 512
+#: family models that are fitted one after the other in one task, from the same examples
+TOGETHER = 16
 #: steps, rows a step and regularisation of the stochastic subgradient training
 STEPS, ROWS, LAMBDA = 3000, 64, 1e-4
 #: bytes of text whose features are computed at once
@@ -102,66 +106,63 @@ def _odd_letter(data: np.ndarray) -> bool:
 
 
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """text, lang: at most ``per_language`` documents of each language, by hash of
-    doc_id, from rows with doc_id, text and lang of which crc32(doc_id) mod 4 is not 2."""
+    """text, lang: at most ``per_language`` documents of each of the LANGUAGES most
+    frequent languages (and not more than SAMPLE of all, spread evenly), by hash of
+    doc_id, from rows with doc_id, text and a lang that is not empty, of which
+    crc32(doc_id) mod 4 is not 2."""
     may = docs.where("text is not null and lang is not null and lang <> '' and doc_id is not null "
                      "and crc32(cast(doc_id as string)) % 4 <> 2")
-    counts = {r["lang"]: r["n"] for r in may.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in may.groupBy("lang").agg(F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    if not counts:
+        return may.select("lang", "text").limit(0)
+    per_language = min(per_language, max(2, SAMPLE // len(counts)))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    share = F.lit(0.0)
-    for lang, n in counts.items():  # a prior cut, so that the window gets a bounded number of rows
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * per_language / n + 0.0001))).otherwise(share)
-    some = may.select("lang", h.alias("h"), "doc_id", "text").where(F.col("h") < share * (1 << 30))
+    # a prior cut, so that the window gets a bounded number of rows
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2.0 * per_language / n + 0.0001))])
+    some = may.select("lang", h.alias("h"), "doc_id", "text").where(F.col("h") < F.try_element_at(share, F.col("lang")) * (1 << 30))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
     return some.withColumn("nth", first).where(F.col("nth") <= per_language).select("lang", "text")
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
     """The models: languages, families, and weights for each family and each pair
-    of languages within one. Each model is fitted by a task of its own on the
-    bounded sample; only the weights, DIMS + 1 numbers a model, come to the driver."""
+    of languages within one. Languages are those of the examples: labelled texts with a
+    letter. Models are fitted by tasks of their own on the bounded sample; only
+    the weights, DIMS + 1 numbers a model, come to the driver."""
 
-    langs = sorted(r["lang"] for r in docs.where(
-        "text is not null and lang is not null and lang <> '' and doc_id is not null "
-        "and crc32(cast(doc_id as string)) % 4 <> 2").select("lang").distinct().collect())
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1, SLICE):
+            lang = batch.column(0).to_pylist()
+            rows = [(lang[i], x.astype("<f2").tobytes()) for i, x in _each(batch, 1)]
+            for at in range(0, len(rows), 512):
+                some = list(zip(*rows[at:at + 512]))
+                yield pa.RecordBatch.from_arrays([pa.array(some[0], pa.string()), pa.array(some[1], pa.binary())], ["lang", "x"])
+
+    examples = cut(labelled_sample(docs, per_language).mapInArrow(features, "lang string, x binary"))
+    langs = sorted(r["lang"] for r in examples.select("lang").distinct().collect())  # at most LANGUAGES
     families = {f: sorted(v) for f, v in itertools.groupby(sorted(langs, key=family), key=family)}
     names = sorted(families)
-    models = [f"f:{f}" for f in names if len(names) > 1] + [
-        f"p:{a}:{b}" for f in names for a, b in itertools.combinations(families[f], 2)]
-    if not models:
+    # the models of a group, each with its side +1 and its side -1 (none: all others)
+    groups = {f"f{i}": [(f"f:{f}", families[f], None) for f in names[i:i + TOGETHER]]
+              for i in range(0, len(names), TOGETHER) if len(names) > 1}
+    groups |= {f"p:{a}:{b}": [(f"p:{a}:{b}", [a], [b])] for f in names for a, b in itertools.combinations(families[f], 2)}
+    if not groups:
         return {"families": families, "weights": {}}
-    uses = {lang: [m for m in models if m[0] == "f" or lang in m.split(":")[1:]] for lang in langs}
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each model that a text is an example for."""
-        for batch in slices(batches, 1, SLICE):
-            rows = []
-            for i, x in _each(batch, 1):
-                lang = batch.column(0)[i].as_py()
-                x = x.astype("<f2").tobytes()
-                rows += [(m, 1 if (m == "f:" + family(lang) if m[0] == "f" else m.split(":")[1] == lang) else -1, x)
-                         for m in uses[lang]]
-                if len(rows) >= 512:
-                    yield _examples(rows)
-                    rows = []
-            yield _examples(rows)
+    uses = {lang: [g for g, models in groups.items() if models[0][2] is None or lang in models[0][1] + models[0][2]] for lang in langs}
+    used = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.array(*[F.lit(g) for g in uses[lang]]))])
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["x", "y"])  # the same order whichever task sent them
-        w = _svm(np.frombuffer(b"".join(rows["x"]), "<f2").reshape(-1, DIMS).astype(np.float32), rows["y"].to_numpy())
-        return pd.DataFrame({"model": [key[0]], "w": [w.astype("<f8").tobytes()]})
+        rows = rows.sort_values(["x", "lang"])  # the same order whichever task sent them
+        x = np.frombuffer(b"".join(rows["x"]), "<f2").reshape(-1, DIMS).astype(np.float32)
+        out = [(m, _svm(x, np.where(rows["lang"].isin(plus), 1, -1)).astype("<f8").tobytes()) for m, plus, _ in groups[key[0]]]
+        return pd.DataFrame(out, columns=["model", "w"])
 
-    fitted = (labelled_sample(docs, per_language).mapInArrow(features, "model string, y int, x binary")
-              .groupBy("model").applyInPandas(fit, "model string, w binary").collect())
+    fitted = (examples.withColumn("g", F.explode(F.try_element_at(used, F.col("lang"))))
+              .groupBy("g").applyInPandas(fit, "model string, w binary").collect())
     return {"families": families, "weights": {r["model"]: np.frombuffer(r["w"], "<f8") for r in fitted}}
 
 
-def _examples(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
-    model, y, x = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(model, pa.string()), pa.array(y, pa.int32()), pa.array(x, pa.binary())],
-                                      ["model", "y", "x"])
-
-
 def _svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Hinge loss with L2 penalty, by averaged stochastic subgradient steps; each
     step takes as many rows of either side. Weights and, last, the bias."""
@@ -241,9 +242,10 @@ def language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Dat
 
     Learned from text and non-null lang of rows whose crc32(doc_id as text)
     mod 4 is not 2 (held_out: it is 2; false for a null doc_id, whose row is not
-    learned from either). A prediction sees the text alone. Null texts and
-    texts without a letter are ``und`` with score 0, and so is every row where no
-    row has a language. Repeated rows each get a row; other columns are ignored.
+    learned from either), and of which the lang is not empty: an empty one names no
+    language. A prediction sees the text alone. Null texts and texts without a letter
+    are ``und`` with score 0, and so is every row where no text with a letter has a
+    language. Of more than LANGUAGES languages the most frequent are learned. Repeated rows each get a row; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
@@ -257,7 +259,8 @@ def accepted(docs: DataFrame, lang: str = "lang", per_language: int = SAMPLE_PER
     """The rows of ``docs``, all columns, but those whose text is null or has no letter,
     also where no language could be learned."""
     cols = docs.columns
-    free = next(n for n in ("_lang", *(f"_lang{i}" for i in range(len(cols) + 1))) if n not in {c.lower() for c in cols})
+    taken = {c.lower() for c in cols}
+    free = next(n for i in range(3 * len(cols) + 1) if not {n := f"_lang{i}", f"{n}_score", f"{n}_lettered"} & taken)
     models = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(lang).alias("lang")), per_language)
     return classify(docs, models, (free, f"{free}_score", f"{free}_lettered")).where(f"{free}_lettered").select(
         *[F.col(f"`{c}`") for c in cols])

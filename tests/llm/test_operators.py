@@ -657,6 +657,40 @@ def test_accepted_keeps_lettered_rows_where_no_language_is_known(docs, lang):
         i for i, t in table(docs) if any(c.isalpha() for c in t or ""))
 
 
+def test_labelled_texts_without_a_letter_teach_nothing(spark):
+    docs = spark.createDataFrame([(0, "1234", "en"), (4, "!!", "fr"), (5, "hello world", None)], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in language_id.language_id(docs).collect()} == {"und"}
+    assert [r.doc_id for r in language_id.accepted(docs).collect()] == [5]
+    one = docs.unionByName(spark.createDataFrame([(6, "bonjour", "de")], docs.schema))
+    got = {r.doc_id: r.lang_pred for r in language_id.language_id(one).collect()}
+    assert got == {0: "und", 4: "und", 5: "de", 6: "de"}
+
+
+def test_accepted_with_names_of_its_own(spark):
+    row = {f"_lang{x}{s}": 1 for x in ("", 0, 1) for s in ("", "_score", "_lettered")}
+    docs = spark.createDataFrame([(1, "some words", "en", *row.values()), (2, "..", "en", *row.values())],
+                                 "doc_id long, text string, lang string, " + ", ".join(f"{c} int" for c in row))
+    kept = language_id.accepted(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    """Family models in several groups, and more languages than are learned."""
+    monkeypatch.setattr(language_id, "TOGETHER", 2)
+    monkeypatch.setattr(language_id, "LANGUAGES", 7)
+    rng = random.Random(3)
+    letters = {f"q{k}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6)) for k in range(6)} | {"en": "etaoin", "de": "ensrat"}
+    rows = [(i, " ".join("".join(rng.choices(letters[lang], k=5)) for _ in range(30)), lang)
+            for i, lang in enumerate(sorted(letters) * 60)]
+    rows = rows[:-1] + [(rows[-1][0], rows[-1][1], "de")]  # one language has a row less
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.held_out) for r in language_id.language_id(docs).collect()}
+    known = {r for r, _ in got.values()}
+    assert len(known) == 7
+    hits = [pred == lang for (i, _, lang) in rows for pred, held in [got[i]] if held and lang in known]
+    assert sum(hits) >= 0.97 * len(hits), sum(hits) / len(hits)
+
+
 def test_prediction_does_not_see_the_label(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
     held = F.expr("crc32(cast(doc_id as string)) % 4 = 2")

@@ -52,6 +52,64 @@ TEMPLATES = [
     ("cc-by", "this work is licensed under a creative commons attribution"),
     ("proprietary", "all rights reserved"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    # whole licence texts and notices
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation the "
+            "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+            "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+            "and this permission notice shall be included in all copies or substantial portions of the software the software is "
+            "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+            "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+            "holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+            "arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("bsd-2-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that "
+            "the following conditions are met 1 redistributions of source code must retain the above copyright notice this list "
+            "of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright "
+            "notice this list of conditions and the following disclaimer in the documentation and or other materials provided "
+            "with the distribution this software is provided by the copyright holders and contributors as is and any express or "
+            "implied warranties including but not limited to the implied warranties of merchantability and fitness for a "
+            "particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct "
+            "indirect incidental special exemplary or consequential damages including but not limited to procurement of "
+            "substitute goods or services loss of use data or profits or business interruption however caused and on any theory "
+            "of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out "
+            "of the use of this software even if advised of the possibility of such damage"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+            "provided that the above copyright notice and this permission notice appear in all copies the software is provided as "
+            "is and the author disclaims all warranties with regard to this software including all implied warranties of "
+            "merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential "
+            "damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract "
+            "negligence or other tortious action arising out of or in connection with the use or performance of this software"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+            "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+            "purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+            "restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original "
+            "software if you use this software in a product an acknowledgment in the product documentation would be appreciated "
+            "but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being "
+            "the original software 3 this notice may not be removed or altered from any source distribution"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+            "accompanying documentation covered by this license the software to use reproduce display distribute execute and "
+            "transmit the software and to prepare derivative works of the software and to permit third parties to whom the "
+            "software is furnished to do so all subject to the following"),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+            "the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+            "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+            "without warranties or conditions of any kind either express or implied see the license for the specific language "
+            "governing permissions and limitations under the license"),
+    ("gpl-2.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+            "license as published by the free software foundation either version 2 of the license or at your option any later "
+            "version this program is distributed in the hope that it will be useful but without any warranty without even the "
+            "implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more "
+            "details"),
+    ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+            "license as published by the free software foundation either version 3 of the license or at your option any later "
+            "version"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+            "distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+            "use compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+            "commercial or non commercial and by any means"),
 ]
 
 
@@ -192,29 +250,40 @@ class Scanner:
                         matches.append((n, end - length, at + i + 1 - length, at + i + 1))
         return places, matches
 
-    def chains(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
+    def chains(self, matches: list[tuple[int, int, int, int]]) -> tuple[list[tuple[str, int, int, float]], float]:
         """Matches of each template in order, with gaps of at most GAP words in the
-        text: (label, start, end, part of the template covered). Words by which a
-        match overlaps the one before it are trimmed from its front."""
-        out = []
-        for n in sorted({m[0] for m in matches}):
+        text: (label, start, end, part of the template covered) of the chains that cover enough,
+        and the largest part covered by any chain. Words by which a match overlaps
+        the one before it are trimmed from its front. A chain is done once the
+        gap after it has passed, so only those that end in the last GAP words are open."""
+        out, most = [], 0.0
+        by_template: dict[int, list[tuple[int, int, int, int]]] = {}
+        for m in matches:
+            by_template.setdefault(m[0], []).append(m)
+        for n in sorted(by_template):
             size = len(self.words[n])
+            spans: dict[int, tuple[int, float]] = {}
             best: list[tuple[int, int, int, int]] = []  # open chains: template end, text start, text end, covered
-            for _, t, start, end in sorted((m for m in matches if m[0] == n), key=lambda m: (m[2], m[1])):
-                fits = [c for c in best if c[2] < end and c[0] <= t + max(0, c[2] - start) and start - c[2] <= GAP]
+
+            def done(chains):
+                for _, start, end, covered in chains:
+                    if covered >= COVERED * size:
+                        spans[start] = max(spans.get(start, (0, 0.0)), (end, min(1.0, covered / size)))
+
+            for _, t, start, end in sorted(by_template[n], key=lambda m: (m[2], m[1])):
+                done(c for c in best if start - c[2] > GAP)
+                best = [c for c in best if start - c[2] <= GAP]
+                fits = [c for c in best if c[2] < end and c[0] <= t + max(0, c[2] - start)]
                 c = max(fits, key=lambda c: c[3] - max(0, c[2] - start), default=None)
-                best = [x for x in best if start - x[2] <= GAP or x[3] >= COVERED * size]
                 best.append((t + end - start, c[1] if c else start, end, c[3] + end - max(start, c[2]) if c else end - start))
-            spans = {}
-            for _, start, end, covered in best:
-                if covered >= COVERED * size:
-                    spans[start] = max(spans.get(start, (0, 0.0)), (end, min(1.0, covered / size)))
+                most = max(most, min(1.0, best[-1][3] / size))
+            done(best)
             out += [(self.labels[n], s, e, c) for s, (e, c) in spans.items()]
-        return out
+        return out, most
 
 
 def _scan_texts(scanner: Scanner, texts: Texts):
-    """For each text: number of words, base places [(label, start)], spans."""
+    """For each text: number of words, base places [(label, start)], spans, largest part of a template covered."""
     data = lower_ascii(texts.data)
     words = words_of(Texts(data, texts.starts, texts.null), ALNUM)
     hashes = hash_words(data, words)
@@ -231,7 +300,8 @@ def _scan_texts(scanner: Scanner, texts: Texts):
     for i in range(len(texts)):
         places, matches = found.get(i, ((), ()))
         base = sorted({(scanner.labels[n], start) for n, start in places}, key=lambda p: (p[1], p[0]))
-        yield int(words.first[i + 1] - words.first[i]), base, sorted(scanner.chains(matches), key=lambda s: (s[1], s[0], s[2]))
+        spans, most = scanner.chains(matches)
+        yield int(words.first[i + 1] - words.first[i]), base, sorted(spans, key=lambda s: (s[1], s[0], s[2])), most
 
 
 _SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -246,7 +316,8 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     Words are the maximal runs of a-z, 0-9 and characters from U+0080, A-Z
     lower-cased. Base: places where a phrase's words stand consecutively.
     labels: base labels and those of chains that cover at least three quarters
-    of a template; score: the largest part of a template or phrase covered (0: none).
+    of a template; score: the largest part of a template or phrase covered by a chain
+    (0: none), also where it is too small for a label.
     Null and empty texts have no words, empty label strings, null places and
     score 0. Repeated rows each get a row, null doc_ids stay null, other columns
     are ignored; an empty table gives an empty one. Nothing is shuffled.
@@ -258,11 +329,11 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
         scanner = Scanner(templates, phrases)
         for batch in slices(batches, 1):
             rows = []
-            for n, base, spans in _scan_texts(scanner, texts_of(batch.column(1))):
+            for n, base, spans, most in _scan_texts(scanner, texts_of(batch.column(1))):
                 names = {label for label, _ in base}
                 rows.append((n, len(base), base[0][1] if base else None, base[-1][1] if base else None,
                              ",".join(sorted(names)), ",".join(sorted(names | {s[0] for s in spans})),
-                             max([s[3] for s in spans] + [1.0] * bool(base), default=0.0),
+                             1.0 if base else most,
                              [dict(zip(("label", "first_word", "end_word", "covered"), s)) for s in spans]))
             cols = list(zip(*rows)) or [()] * 8
             span = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64()),

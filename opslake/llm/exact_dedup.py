@@ -10,11 +10,14 @@ Texts are equal when identical after deleting space and U+0009 to U+000D.
    ``bucket_keys`` of them; while a bucket of all ``g`` bits is overfull, the
    directory is doubled (``g + 1``). Copies have one hash and count once, so a
    group of copies cannot overfill a bucket.
-3. Owner tasks: rows whose hash occurs more than once are dealt by bucket, so a
-   task owns ranges of the key space. Under a hash, rows are chained by their
-   bytes: they are grouped by the whole normalised text, not by a digest, with
-   map-side combine, so a group of copies moves one row from each task.
-4. The groups' results are joined back to the entries.
+3. Copies combine: texts whose hash occurs more than once are grouped by the whole
+   normalised text, not by a digest, with map-side combine, so a group of copies
+   moves one row from each task.
+4. Owner tasks: the distinct texts are dealt by the directory's buckets, so a task
+   owns ranges of the key space, all texts of a key with it. Under a key they are
+   chained by their bytes: each has its link in the chain, and links beyond the first are
+   collisions of the hash.
+5. The groups' results are joined back to the entries.
 
 Everything is DataFrame expressions.
 """
@@ -28,7 +31,7 @@ from pyspark.sql.window import Window
 from opslake.llm.graph import cut
 
 #: distinct hashes of a bucket
-BUCKET_KEYS = 200_000
+BUCKET_KEYS = 4096
 #: the directory is not doubled beyond this (hashes that differ always part earlier)
 MAX_BITS = 40
 #: bits of the filter that spares the text shuffle most rows with a unique hash
@@ -102,9 +105,9 @@ def _in_filter(bits: bytes, p: Column) -> Column:
     return F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.pow(F.lit(2), F.pmod(p, F.lit(8))).cast("int")) != 0
 
 
-def duplicate_groups(docs: DataFrame, index: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """h, sha, best, group_size: one row for each group of at least two rows
-    whose normalised texts have equal bytes."""
+def owned_chains(docs: DataFrame, index: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """h, norm, best, rows, bucket, link: the distinct texts whose hash occurs more than
+    once, each bucket in one task, chained under their hash by their bytes (link from 1)."""
     keys = cut(index.groupBy("h").agg(F.sum("copies").alias("rows")))
     cells, bits = directory(keys.select("h"), bucket_keys)
     repeated = keys.where("rows > 1").select("h", _prefix(F.col("h"), bits).alias("cell")).join(cells, "cell")
@@ -114,10 +117,16 @@ def duplicate_groups(docs: DataFrame, index: DataFrame, bucket_keys: int = BUCKE
     d = d.withColumn("h", F.xxhash64("norm")).withColumn("p", _prefix(F.col("h"), FILTER_BITS))
     some = d.where(_in_filter(_filter(repeated), F.col("p"))).select(
         "h", "norm", _rank(F.col("chars"), F.col("doc_id")).alias("rank"))
-    # first within the tasks, so that copies do not travel; then the owner of the bucket has all bytes of its keys
-    chained = some.groupBy("h", "norm").agg(F.max("rank").alias("best"), F.count("*").alias("group_size"))
-    owned = chained.join(repeated, "h")
-    return owned.select("h", F.sha2("norm", 256).alias("sha"), "best", "group_size", "bucket").where("group_size > 1")
+    combined = some.groupBy("h", "norm").agg(F.max("rank").alias("best"), F.count("*").alias("rows"))
+    owned = combined.join(repeated, "h").repartition("bucket")
+    return owned.withColumn("link", F.row_number().over(Window.partitionBy("bucket", "h").orderBy("norm")))
+
+
+def duplicate_groups(docs: DataFrame, index: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """h, sha, best, group_size: one row for each group of at least two rows
+    whose normalised texts have equal bytes: a link with several rows."""
+    return owned_chains(docs, index, bucket_keys).where("rows > 1").select(
+        "h", F.sha2("norm", 256).alias("sha"), "best", F.col("rows").alias("group_size"))
 
 
 def exact_dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
@@ -131,7 +140,7 @@ def exact_dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     them from 1. Other columns are ignored; an empty table gives an empty one.
     """
     index = build_index(docs)
-    groups = duplicate_groups(docs, index, bucket_keys).drop("bucket")
+    groups = duplicate_groups(docs, index, bucket_keys)
     rows = index.join(groups, ["h", "sha"], "left")
     best = F.col("best")
     rows = rows.withColumn("own", _rank(F.col("chars"), F.col("doc_id")))
@@ -161,6 +170,8 @@ def deduplicated(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     rows = rows.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col(sha) == F.col("k_sha"))
                      & (F.col(chars) == F.col("k_chars")), "left_semi")
     if not found.where("copy > 1").isEmpty():
-        same = Window.partitionBy("doc_id", sha, chars).orderBy(sha)
-        rows = rows.withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1)
+        # one of repeated rows: the first as they lie in the input, found without their texts
+        rows = rows.withColumn(nth, F.monotonically_increasing_id())
+        first = rows.groupBy("doc_id", sha, chars).agg(F.min(nth).alias(nth)).select(nth)
+        rows = rows.join(first, nth, "left_semi")
     return rows.select(*[F.col(f"`{n}`") for n in names])

@@ -89,7 +89,7 @@ def mix(docs: DataFrame, repetitions: float | None = REPETITIONS, entropy: float
                     token_count(F.col("text").cast("string")).alias("tokens"),
                     F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"))
     d = cut(d.groupBy("s", "key", "doc_id", "tokens").agg(F.count("*").alias("rows")))
-    totals = cut(d.groupBy("s").agg(F.sum(F.col("tokens") * F.col("rows")).alias("tokens"), F.count("*").alias("docs")))
+    totals = cut(d.groupBy("s").agg(F.sum(F.col("tokens") * F.col("rows")).alias("tokens"), F.sum("rows").alias("docs")))
     some = totals.where("tokens > 0")
     a = exponent(some, repetitions, entropy)
     top = some.agg(F.max("tokens").alias("m")).first()["m"] or 1
@@ -108,25 +108,28 @@ def mix(docs: DataFrame, repetitions: float | None = REPETITIONS, entropy: float
     # a source with a third of all documents is met by SALTS copies of its budget
     plan = plan.select("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("tokens").alias("all"),
                        "budget", "passes", "parts", "times")
-    draws = (d.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).join(plan, ["s", "salt"]).drop("salt")
+    # each of repeated rows has a place of its own in the permutation
+    each = d.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows")
+    draws = (each.withColumn("salt", F.pmod(F.xxhash64("key", "copy"), F.lit(SALTS)).cast("int")).join(plan, ["s", "salt"]).drop("salt")
              .withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
-             .withColumn("order", F.xxhash64("key", "pass", F.lit(seed)))
+             .withColumn("order", F.xxhash64("key", "pass", F.lit(seed), "copy"))
              .withColumn("part", F.floor(F.shiftrightunsigned("order", 33) * F.col("parts") / F.lit(float(1 << 31))).cast("int")))
-    sums = draws.groupBy("s", "pass", "part").agg(F.sum(F.col("tokens") * F.col("rows")).alias("t"))
+    sums = draws.groupBy("s", "pass", "part").agg(F.sum("tokens").alias("t"))
     earlier = Window.partitionBy("s", "pass").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("s", "pass", "part", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("offset"))
     # the unsigned order: the upper half of a signed hash comes after
-    within = (Window.partitionBy("s", "pass", "part").orderBy(F.shiftrightunsigned("order", 1), "order", "doc_id")
+    within = (Window.partitionBy("s", "pass", "part").orderBy(F.shiftrightunsigned("order", 1), "order", "doc_id", "copy")
               .rowsBetween(Window.unboundedPreceding, -1))
-    draws = (draws.withColumn("inside", F.coalesce(F.sum(F.col("tokens") * F.col("rows")).over(within), F.lit(0)))
+    draws = (draws.withColumn("inside", F.coalesce(F.sum("tokens").over(within), F.lit(0)))
              .join(offsets, ["s", "pass", "part"]).withColumn("before", F.col("offset") + F.col("inside")))
     # a document is drawn if its pass's budget is not used up where it begins
     left = (F.col("passes") - F.col("pass")) * F.col("all")
     draws = draws.where((F.col("passes") - F.col("pass") >= 1 - 1e-9) | (F.col("before") < left)
                         | ((F.col("pass") == 0) & (F.col("all") == 0)))
-    spot = F.when(F.col("all") > 0, (F.col("pass") * F.col("all") + F.col("before")) / F.col("budget")).otherwise(0.0)
+    # documents of a source without tokens lie evenly over the blocks
+    even = F.shiftrightunsigned("order", 33) / F.lit(float(1 << 31))
+    spot = F.when(F.col("all") > 0, (F.col("pass") * F.col("all") + F.col("before")) / F.col("budget")).otherwise(even)
     draws = draws.withColumn("block", F.least(F.floor(spot * blocks), F.lit(blocks - 1)).cast("long"))
-    draws = draws.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     place = F.row_number().over(Window.partitionBy("block").orderBy(F.xxhash64("order", "copy"), "doc_id", "copy")) - 1
     draws = draws.select("key", "s", "doc_id", "tokens", "pass", "block", "copy", place.cast("long").alias("place"))
     return _hand_out(docs, draws, names)
@@ -145,9 +148,17 @@ def _hand_out(docs: DataFrame, draws: DataFrame, names: list[str]) -> DataFrame:
     key, src, copy = free("_key"), free("_source"), free("_copy")
     left = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
     left = left.withColumn(src, F.coalesce(F.col("source").cast("string"), F.lit("\0")))
-    many = draws.where("copy > 1 and pass = 0").limit(1).count() > 0  # rows that repeat at all
-    left = left.withColumn(copy, F.row_number().over(Window.partitionBy(key, src).orderBy(key)).cast("long")
-                           if many else F.lit(1).cast("long"))
+    if draws.where("copy > 1 and pass = 0").limit(1).count():  # rows that repeat at all
+        # numbered within each partition of the input, after those of the partitions before it
+        part, row, start = free("_part"), free("_row"), free("_start")
+        left = left.withColumn(row, F.monotonically_increasing_id()).withColumn(part, F.shiftright(row, 33))
+        before = Window.partitionBy(key, src).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        starts = left.groupBy(key, src, part).agg(F.count("*").alias(start))
+        starts = starts.withColumn(start, F.coalesce(F.sum(start).over(before), F.lit(0)))
+        inside = F.row_number().over(Window.partitionBy(key, src, part).orderBy(row))
+        left = left.join(starts, [key, src, part]).withColumn(copy, F.col(start) + inside)
+    else:
+        left = left.withColumn(copy, F.lit(1).cast("long"))
     right = draws.select(F.col("key").alias(key), F.col("s").alias(src), F.col("copy").alias(copy),
                          F.col("tokens").alias(free("_tokens")), F.col("pass").alias(free("_pass")),
                          F.col("block").alias(free("_block")), F.col("place").alias(free("_place")))

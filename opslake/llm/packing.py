@@ -1,10 +1,10 @@
 """Best-fit packing of tokenised documents by a grouping genetic algorithm.
 
 Pieces of documents are dealt into blocks of bounded size. Every block is
-evolved on several islands, each a Spark group: a crossover injects whole
-well-filled bins of one parent into the other, bins that hold a document twice
-are dissolved, and the displaced documents are best-fitted. After an epoch
-each island sends its elite to the next one (a shuffle). The worst-filled bins
+evolved on several islands, each a Spark group with a population of its own: a
+crossover injects whole well-filled bins of one parent into the other, bins that
+hold a document twice are dissolved, and the displaced documents are best-fitted.
+After an epoch each island sends its elite to the next one in a ring (a shuffle). The worst-filled bins
 of neighbouring blocks then meet in a last round.
 """
 
@@ -26,7 +26,7 @@ from opslake.llm.graph import cut
 #: tokens of a sequence, and the id that ends a document
 CAPACITY, END_ID = 1024, 2
 #: pieces of a block, islands, epochs, generations of an epoch, individuals of an island
-BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 10, 5
+BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 24, 6
 #: blocks of which the worst-filled bins meet in the last round, and bins each sends
 NEIGHBOURS, LOOSE = 16, 128
 
@@ -47,19 +47,22 @@ class Encoder:
     The ids are those of the tokenizer file. Where its merges are in the order
     of the ids they make, merging by least id gives the same ids, and tiktoken
     does that many times faster; it takes texts whose characters both libraries
-    class alike (up to U+024F), tokenizers all others and other files.
+    class alike (up to U+024F) and that hold no added token's string, tokenizers all
+    others and other files.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: strings that the tokenizer takes as one token wherever they stand
+        self.added = [t.content for t in self.exact.get_added_tokens_decoder().values()]
         self.fast = _ranked(path)
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.fast is not None and (text.isascii() or not _WIDE.search(text)):
+        if (self.fast is not None and (text.isascii() or not _WIDE.search(text))
+                and not any(t in text for t in self.added)):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -250,16 +253,13 @@ def _pack_blocks(items: DataFrame, capacity: int, seeded: bool) -> DataFrame:
 
     def begin(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("uid")
-        lengths = rows["length"].to_numpy(np.int64)
-        start = [_renumber(rows["bin"].to_numpy(np.int64))] if seeded else []
-        found = [evolve(lengths, start, capacity, seed=101 * i + 7) for i in range(1)]
-        return pd.DataFrame([(key[0], i, rows["uid"].to_numpy("<i8").tobytes(), lengths.astype("<i4").tobytes(),
-                              found[0].astype("<i4").tobytes()) for i in range(ISLANDS)],
-                            columns=["block", "island", "uid", "length", "bins"])
+        start = _renumber(rows["bin"].to_numpy(np.int64)).astype("<i4").tobytes() if seeded else b""
+        state = (rows["uid"].to_numpy("<i8").tobytes(), rows["length"].to_numpy("<i4").tobytes(), start)
+        return pd.DataFrame([(key[0], i, *state) for i in range(ISLANDS)], columns=["block", "island", "uid", "length", "bins"])
 
     def epoch(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         lengths = np.frombuffer(rows["length"].iloc[0], "<i4").astype(np.int64)
-        elites = [np.frombuffer(b, "<i4").astype(np.int64) for b in sorted(set(rows["bins"]))]
+        elites = [np.frombuffer(b, "<i4").astype(np.int64) for b in sorted(set(rows["bins"])) if b]
         best = evolve(lengths, elites, capacity, seed=int(key[0] * 31 + key[1]) & 0x7FFFFFFF)
         return pd.DataFrame({"block": [key[0]], "island": [key[1]], "uid": [rows["uid"].iloc[0]],
                              "length": [rows["length"].iloc[0]], "bins": [best.astype("<i4").tobytes()]})
@@ -277,11 +277,11 @@ def _pack_blocks(items: DataFrame, capacity: int, seeded: bool) -> DataFrame:
                              "loose": (rank[bins] < LOOSE) & (fill[bins] < capacity)})
 
     state = items.groupBy("block").applyInPandas(begin, _STATE)
-    for _ in range(EPOCHS):
-        # elites migrate: an island's next epoch also has the elite of the island before it
-        moved = F.explode(F.array(F.col("island"), F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int")))
-        state = (state.withColumn("to", moved).drop("island").withColumnRenamed("to", "island")
-                 .groupBy("block", "island").applyInPandas(epoch, _STATE))
+    for i in range(EPOCHS):
+        if i:  # elites migrate one way: an island's next epoch also has the elite of the island before it
+            moved = F.explode(F.array(F.col("island"), F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int")))
+            state = state.withColumn("to", moved).drop("island").withColumnRenamed("to", "island")
+        state = state.groupBy("block", "island").applyInPandas(epoch, _STATE)
     return state.groupBy("block").applyInPandas(last, "block long, uid long, length long, bin long, loose boolean")
 
 
@@ -314,7 +314,7 @@ def best_fit_packing(docs: DataFrame, tokenizer: str | None = None, capacity: in
     of each row of ``docs``.
 
     A null or empty text is the end id alone, one piece of one token. A special
-    token's string in a text is ordinary text. Null doc_ids stay null and are
+    token's string in a text is what the tokenizer as loaded makes of it: its id. Null doc_ids stay null and are
     packed like others; repeated rows are packed each. Other columns are ignored;
     an empty table gives an empty one.
     """

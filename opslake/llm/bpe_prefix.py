@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from opslake.llm.textkit import slices
 
 #: entries of a worker's memory of pieces, and of pairs
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 #: characters of a piece that is remembered
 SHORT = 64
 _workers: dict[tuple[str, str], Vocabulary] = {}
@@ -59,17 +59,31 @@ class Recent(dict):
         return value
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}
+
+
+def tokens_by_rank(ranks: dict[bytes, int]) -> list[bytes]:
+    out = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def decode(tokens: list[bytes], ids: bytes) -> bytes:
+    """The bytes of little-endian unsigned 32-bit ids."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 class Vocabulary:
     """Tokens by rank, and how the merges make each of them."""
 
     def __init__(self, path: str, pattern: str):
         import regex
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}
+        self.ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
-        self.bytes_of = [b""] * (max(self.ranks.values(), default=-1) + 1)
-        for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
+        self.bytes_of = tokens_by_rank(self.ranks)
         self.longest = max(map(len, self.ranks), default=1)
         #: tokens that merging their own bytes makes, and the two tokens of the last merge
         self.made: dict[bytes, int] = {}
@@ -215,7 +229,7 @@ class Vocabulary:
         return b"".join([known(p) if len(p) <= SHORT else long(p) for p in self.split(text)])
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return decode(self.bytes_of, ids)
 
 
 def vocabulary(path: str, pattern: str) -> Vocabulary:
@@ -363,14 +377,14 @@ def encode_documents(docs: DataFrame, ranks: str | None = None, pattern: str | N
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def decode_documents(encoded: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode_documents(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
     """doc_id, ids, data (binary: the bytes of the ids) for each row; null ids give null."""
-    ranks, pattern = ranks or default_ranks(), pattern or default_pattern()
+    ranks = ranks or default_ranks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(ranks, pattern)
+        tokens = tokens_by_rank(read_ranks(ranks))
         for batch in batches:
-            data = [None if i is None else words.decode(i) for i in batch.column(1).to_pylist()]
+            data = [None if i is None else decode(tokens, i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())],
                                              ["doc_id", "ids", "data"])
 

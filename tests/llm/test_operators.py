@@ -538,6 +538,38 @@ def test_exact_dedup(spark, docs, none):
     assert exact_dedup.exact_dedup(none).collect() == [] and exact_dedup.deduplicated(none).collect() == []
 
 
+def test_each_bucket_of_the_directory_has_one_owner(spark, monkeypatch):
+    """Buckets decide where texts go, and hashes that collide are chained under one key."""
+    monkeypatch.setattr(exact_dedup, "_hash", lambda text: F.xxhash64(exact_dedup.normalised(text)))
+    rows = [(i, f"text {i // 3}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    index = exact_dedup.build_index(df)
+    cells, bits = exact_dedup.directory(index.select("h").distinct(), 20)
+    want = {r.cell: r.bucket for r in cells.collect()}
+    got = exact_dedup.owned_chains(df, index, 20).select(
+        "h", "bucket", "rows", "link", exact_dedup._prefix(F.col("h"), bits).alias("cell"), F.spark_partition_id().alias("task")).collect()
+    assert len(got) == 300 and all(r.rows == 3 and r.link == 1 for r in got)
+    assert all(want[r.cell] == r.bucket for r in got)
+    tasks, held = defaultdict(set), Counter(r.bucket for r in got)
+    for r in got:
+        tasks[r.bucket].add(r.task)
+    assert len(held) > 10 and max(held.values()) <= 20 and all(len(t) == 1 for t in tasks.values())
+    # a collision: two texts under one hash are two links of one chain, in one bucket
+    clash = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+    with monkeypatch.context() as m:
+        m.setattr(exact_dedup.F, "xxhash64", lambda *c: F.lit(5).cast("long"))
+        chained = exact_dedup.owned_chains(clash, exact_dedup.build_index(clash), 20).select("norm", "rows", "link", "bucket").collect()
+        full = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(clash).collect()}
+    assert sorted((r.norm, r.rows, r.link) for r in chained) == [("a", 2, 1), ("b", 1, 2)] and len({r.bucket for r in chained}) == 1
+    assert full == {1: (1, 2), 2: (1, 2), 3: (3, 1)}
+
+
+def test_a_mass_of_repeated_rows_leaves_one(spark):
+    df = spark.createDataFrame([(1, "x y", "a")] * 3000 + [(None, "z", "b")] * 5 + [(2, "xy", "c")], "doc_id long, text string, source string")
+    assert sorted(map(str, exact_dedup.deduplicated(df.repartition(4)).collect())) == sorted(map(str, [
+        (r) for r in spark.createDataFrame([(1, "x y", "a"), (None, "z", "b")], df.schema).collect()]))
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(3000).select(F.xxhash64("id").alias("h"))
     keys = keys.unionByName(spark.range(400).select(F.shiftrightunsigned(F.xxhash64("id"), 9).alias("h")))  # one crowded corner
@@ -590,9 +622,7 @@ def test_bounds_drop_no_candidate():
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(packing.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(packing.default_tokenizer())  # as it is loaded
 
 
 def test_packing(spark, docs, none, tokenizer, monkeypatch):
@@ -626,11 +656,47 @@ def test_ids_of_odd_texts(tokenizer):
     encode = packing.Encoder(packing.default_tokenizer())
     assert encode.fast is not None
     texts = ["", " ", "  a", "a  b\n\n c\t", "don't we'll I'VE", "x\r\ny", "naïve Größe ñandú", "漢字 かな", "😀 ok", "a\u2003b\x85c\x1cd",
-             "<|endoftext|> x", "1234 12,5", "\u0250x Ǆ", "tab\tsp \u00a0nb", "a" * 5000]
+             "<|endoftext|> x", "end <|endoftext|> more", "<|endoftext|", "é<|endoftext|>漢", "1234 12,5", "\u0250x Ǆ", "tab\tsp \u00a0nb", "a" * 5000]
     for t in texts:
         assert np.frombuffer(encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def _triples(seed, bins=40):
+    """Lengths that fill bins of 1024 exactly, three a bin, which best fit does not find."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(bins):
+        a = int(rng.integers(250, 480))
+        b = int(rng.integers(250, min(480, 824 - a)))
+        out += [a, b, 1024 - a - b]
+    rng.shuffle(out)
+    return np.array(out)
+
+
+def test_islands_pack_better_than_best_fit(spark):
+    """Several blocks at once, each with its islands; without the search there is one more sequence in most."""
+    fitted, packed = 0, 0
+    for seed in (0, 2, 4, 5):
+        lengths = _triples(seed)
+        first = np.empty(len(lengths), np.int64)
+        packing._fit(np.argsort(-lengths, kind="stable"), lengths, first, [], 1024)
+        fitted += int(first.max()) + 1
+        items = spark.createDataFrame([(seed, i, int(n), 0) for i, n in enumerate(lengths)], "block long, uid long, length long, bin long")
+        rows = packing._pack_blocks(items, 1024, seeded=False).collect()
+        fill = Counter()
+        for r in rows:
+            fill[r.bin] += r.length
+        assert sorted(r.uid for r in rows) == list(range(len(lengths))) and max(fill.values()) <= 1024
+        packed += len(fill)
+    assert packed <= fitted - 3, (packed, fitted)
+
+
+def test_islands_start_apart():
+    lengths = _triples(1)
+    found = {packing.evolve(lengths, [], 1024, seed=i).tobytes() for i in range(packing.ISLANDS)}
+    assert packing.ISLANDS >= 3 and len(found) == packing.ISLANDS
+
+
 def test_genetic_packing_is_no_worse_than_its_elite_and_near_the_bound():
     rng = np.random.default_rng(5)
     for high in (300, 700, 1023):

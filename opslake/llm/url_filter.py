@@ -1,8 +1,8 @@
 """URL filter: rules first, then a path-template tree learned from labelled pages.
 
 For each host the paths form a tree. Digits and long hexadecimal runs of a
-segment become placeholders; then, level by level to the paths' real depth, a
-segment becomes a wildcard when too small a part of its branch's pages have it
+segment become placeholders; then, level by level to the paths' real depth (levels
+at which a branch does not part are passed at once), a segment becomes a wildcard when too small a part of its branch's pages have it
 and its labels say nothing of their own: they are fewer than ENOUGH and their
 share of bad pages does not differ significantly from that of the branch's other
 segments with few labels. A branch keeps any number of literal segments. Sibling
@@ -75,19 +75,40 @@ def _shape(path: Column) -> Column:
         F.regexp_replace(x, r"[0-9a-fA-F]{8}(?:-?[0-9a-fA-F]{4}){3}-?[0-9a-fA-F]{12}|[0-9a-fA-F]{16,}", "{x}"), r"[0-9]+", "{n}"))
 
 
+def _trunk(out: DataFrame) -> DataFrame:
+    """Branches moved on over the levels at which they do not part: all their
+    shapes that go so far have one segment there, on MIN_PAGES pages or more, so it
+    stays literal. Found for all levels at once from the counts of the segments by place."""
+    ahead = out.select("host", "template", "pages", F.posexplode(
+        F.expr("slice(shape, level + 1, size(shape) - level)")).alias("j", "seg"))
+    places = ahead.groupBy("host", "template", "j").agg(F.sum("pages").alias("p"), F.min("seg").alias("low"), F.max("seg").alias("high"))
+    parts = (F.col("low") != F.col("high")) | (F.col("p") < MIN_PAGES)
+    steps = places.groupBy("host", "template").agg(
+        F.coalesce(F.min(F.when(parts, F.col("j"))), F.max("j") + 1).alias("steps"))
+    n = F.least(F.col("steps"), F.size("shape") - F.col("level"))
+    straight = F.array_join(F.expr("slice(shape, level + 1, n)"), "/")
+    return (out.join(steps, ["host", "template"]).withColumn("n", n)
+            .withColumn("template", F.when(F.col("n") > 0, F.concat("template", F.lit("/"), straight)).otherwise(F.col("template")))
+            .withColumn("level", F.col("level") + F.col("n")).drop("n", "steps"))
+
+
 def _generalised(shapes: DataFrame) -> DataFrame:
     """host, shape, pages, ... with template, in which a wildcard is an empty
-    segment: level by level, until no branch has MIN_PAGES pages left to part."""
-    out = shapes.withColumn("template", F.lit("")).withColumn("open", F.size("shape") > 0)
-    done, level = [], 0
+    segment: from one level at which branches part to the next, until none has
+    MIN_PAGES pages left to part."""
+    out = shapes.withColumn("template", F.lit("")).withColumn("level", F.lit(0)).withColumn("open", F.size("shape") > 0)
+    done = []
     while True:
-        done.append(out.where("not open").drop("open"))
+        done.append(out.where("not open").drop("open", "level"))
         if len(done) == PARTS:
             done = [cut(_union(done))]
         out = out.where("open").drop("open")
         if out.isEmpty():
             return _union(done)
-        out = out.withColumn("seg", F.get("shape", F.lit(level)))
+        out = _trunk(out)
+        ended = F.size("shape") <= F.col("level")
+        done.append(cut(out.where(ended).drop("level")))
+        out = out.where(~ended).withColumn("seg", F.expr("get(shape, level)"))
         step = out.groupBy("host", "template", "seg").agg(
             F.sum("pages").alias("own"), F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
         few = F.col("n") < ENOUGH
@@ -97,14 +118,13 @@ def _generalised(shapes: DataFrame) -> DataFrame:
         kept = step.join(branch, ["host", "template"]).select(
             "host", "template", "seg", "all", ((F.col("own") >= MIN_PAGES) & (
                 (F.col("own") >= MIN_SHARE * F.col("all")) | ~few | _differs())).alias("literal"))
-        level += 1
         longer = F.concat("template", F.lit("/"), F.when(F.col("literal"), F.col("seg")).otherwise(""))
         # of a branch with fewer pages no segment below can stay literal either
-        small = F.concat("template", F.repeat(F.lit("/"), F.size("shape") - (level - 1)))
+        small = F.concat("template", F.repeat(F.lit("/"), F.size("shape") - F.col("level")))
         out = (out.join(kept, ["host", "template", "seg"])
-               .withColumn("open", (F.col("all") >= MIN_PAGES) & (F.size("shape") > level))
+               .withColumn("open", (F.col("all") >= MIN_PAGES) & (F.size("shape") > F.col("level") + 1))
                .withColumn("template", F.when(F.col("all") < MIN_PAGES, small).otherwise(longer))
-               .drop("seg", "all", "literal"))
+               .withColumn("level", F.col("level") + 1).drop("seg", "all", "literal"))
         out = cut(out)
 
 

@@ -517,6 +517,74 @@ def test_url_filter_keeps_small_sections_apart(spark):
     assert {r.template for r in got.values() if r.host == "wide.org"} == {"/a/b/c/d/e/f/g/*{2}", "/a/b/c/d/e/f/g/*{3}"}
 
 
+def _templates(shapes):
+    """Level by level, in plain Python: the template of each (host, shape)."""
+    out, open_ = {}, [(h, s, "", p, n, b) for h, s, p, n, b in shapes]
+    level = 0
+    while open_:
+        nxt, branches = [], defaultdict(list)
+        for row in open_:
+            if len(row[1]) <= level:
+                out[row[0], row[1]] = row[2]
+            else:
+                branches[row[0], row[2]].append(row)
+        for (_, template), rows in branches.items():
+            segs = defaultdict(lambda: [0, 0, 0])
+            for r in rows:
+                for i in range(3):
+                    segs[r[1][level]][i] += r[3 + i]
+            pages = sum(v[0] for v in segs.values())
+            few = {x: v for x, v in segs.items() if v[1] < url_filter.ENOUGH}
+            fn, fb = sum(v[1] for v in few.values()), sum(v[2] for v in few.values())
+            for r in rows:
+                own, n, b = segs[r[1][level]]
+                if pages < url_filter.MIN_PAGES:
+                    out[r[0], r[1]] = template + "/" * (len(r[1]) - level)
+                    continue
+                differs = False
+                if n >= url_filter.MIN_PAGES and fn - n > 0:
+                    share = fb / fn
+                    error = math.sqrt(share * (1 - share) * (1 / n + 1 / (fn - n)))
+                    differs = abs(b / n - (fb - b) / (fn - n)) > url_filter.SIMILAR * error
+                literal = own >= url_filter.MIN_PAGES and (own >= url_filter.MIN_SHARE * pages or n >= url_filter.ENOUGH or differs)
+                nxt.append((r[0], r[1], template + "/" + (r[1][level] if literal else ""), *r[3:]))
+        open_, level = nxt, level + 1
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_templates_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    shapes = {}
+    for _ in range(700):
+        host = rng.choice(["a", "b", "c"])
+        trunk = rng.choice([(), ("x",), ("x", "y", "z", "x"), ("t",) * 9])
+        shape = trunk + tuple(rng.choice(["p", "q", f"s{rng.randrange(60)}", "{n}"]) for _ in range(rng.randint(0, 4)))
+        n = rng.choice([0, 0, 1, 3])
+        shapes[host, shape] = (host, shape, rng.randint(max(1, n), 6), n, rng.randint(0, n))
+    shapes["d", ()] = ("d", (), 5, 0, 0)
+    for i in range(40):  # each page goes a segment further
+        shapes["comb", ("c",) * i] = ("comb", ("c",) * i, 1, 0, 0)
+    df = spark.createDataFrame(list(shapes.values()), "host string, shape array<string>, pages long, labelled long, bad long")
+    got = {(r.host, tuple(r["shape"])): r.template for r in url_filter._generalised(df).collect()}
+    assert got == _templates(shapes.values())
+
+
+def test_deep_paths_take_no_more_rounds(spark, monkeypatch):
+    rounds = []
+    for depth in (4, 300):
+        calls = []
+        with monkeypatch.context() as m:
+            cut = url_filter.cut
+            m.setattr(url_filter, "cut", lambda df: calls.append(1) or cut(df))
+            pages = spark.createDataFrame([(i, "http://h/" + "/".join(["d"] * depth) + f"/{w}") for i, w in enumerate("abcdab")],
+                                          "page_id long, url string")
+            got = url_filter.url_filter(pages, spark.createDataFrame([], "page_id long, bad int")).collect()
+        assert len(got) == 6 and {r.verdict for r in got} == {"allow"}
+        rounds.append(len(calls))
+    assert rounds[0] == rounds[1]
+
+
 # --- 7 -------------------------------------------------------------------------
 
 def test_exact_dedup(spark, docs, none):

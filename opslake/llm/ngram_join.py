@@ -467,15 +467,21 @@ def block_links(sets: list[np.ndarray], side: np.ndarray, per_mille: int, cross:
     return links
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """Bits set for the ids, merged by bit_or; a fixed number of words."""
+def _bloom(ids: DataFrame) -> bytes:
+    """Bits set for the ids, merged by bit_or; a fixed size."""
     h = F.pmod(F.xxhash64("doc"), F.lit(1 << BLOOM_BITS))
     rows = (ids.select(h.alias("h")).selectExpr("shiftright(h, 6) w", "shiftleft(1L, int(h & 63)) b")
             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())  # at most 2**BLOOM_BITS / 64 rows
-    out = np.zeros((1 << BLOOM_BITS) // 64, np.int64)
+    out = np.zeros((1 << BLOOM_BITS) // 64, "<i8")
     for r in rows:
         out[r["w"]] = r["b"]
-    return out
+    return out.tobytes()
+
+
+def _may_be(bits: bytes, doc: Column) -> Column:
+    h = F.pmod(F.xxhash64(doc), F.lit(1 << BLOOM_BITS))
+    byte = F.conv(F.hex(F.substring(F.lit(bits), (F.shiftright(h, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.pmod(h, F.lit(8)) + 1).cast("int"))) != 0
 
 
 def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int, scratch: Scratch) -> DataFrame:
@@ -497,15 +503,7 @@ def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int, scratch: Sc
 
     def verified(dealt: DataFrame, among: DataFrame) -> DataFrame:
         bits = _bloom(among.select("doc"))  # fixed size
-
-        @F.pandas_udf("boolean")
-        def may_be(h):
-            import pandas as pd
-            v = h.to_numpy()
-            return pd.Series((bits[v >> 6] >> (v & 63)) & 1 == 1)
-
-        ids = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BLOOM_BITS)))
-        some = ids.where(F.col("doc_id").isNotNull() & may_be("h")).select(F.col("doc_id").alias("doc"), "text")
+        some = docs.where(F.col("doc_id").isNotNull() & _may_be(bits, F.col("doc_id"))).select(F.col("doc_id").alias("doc"), "text")
         return scratch.keep(dealt.join(some, "doc").groupBy("component", "salt", *_GROUP).applyInArrow(verify, "a long, b long"))
 
     blocks = member.groupBy("component").agg(F.ceil(F.sum("load")).cast("int").alias("blocks"))

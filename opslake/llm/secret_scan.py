@@ -3,10 +3,13 @@
 Base kinds are always reported. Weak candidates (a name that could be an access
 identifier, a random-looking token, an endpoint) are reported only where
 complementary parts stand close by: an identifier needs a secret; a token needs
-an identifier or an endpoint; an endpoint needs an identifier and a secret. The
-parts are joined on scopes: intervals of SCOPE code points, each with its
-neighbours, of which each role keeps its first and last place, so the join grows
-with the parts and not with their pairs.
+an identifier or an endpoint; an endpoint needs an identifier and a secret. A
+complement begins within SCOPE code points and shares no character with the part
+it completes: a token inside a link is not the link's secret. The parts are joined
+as intervals, in cells of SCOPE code points: each part is a partner in its
+own cell and both beside it, and a running maximum over the cell's places gives each weak part
+the nearest partner of each role before and behind it, so the join grows with the
+parts and not with their pairs.
 
 Everything is DataFrame expressions. A regular expression's matches and the
 texts between them (``regexp_extract_all`` and ``split``) give the places.
@@ -20,7 +23,7 @@ from pyspark.sql.window import Window
 
 from opslake.llm.graph import cut
 
-#: code points between the starts of parts that belong together
+#: most code points between the starts of parts that belong together
 SCOPE = 300
 
 # fixed values: base kinds, their patterns (leftmost, not overlapping) and least lengths
@@ -29,8 +32,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a run of [0-9a-f] is one match; shorter ones would be dropped after it
 
 #: weak kinds
-IDENT = r"""(?i)(?:access_?key(?:_?id)?|key_?id|client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,128}"""
-ENDPOINT = r"""(?i)(?:https?|ftps?|sftp|s3|gs|postgres(?:ql)?|mysql|mongodb|redis|amqps?|jdbc:[a-z]{1,16})://[^\s"'<>]{3,}"""
+IDENT = r"""(?i)(?:access_?key(?:_?id)?|key_?id|client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,}"""
+ENDPOINT = r"""(?i)(?:https?|ftps?|sftp|s3|gs|postgres(?:ql)?|mysql|mongodb|redis|amqps?|jdbc:[a-z]+)://[^\s"'<>]{3,}"""
 BLOB = (r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])"
         r"[A-Za-z0-9+/]{20,}={0,2}")
 
@@ -71,17 +74,26 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak parts (uid, ord, first, end) that have their complements within ``scope``."""
     role = F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (i, k[2])]), F.col("ord"))
     weak = F.col("ord").isin([i for i, k in enumerate(KINDS) if k[3]])
-    p = found.withColumn("role", role).withColumn("scope", F.floor(F.col("first") / scope))
-    # by scope and role the first and last place; a part looks into its own scope and both beside it
-    seen = p.groupBy("uid", "scope", "role").agg(F.min("first").alias("low"), F.max("first").alias("high"))
-    seen = seen.withColumnRenamed("role", "with").withColumn("to", F.explode(F.array(*[F.lit(x) for x in (-1, 0, 1)])))
-    seen = seen.select("uid", (F.col("scope") + F.col("to")).alias("scope"), "with", "low", "high", "to")
-    near = p.where(weak).join(seen, ["uid", "scope"]).where(
-        (F.col("with") != F.col("role"))
-        & ((F.col("to") == 0) | ((F.col("to") == 1) & (F.col("high") >= F.col("first") - scope))
-           | ((F.col("to") == -1) & (F.col("low") <= F.col("first") + scope))))
-    has = near.groupBy("uid", "ord", "role", "first", "end").agg(
-        *[F.max((F.col("with") == r).cast("int")).alias(f"has_{r}") for r in ("ident", "secret", "endpoint")])
+    p = found.withColumn("role", role).withColumn("cell", F.floor(F.col("first") / scope))
+    first, end = F.col("first"), F.col("end")
+    # looking back (side 0) a partner counts from its end on by its start; looking ahead is the same with all signs changed
+    partners = p.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1))).select(
+        "uid", "cell", "role", F.inline(F.array(
+            F.struct(F.lit(0).alias("side"), end.alias("at"), first.alias("value")),
+            F.struct(F.lit(1).alias("side"), (-first).alias("at"), (-first).alias("value")))))
+    asking = p.where(weak).select(
+        "uid", "cell", "role", "ord", "first", "end", F.inline(F.array(
+            F.struct(F.lit(0).alias("side"), first.alias("at"), (first - scope).alias("least")),
+            F.struct(F.lit(1).alias("side"), (-end).alias("at"), (-first - scope).alias("least")))))
+    events = partners.unionByName(asking, allowMissingColumns=True)
+    # partners before a weak part at the same place
+    upto = (Window.partitionBy("uid", "cell", "side").orderBy("at", F.col("ord").isNotNull())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    roles = ("ident", "secret", "endpoint")
+    events = events.withColumns({f"near_{r}": F.max(F.when((F.col("role") == r) & F.col("ord").isNull(), F.col("value"))).over(upto)
+                                 for r in roles})
+    has = events.where("ord is not null").groupBy("uid", "ord", "role", "first", "end").agg(
+        *[F.max((F.coalesce(F.col(f"near_{r}") >= F.col("least"), F.lit(False))).cast("int")).alias(f"has_{r}") for r in roles])
     return has.where("(role = 'ident' and has_secret = 1) or (role = 'secret' and has_ident + has_endpoint > 0) "
                      "or (role = 'endpoint' and has_ident + has_secret = 2)").select("uid", "ord", "first", "end")
 

@@ -351,6 +351,43 @@ def test_secret_scan(spark, docs, none):
     assert secret_scan.secret_scan(none).collect() == []
 
 
+def _links(found, scope):
+    """Of (ord, first, end) parts, the weak ones with complements: every pair looked at."""
+    out = set()
+    for o, a, b in found:
+        _, _, role, weak = secret_scan.KINDS[o]
+        near = {secret_scan.KINDS[x][2] for x, c, d in found if abs(c - a) <= scope and (d <= a or c >= b)}
+        need = {"ident": "secret" in near, "secret": bool(near & {"ident", "endpoint"}), "endpoint": {"ident", "secret"} <= near}
+        if weak and need[role]:
+            out.add((o, a, b))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_linked_parts_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows, want = [], set()
+    for uid in range(40):
+        found = set()
+        for _ in range(rng.randint(1, 25)):
+            a = rng.randrange(400)
+            found.add((rng.randrange(6), a, a + rng.choice([1, 5, 20, 150])))
+        rows += [(uid, *f) for f in found]
+        want |= {(uid, *f) for f in _links(found, 60)}
+    df = spark.createDataFrame(rows, "uid long, ord int, first long, end long")
+    assert {tuple(r) for r in secret_scan.linked(df, 60).select("uid", "ord", "first", "end").collect()} == want
+
+
+def test_a_part_is_not_its_own_complement(spark):
+    texts = ["see https://example.com/Articles/2019/some/path for more", "https://x.example/aB3aB3aB3aB3aB3aB3aB3aB3",
+             "user=" + "aB3" * 60 + " https://h.example/x", "user=bob see https://example.com/Articles/2019/some/path"]
+    got = [r.s for r in secret_scan.secret_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy(
+        "doc_id").select(secret_scan.joined(F.col("spans")).alias("s")).collect()]
+    assert got[0] == got[1] == ""
+    assert got[2] == "blob:5:185,endpoint:186:205"  # the whole value of the name, with the endpoint beside it
+    assert got[3].startswith("ident:0:8,")
+
+
 # --- 4 -------------------------------------------------------------------------
 
 def test_kd_sharding(spark, docs, none, monkeypatch):

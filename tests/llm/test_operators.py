@@ -722,6 +722,45 @@ def test_bounds_drop_no_candidate():
         assert [(int(-s), j) for s, j in want] == [(s, j) for n, j, s in got if n == i]
 
 
+@pytest.mark.parametrize("step", [8, 16])
+def test_pairs_are_dropped_on_the_way(step):
+    """With bounds known, most pairs end before the last dimensions, and none of the best is among them."""
+    rng = np.random.default_rng(3)
+    dims = 64
+    c = np.floor(rng.normal(size=(dims, 2000)) * 40 * 0.93 ** np.arange(dims)[:, None])
+    q = np.floor(rng.normal(size=(dims, 30)) * 40 * 0.93 ** np.arange(dims)[:, None])
+    scores = q.T @ c
+    least = np.sort(scores, axis=1)[:, -20]
+    seen = []
+    got = list(topk_search.search_block(np.arange(30) + 5000, q, np.arange(2000), c, least, 20, step=step, seen=seen))
+    assert seen[0] == scores.size and seen[-1] < 0.05 * scores.size and seen == sorted(seen, reverse=True)
+    for i in range(30):
+        want = sorted((-scores[i, j], j) for j in range(2000))[:20]
+        assert [(int(-s), j) for s, j in want] == [(s, j) for n, j, s in got if n == i]
+
+
+def test_blocks_that_cannot_reach_a_bound_are_not_joined(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "CANDIDATES", 8 * 4 * 32)
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.normal(size=4) * (10 if i < 64 else 0.01)).tolist()) for i in range(1, 1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    joined, keep = [], topk_search.cut
+    with monkeypatch.context() as m:
+        m.setattr(topk_search, "cut", lambda x: joined.append(x.columns) or keep(x))
+        out = topk_search.top_k(df, every=60, k=5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_norm" in plan and "need" in plan
+    want = {}
+    for q, e in rows:
+        if q % 60 == 0:
+            s = sorted((-sum(math.floor(64 * a) * math.floor(64 * b) for a, b in zip(e, c)), i) for i, c in rows if i != q)[:5]
+            want[q] = [i for _, i in s]
+    got = defaultdict(list)
+    for r in sorted(out.collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r.vec_id)
+    assert dict(got) == want
+
+
 # --- 9 -------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

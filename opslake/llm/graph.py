@@ -21,6 +21,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Scratch:
     """Checkpoints of one run, each in a folder of its own under the shared
     checkpoint folder, so that it can be deleted after its last reader. Whatever is
@@ -44,17 +49,13 @@ class Scratch:
         for frame in frames:
             for kept, path in self._kept:
                 if kept is frame:
-                    self._delete(path)
+                    delete(self.spark, path)
 
     def close(self) -> None:
         """Drops all that was kept."""
-        self._delete(self.path)
+        delete(self.spark, self.path)
         self._kept.clear()
 
-    def _delete(self, path: str) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
-
 
 def components(edges: DataFrame, max_rounds: int = 64, scratch: Scratch | None = None) -> DataFrame:
     """``edges`` (a, b: long) to (node, component): the smallest node reachable.

@@ -55,6 +55,51 @@ def test_stages_on_planted_documents(spark, tmpdir_fresh):
         docs.select("doc_id", "piece", "start", "length", "ids_crc32")).count() == 0
 
 
+def _run(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    return corpus_pipeline.run(spark, folder)
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_pipeline_of_an_empty_table(spark, tmpdir_fresh):
+    out = _run(spark, tmpdir_fresh, [], DOCUMENTS)
+    assert out.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_pipeline_of_a_mass_of_repeated_rows(spark, tmpdir_fresh):
+    rng = random.Random(2)
+    text = " ".join(rng.choices(WORDS, k=40))
+    rows = [(7, text, "en", "hot", 1)] * 1500 + [(8, text + "  ", "en", "hot", 1)] * 500
+    rows += [(100 + i, " ".join(rng.choices(WORDS, k=30)), "en", f"s{i % 2}", 1) for i in range(30)]
+    rows += [(None, " ".join(rng.choices(WORDS, k=25)), "en", None, None)] * 3 + [(9, None, None, None, None)] * 20
+    out = _run(spark, tmpdir_fresh, rows, DOCUMENTS).collect()
+    ids = Counter(r.doc_id for r in out if r.piece == 0)
+    # the longer copy stays, once for each pass of its source
+    assert set(ids) == {8, None, *range(100, 130)} and max(ids.values()) <= 2
+
+
+def test_pipeline_with_columns_of_clashing_names(spark, tmpdir_fresh):
+    rng = random.Random(3)
+    names = ["_lang", "_lang_score", "_lang_lettered", "_sha", "_chars", "_nth", "_key", "_source", "_copy", "_tokens", "_pass", "_block",
+             "_place", "_part", "_row", "component_id", "class_id", "h", "n", "bits", "score", "length", "piece", "link", "bucket"]
+    rows = [(i, " ".join(rng.choices(WORDS, k=30)), "en", "s", 1, *range(len(names))) for i in range(20)]
+    schema = DOCUMENTS + ", " + ", ".join(f"{n} long" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{tmpdir_fresh}/documents.parquet")
+    docs = spark.read.parquet(f"{tmpdir_fresh}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, tmpdir_fresh)
+        out.write.parquet(f"{tmpdir_fresh}/{name}")
+        docs = spark.read.parquet(f"{tmpdir_fresh}/{name}")
+        if name != "best_fit_packing":
+            assert docs.columns == columns
+            assert {tuple(r)[5:] for r in docs.collect()} == {tuple(range(len(names)))}
+    assert {r.doc_id for r in docs.collect()} == set(range(20))
+
+
 def test_language_stage_keeps_documents_of_an_unlabelled_table(spark, tmpdir_fresh):
     texts = ["some words", "einige Worte", "漢字", None, "", "1234 !!"]
     rows = [(i, t, None, "s", None) for i, t in enumerate(texts)]

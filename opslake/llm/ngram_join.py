@@ -478,9 +478,9 @@ def _bloom(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _may_be(bits: bytes, doc: Column) -> Column:
+def _may_be(bits: Column, doc: Column) -> Column:
     h = F.pmod(F.xxhash64(doc), F.lit(1 << BLOOM_BITS))
-    byte = F.conv(F.hex(F.substring(F.lit(bits), (F.shiftright(h, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(h, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.pmod(h, F.lit(8)) + 1).cast("int"))) != 0
 
 
@@ -502,7 +502,8 @@ def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int, scratch: Sc
         return pa.table({"a": pa.array(ids[a]), "b": pa.array(ids[b])})
 
     def verified(dealt: DataFrame, among: DataFrame) -> DataFrame:
-        bits = _bloom(among.select("doc"))  # fixed size
+        # a value of the plan, not a part of its text
+        bits = docs.sparkSession.createDataFrame([(_bloom(among.select("doc")),)], "bits binary").scalar()
         some = docs.where(F.col("doc_id").isNotNull() & _may_be(bits, F.col("doc_id"))).select(F.col("doc_id").alias("doc"), "text")
         return scratch.keep(dealt.join(some, "doc").groupBy("component", "salt", *_GROUP).applyInArrow(verify, "a long, b long"))
 

@@ -27,19 +27,20 @@ _BITS = 31
 
 
 def metadata(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes of the text, plus 1), text_crc32, and the
-    dimensions k0 to k3: size, position of doc_id, source, language. A dimension's
-    value is its upper 31 bits; the lower ones part rows that agree in it."""
+    """doc_id, size (UTF-8 bytes of the text, plus 1), text_crc32, uid (a number of
+    the row's own), and the dimensions k0 to k3: size, position of doc_id, source, language.
+    A dimension's value is its upper 31 bits; the lower ones part rows that agree in
+    it, repeated rows too."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                     F.crc32(text.cast("binary")).alias("text_crc32"),
                     *[(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")).alias(c)
                       for c in ("source", "lang")])
-    d = cut(d)
+    d = cut(d).withColumn("uid", F.monotonically_increasing_id())  # fixed once the rows are written
     ends = d.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
     low, high = ends["a"] or 0, ends["b"] or 0
     shift = max(0, (high - low).bit_length() - _BITS + 1)
-    tie = F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(1 << _BITS))
+    tie = F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "uid"), F.lit(1 << _BITS))
 
     def key(value: Column) -> Column:
         return F.coalesce(value, F.lit(0)).cast("long") * F.lit(1 << _BITS) + tie
@@ -47,7 +48,7 @@ def metadata(docs: DataFrame) -> DataFrame:
     def name(c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(1 << _BITS))
 
-    return d.select("doc_id", "size", "text_crc32",
+    return d.select("doc_id", "size", "text_crc32", "uid",
                     key(F.least(F.col("size"), F.lit((1 << _BITS) - 1))).alias("k0"),
                     key(F.shiftright("doc_id", shift) - F.lit(low >> shift)).alias("k1"),
                     key(name("source")).alias("k2"), key(name("lang")).alias("k3"))
@@ -135,13 +136,12 @@ def kd_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
 
     A null text has size 1 and the checksum of no bytes. Null doc_ids, sources
     and languages are values like others; missing source or lang columns count as
-    null. Rows equal in id, size and checksum cannot be parted by a split and
-    share a shard. Other columns are ignored; an empty table gives an empty one.
+    null. Repeated rows each have a place, in any shard. Other columns are ignored; an empty table gives an empty one.
     """
     meta = cut(metadata(docs))
     tree, leaves = build_tree(meta, shards)
     shard = F.element_at(F.create_map(*[F.lit(x) for n, s in leaves.items() for x in (n, s)]), _node(tree))
-    rows = meta.select("doc_id", "size", "text_crc32", shard.cast("int").alias("shard"))
+    rows = meta.select("doc_id", "size", "text_crc32", "uid", shard.cast("int").alias("shard"))
     return number_slots(rows, shards).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                                              F.lit(None).cast("int").alias("grown_shard"))
 
@@ -150,10 +150,10 @@ def number_slots(rows: DataFrame, shards: int) -> DataFrame:
     """Adds slot: 0, 1, ... within each shard, by parts of a shard, so that no task
     numbers a whole shard of a large corpus."""
     parts = max(4, -(-rows.count() // (shards * NUMBERED)))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(parts)).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(parts)).cast("int"))
     counts = rows.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    nth = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size"))
+    nth = F.row_number().over(Window.partitionBy("shard", "part").orderBy("uid"))
     return (rows.withColumn("nth", nth).join(offsets, ["shard", "part"])
             .withColumn("slot", (F.col("before") + F.col("nth") - 1).cast("long")).drop("part", "nth", "before"))

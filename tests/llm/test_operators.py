@@ -411,6 +411,54 @@ def test_kd_sharding(spark, docs, none, monkeypatch):
     assert len(few) == 2 and {r.shard for r in few} <= set(range(5))
 
 
+def test_tree_equals_brute_force(spark, docs):
+    """Every split: the widest dimension against the whole, at the weighted median found by sorting."""
+    rng = random.Random(12)
+    more = [(5000 + i * i, "ab " * rng.randint(1, 300), rng.choice("pqr"), rng.choice("xyz")) for i in range(300)]
+    df = docs.select("doc_id", "text", "source", "lang").unionByName(
+        spark.createDataFrame(more, "doc_id long, text string, source string, lang string"))
+    meta = kd_sharding.cut(kd_sharding.metadata(df))
+    tree, leaves = kd_sharding.build_tree(meta, 11)
+    rows = [r.asDict() for r in meta.collect()]
+    dims = ["k0", "k1", "k2", "k3"]
+
+    def width(part, c):
+        return (max(r[c] for r in part) >> 31) - (min(r[c] for r in part) >> 31) if part else 0
+
+    span = {c: max(1, width(rows, c)) for c in dims}
+    want, shards = {}, {}
+
+    def split(node, part, first, count):
+        if count == 1:
+            shards[node] = first
+            return
+        dim = max(dims, key=lambda c: width(part, c) / span[c])
+        goal, cut, before = count // 2 / count * sum(r["size"] for r in part), None, 0
+        by_value = defaultdict(int)
+        for r in part:
+            by_value[r[dim]] += r["size"]
+        for v in sorted(by_value):
+            if before + by_value[v] >= goal:
+                cut = v if goal - before <= before + by_value[v] - goal else v + 1
+                break
+            before += by_value[v]
+        want[node] = (dim, cut)
+        split(2 * node, [r for r in part if r[dim] < cut], first, count // 2)
+        split(2 * node + 1, [r for r in part if r[dim] >= cut], first + count // 2, count - count // 2)
+
+    split(1, rows, 0, 11)
+    assert tree == want and leaves == shards
+
+
+def test_a_mass_of_repeated_rows_is_dealt_over_the_shards(spark):
+    df = spark.createDataFrame([(1, "same text")] * 4000 + [(i, "other " * 3) for i in range(2, 200)], "doc_id long, text string")
+    got = kd_sharding.kd_shards(df, 8).collect()
+    held = Counter()
+    for r in got:
+        held[r.shard] += r.size
+    assert len(got) == 4198 and len(held) == 8 and max(held.values()) <= 1.05 * sum(held.values()) / 8
+
+
 # --- 5 -------------------------------------------------------------------------
 
 def test_mixing(spark, none):
@@ -924,6 +972,38 @@ def test_many_languages_share_the_sample(spark, monkeypatch):
     assert sum(hits) >= 0.97 * len(hits), sum(hits) / len(hits)
 
 
+def test_decisions_equal_brute_force(spark):
+    """Family, then votes of every pair within it, from plainly counted bigrams and trigrams."""
+    rng = np.random.default_rng(11)
+    families = {"germanic": ["de", "en", "nl"], "q": ["q"], "romance": ["es", "fr"]}
+    names = [f"f:{f}" for f in families] + ["p:de:en", "p:de:nl", "p:en:nl", "p:es:fr"]
+    models = {"families": families, "weights": {m: rng.normal(size=language_id.DIMS + 1) for m in names}}
+    texts = ["Some words, IN English", "ein Wort", "x", "é", "漢字 und mehr", "1 2 a", "  ", None, "zz" * 3000, "la la la"]
+
+    def features(text):
+        c = [b if b >= 128 or 97 <= b <= 122 else 32 for b in text.translate(UPPER).encode()]
+        out = np.zeros(language_id.DIMS)
+        for i in range(len(c) - 1):
+            out[((c[i] + 257 * c[i + 1]) * 2654435761 % 2**32) >> 20] += 1
+        for i in range(len(c) - 2):
+            out[((c[i] + 257 * c[i + 1] + 66049 * c[i + 2]) * 2246822519 % 2**32) >> 20] += 1
+        return np.sqrt(out / out.sum()) if out.sum() else out
+
+    assert language_id.DIMS == 1 << 12
+    got = language_id.classify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), models).collect()
+    for r in got:
+        text = r.text or ""
+        if not any(ch.isalpha() for ch in text):
+            assert (r.lang_pred, r.score, r.lettered) == ("und", 0.0, False)
+            continue
+        x = features(text)
+        m = {n: float(x @ w[:-1] + w[-1]) for n, w in models["weights"].items()}
+        family = max(families, key=lambda f: m[f"f:{f}"])
+        votes = {a: [m[f"p:{a}:{b}"] if f"p:{a}:{b}" in m else -m[f"p:{b}:{a}"] for b in families[family] if b != a] for a in families[family]}
+        best = max(families[family], key=lambda a: (sum(v > 0 for v in votes[a]), sum(votes[a])))
+        assert r.lang_pred == best and 0 < r.score < 1
+
+
 def test_prediction_does_not_see_the_label(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
     held = F.expr("crc32(cast(doc_id as string)) % 4 = 2")

@@ -86,7 +86,7 @@ class Ctx:
 
     @cached_property
     def prep(self) -> DataFrame:
-        return J.prepare_orders(self.t.orders_nb)
+        return J.prepare_orders(self.t.landed_orders_nb)
 
     @cached_property
     def parsed_raw(self) -> DataFrame:
@@ -535,7 +535,7 @@ def q_dedupe_keep_first(c: Ctx):
 @query("orders_first_landed", """SELECT order_id, driver_id, created_at, final_status FROM nb_dedup""")
 def q_orders_first_landed(c: Ctx):
     """Raw orders by landing order: of rows with equal, or with unreadable, times the first landed stays."""
-    return K.keep_first_landed(c.t.orders_nb, "order_id").select("order_id", "driver_id", "created_at", "final_status")
+    return K.keep_first_landed(c.t.landed_orders_nb, "order_id").select("order_id", "driver_id", "created_at", "final_status")
 
 
 _NB_COLS = ["order_id", "customer_id", "restaurant_id", "driver_id", "created_at", "promised_eta", "pickup_at",
@@ -856,7 +856,7 @@ UNION ALL SELECT order_id, intervention_at, 'INTERVENTION_' || intervention_type
 @query("order_timeline", _TL_SQL)
 def q_order_timeline(c: Ctx):
     t = c.t
-    tl = J.order_timeline(t.orders_nb, t.app_actions, t.support_tickets, t.interventions)
+    tl = J.order_timeline(t.landed_orders_nb, t.app_actions, t.support_tickets, t.interventions)
     return _ts(tl, "event_time")
 
 

@@ -209,9 +209,17 @@ class DriverTables:
     @cached_property
     def orders_nb(self) -> DataFrame:
         """Raw notebook orders: string timestamps in mixed layouts, status and
-        traffic spellings that need normalising, rows landed twice. ``_landed``
-        is their landing sequence."""
-        s = self._lifecycle(self.landed("orders"), "_landed").withColumn("k", F.col("order_id"))
+        traffic spellings that need normalising, rows landed twice."""
+        return self._orders_nb(self.lifecycle_src)
+
+    @cached_property
+    def landed_orders_nb(self) -> DataFrame:
+        """The same with their landing sequence, ``_landed``."""
+        return self._orders_nb(self._lifecycle(self.landed("orders"), "_landed"))
+
+    def _orders_nb(self, s: DataFrame) -> DataFrame:
+        landed = [(F.col("_landed") * 2 + F.col("_copy")).alias("_landed")] if "_landed" in s.columns else []
+        s = s.withColumn("k", F.col("order_id"))
         # rows with k % 500 = 0 land twice (one pass, the copy made by explode): the copy right after the
         # row, with another driver; the row itself has a time nobody can read where k % 1000 = 0
         copies = F.when(K() % 500 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -242,8 +250,7 @@ class DriverTables:
                 _pick(K() % 4, ["low", "medium", "high", "severe"])).alias("traffic_bucket"),
             F.when(K() % 83 != 2, _pick(F.col("customer_id") % 5, ["clear", "cloudy", "rain", "storm", "snow"]))
             .alias("weather_bucket"),
-            (((K() * 29) % 300) / 10.0).alias("distance_km_estimate"),
-            (F.col("_landed") * 2 + copy).alias("_landed"))
+            (((K() * 29) % 300) / 10.0).alias("distance_km_estimate"), *landed)
 
     @cached_property
     def restaurants(self) -> DataFrame:

@@ -78,15 +78,23 @@ def _quantiles(df: DataFrame, by: list[str], measures: dict[str, str | Column],
     own = ", ".join(f"c.{c}" for c in [*groups, "_m"])
     same = " AND ".join(f"c.{c} <=> w.{c}" for c in [*groups, "_m", "_bin"])  # <=> keeps the plans of counts alike, for reuse
     coarse, fine = _COARSE.format(nan=1 << 40, steps=STEPS), _FINE.format(fine=FINE)
-    place = [f"CAST(_n - 1 AS DOUBLE) * {float(p)!r}D" for p in probs]
-    ranks = ", ".join(f"named_struct('t', {2 * i + up}, 'r', CAST({f}({p}) AS BIGINT))"
-                      for i, p in enumerate(place) for up, f in enumerate(("floor", "ceil")))
-    picks = ", ".join(f"max(CASE WHEN _t = {t} THEN _v END) AS _q{t}" for t in range(2 * len(probs)))
-    between = ", ".join(
-        f"CASE WHEN ceil({p}) = floor({p}) OR _q{2 * i + 1} = _q{2 * i} THEN _q{2 * i} "
-        f"ELSE (ceil({p}) - {p}) * _q{2 * i} + ({p} - floor({p})) * _q{2 * i + 1} END AS _p{i}" for i, p in enumerate(place))
     labels = list(measures)
-    columns = {name: f"max(CASE WHEN _m = {labels.index(m)} THEN _p{probs.index(p)} END)" for name, (m, p, _) in outputs.items()}
+
+    def place(p: float, n: str = "_n") -> str:
+        return f"CAST({n} - 1 AS DOUBLE) * {float(p)!r}D"
+
+    ranks = ", ".join(f"named_struct('t', {2 * i + up}, 'r', CAST({f}({place(p)}) AS BIGINT))"
+                      for i, p in enumerate(probs) for up, f in enumerate(("floor", "ceil")))
+    used = sorted({(labels.index(m), probs.index(p)) for m, p, _ in outputs.values()})
+    picks = ", ".join([f"max(CASE WHEN _m = {m} THEN _n END) AS _n{m}" for m in sorted({m for m, _ in used})] + [
+        f"max(CASE WHEN _m = {m} AND _t = {t} THEN _v END) AS _v{m}_{t}" for m, i in used for t in (2 * i, 2 * i + 1)])
+
+    def between(m: int, i: int) -> str:
+        at, low, high = place(probs[i], f"_n{m}"), f"_v{m}_{2 * i}", f"_v{m}_{2 * i + 1}"
+        return (f"CASE WHEN ceil({at}) = floor({at}) OR {high} = {low} THEN {low} "
+                f"ELSE (ceil({at}) - {at}) * {low} + ({at} - floor({at})) * {high} END")
+
+    columns = {name: between(labels.index(m), probs.index(p)) for name, (m, p, _) in outputs.items()}
     columns = {name: c if outputs[name][2] is None else f"round({c}, {outputs[name][2]})" for name, c in columns.items()}
     result = ", ".join(f"{c} AS _o{i}" for i, c in enumerate(columns.values()))
     k = ", ".join(groups)
@@ -122,9 +130,7 @@ found AS (
   FROM (SELECT {own}, _t, _v, _c, _r, _n FROM counts c JOIN refined w ON {same} WHERE {fine} = _part)),
 quantiles AS (
   SELECT {k}, {result} FROM (
-    SELECT {g}, {between} FROM (
-      SELECT {g}, max(_n) AS _n, {picks} FROM found WHERE _r >= _end - _c AND _r < _end GROUP BY {g}))
-  GROUP BY {k})
+    SELECT {k}, {picks} FROM found WHERE _r >= _end - _c AND _r < _end GROUP BY {k}))
 SELECT {", ".join([*names, *picked])} FROM {source}""", **frames)
 
 

@@ -37,6 +37,13 @@ METRICS = [("Late Delivery Rate", "Outcome", "< 15.0%"),
            ("Frustration Escalation Rate", "Customer Interaction", "< 10.0%"),
            ("Operational Intervention Coverage", "Intervention", "> 30.0%"),
            ("Intervention Salvage Success Rate", "Intervention Efficacy", "> 60.0%")]
+# timeline of an order: (event type, time column, actor, details before and after a column, that column)
+ORDER_EVENTS = [("ORDER_CREATED", "created_at", "customer", "Placed order with restaurant ", "restaurant_id", ""),
+                ("PROMISED_ETA", "promised_eta", "system", "Contractual delivery SLA promise", None, ""),
+                ("COURIER_PICKUP", "pickup_at", "driver", "Driver ", "driver_id", " picked up order from store"),
+                ("ORDER_DELIVERED", "actual_delivery_at", "driver", "Order delivered. Final status: ", "final_status", "")]
+ACTION_EVENT, TICKET_EVENT, INTERVENTION_EVENT = "APP_", "SUPPORT_TICKET_", "INTERVENTION_"
+ACTION_DETAILS, TICKET_DETAILS, INTERVENTION_DETAILS = "Channel: ", "Message: ", "Reason: "
 CANONICAL_MODEL = [
     # (entity, role, pk, fks, grain)
     ("dim_customers", "Dimension", "customer_id", "", "1 row per customer"),
@@ -242,32 +249,31 @@ def order_timeline(orders_raw: DataFrame, actions: DataFrame, tickets: DataFrame
     actions = as_timestamps(actions, ["action_at"])
     tickets = as_timestamps(tickets, ["created_at"])
     interventions = as_timestamps(interventions, ["intervention_at"])
-    s = first_orders(orders_raw).select("order_id", F.stack(
-        F.lit(4),
-        F.lit("ORDER_CREATED"), F.col("created_at"), F.lit("customer"),
-        F.concat(F.lit("Placed order with restaurant "), F.col("restaurant_id").cast("string")),
-        F.lit("PROMISED_ETA"), F.col("promised_eta"), F.lit("system"), F.lit("Contractual delivery SLA promise"),
-        F.lit("COURIER_PICKUP"), F.col("pickup_at"), F.lit("driver"),
-        F.concat(F.lit("Driver "), F.col("driver_id").cast("string"), F.lit(" picked up order from store")),
-        F.lit("ORDER_DELIVERED"), F.col("actual_delivery_at"), F.lit("driver"),
-        F.concat(F.lit("Order delivered. Final status: "), F.col("final_status")),
-    ).alias("event_type", "event_time_raw", "actor", "details")).filter(F.col("event_time_raw").isNotNull())
+    def details(before, column, after):
+        if column is None:
+            return F.lit(before)
+        return F.concat(F.lit(before), F.col(column).cast("string"), *([F.lit(after)] if after else []))
+
+    s = first_orders(orders_raw).select("order_id", F.stack(F.lit(len(ORDER_EVENTS)), *[
+        x for name, at, actor, before, column, after in ORDER_EVENTS
+        for x in (F.lit(name), F.col(at), F.lit(actor), details(before, column, after))
+    ]).alias("event_type", "event_time_raw", "actor", "details")).filter(F.col("event_time_raw").isNotNull())
     s = s.select("order_id", parse_ts("event_time_raw").alias("event_time"), "event_type", "actor",
                  F.lit("orders").alias("source_system"), "details")
     a = actions.select("order_id", F.col("action_at").alias("event_time"),
-                       F.concat(F.lit("APP_"), F.col("action_type")).alias("event_type"),
+                       F.concat(F.lit(ACTION_EVENT), F.col("action_type")).alias("event_type"),
                        F.lit("customer").alias("actor"), F.lit("customer_app_actions").alias("source_system"),
-                       F.concat(F.lit("Channel: "), F.col("channel")).alias("details"))
+                       F.concat(F.lit(ACTION_DETAILS), F.col("channel")).alias("details"))
     t = tickets.filter(F.col("order_id").isNotNull()).select(
         "order_id", F.col("created_at").alias("event_time"),
-        F.concat(F.lit("SUPPORT_TICKET_"), F.upper("category")).alias("event_type"),
+        F.concat(F.lit(TICKET_EVENT), F.upper("category")).alias("event_type"),
         F.lit("customer").alias("actor"), F.lit("support_tickets").alias("source_system"),
-        F.concat(F.lit("Message: "), F.col("customer_message")).alias("details"))
+        F.concat(F.lit(TICKET_DETAILS), F.col("customer_message")).alias("details"))
     i = interventions.select(
         "order_id", F.col("intervention_at").alias("event_time"),
-        F.concat(F.lit("INTERVENTION_"), F.col("intervention_type")).alias("event_type"),
+        F.concat(F.lit(INTERVENTION_EVENT), F.col("intervention_type")).alias("event_type"),
         F.col("initiated_by").alias("actor"), F.lit("order_interventions").alias("source_system"),
-        F.concat(F.lit("Reason: "), F.col("reason")).alias("details"))
+        F.concat(F.lit(INTERVENTION_DETAILS), F.col("reason")).alias("details"))
     u = reduce(DataFrame.unionByName, [s, a, t, i])
     # a slice after all others for events without a time
     at = F.coalesce(F.floor(F.unix_micros("event_time") / F.lit(slice_seconds * 1_000_000)), F.lit(1 << 62)).cast("long")

@@ -98,15 +98,23 @@ def _quantiles(df: DataFrame, by: list[str], measures: dict[str, str | Column],
     columns = {name: c if outputs[name][2] is None else f"round({c}, {outputs[name][2]})" for name, c in columns.items()}
     result = ", ".join(f"{c} AS _o{i}" for i, c in enumerate(columns.values()))
     k = ", ".join(groups)
+    names = [f"{{side}}.{c} AS `{name}`" for c, name in zip(groups, by)]
     picked = [f"q._o{i} AS `{name}`" for i, name in enumerate(outputs)]
-    source = "quantiles q"
+    source, side = "quantiles q", "q"
     if beside is not None:
         plain = df.groupBy(*keys) if by else df
         frames["plain"] = plain.agg(*[c.alias(f"_a{i}") for i, c in enumerate(beside.values())])
-        one = "*" if by else "0 AS _g0, *"
-        source = f"(SELECT {one} FROM {{plain}}) a LEFT JOIN quantiles q ON " + " AND ".join(f"a.{c} <=> q.{c}" for c in groups)
-        picked += [f"a._a{i} AS `{name}`" for i, name in enumerate(beside)]
-    names = [f"{'q' if beside is None else 'a'}.{c} AS `{name}`" for c, name in zip(groups, by)]
+        both = [f"_a{i} AS `{name}`" for i, name in enumerate(beside)]
+        if by:
+            source = "{plain} a LEFT JOIN quantiles q ON " + " AND ".join(f"a.{c} <=> q.{c}" for c in groups)
+            picked, side = picked + [f"a.{c}" for c in both], "a"
+        else:  # one row each, put side by side without a join
+            holes = [f"NULL AS _a{i}" for i in range(len(beside))], [f"NULL AS _o{i}" for i in range(len(outputs))]
+            source = (f"(SELECT {', '.join([f'_a{i}' for i in range(len(beside))] + holes[1])} FROM {{plain}} UNION ALL "
+                      f"SELECT {', '.join(holes[0] + [f'_o{i}' for i in range(len(outputs))])} FROM quantiles)")
+            picked = [f"max(_o{i}) AS `{name}`" for i, name in enumerate(outputs)]
+            picked += [f"max(_a{i}) AS `{name}`" for i, name in enumerate(beside)]
+    names = [n.format(side=side) for n in names]
     return df.sparkSession.sql(f"""
 WITH counts AS (  -- rows of each distinct value
   SELECT {g}, _v, _c, {coarse} AS _bin FROM (

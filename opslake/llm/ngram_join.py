@@ -47,6 +47,8 @@ SKETCH_BITS = 21
 #: documents and n-grams of one verification block
 BLOCK_DOCS = 2048
 BLOCK_GRAMS = 500_000
+#: bytes of text that a task splits into words at once
+SLICE = 2 << 20
 #: bits of the filter that picks candidates' texts from the second scan
 BLOOM_BITS = 23
 #: a list up to this long gives its pairs; longer ones are dealt in blocks, and so, without
@@ -71,7 +73,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE):
             total += np.bincount(_cell(batch_words(texts_of(batch.column(0)))[0]), minlength=len(total))
         cells = np.flatnonzero(total)
         edges = np.searchsorted(cells >> _PART, np.arange((1 << (SKETCH_BITS - _PART)) + 1))
@@ -103,7 +105,7 @@ def prefixes(docs: DataFrame, k: int, per_mille: int, counts: np.ndarray) -> Dat
     limit = float(counts.mean()) + HOT_LIST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             hashes, first = batch_words(texts_of(batch.column(1)))
             cells = _cell(hashes)
             weight = logs[cells]

@@ -675,8 +675,8 @@ def q_freshness_lag(c: Ctx):
 def CONTRACT_RULES(c: Ctx):
     col = F.col
     return [
-        K.UniqueRule("order_id_unique", "One row is one business order", c.t.orders_nb, "order_id", "HIGH"),
-        K.AgreedRule("late_is_agreed", "Late has an agreed definition", K.late_rate_definitions(c.parsed_raw, c.prep),
+        K.UniqueRule("order_id_unique", "Each row is an order of its own", c.t.orders_nb, "order_id", "HIGH"),
+        K.AgreedRule("late_is_agreed", "Stakeholders count the same orders as late", K.late_rate_definitions(c.parsed_raw, c.prep),
                      ("late_count", "population"), "HIGH"),
         K.Rule("delivered_has_completion_time", "Delivered orders have a completion time",
                col("is_delivered"), col("actual_delivery_at").isNull(), "HIGH", 5.0),
@@ -709,9 +709,9 @@ _CONTRACT_SQL = "\nUNION ALL ".join(
     f"""SELECT '{n}' AS check_name, '{a}' AS assumption, '{sev}' AS severity, {w}::DOUBLE AS warn_limit_pct,
   count(*) FILTER (WHERE {p}) AS population, count(*) FILTER (WHERE ({p}) AND coalesce({v}, false)) AS violations
 FROM nb_prep""" for n, a, p, v, sev, w in _RULES_SQL) + f"""
-UNION ALL SELECT 'order_id_unique', 'One row is one business order', 'HIGH', 0.0::DOUBLE, count(*), count(*) - count(DISTINCT order_id)
+UNION ALL SELECT 'order_id_unique', 'Each row is an order of its own', 'HIGH', 0.0::DOUBLE, count(*), count(*) - count(DISTINCT order_id)
 FROM nb_raw
-UNION ALL SELECT 'late_is_agreed', 'Late has an agreed definition', 'HIGH', 0.0::DOUBLE, CAST(sum(n) AS BIGINT),
+UNION ALL SELECT 'late_is_agreed', 'Stakeholders count the same orders as late', 'HIGH', 0.0::DOUBLE, CAST(sum(n) AS BIGINT),
   CAST(sum(n) - max(n) AS BIGINT)
 FROM (SELECT late_count, population, count(*) AS n FROM ({_LATE_SQL}) GROUP BY late_count, population)"""
 _CONTRACT_FULL = f"""SELECT *, CASE WHEN population = 0 THEN 'UNKNOWN' WHEN violations = 0 THEN 'PASS'

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from opslake.llm.textkit import slices
 
-#: entries of a worker's memory of pieces, and of pairs
-REMEMBERED = 1 << 17
+#: entries of a worker's memory of pieces, and of pairs of tokens
+REMEMBERED, PAIRS = 1 << 18, 1 << 17
 #: characters of a piece that is remembered
 SHORT = 64
 _workers: dict[tuple[str, str], Vocabulary] = {}
@@ -84,6 +84,7 @@ class Vocabulary:
         self.ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
         self.bytes_of = tokens_by_rank(self.ranks)
+        self.size_of = list(map(len, self.bytes_of))
         self.longest = max(map(len, self.ranks), default=1)
         #: tokens that merging their own bytes makes, and the two tokens of the last merge
         self.made: dict[bytes, int] = {}
@@ -143,7 +144,7 @@ class Vocabulary:
         known = self._fits.get(key)
         if known is None:
             known = self._apart(a, b)
-            if len(self._fits) >= REMEMBERED:
+            if len(self._fits) >= PAIRS:
                 self._fits.clear()
             self._fits[key] = known
         return known
@@ -206,14 +207,14 @@ class Vocabulary:
     def ids(self, last: list[int], data: bytes) -> list[int]:
         """The ids, read off backwards. A piece that is a token is that token, whatever its merges make."""
         whole = self.ranks.get(data)
-        if whole is not None:
-            return [whole]
-        out = []
-        at = len(last)
+        return [whole] if whole is not None else self._back(last)
+
+    def _back(self, last: list[int]) -> list[int]:
+        out, at, size = [], len(last), self.size_of
         while at:
             token = last[at - 1]
             out.append(token)
-            at -= len(self.bytes_of[token])
+            at -= size[token]
         out.reverse()
         return out
 
@@ -221,12 +222,14 @@ class Vocabulary:
         """The ids of one piece as little-endian unsigned 32-bit numbers."""
         data = piece.encode("utf-8")
         whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else self.ids(self.prefixes(data), data)
+        ids = [whole] if whole is not None else self._back(self.prefixes(data))
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        known, long = self._pieces.__getitem__, self.piece
-        return b"".join([known(p) if len(p) <= SHORT else long(p) for p in self.split(text)])
+        pieces, known = self.split(text), self._pieces.__getitem__
+        if max(map(len, pieces), default=0) <= SHORT:
+            return b"".join(map(known, pieces))
+        return b"".join([known(p) if len(p) <= SHORT else self.piece(p) for p in pieces])
 
     def decode(self, ids: bytes) -> bytes:
         return decode(self.bytes_of, ids)

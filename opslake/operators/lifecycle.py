@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.functions import clip_low, combine_one_row, minutes_between, pct, rate_true
+from opslake.functions import clip_low, combine_one_row, minutes_between, rate_true
 from opslake.functions.quantiles import Q, agg_with_quantiles
 from opslake.operators.calibrate import DISPATCH_TS, parse_timestamps
 from opslake.sources.landing import AUDIT_COLUMNS

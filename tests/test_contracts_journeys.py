@@ -350,6 +350,31 @@ def test_landing_sequence_numbers_rows_of_split_files(spark, tmpdir_fresh):
     assert rows == list(range(30_000))
 
 
+def test_the_rows_of_one_file_are_numbered_by_many_tasks(spark, tmpdir_fresh):
+    """A table that is one file, larger than what the planner broadcasts by itself."""
+    import os
+
+    from opslake.sources.landing import with_landing_sequence
+    place = os.path.join(tmpdir_fresh, "one")
+    spark.range(0, 80_000, 1, 1).select((F.col("id") % 40_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), "id") \
+        .write.option("parquet.block.size", 1 << 19).parquet(place)
+    small = {"spark.sql.files.maxPartitionBytes": "512k", "spark.sql.files.openCostInBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.read.parquet(place)
+        tasks = df.rdd.getNumPartitions()
+        rows = with_landing_sequence(df)
+        each = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        kept = [r.id for r in K.keep_first_landed(rows, "k").select("id").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks > 4 and sum(each) == 80_000 and max(each) < 40_000
+    assert sorted(kept) == list(range(40_000))
+
+
 def test_coverage_counts_every_relation_in_one_pass(spark):
     o = spark.createDataFrame([(1, 10), (2, 10), (2, 11), (3, None), (4, 99)], "order_id long, restaurant_id long")
     r = spark.createDataFrame([(10,), (10,), (11,), (None,)], "restaurant_id long")

@@ -121,3 +121,24 @@ def test_fact_from_calibration_equals_fact_from_silver_tables(spark):
     assert a.columns == b.columns
     assert output_fingerprint(a).first() == output_fingerprint(b).first()
     assert a.count() == s.orders.count()
+
+
+def test_queries_over_the_fact_keep_no_copy_of_the_calibration(spark, tmpdir_fresh):
+    from fixtures.catalog import QUERIES, Ctx
+    spark.range(300).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "element_at(array('O', 'F', 'P'), CAST(id % 3 + 1 AS INT)) AS o_orderstatus",
+        "CAST(id AS DOUBLE) AS o_totalprice", "TIMESTAMP_NTZ'2024-01-01' AS o_orderdate", "'5-LOW' AS o_orderpriority") \
+        .write.parquet(f"{tmpdir_fresh}/orders.parquet")
+    spark.range(7).selectExpr("id AS c_custkey", "'n' AS c_name", "1 AS c_nationkey", "0D AS c_acctbal", "'m' AS c_mktsegment") \
+        .write.parquet(f"{tmpdir_fresh}/customer.parquet")
+    spark.range(100).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-01' AS ts", "id % 9 AS user_id", "'error' AS event_type",
+                                "1D AS value", "'x' AS props").write.parquet(f"{tmpdir_fresh}/events.parquet")
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    got = {r.primary_delay_bottleneck: r.order_count for r in QUERIES["bottleneck_distribution"](spark, tmpdir_fresh).collect()}
+    fact = QUERIES["bottleneck_attribution"](spark, tmpdir_fresh).collect()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) == before
+    c = Ctx(spark, tmpdir_fresh)
+    shared = c.fact_over(c.silver).select("order_id", "primary_delay_bottleneck").collect()
+    c.silver.release()
+    assert sorted(fact) == sorted(shared) and len(fact) > 100
+    assert sum(got.values()) == len(fact) and set(got) == {r.primary_delay_bottleneck for r in fact}

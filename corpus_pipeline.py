@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.llm.exact_dedup import deduplicated
-from opslake.llm.graph import delete
+from opslake.llm.graph import cut, delete
 from opslake.llm.language_id import accepted
 from opslake.llm.mixing import mix
-from opslake.llm.ngram_join import ngram_join
+from opslake.llm.ngram_join import ngram_join, without
 from opslake.llm.packing import best_fit_packing
 from opslake.session import checkpoint_dir
 
@@ -35,8 +35,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles at a similarity of 0.8, the smallest doc_id stays.
     Texts without a word, and rows without a doc_id, are in no group and stay; rows of one doc_id go or stay together."""
-    gone = ngram_join(docs, k=5, per_mille=800).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    gone = ngram_join(docs, k=5, per_mille=800).where("component_id <> doc_id").select(F.col("doc_id").alias("doc")).distinct()
+    return without(docs, cut(gone))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -149,8 +149,9 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def parity_bits(grams: np.ndarray) -> bytes:
-    """Parity of a set's n-grams by cell; half to one bit for each n-gram."""
-    size = 1 << max(6, min(16, (len(grams) - 1).bit_length() - 1))
+    """Parity of a set's n-grams by cell; one to two bits for each n-gram, 256 at least. With fewer, bits of sets that
+    have nothing in common agree by chance often enough for a shared n-gram to join them: the clusters run together."""
+    size = 1 << max(8, min(16, (len(grams) - 1).bit_length()))
     return np.packbits(np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
 
 
@@ -486,6 +487,16 @@ def _may_be(bits: Column, doc: Column) -> Column:
     return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.pmod(h, F.lit(8)) + 1).cast("int"))) != 0
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``gone`` (doc: distinct long); null ids stay. Only rows that a
+    bitmap of the ids lets through are dealt to the join, so most texts stay where they are read."""
+    ident = F.col("doc_id").cast("long")
+    bits = docs.sparkSession.createDataFrame([(_bloom(gone),)], "bits binary").scalar()
+    maybe = F.coalesce(_may_be(bits, ident), F.lit(False))
+    rest = docs.where(maybe)
+    return docs.where(~maybe).unionByName(rest.join(gone, rest["doc_id"].cast("long") == gone["doc"], "left_anti"))
+
+
 def links(docs: DataFrame, heads: DataFrame, k: int, per_mille: int, scratch: Scratch) -> DataFrame:
     """Verified links (a, b) between class representatives, as few as connect
     them. ``docs``: doc_id, text; ``heads``: doc, n, bits, prefix, hot of representatives."""

@@ -182,6 +182,39 @@ def test_a_group_of_near_copies_costs_rows_in_proportion(spark, monkeypatch):
     assert all(all_[1000 + i] == 1000 + i for i in range(40))
 
 
+def test_unrelated_texts_with_a_common_passage_form_no_cluster(spark, monkeypatch):
+    """Of a length just under a power of two, where the bitmaps are fullest."""
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 32)
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 8)
+    rng = random.Random(6)
+    # a passage rarer than the words around it
+    rows = [(i, " ".join(["one", "rare", "passage", *rng.choices(VOCABULARY, k=rng.randint(495, 508))])) for i in range(200)]
+    rows.append((900, rows[7][1] + " more"))
+    seen = []
+    clusters = ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda *a, **b: seen.append((out := clusters(*a, **b)).count()) or out)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 800).collect()}
+    assert got == {r[0]: 7 if r[0] == 900 else r[0] for r in rows}
+    assert max(seen) == 2  # the copy and its original; not what shares the passage alone
+
+
+def test_unrelated_sets_pass_no_bitmap_filter():
+    rng = np.random.default_rng(5)
+    for top in (64, 128, 512, 1024):
+        n = np.sort(rng.integers(top * 4 // 5, top * 5 // 4, 200))
+        bits = [ngram_join.parity_bits(rng.integers(1, 1 << 63, x).astype(np.uint64)) for x in n]
+        a, _ = ngram_join.connect_block(np.arange(200), n, bits, np.zeros(200, np.int64), 800, False)
+        assert not a
+
+
+def test_rows_without_ids(spark):
+    docs = spark.createDataFrame([(i % 40, f"t{i}") for i in range(80)] + [(None, "null"), (None, None)], "doc_id long, text string")
+    gone = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc long")
+    left = Counter(map(tuple, ngram_join.without(docs, gone).collect()))
+    assert left == Counter(r for r in map(tuple, docs.collect()) if r[0] is None or r[0] % 3)
+    assert ngram_join.without(docs, gone.limit(0)).count() == 82 and ngram_join.without(docs.limit(0), gone).count() == 0
+
+
 def test_rows_that_repeat_are_one_head(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "HOT_LIST", 5)
     docs = spark.createDataFrame([(7, "one two three four five")] * 700 + [(9, "one two three four five six")], "doc_id long, text string")
